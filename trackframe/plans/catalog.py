@@ -1,9 +1,9 @@
 """The query catalogue: every operator as a (Spark plan, DuckDB oracle) pair.
 
 Each Spark query takes ``(spark, sf_dir)`` and reads the driver's parquet
-tables (or data Spark derives from them and stages under the shared folder).
-``ORACLE_SQL`` holds the DuckDB text computing the same rows; queries whose
-semantics need state across runs outside SQL have no entry there.
+tables, or files Spark derives from them and stages under the shared folder.
+``ORACLE_SQL`` holds DuckDB text computing the same rows from the same tables.
+Every float is rounded identically on both sides and every column aliased.
 """
 
 from __future__ import annotations
@@ -13,10 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.config import TrackerConfig
-from trackframe.operators.features import add_features
+from trackframe.functions.expressions import net_score, weighted_share
+from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON, enforce_contract, tag_rows
+from trackframe.operators.features import add_features, normalise_weights
+from trackframe.operators.harmonise import harmonise
 from trackframe.operators.metrics import wave_metrics
+from trackframe.operators.upsert import duplicate_keys, latest_per_key, merge_upsert
 from trackframe.plans import oracle as sql
-from trackframe.plans.views import orders_tracker
+from trackframe.plans.fixtures import DRIFT_CONFIG, REGION_CODES, stage_canonical_waves, stage_drifted_waves
+from trackframe.plans.run import output_paths, run_tracker
+from trackframe.plans.views import document_flags, events_tracker, orders_tracker, orders_tracker_raw, table
+from trackframe.session import scratch_path
+from trackframe.sources.ingest import ingest_waves
+from trackframe.sources.store import pending_waves, read_store, stored_waves, write_partitioned
+from trackframe.sources.versioned import commit_version, read_as_of, version_history
+from trackframe.streaming.waves import stream_waves
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,11 +43,441 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def _tracker_metrics(spark: SparkSession, sf_dir: str, cfg: TrackerConfig, method: str = "broadcast") -> DataFrame:
+CFG = TrackerConfig()
+TRACKER, RAW = sql.ORDERS_TRACKER, sql.ORDERS_TRACKER_RAW_TYPED
+FEATURES = sql.features(TRACKER)
+CLEAN_FEATURES = sql.features(sql.clean(RAW))
+P5 = ["wave", "region", "n", "nps", "nps_delta", "top2box_pct", "awareness_pct", "nps_rank_in_wave"]
+
+
+def _features_out(df: DataFrame) -> DataFrame:
+    return df.select(*CANONICAL_COLUMNS, F.round("weight_norm", 6).alias("weight_norm"), "nps_segment", "top2box")
+
+
+def _metrics(spark, sf_dir, cfg=CFG, method="broadcast") -> DataFrame:
     return wave_metrics(add_features(orders_tracker(spark, sf_dir), cfg, method=method), cfg)
 
 
-@register("wave_metrics", sql.metrics(sql.features(sql.ORDERS_TRACKER), ["region"]))
+# ---------------------------------------------------------------- metrics
+
+@register("wave_metrics", sql.metrics(FEATURES, ["region"]))
 def q_wave_metrics(spark, sf_dir):
-    """Flagship: weighted NPS / top-box / awareness by wave x region, delta and rank."""
-    return _tracker_metrics(spark, sf_dir, TrackerConfig())
+    """Flagship: weighted NPS / top-box / awareness by wave x region, with delta and rank."""
+    return _metrics(spark, sf_dir)
+
+
+@register("wave_metrics_window_norm", sql.metrics(FEATURES, ["region"]))
+def q_wave_metrics_window_norm(spark, sf_dir):
+    """The flagship with the single-window weight normalisation (reference plan shape)."""
+    return _metrics(spark, sf_dir, method="window")
+
+
+@register("wave_metrics_by_age", sql.metrics(FEATURES, ["age_group"]))
+def q_wave_metrics_by_age(spark, sf_dir):
+    return _metrics(spark, sf_dir, CFG.with_segments("age_group"))
+
+
+@register("wave_metrics_region_age", sql.metrics(FEATURES, ["region", "age_group"]))
+def q_wave_metrics_region_age(spark, sf_dir):
+    return _metrics(spark, sf_dir, CFG.with_segments("region", "age_group"))
+
+
+@register("wave_metrics_overall", sql.metrics(FEATURES, []))
+def q_wave_metrics_overall(spark, sf_dir):
+    """No segment: one row per wave, delta over all waves, no rank column."""
+    return _metrics(spark, sf_dir, CFG.with_segments())
+
+
+@register("wave_metrics_thresholds",
+          sql.metrics(sql.features(TRACKER, 8, 5, 5), ["brand_used"]))
+def q_wave_metrics_thresholds(spark, sf_dir):
+    """Custom promoter / detractor / top-box thresholds, segmented by brand."""
+    cfg = TrackerConfig(segment_cols=("brand_used",), promoter_min=8, detractor_max=5, top2box_min=5)
+    return _metrics(spark, sf_dir, cfg)
+
+
+@register("wave_metrics_zero_fill", sql.metrics(FEATURES, ["region", "brand_used"], zero_fill=True))
+def q_wave_metrics_zero_fill(spark, sf_dir):
+    cfg = TrackerConfig(segment_cols=("region", "brand_used"), zero_fill=True)
+    return _metrics(spark, sf_dir, cfg)
+
+
+@register("wave_metrics_events", sql.metrics(sql.features(sql.EVENTS_TRACKER), ["event_type"]))
+def q_wave_metrics_events(spark, sf_dir):
+    """Events as a 30-wave tracker (day of month), segmented by event type."""
+    cfg = CFG.with_segments("event_type")
+    return wave_metrics(add_features(events_tracker(spark, sf_dir), cfg), cfg)
+
+
+@register("wave_metrics_from_raw", sql.metrics(CLEAN_FEATURES, ["region"]))
+def q_wave_metrics_from_raw(spark, sf_dir):
+    """Dirty text rows -> contract -> features -> metrics, without files."""
+    clean, _ = enforce_contract(orders_tracker_raw(spark, sf_dir))
+    return wave_metrics(add_features(clean), CFG)
+
+
+@register("metrics_report", f"SELECT {', '.join(P5)} FROM ({sql.metrics(FEATURES, ['region'])}) "
+                            "ORDER BY wave, region LIMIT 40")
+def q_metrics_report(spark, sf_dir):
+    """The report view: headline columns ordered by wave and region, first 40 rows."""
+    return _metrics(spark, sf_dir).select(*P5).orderBy("wave", "region").limit(40)
+
+
+@register("weight_norm", f"SELECT respondent_id, wave, round(weight_norm, 6) AS weight_norm FROM ({FEATURES})")
+def q_weight_norm(spark, sf_dir):
+    """W1 in the broadcast-means form."""
+    out = normalise_weights(orders_tracker(spark, sf_dir), method="broadcast")
+    return out.select("respondent_id", "wave", F.round("weight_norm", 6).alias("weight_norm"))
+
+
+@register("weight_norm_window", f"SELECT respondent_id, wave, round(weight_norm, 6) AS weight_norm FROM ({FEATURES})")
+def q_weight_norm_window(spark, sf_dir):
+    """W1 in the single-window form."""
+    out = normalise_weights(orders_tracker(spark, sf_dir), method="window")
+    return out.select("respondent_id", "wave", F.round("weight_norm", 6).alias("weight_norm"))
+
+
+@register("nps_segment_counts",
+          f"SELECT wave, nps_segment, count(*) AS n FROM ({FEATURES}) GROUP BY wave, nps_segment")
+def q_nps_segment_counts(spark, sf_dir):
+    return add_features(orders_tracker(spark, sf_dir)).groupBy("wave", "nps_segment").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("top2box_counts", f"SELECT wave, top2box, count(*) AS n FROM ({FEATURES}) GROUP BY wave, top2box")
+def q_top2box_counts(spark, sf_dir):
+    return add_features(orders_tracker(spark, sf_dir)).groupBy("wave", "top2box").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("nps_delta", f"SELECT wave, region, nps, nps_delta FROM ({sql.metrics(FEATURES, ['region'])})")
+def q_nps_delta(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("wave", "region", "nps", "nps_delta")
+
+
+_GAP = f"SELECT * FROM ({TRACKER}) WHERE NOT (wave = 4 AND region = 'ASIA')"
+
+
+def _gap_metrics(spark, sf_dir, cfg):
+    t = orders_tracker(spark, sf_dir).where(~((F.col("wave") == 4) & (F.col("region") == "ASIA")))
+    return wave_metrics(add_features(t, cfg), cfg).select("wave", "region", "nps", "nps_delta")
+
+
+@register("nps_delta_gap", f"SELECT wave, region, nps, nps_delta FROM ({sql.metrics(sql.features(_GAP), ['region'])})")
+def q_nps_delta_gap(spark, sf_dir):
+    """ASIA has no wave 4: its wave-5 delta is taken against wave 3."""
+    return _gap_metrics(spark, sf_dir, CFG)
+
+
+@register("nps_delta_strict",
+          f"SELECT wave, region, nps, nps_delta FROM "
+          f"({sql.metrics(sql.features(_GAP), ['region'], strict_previous=True)})")
+def q_nps_delta_strict(spark, sf_dir):
+    """As ``nps_delta_gap`` but only compared with the directly preceding wave."""
+    return _gap_metrics(spark, sf_dir, TrackerConfig(strict_previous=True))
+
+
+@register("nps_rank", f"SELECT wave, region, nps, nps_rank_in_wave FROM ({sql.metrics(FEATURES, ['region'])})")
+def q_nps_rank(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("wave", "region", "nps", "nps_rank_in_wave")
+
+
+# ---------------------------------------------------------------- weighted shares on other tables
+
+@register("weighted_share_labels", f"""
+SELECT lang, count(*) AS n, {sql.share('quality', 'weight')} AS quality_pct,
+       {sql.share('toxic', 'weight')} AS toxic_pct
+FROM ({sql.DOCUMENT_FLAGS}) GROUP BY lang""")
+def q_weighted_share_labels(spark, sf_dir):
+    """Length-weighted share of quality and toxic documents per language."""
+    w = F.col("weight")
+    return document_flags(spark, sf_dir).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"),
+        weighted_share(F.col("quality"), w).alias("quality_pct"),
+        weighted_share(F.col("toxic"), w).alias("toxic_pct"))
+
+
+@register("weighted_net_score", f"""
+SELECT source, count(*) AS n,
+       CASE WHEN sum(weight) FILTER (WHERE quality IS NOT NULL AND toxic IS NOT NULL) > 0 THEN
+         round((sum(weight) FILTER (WHERE quality = 1 AND toxic = 0) - sum(weight) FILTER (WHERE toxic = 1))
+               / sum(weight) FILTER (WHERE quality IS NOT NULL AND toxic IS NOT NULL) * 100, 1) END AS net_score
+FROM ({sql.DOCUMENT_FLAGS}) GROUP BY source""")
+def q_weighted_net_score(spark, sf_dir):
+    """Net score (good minus toxic, length-weighted) per document source."""
+    q, t = F.col("quality"), F.col("toxic")
+    return document_flags(spark, sf_dir).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"),
+        net_score((q == 1) & (t == 0), t == 1, q.isNotNull() & t.isNotNull(), F.col("weight")).alias("net_score"))
+
+
+# ---------------------------------------------------------------- contract
+
+@register("contract_clean", sql.clean(RAW))
+def q_contract_clean(spark, sf_dir):
+    return enforce_contract(orders_tracker_raw(spark, sf_dir))[0]
+
+
+@register("contract_rejects", sql.rejects(RAW))
+def q_contract_rejects(spark, sf_dir):
+    return enforce_contract(orders_tracker_raw(spark, sf_dir))[1]
+
+
+@register("reject_reason_counts",
+          f"SELECT reject_reason, count(*) AS n FROM ({sql.rejects(RAW)}) GROUP BY reject_reason")
+def q_reject_reason_counts(spark, sf_dir):
+    _, rejects = enforce_contract(orders_tracker_raw(spark, sf_dir))
+    return rejects.groupBy(REJECT_REASON).agg(F.count(F.lit(1)).alias("n"))
+
+
+_STRICT = f"""
+SELECT CASE WHEN respondent_id IS NULL THEN 'missing respondent_id'
+            WHEN wave IS NULL THEN 'missing wave'
+            WHEN {sql.KEY} % 71 = 0 THEN 'satisfaction not parseable'
+            ELSE reject_reason END AS reject_reason
+FROM ({sql.tagged(f"SELECT * REPLACE (CASE WHEN {sql.KEY} % 71 = 0 THEN NULL ELSE satisfaction END AS satisfaction) FROM ({RAW})")})
+"""
+
+
+@register("contract_strict_parse",
+          f"SELECT reject_reason, count(*) AS n FROM ({_STRICT}) WHERE reject_reason IS NOT NULL GROUP BY reject_reason")
+def q_contract_strict_parse(spark, sf_dir):
+    """Strict parsing: unparseable satisfaction text becomes a reject, after the key rules."""
+    raw = orders_tracker_raw(spark, sf_dir)
+    key = F.col("respondent_id").cast("bigint")
+    raw = raw.withColumn("satisfaction", F.when(key % 71 == 0, F.lit("n/a")).otherwise(F.col("satisfaction")))
+    tagged = tag_rows(raw, strict_parse=True)
+    return (tagged.where(F.col(REJECT_REASON).isNotNull())
+            .groupBy(REJECT_REASON).agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------- harmonise (H1-H3)
+
+@register("harmonise_rename", f"SELECT respondent_id, wave, nps_score, region, age_group FROM ({TRACKER})")
+def q_harmonise_rename(spark, sf_dir):
+    """Chained renames (nps -> score_raw -> nps_score), a plain rename, and a guarded collision."""
+    legacy = orders_tracker(spark, sf_dir).select(
+        "respondent_id", "wave", F.col("nps_score").alias("nps"), F.col("region").alias("region_code"), "age_group")
+    rename = {"nps": "score_raw", "score_raw": "nps_score", "region_code": "region", "age_group": "wave"}
+    return harmonise(legacy, rename).select("respondent_id", "wave", "nps_score", "region", "age_group")
+
+
+_CODE_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REGION_CODES.items())
+
+
+@register("harmonise_recode", f"""
+SELECT wave, CASE region {_CODE_CASE} ELSE region END AS region,
+       CASE age_group WHEN '1-URGENT' THEN 'P1' WHEN '2-HIGH' THEN 'P2' ELSE age_group END AS age_group,
+       count(*) AS n
+FROM ({TRACKER}) GROUP BY ALL""")
+def q_harmonise_recode(spark, sf_dir):
+    """Value recodes on two columns; unmapped values pass through."""
+    out = harmonise(orders_tracker(spark, sf_dir), region_map=REGION_CODES,
+                    recode_maps={"age_group": {"1-URGENT": "P1", "2-HIGH": "P2"}})
+    return out.groupBy("wave", "region", "age_group").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("harmonise_trim", f"SELECT respondent_id, region, age_group, brand_used FROM ({TRACKER})")
+def q_harmonise_trim(spark, sf_dir):
+    t = orders_tracker(spark, sf_dir)
+    padded = t.select("respondent_id", F.concat(F.lit("  "), "region", F.lit(" ")).alias("region"),
+                      F.concat(F.lit(" "), "age_group").alias("age_group"),
+                      F.concat("brand_used", F.lit("   ")).alias("brand_used"))
+    return harmonise(padded).select("respondent_id", "region", "age_group", "brand_used")
+
+
+# ---------------------------------------------------------------- file ingest
+
+@register("ingest_drifted_waves", sql.clean(sql.DRIFT_TYPED))
+def q_ingest_drifted_waves(spark, sf_dir):
+    """Three header dialects in one folder: renamed, recoded, reordered, missing and extra columns."""
+    folder = stage_drifted_waves(spark, sf_dir)
+    return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[0]
+
+
+@register("ingest_rejects", sql.rejects(sql.DRIFT_TYPED))
+def q_ingest_rejects(spark, sf_dir):
+    folder = stage_drifted_waves(spark, sf_dir)
+    return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[1]
+
+
+@register("only_waves", f"SELECT * FROM ({sql.clean(sql.DRIFT_TYPED)}) WHERE wave IN (2, 3, 4)")
+def q_only_waves(spark, sf_dir):
+    folder = stage_drifted_waves(spark, sf_dir)
+    return ingest_waves(spark, folder, DRIFT_CONFIG, only_waves=[2, 3, 4], recursive=True)[0]
+
+
+# ---------------------------------------------------------------- partitioned store
+
+@register("partition_roundtrip", f"SELECT {sql.FEATURE_OUT} FROM ({FEATURES})")
+def q_partition_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "store")
+    write_partitioned(add_features(orders_tracker(spark, sf_dir)), path)
+    return _features_out(read_store(spark, path))
+
+
+@register("idempotent_rerun", f"SELECT {sql.FEATURE_OUT} FROM ({FEATURES})")
+def q_idempotent_rerun(spark, sf_dir):
+    """Writing the same waves twice leaves one copy (dynamic partition overwrite)."""
+    path = scratch_path(spark, "store")
+    for _ in range(2):
+        write_partitioned(add_features(orders_tracker(spark, sf_dir)), path)
+    return _features_out(read_store(spark, path))
+
+
+@register("stored_waves", f"SELECT DISTINCT wave FROM ({TRACKER}) WHERE wave <= 3")
+def q_stored_waves(spark, sf_dir):
+    path = scratch_path(spark, "store")
+    write_partitioned(orders_tracker(spark, sf_dir).where("wave <= 3"), path)
+    return stored_waves(spark, path)
+
+
+@register("pending_waves", f"SELECT DISTINCT wave FROM ({TRACKER}) WHERE wave > 3")
+def q_pending_waves(spark, sf_dir):
+    path = scratch_path(spark, "store")
+    tracker = orders_tracker(spark, sf_dir)
+    write_partitioned(tracker.where("wave <= 3"), path)
+    return pending_waves(tracker, stored_waves(spark, path))
+
+
+def _incremental_run(spark, sf_dir):
+    root = scratch_path(spark, "run")
+    run_tracker(spark, DRIFT_CONFIG, stage_drifted_waves(spark, sf_dir, [1, 2, 3], f"{root}/in/a"), f"{root}/out",
+                recursive=True)
+    stage_drifted_waves(spark, sf_dir, [4, 5, 6, 7], f"{root}/in/b")
+    summary = run_tracker(spark, DRIFT_CONFIG, f"{root}/in", f"{root}/out", incremental=True, recursive=True)
+    return summary, f"{root}/out"
+
+
+@register("incremental_run_metrics", sql.metrics(sql.features(sql.clean(sql.DRIFT_TYPED)), ["region"]))
+def q_incremental_run_metrics(spark, sf_dir):
+    """Full run over waves 1-3, incremental run after waves 4-7 land; the metrics table."""
+    _, out = _incremental_run(spark, sf_dir)
+    return spark.read.parquet(output_paths(out)[1])
+
+
+@register("run_summary", f"""
+SELECT 'incremental' AS mode,
+       CAST(count(DISTINCT wave) FILTER (WHERE reject_reason IS NULL AND wave >= 4) AS INTEGER) AS waves_processed,
+       CAST(min(wave) FILTER (WHERE reject_reason IS NULL AND wave >= 4) AS INTEGER) AS first_wave,
+       CAST(max(wave) FILTER (WHERE reject_reason IS NULL AND wave >= 4) AS INTEGER) AS last_wave,
+       count(*) FILTER (WHERE reject_reason IS NULL AND wave >= 4) AS clean_rows,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL AND (wave >= 4 OR wave IS NULL)) AS reject_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT wave, region FROM ({sql.clean(sql.DRIFT_TYPED)}))) AS metric_rows
+FROM ({sql.tagged(sql.DRIFT_TYPED)})""")
+def q_run_summary(spark, sf_dir):
+    """The incremental run's summary (true mode, processed waves, observed counts)."""
+    s, _ = _incremental_run(spark, sf_dir)
+    return spark.createDataFrame(
+        [(s.mode, len(s.waves_processed), min(s.waves_processed), max(s.waves_processed),
+          s.clean_rows, s.reject_rows, s.metric_rows)],
+        "mode string, waves_processed int, first_wave int, last_wave int, clean_rows bigint, "
+        "reject_rows bigint, metric_rows bigint")
+
+
+@register("rejects_store", sql.rejects(sql.DRIFT_TYPED))
+def q_rejects_store(spark, sf_dir):
+    """The wave-partitioned reject side output of a full run (null wave in its own partition)."""
+    root = scratch_path(spark, "run")
+    run_tracker(spark, DRIFT_CONFIG, stage_drifted_waves(spark, sf_dir), f"{root}/out", recursive=True)
+    return spark.read.parquet(output_paths(f"{root}/out")[2]).select(*CANONICAL_COLUMNS, REJECT_REASON)
+
+
+# ---------------------------------------------------------------- upsert and versions
+
+def _upsert_frames(spark, sf_dir):
+    t = orders_tracker(spark, sf_dir)
+    key = F.col("respondent_id").cast("bigint")
+    updated = (t.where(F.col("wave").isin(2, 3) & (key % 5 == 0))
+               .withColumn("nps_score", ((F.col("nps_score") + 1) % 11).cast("int")))
+    late = (t.where((F.col("wave") == 2) & (key % 7 == 0))
+            .withColumn("respondent_id", F.concat("respondent_id", F.lit("-late"))))
+    source = updated.unionByName(t.where("wave = 6")).unionByName(late)
+    return t.where("wave <= 5"), source
+
+
+_BASE = f"SELECT * FROM ({TRACKER}) WHERE wave <= 5"
+_MERGED = sql.merged(_BASE, sql.upsert_source(TRACKER))
+
+
+@register("merge_upsert", _MERGED)
+def q_merge_upsert(spark, sf_dir):
+    """Key upsert into the parquet store: updates, new keys, a new partition; untouched rows stay."""
+    base, source = _upsert_frames(spark, sf_dir)
+    path = scratch_path(spark, "store")
+    merge_upsert(spark, base, path)
+    merge_upsert(spark, source, path)
+    return read_store(spark, path, CANONICAL_COLUMNS)
+
+
+@register("merge_idempotent", _MERGED)
+def q_merge_idempotent(spark, sf_dir):
+    """The same upsert applied twice changes nothing the second time."""
+    base, source = _upsert_frames(spark, sf_dir)
+    path = scratch_path(spark, "store")
+    merge_upsert(spark, base, path)
+    merge_upsert(spark, source, path)
+    merge_upsert(spark, source, path)
+    return read_store(spark, path, CANONICAL_COLUMNS)
+
+
+def _versioned(spark, sf_dir):
+    base, source = _upsert_frames(spark, sf_dir)
+    path = scratch_path(spark, "versions")
+    commit_version(spark, base, path)
+    commit_version(spark, source, path)
+    return path
+
+
+@register("read_as_of", _BASE)
+def q_read_as_of(spark, sf_dir):
+    """Time travel: the versioned table as first written (version 0)."""
+    return read_as_of(spark, _versioned(spark, sf_dir), version=0, column_order=CANONICAL_COLUMNS)
+
+
+@register("read_latest_version", _MERGED)
+def q_read_latest_version(spark, sf_dir):
+    """The versioned table's latest snapshot equals the MERGE result."""
+    return read_as_of(spark, _versioned(spark, sf_dir), column_order=CANONICAL_COLUMNS)
+
+
+@register("version_history", f"""
+SELECT 0 AS version, count(*) AS rows_written FROM ({_BASE})
+UNION ALL SELECT 1 AS version, count(*) AS rows_written FROM ({sql.upsert_source(TRACKER)})""")
+def q_version_history(spark, sf_dir):
+    return version_history(spark, _versioned(spark, sf_dir))
+
+
+_LINE_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+
+
+@register("dedupe_latest", f"""
+SELECT {_LINE_COLS}, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def q_dedupe_latest(spark, sf_dir):
+    """Duplicate keys resolved to the latest row (hash aggregate with max_by, no sort)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        *_LINE_COLS.split(", "), "l_shipdate",
+        F.struct("l_shipdate", "l_partkey", "l_suppkey").alias("__order"))
+    out = latest_per_key(li, ["l_orderkey", "l_linenumber"], "__order")
+    return out.select(*_LINE_COLS.split(", "), F.col("l_shipdate").cast("date").cast("string").alias("l_shipdate"))
+
+
+@register("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+
+
+# ---------------------------------------------------------------- streaming
+
+@register("stream_ingest", f"SELECT {sql.FEATURE_OUT} FROM ({CLEAN_FEATURES})")
+def q_stream_ingest(spark, sf_dir):
+    """Wave files land in two drops; an available-now stream folds each drop into the store."""
+    root = scratch_path(spark, "stream")
+    for drop, waves in (("a", [1, 2, 3]), ("b", [4, 5, 6, 7])):
+        stage_canonical_waves(spark, sf_dir, waves, f"{root}/landing/{drop}")
+        stream_waves(spark, f"{root}/landing/*/*.csv", f"{root}/out", CFG).awaitTermination()
+    return _features_out(read_store(spark, output_paths(f"{root}/out")[0]))

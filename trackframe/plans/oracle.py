@@ -113,3 +113,54 @@ def metrics(src: str, segments: Sequence[str], *, strict_previous: bool = False,
     rank = (", CAST(dense_rank() OVER (PARTITION BY wave ORDER BY nps DESC NULLS LAST) AS INTEGER)"
             " AS nps_rank_in_wave") if segments else ""
     return f"SELECT *, {delta} AS nps_delta{rank} FROM ({aggregate(src, segments, zero_fill)})"
+
+
+def share(flag: str, weight: str = "weight_norm", zero_fill: bool = False) -> str:
+    num = f"sum({weight}) FILTER (WHERE {flag} = 1)"
+    if zero_fill:
+        num = f"coalesce({num}, 0.0)"
+    base = f"sum({weight}) FILTER (WHERE {flag} IS NOT NULL)"
+    return f"CASE WHEN {base} > 0 THEN round({num} / {base} * 100, 1) END"
+
+
+KEY = "CAST(respondent_id AS BIGINT)"
+
+# Waves 5-7 of the drifted files carry no brand_used column.
+DRIFT_TYPED = f"""
+SELECT respondent_id, wave, fieldwork_date, region, age_group, weight, nps_score, satisfaction, aware,
+       CASE WHEN CAST(substr(fieldwork_date, 1, 4) AS INTEGER) - 1994 >= 5 THEN NULL ELSE brand_used END
+         AS brand_used
+FROM ({ORDERS_TRACKER_RAW_TYPED})"""
+
+EVENTS_TRACKER = """
+SELECT CAST(event_id AS VARCHAR) AS respondent_id, CAST(day(ts) AS INTEGER) AS wave, event_type,
+       value AS weight, CAST(user_id % 11 AS INTEGER) AS nps_score,
+       CAST(1 + event_id % 5 AS INTEGER) AS satisfaction, CAST(user_id % 2 AS INTEGER) AS aware
+FROM events"""
+
+DOCUMENT_FLAGS = """
+SELECT l.doc_id, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS weight, l.quality, l.toxic
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+FEATURE_OUT = f"{CANONICAL}, round(weight_norm, 6) AS weight_norm, nps_segment, top2box"
+
+
+def upsert_source(tracker: str) -> str:
+    """Updated answers for some wave 2-3 keys, all of wave 6, and late wave-2 respondents."""
+    return f"""
+SELECT respondent_id, wave, fieldwork_date, region, age_group, weight,
+       CAST((nps_score + 1) % 11 AS INTEGER) AS nps_score, satisfaction, aware, brand_used
+FROM ({tracker}) WHERE wave IN (2, 3) AND {KEY} % 5 = 0
+UNION ALL
+SELECT {CANONICAL} FROM ({tracker}) WHERE wave = 6
+UNION ALL
+SELECT respondent_id || '-late' AS respondent_id, wave, fieldwork_date, region, age_group, weight,
+       nps_score, satisfaction, aware, brand_used
+FROM ({tracker}) WHERE wave = 2 AND {KEY} % 7 = 0"""
+
+
+def merged(target: str, source: str) -> str:
+    return f"""
+SELECT {CANONICAL} FROM ({target}) t
+WHERE NOT EXISTS (SELECT 1 FROM ({source}) s WHERE s.wave = t.wave AND s.respondent_id = t.respondent_id)
+UNION ALL SELECT {CANONICAL} FROM ({source})"""
