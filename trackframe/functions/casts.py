@@ -14,11 +14,16 @@ from pyspark.sql.types import DataType, DoubleType, IntegerType, LongType, Strin
 
 
 def lenient_int(text: Column, target: DataType = IntegerType()) -> Column:
-    """``' 9 '`` -> 9, ``'9.7'`` -> 9, ``'-3.2'`` -> -3; bad text, exponents, overflow -> null."""
+    """``' 9 '`` -> 9, ``'9.7'`` -> 9, ``'-3.2'`` -> -3; bad text, exponents, overflow -> null.
+
+    Plain integer text takes the direct cast; only text that fails it pays for
+    the decimal parse (``coalesce`` evaluates its second branch lazily).
+    """
     t = F.trim(text)
-    as_decimal = t.try_cast("decimal(38,18)")
+    direct = t.try_cast(target)
     has_exponent = t.contains("e") | t.contains("E")
-    return F.when(~has_exponent, as_decimal.try_cast(target))
+    via_decimal = F.when(~has_exponent, t.try_cast("decimal(38,18)").try_cast(target))
+    return F.coalesce(direct, via_decimal)
 
 
 def lenient_double(text: Column) -> Column:

@@ -129,16 +129,27 @@ def run_tracker(
     mode = "incremental" if incremental else "full"
     resp_path, metrics_path, reject_path = output_paths(output_dir)
 
-    # 1. One read of the raw files, staged as parquet.
+    # 1. One read of the raw files, staged as parquet. The distinct clean and
+    #    reject waves are observed on the way (sets of wave numbers: bounded by
+    #    the number of waves, merged from per-task partial sets).
     staged_path = scratch_path(spark, "staged")
     tagged = ingest_tagged(spark, input_path, config, recursive=recursive, keep_source=True)
-    tagged.write.parquet(staged_path)
+    waves_seen = Observation("waves")
+    is_clean = F.col(REJECT_REASON).isNull()
+    tagged.observe(waves_seen,
+                   F.collect_set(F.when(is_clean, F.col("wave"))).alias("clean"),
+                   F.collect_set(F.when(~is_clean, F.col("wave"))).alias("rejected")).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
-    clean = staged.where(F.col(REJECT_REASON).isNull())
-    rejects = staged.where(F.col(REJECT_REASON).isNotNull())
+    clean = staged.where(is_clean)
+    rejects = staged.where(~is_clean)
+    try:
+        seen = waves_seen.get
+        clean_waves, reject_waves_seen = set(seen["clean"]), set(seen["rejected"])
+    except Exception:  # noqa: BLE001 - nothing observed: the files held no rows
+        clean_waves, reject_waves_seen = set(), set()
 
     # 2. Waves to process.
-    available = sorted(int(r[0]) for r in clean.select("wave").distinct().collect())
+    available = sorted(clean_waves)
     done = stored_wave_list(spark, resp_path, output_format) if incremental else []
     to_process = [w for w in available if w not in set(done)]
     if not to_process:
@@ -158,9 +169,7 @@ def run_tracker(
     clean_rows = _rows(clean_obs, features)
 
     # 4. Rejects: processed waves, waves with nothing but rejects, rows without a wave.
-    reject_waves = set(to_process) | (
-        {int(r[0]) for r in rejects.select("wave").distinct().collect() if r[0] is not None}
-        - set(available) - set(done))
+    reject_waves = set(to_process) | (reject_waves_seen - set(available) - set(done))
     rejects_new = rejects.where(F.col("wave").isin(sorted(reject_waves)) | F.col("wave").isNull())
     rejects_new, reject_obs = _counted(rejects_new, "rejects")
     write_partitioned(rejects_new, reject_path, "wave")

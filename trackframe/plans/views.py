@@ -4,22 +4,17 @@ Each adapter is a plain DataFrame plan over the parquet tables (column pruning
 and filters reach the scans). The matching DuckDB SQL lives next to it in
 ``trackframe.plans.oracle`` so both engines derive the same rows.
 
-Joins: ``orders`` x ``customer`` is fact x dimension and is left to Catalyst
-and AQE (a sort-merge join at scale, a broadcast when the runtime size is
-small). ``nation`` x ``region`` is a fixed 25-row lookup; it is broadcast only
-after its row count is checked.
+Joins carry no hints: Catalyst broadcasts a side only when its statistics
+(parquet file sizes) are under ``spark.sql.autoBroadcastJoinThreshold``, so
+the 25-row ``nation`` x ``region`` lookup is broadcast while ``orders`` x
+``customer`` becomes a sort-merge join once ``customer`` outgrows the
+threshold, and AQE re-plans either from runtime sizes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackframe.session import bounded_broadcast
-
-# Rows of the nation x region lookup are tiny; this bound is the proof that
-# broadcasting it is safe.
-GEO_MAX_ROWS = 10_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -28,8 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
-    return bounded_broadcast(geo, GEO_MAX_ROWS)[0]
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
 
 
 def _orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,15 +50,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``small`` and mark it for broadcast only if it is proven small.
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, *,
+                      materialise_first: bool = True) -> tuple[DataFrame, bool]:
+    """Mark ``small`` for broadcast only if its row count is proven to be at most ``max_rows``.
 
     Returns ``(frame, broadcast?)``. Above ``max_rows`` the frame comes back
     unhinted, so the join that uses it plans as a shuffle join (with AQE skew
     splitting) instead of shipping an unbounded table to every executor.
+
+    ``materialise_first`` checkpoints ``small`` before counting, so a lookup
+    derived from a large input (an aggregate) is computed once, not once for
+    the check and again for the join. A lookup read straight from small base
+    tables is only counted.
     """
-    mat = materialise(small)
-    n = mat.count()
+    frame = materialise(small) if materialise_first else small
+    n = frame.limit(max_rows + 1).count()
     if n <= max_rows:
-        return F.broadcast(mat), True
-    return mat, False
+        return F.broadcast(frame), True
+    return frame, False
