@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from trackframe.session import materialise
 from trackframe.sources.store import read_store, store_exists, write_partitioned
@@ -44,7 +44,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
-def prepare_source(source: DataFrame, keys: Sequence[str], on_duplicate: str, order_col: str | None) -> DataFrame:
+def check_duplicates(source: DataFrame, keys: Sequence[str], on_duplicate: str,
+                     order_col: str | None) -> DataFrame:
+    """Apply the duplicate-key policy to an upsert source.
+
+    ``"error"`` raises ``DuplicateKeyError`` (one aggregate job that stops at
+    the first duplicate); ``"latest"`` keeps the row with the greatest
+    ``order_col`` per key; ``"allow"`` passes duplicates through.
+    """
     if on_duplicate == "error":
         if not duplicate_keys(source, keys).isEmpty():
             raise DuplicateKeyError(f"upsert source has duplicate keys on {list(keys)}")
@@ -58,6 +65,26 @@ def prepare_source(source: DataFrame, keys: Sequence[str], on_duplicate: str, or
     raise ValueError("on_duplicate must be 'error', 'latest' or 'allow'")
 
 
+def stage_source(source: DataFrame, partition_col: str | None) -> tuple[DataFrame, list]:
+    """Compute the source once into the shared folder; return it with its partition values.
+
+    An upsert reads its source several times (duplicate check, both sides of
+    the merge); staging it keeps an expensive source plan from running more
+    than once. The partition values are observed during that same job.
+    """
+    if partition_col is None:
+        return materialise(source), []
+    seen = Observation("touched")
+    staged = materialise(source.observe(seen, F.collect_set(F.col(partition_col)).alias("values"),
+                                        F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")))
+    try:
+        got = seen.get
+        values = sorted(got["values"]) + ([None] if got["nulls"] else [])
+    except Exception:  # noqa: BLE001 - nothing observed: empty source
+        values = []
+    return staged, values
+
+
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pure MERGE of two frames: target rows without a source match, then all source rows."""
     kept = target.join(source.select(*keys), list(keys), "left_anti")
@@ -80,16 +107,18 @@ def merge_upsert(
     partitions. Duplicate source keys raise ``DuplicateKeyError`` unless
     ``on_duplicate`` is ``"latest"`` (greatest ``order_col`` wins) or ``"allow"``.
     """
-    source = prepare_source(source, keys, on_duplicate, order_col)
+    source, touched = stage_source(source, partition_col)
+    source = check_duplicates(source, keys, on_duplicate, order_col)
+    if not touched:
+        return []
     if not store_exists(spark, path):
         write_partitioned(source, path, partition_col)
-        return sorted(r[0] for r in source.select(partition_col).distinct().collect())
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+        return touched
     values = [v for v in touched if v is not None]
-    target = read_store(spark, path, source.columns)
     in_touched = F.col(partition_col).isin(values)
-    if len(values) < len(touched):
+    if None in touched:
         in_touched = in_touched | F.col(partition_col).isNull()
-    merged = materialise(merge_frames(target.where(in_touched), source, keys))
+    target = read_store(spark, path, source.columns).where(in_touched)
+    merged = materialise(merge_frames(target, source, keys))
     write_partitioned(merged, path, partition_col)
-    return sorted(touched, key=lambda v: (v is None, v))
+    return touched

@@ -21,8 +21,10 @@ BROADCAST_MAX_ROWS = 1_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Uses the session's checkpoint folder; sets a local one only if the
-    session has none (local mode, tests).
+    Uses the session's checkpoint folder (``spark.checkpoint.dir``). Only a
+    local-mode session without one gets a private temporary folder; on a
+    cluster a machine-local folder would not survive executor loss, so an
+    unset checkpoint folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -31,8 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="trackframe-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
     return sc.getCheckpointDir().rstrip("/")
 
 

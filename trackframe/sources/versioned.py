@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackframe.operators.upsert import latest_per_key, prepare_source
+from trackframe.operators.upsert import check_duplicates, latest_per_key
 from trackframe.sources.store import RESPONDENT_COLUMNS, store_exists, write_partitioned
 
 VERSION_COL = "_version"
@@ -43,7 +43,7 @@ def commit_version(
 
     Single writer per store: two concurrent commits would pick the same number.
     """
-    source = prepare_source(source, keys, on_duplicate, order_col)
+    source = check_duplicates(source, keys, on_duplicate, order_col)
     existing = versions(spark, path)
     v = existing[-1] + 1 if existing else 0
     parts = [VERSION_COL] + ([partition_col] if partition_col else [])
