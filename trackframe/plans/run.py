@@ -12,8 +12,10 @@ Flow of one run, and its Spark jobs:
    dynamic-partition overwrite (parquet) or a new version (versioned store);
 4. rejects of the processed waves, of waves that only have rejects, and of
    rows without a wave, to a wave-partitioned side output;
-5. metrics recomputed over the whole store (wave-over-wave change needs the
-   neighbour wave; the metrics table is waves x segments rows).
+5. metrics: a full run aggregates the whole store; an incremental run
+   re-aggregates only the waves it wrote and reuses the stored aggregates of
+   the others (exact, since every aggregate and feature is within one wave),
+   then recomputes change and rank on the waves x segments table.
 
 Incremental runs process waves not yet stored; late rows for a stored wave
 wait for a full run or for an upsert (``upsert_waves``).
@@ -28,8 +30,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from trackframe.config import TrackerConfig
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON
 from trackframe.operators.features import add_features
-from trackframe.operators.metrics import wave_metrics
-from trackframe.operators.upsert import merge_frames
+from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
+from trackframe.operators.upsert import merge_frames, stage_source
 from trackframe.session import materialise, scratch_path
 from trackframe.sources.ingest import ingest_tagged
 from trackframe.sources.store import (
@@ -95,9 +97,24 @@ def stored_wave_list(spark: SparkSession, path: str, output_format: str = "parqu
 
 
 def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str, metrics_path: str,
-                    output_format: str = "parquet") -> int:
-    """Recompute wave x segment metrics over the whole store and replace the metrics table."""
-    metrics, obs = _counted(wave_metrics(read_respondents(spark, resp_path, output_format), config), "metrics")
+                    output_format: str = "parquet", *, waves: list[int] | None = None) -> int:
+    """Recompute wave x segment metrics and replace the metrics table; returns its row count.
+
+    With ``waves`` (an incremental run) and an existing metrics table of the
+    same shape, only those waves are re-aggregated from the store; otherwise
+    the whole store is aggregated.
+    """
+    respondents = read_respondents(spark, resp_path, output_format)
+    metrics = None
+    if waves is not None and store_exists(spark, metrics_path):
+        previous = spark.read.parquet(metrics_path)
+        expected = set(wave_metrics(respondents.limit(0), config).columns)
+        if set(previous.columns) == expected:
+            # Materialised first: the new table must not read the files it replaces.
+            metrics = materialise(refresh_wave_metrics(previous, respondents, waves, config))
+    if metrics is None:
+        metrics = wave_metrics(respondents, config)
+    metrics, obs = _counted(metrics, "metrics")
     overwrite_table(metrics, metrics_path)
     return _rows(obs, metrics)
 
@@ -176,7 +193,8 @@ def run_tracker(
     reject_rows = _rows(reject_obs, rejects_new)
 
     # 5. Metrics over the whole store.
-    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format)
+    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format,
+                                  waves=to_process if incremental else None)
     return RunSummary(mode, to_process, clean_rows, reject_rows, metric_rows)
 
 
@@ -196,16 +214,15 @@ def upsert_waves(
     Returns the touched waves.
     """
     config = config or TrackerConfig()
-    new_clean = new_clean.select(*CANONICAL_COLUMNS)
-    touched = sorted(int(r[0]) for r in new_clean.select("wave").distinct().collect() if r[0] is not None)
+    new_clean, touched = stage_source(new_clean.select(*CANONICAL_COLUMNS), "wave")
+    touched = [w for w in touched if w is not None]
     if not touched:
         return []
     if store_exists(spark, resp_path):
         stored = read_store(spark, resp_path).where(F.col("wave").isin(touched)).select(*CANONICAL_COLUMNS)
-        merged = merge_frames(stored, new_clean, RESPONDENT_KEYS)
+        merged = materialise(merge_frames(stored, new_clean, RESPONDENT_KEYS))
     else:
         merged = new_clean
-    merged = materialise(merged)
     write_partitioned(add_features(merged, config, method=method), resp_path, "wave")
     return touched
 

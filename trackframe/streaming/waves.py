@@ -10,7 +10,7 @@ those files:
   wave, because a batch may carry only part of a wave (``upsert_waves``);
 * rejects written under ``rejects/_batch=<epoch>/``, replaced if a batch is
   replayed;
-* metrics recomputed over the whole store.
+* metrics re-aggregated for the touched waves (``refresh_metrics``).
 
 Every step is idempotent per batch, so the at-least-once replay of
 ``foreachBatch`` after a failure leaves the same tables. The checkpoint
@@ -38,9 +38,9 @@ def process_files(spark: SparkSession, paths: list[str], output_dir: str, config
     tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True)
     clean = tagged.where(F.col(REJECT_REASON).isNull())
     rejects = tagged.where(F.col(REJECT_REASON).isNotNull()).withColumn("_batch", F.lit(batch_id))
-    upsert_waves(spark, clean, resp_path, config)
+    touched = upsert_waves(spark, clean, resp_path, config)
     write_partitioned(rejects, reject_path, "_batch")
-    refresh_metrics(spark, config, resp_path, metrics_path)
+    refresh_metrics(spark, config, resp_path, metrics_path, waves=touched)
 
 
 def stream_waves(
