@@ -59,12 +59,17 @@ def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), bas
     """Write the dirty orders view as drifting CSV groups; returns the folder."""
     base = base or scratch_path(spark, "waves")
     raw = orders_tracker_raw(spark, sf_dir).withColumn("__true_wave", true_wave())
-    raw = raw.where(F.col("__true_wave").isin(list(waves)))
+    # Three writes read the same rows: compute them once (recomputed from
+    # lineage if an executor holding them is lost).
+    raw = raw.where(F.col("__true_wave").isin(list(waves))).persist()
     groups = [("legacy", [1], _legacy), ("renamed", [2, 3, 4], _renamed_wave), ("extra", [5, 6, 7], _extra_column)]
-    for name, ws, shape in groups:
-        chosen = [w for w in ws if w in set(waves)]
-        if chosen:
-            write_csv(shape(raw.where(F.col("__true_wave").isin(chosen)).drop("__true_wave")), f"{base}/{name}")
+    try:
+        for name, ws, shape in groups:
+            chosen = [w for w in ws if w in set(waves)]
+            if chosen:
+                write_csv(shape(raw.where(F.col("__true_wave").isin(chosen)).drop("__true_wave")), f"{base}/{name}")
+    finally:
+        raw.unpersist()
     return base
 
 

@@ -3,8 +3,9 @@
 Flow of one run, and its Spark jobs:
 
 1. header sniff (one job) and one tagged read of the raw CSVs, *staged once*
-   as parquet under the shared folder, so later steps read columns of the
-   staged copy instead of re-parsing the CSVs; row counts come from
+   as parquet partitioned by wave under the shared folder, so later steps
+   read only the columns and the waves they need instead of re-parsing the
+   CSVs; row counts come from
    ``Observation``s on the writes, not from extra count jobs;
 2. the waves to process: clean waves of the staged rows, minus the stored
    waves in incremental mode (driver lists bounded by the number of waves);
@@ -155,7 +156,8 @@ def run_tracker(
     is_clean = F.col(REJECT_REASON).isNull()
     tagged.observe(waves_seen,
                    F.collect_set(F.when(is_clean, F.col("wave"))).alias("clean"),
-                   F.collect_set(F.when(~is_clean, F.col("wave"))).alias("rejected")).write.parquet(staged_path)
+                   F.collect_set(F.when(~is_clean, F.col("wave"))).alias("rejected")
+                   ).write.partitionBy("wave").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     clean = staged.where(is_clean)
     rejects = staged.where(~is_clean)
