@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Row bound under which a materialised lookup side is broadcast. Rows of the
 # lookups broadcast here are a key plus one or two numbers (< 100 bytes), so
@@ -67,8 +67,17 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, *,
     the check and again for the join. A lookup read straight from small base
     tables is only counted.
     """
-    frame = materialise(small) if materialise_first else small
-    n = frame.limit(max_rows + 1).count()
+    if materialise_first:
+        # The row count is observed while the checkpoint is written: no extra job.
+        rows = Observation("rows")
+        frame = materialise(small.observe(rows, F.count(F.lit(1)).alias("n")))
+        try:
+            n = int(rows.get["n"])
+        except Exception:  # noqa: BLE001 - nothing observed: the frame is empty
+            n = 0
+    else:
+        frame = small
+        n = frame.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(frame), True
     return frame, False
