@@ -146,3 +146,35 @@ def test_upsert_waves_recomputes_wave_features(spark, tmp_path):
     upsert_waves(spark, spark.createDataFrame([row("c", 1, 2.0), row("a", 1, 4.0)], cols), path)
     got = {r["respondent_id"]: r["weight_norm"] for r in read_store(spark, path).collect()}
     assert got == {"a": 4.0 / 3.0, "b": 1.0, "c": 2.0 / 3.0}
+
+
+def test_keep_raw_across_header_groups_and_csv_options(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    with open(raw / "a.csv", "w") as fh:
+        fh.write("respondent_id;wave;nps\nA;1;99\nB;1;9\n")
+    with open(raw / "b.csv", "w") as fh:
+        fh.write("wave;respondent_id;brand_used;weight\n2;C;X;-3\n")
+    cfg = TrackerConfig(rename_map={"nps": "nps_score"})
+    clean, rejects = ingest_waves(spark, str(raw), cfg, keep_raw=True, keep_source=True, csv_options={"sep": ";"})
+    got = sorted((r["respondent_id"], r["reject_reason"], r["raw"]["nps_score"], r["raw"]["weight"], r["source_file"])
+                 for r in rejects.collect())
+    assert got == [("A", "nps_score out of range 0-10", "99", None, "a.csv"),
+                   ("C", "weight not positive", None, "-3", "b.csv")]
+    assert [r["respondent_id"] for r in clean.collect()] == ["B"]
+
+
+def test_delta_format_is_gated(spark, tmp_path):
+    from trackframe.sources.delta_store import DeltaStore
+
+    if DeltaStore.available():
+        pytest.skip("delta-spark present; the gate does not apply")
+    with pytest.raises(ValueError, match="delta"):
+        run_tracker(spark, TrackerConfig(), str(tmp_path), str(tmp_path / "out"), output_format="delta")
+
+
+def test_public_api_imports():
+    import trackframe
+
+    for name in trackframe.__all__:
+        assert hasattr(trackframe, name), name

@@ -143,8 +143,12 @@ def tag_rows(
     ``carry`` passes extra input columns through unchanged (e.g. lineage).
     """
     typed, raw = conform(df, contract.schema)
+    # The raw struct always has every contract column (text, null if absent),
+    # so frames of different headers union cleanly.
+    raw_struct = F.struct(*[(raw[c][0].cast("string") if c in raw else F.lit(None).cast("string")).alias(c)
+                            for c in contract.columns])
     base = df.select(*typed, *[_ref(c) for c in carry],
-                     *([F.struct(*[v.alias(k) for k, (v, _) in raw.items()]).alias("raw")] if keep_raw else []),
+                     *([raw_struct.alias("raw")] if keep_raw else []),
                      *[v.alias(f"__raw_{k}") for k, (v, t) in raw.items()
                        if strict_parse and isinstance(t, StringType)])
     parse_checks = []

@@ -34,6 +34,7 @@ from trackframe.operators.features import add_features
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
 from trackframe.operators.upsert import merge_frames, stage_source
 from trackframe.session import materialise, scratch_path
+from trackframe.sources.delta_store import DeltaStore
 from trackframe.sources.ingest import ingest_tagged
 from trackframe.sources.store import (
     existing_waves,
@@ -45,7 +46,7 @@ from trackframe.sources.store import (
 from trackframe.sources.versioned import commit_version, read_latest, stored_waves_versioned
 
 RESPONDENT_KEYS = ("wave", "respondent_id")
-FORMATS = ("parquet", "versioned")
+FORMATS = ("parquet", "versioned", "delta")
 
 
 @dataclass
@@ -88,10 +89,14 @@ def _rows(obs: Observation, df: DataFrame) -> int:
 
 
 def read_respondents(spark: SparkSession, path: str, output_format: str = "parquet") -> DataFrame:
+    if output_format == "delta":
+        return DeltaStore(spark, path).snapshot()
     return read_latest(spark, path, RESPONDENT_KEYS) if output_format == "versioned" else read_store(spark, path)
 
 
 def stored_wave_list(spark: SparkSession, path: str, output_format: str = "parquet") -> list[int]:
+    if output_format == "delta":
+        return DeltaStore(spark, path).waves()
     if output_format == "versioned":
         return sorted(int(r[0]) for r in stored_waves_versioned(spark, path).collect() if r[0] is not None)
     return existing_waves(spark, path)
@@ -107,7 +112,7 @@ def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str,
     """
     respondents = read_respondents(spark, resp_path, output_format)
     metrics = None
-    if waves is not None and store_exists(spark, metrics_path):
+    if waves is not None and output_format != "delta" and store_exists(spark, metrics_path):
         previous = spark.read.parquet(metrics_path)
         expected = set(wave_metrics(respondents.limit(0), config).columns)
         if set(previous.columns) == expected:
@@ -116,7 +121,10 @@ def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str,
     if metrics is None:
         metrics = wave_metrics(respondents, config)
     metrics, obs = _counted(metrics, "metrics")
-    overwrite_table(metrics, metrics_path)
+    if output_format == "delta":
+        DeltaStore(spark, metrics_path).replace(metrics)
+    else:
+        overwrite_table(metrics, metrics_path)
     return _rows(obs, metrics)
 
 
@@ -131,16 +139,21 @@ def run_tracker(
     replace: str = "partitions",
     recursive: bool = False,
     method: str = "broadcast",
+    csv_options: dict | None = None,
 ) -> RunSummary:
     """Run the tracker over every wave file under ``input_path``.
 
-    ``output_format``: ``"parquet"`` (dynamic partition overwrite) or
-    ``"versioned"`` (upsert by (wave, respondent_id) as a new version).
+    ``output_format``: ``"parquet"`` (dynamic partition overwrite),
+    ``"versioned"`` (upsert by (wave, respondent_id) as a new version) or
+    ``"delta"`` (MERGE into a Delta table; needs delta-spark).
     ``replace="table"`` makes a full parquet run drop stored waves that are
     no longer in the input; the default only replaces the waves it writes.
     """
     if output_format not in FORMATS:
         raise ValueError(f"output_format must be one of {FORMATS}")
+    if output_format == "delta" and not DeltaStore.available():
+        raise ValueError("output_format='delta' needs delta-spark and a Delta-enabled session; "
+                         "'versioned' gives upserts and as-of reads on plain parquet")
     if replace not in ("partitions", "table"):
         raise ValueError("replace must be 'partitions' or 'table'")
     config = config or TrackerConfig()
@@ -151,7 +164,8 @@ def run_tracker(
     #    reject waves are observed on the way (sets of wave numbers: bounded by
     #    the number of waves, merged from per-task partial sets).
     staged_path = scratch_path(spark, "staged")
-    tagged = ingest_tagged(spark, input_path, config, recursive=recursive, keep_source=True)
+    tagged = ingest_tagged(spark, input_path, config, recursive=recursive, keep_source=True,
+                           csv_options=csv_options)
     waves_seen = Observation("waves")
     is_clean = F.col(REJECT_REASON).isNull()
     tagged.observe(waves_seen,
@@ -172,7 +186,11 @@ def run_tracker(
     done = stored_wave_list(spark, resp_path, output_format) if incremental else []
     to_process = [w for w in available if w not in set(done)]
     if not to_process:
-        metric_rows = spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
+        if output_format == "delta":
+            store = DeltaStore(spark, metrics_path)
+            metric_rows = store.snapshot().count() if store.exists() else 0
+        else:
+            metric_rows = spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
         return RunSummary(mode, [], 0, 0, metric_rows)
 
     # 3. Features and the respondent store.
@@ -181,6 +199,8 @@ def run_tracker(
     features, clean_obs = _counted(features, "clean")
     if output_format == "versioned":
         commit_version(spark, features, resp_path, RESPONDENT_KEYS, "wave")
+    elif output_format == "delta":
+        DeltaStore(spark, resp_path).upsert(features, RESPONDENT_KEYS, "wave")
     elif replace == "table" and not incremental:
         features.write.mode("overwrite").partitionBy("wave").parquet(resp_path)
     else:

@@ -19,7 +19,7 @@ Parsing stays in Spark's CSV reader; no row passes through Python.
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -71,9 +71,9 @@ def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, p
     return first_split.groupBy("file_path").agg(F.min_by("value", "pos").alias("header"))
 
 
-def parse_header(header: str) -> tuple[str, ...]:
+def parse_header(header: str, sep: str = ",", quote: str = '"') -> tuple[str, ...]:
     """Column names of a CSV header line: BOM removed, names trimmed, blanks and repeats made unique."""
-    fields = next(csv.reader([header.lstrip("﻿").rstrip("\r")]), [])
+    fields = next(csv.reader([header.lstrip("\ufeff").rstrip("\r")], delimiter=sep, quotechar=quote), [])
     names: list[str] = []
     for i, raw in enumerate(fields):
         name = raw.strip() or f"_c{i}"
@@ -84,12 +84,14 @@ def parse_header(header: str) -> tuple[str, ...]:
     return tuple(names)
 
 
-def group_files_by_header(headers: DataFrame) -> list[HeaderGroup]:
-    """Collect the (small) file -> header listing and group files by header text."""
+def group_files_by_header(headers: DataFrame, csv_options: Mapping[str, str] | None = None) -> list[HeaderGroup]:
+    """Collect the file -> header listing (file metadata, one row per file) and group files by header text."""
+    opts = dict(csv_options or {})
+    sep, quote = opts.get("sep", opts.get("delimiter", ",")), opts.get("quote", '"')
     by_header: dict[str, list[str]] = {}
     for row in headers.collect():
         by_header.setdefault(row["header"], []).append(row["file_path"])
-    return [HeaderGroup(h, parse_header(h), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
+    return [HeaderGroup(h, parse_header(h, sep, quote), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
 
 
 def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
@@ -99,12 +101,18 @@ def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *,
         wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive)) for f in g.files)
 
 
-def read_header_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
-    """All files of one header as text columns, in that header's order, plus ``source_file``."""
+def read_header_group(spark: SparkSession, group: HeaderGroup,
+                      csv_options: Mapping[str, str] | None = None) -> DataFrame:
+    """All files of one header as text columns, in that header's order, plus ``source_file``.
+
+    ``csv_options`` are passed to Spark's CSV reader (``sep``, ``quote``,
+    ``encoding``, ``multiLine`` ...); header, schema enforcement and the
+    all-text schema are fixed here.
+    """
     schema = StructType([StructField(c, StringType(), True) for c in group.columns])
-    df = (spark.read.schema(schema)
-          .option("header", "true").option("enforceSchema", "true").option("mode", "PERMISSIVE")
-          .csv(list(group.files)))
+    reader = spark.read.options(**{"mode": "PERMISSIVE", **dict(csv_options or {})})
+    df = (reader.schema(schema).option("header", "true").option("enforceSchema", "true")
+          .option("inferSchema", "false").csv(list(group.files)))
     return df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
 
 
@@ -119,6 +127,7 @@ def ingest_tagged(
     recursive: bool = False,
     keep_source: bool = False,
     keep_raw: bool = False,
+    csv_options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Every wave file as contract-tagged rows (``reject_reason`` null = clean).
 
@@ -126,13 +135,14 @@ def ingest_tagged(
     those waves only (rows with a null wave never match).
     """
     config = config or TrackerConfig()
-    groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive))
+    groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive),
+                                   csv_options)
     if not groups:
         raise FileNotFoundError(f"no wave files ({pattern}) found in {input_path!r}")
     carry = (SOURCE_FILE,) if keep_source else ()
     parts = []
     for g in groups:
-        raw = harmonise(read_header_group(spark, g), config.rename_map, recode_maps=config.value_maps())
+        raw = harmonise(read_header_group(spark, g, csv_options), config.rename_map, recode_maps=config.value_maps())
         parts.append(tag_rows(raw, contract, strict_parse=config.strict_parse, keep_raw=keep_raw, carry=carry))
     tagged = parts[0]
     for p in parts[1:]:
