@@ -9,10 +9,12 @@ Flow of one run, and its Spark jobs:
    ``Observation``s on the writes, not from extra count jobs;
 2. the waves to process: clean waves of the staged rows, minus the stored
    waves in incremental mode (driver lists bounded by the number of waves);
-3. features (per-wave means broadcast back, see ``normalise_weights``) and a
-   dynamic-partition overwrite (parquet) or a new version (versioned store);
-4. rejects of the processed waves, of waves that only have rejects, and of
-   rows without a wave, to a wave-partitioned side output;
+3. rejects of the processed waves, of waves that only have rejects, and of
+   rows without a wave, to a wave-partitioned side output (also when no wave
+   has clean rows to process);
+4. features (per-wave means broadcast back, see ``normalise_weights``) and a
+   dynamic-partition overwrite (parquet), a new version (versioned store) or
+   a MERGE (Delta);
 5. metrics: a full run aggregates the whole store; an incremental run
    re-aggregates only the waves it wrote and reuses the stored aggregates of
    the others (exact, since every aggregate and feature is within one wave),
@@ -33,7 +35,7 @@ from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON
 from trackframe.operators.features import add_features
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
 from trackframe.operators.upsert import merge_frames, stage_source
-from trackframe.session import materialise, scratch_path
+from trackframe.session import drop_path, materialise, scratch_path
 from trackframe.sources.delta_store import DeltaStore
 from trackframe.sources.ingest import ingest_tagged
 from trackframe.sources.store import (
@@ -164,60 +166,65 @@ def run_tracker(
     #    reject waves are observed on the way (sets of wave numbers: bounded by
     #    the number of waves, merged from per-task partial sets).
     staged_path = scratch_path(spark, "staged")
-    tagged = ingest_tagged(spark, input_path, config, recursive=recursive, keep_source=True,
-                           csv_options=csv_options)
-    waves_seen = Observation("waves")
-    is_clean = F.col(REJECT_REASON).isNull()
-    tagged.observe(waves_seen,
-                   F.collect_set(F.when(is_clean, F.col("wave"))).alias("clean"),
-                   F.collect_set(F.when(~is_clean, F.col("wave"))).alias("rejected")
-                   ).write.partitionBy("wave").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    clean = staged.where(is_clean)
-    rejects = staged.where(~is_clean)
     try:
-        seen = waves_seen.get
-        clean_waves, reject_waves_seen = set(seen["clean"]), set(seen["rejected"])
-    except Exception:  # noqa: BLE001 - nothing observed: the files held no rows
-        clean_waves, reject_waves_seen = set(), set()
-
-    # 2. Waves to process.
-    available = sorted(clean_waves)
-    done = stored_wave_list(spark, resp_path, output_format) if incremental else []
-    to_process = [w for w in available if w not in set(done)]
-    if not to_process:
-        if output_format == "delta":
-            store = DeltaStore(spark, metrics_path)
-            metric_rows = store.snapshot().count() if store.exists() else 0
+        tagged = ingest_tagged(spark, input_path, config, recursive=recursive, keep_source=True,
+                               csv_options=csv_options)
+        waves_seen = Observation("waves")
+        is_clean = F.col(REJECT_REASON).isNull()
+        tagged.observe(waves_seen,
+                       F.collect_set(F.when(is_clean, F.col("wave"))).alias("clean"),
+                       F.collect_set(F.when(~is_clean, F.col("wave"))).alias("rejected")
+                       ).write.partitionBy("wave").parquet(staged_path)
+        staged = spark.read.parquet(staged_path).withColumn("wave", F.col("wave").cast("int"))
+        clean = staged.where(is_clean)
+        rejects = staged.where(~is_clean)
+        try:
+            seen = waves_seen.get
+            clean_waves, reject_waves_seen = set(seen["clean"]), set(seen["rejected"])
+        except Exception:  # noqa: BLE001 - nothing observed: the files held no rows
+            clean_waves, reject_waves_seen = set(), set()
+
+        # 2. Waves to process.
+        available = sorted(clean_waves)
+        done = stored_wave_list(spark, resp_path, output_format) if incremental else []
+        to_process = [w for w in available if w not in set(done)]
+
+        # 3. Rejects: processed waves, waves with nothing but rejects, rows without a wave.
+        reject_waves = set(to_process) | (reject_waves_seen - set(available) - set(done))
+        rejects_new = rejects.where(F.col("wave").isin(sorted(reject_waves)) | F.col("wave").isNull())
+        rejects_new, reject_obs = _counted(rejects_new, "rejects")
+        write_partitioned(rejects_new, reject_path, "wave")
+        reject_rows = _rows(reject_obs, rejects_new)
+
+        if not to_process:
+            if output_format == "delta":
+                store = DeltaStore(spark, metrics_path)
+                metric_rows = store.snapshot().count() if store.exists() else 0
+            else:
+                metric_rows = spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
+            return RunSummary(mode, [], 0, reject_rows, metric_rows)
+
+        # 4. Features and the respondent store.
+        features = add_features(clean.where(F.col("wave").isin(to_process)).select(*CANONICAL_COLUMNS),
+                                config, method=method)
+        features, clean_obs = _counted(features, "clean")
+        if output_format == "versioned":
+            commit_version(spark, features, resp_path, RESPONDENT_KEYS, "wave")
+        elif output_format == "delta":
+            DeltaStore(spark, resp_path).upsert(features, RESPONDENT_KEYS, "wave")
+        elif replace == "table" and not incremental:
+            features.write.mode("overwrite").partitionBy("wave").parquet(resp_path)
         else:
-            metric_rows = spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
-        return RunSummary(mode, [], 0, 0, metric_rows)
-
-    # 3. Features and the respondent store.
-    features = add_features(clean.where(F.col("wave").isin(to_process)).select(*CANONICAL_COLUMNS),
-                            config, method=method)
-    features, clean_obs = _counted(features, "clean")
-    if output_format == "versioned":
-        commit_version(spark, features, resp_path, RESPONDENT_KEYS, "wave")
-    elif output_format == "delta":
-        DeltaStore(spark, resp_path).upsert(features, RESPONDENT_KEYS, "wave")
-    elif replace == "table" and not incremental:
-        features.write.mode("overwrite").partitionBy("wave").parquet(resp_path)
-    else:
-        write_partitioned(features, resp_path, "wave")
-    clean_rows = _rows(clean_obs, features)
-
-    # 4. Rejects: processed waves, waves with nothing but rejects, rows without a wave.
-    reject_waves = set(to_process) | (reject_waves_seen - set(available) - set(done))
-    rejects_new = rejects.where(F.col("wave").isin(sorted(reject_waves)) | F.col("wave").isNull())
-    rejects_new, reject_obs = _counted(rejects_new, "rejects")
-    write_partitioned(rejects_new, reject_path, "wave")
-    reject_rows = _rows(reject_obs, rejects_new)
-
-    # 5. Metrics over the whole store.
-    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format,
-                                  waves=to_process if incremental else None)
-    return RunSummary(mode, to_process, clean_rows, reject_rows, metric_rows)
+            write_partitioned(features, resp_path, "wave")
+        clean_rows = _rows(clean_obs, features)
+
+        # 5. Metrics.
+        metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format,
+                                      waves=to_process if incremental else None)
+        return RunSummary(mode, to_process, clean_rows, reject_rows, metric_rows)
+    finally:
+        # The staging copy is only needed during the run.
+        drop_path(spark, staged_path)
 
 
 def upsert_waves(

@@ -45,6 +45,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/trackframe-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a folder this library staged (Hadoop FileSystem of the path's scheme).
+
+    Returns False where the JVM file system is not reachable from Python
+    (e.g. Spark Connect); the folder then stays for the operator to clear.
+    """
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(conf).delete(p, True))
+    except Exception:  # noqa: BLE001 - best effort clean-up only
+        return False
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut lineage.
 

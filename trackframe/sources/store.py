@@ -25,15 +25,18 @@ def write_partitioned(
     partition_col: str | Sequence[str] = "wave",
     mode: str = "overwrite",
     *,
-    rebalance: bool = True,
+    rebalance: bool = False,
     max_records_per_file: int | None = 5_000_000,
 ) -> None:
     """Write parquet partitioned by ``partition_col``; overwrite replaces only the partitions written.
 
-    ``rebalance`` adds a REBALANCE on the partition columns before the write:
-    rows of one partition meet in few tasks (few, large files instead of one
-    small file per task per partition) while AQE splits a hot partition over
-    several tasks. ``max_records_per_file`` caps file size inside a task.
+    Input already clustered by the partition column (a scan of a partitioned
+    store or staging table) writes one file per task and partition without
+    any shuffle, so that is the default. For an arbitrary frame,
+    ``rebalance=True`` adds a REBALANCE on the partition columns first: rows
+    of one partition meet in few tasks (few large files instead of one small
+    file per task per partition) and AQE splits a hot partition over several
+    tasks, at the price of a shuffle. ``max_records_per_file`` caps file size.
     """
     cols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     if rebalance:
