@@ -60,8 +60,9 @@ def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), bas
     base = base or scratch_path(spark, "waves")
     raw = orders_tracker_raw(spark, sf_dir).withColumn("__true_wave", true_wave())
     # Three writes read the same rows: compute them once (recomputed from
-    # lineage if an executor holding them is lost).
-    raw = raw.where(F.col("__true_wave").isin(list(waves))).persist()
+    # lineage if an executor holding them is lost), spread by wave so each
+    # wave is written by its own task and lands in its own file.
+    raw = raw.where(F.col("__true_wave").isin(list(waves))).repartition(F.col("__true_wave")).persist()
     groups = [("legacy", [1], _legacy), ("renamed", [2, 3, 4], _renamed_wave), ("extra", [5, 6, 7], _extra_column)]
     try:
         for name, ws, shape in groups:
@@ -74,7 +75,7 @@ def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), bas
 
 
 def stage_canonical_waves(spark: SparkSession, sf_dir: str, waves, path: str) -> str:
-    """Write the dirty orders view with the canonical header, selected true waves only."""
+    """Write the dirty orders view with the canonical header, one file per selected true wave."""
     raw = orders_tracker_raw(spark, sf_dir)
-    write_csv(raw.where(true_wave().isin(list(waves))), path)
+    write_csv(raw.where(true_wave().isin(list(waves))).repartition(true_wave()), path)
     return path
