@@ -299,6 +299,13 @@ def q_ingest_rejects(spark, sf_dir):
     return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[1]
 
 
+@register("ingest_many_files", sql.clean(sql.DRIFT_TYPED))
+def q_ingest_many_files(spark, sf_dir):
+    """The drifted waves delivered as 64 files per header: one header job, three CSV scans."""
+    folder = stage_drifted_waves(spark, sf_dir, files_per_group=64)
+    return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[0]
+
+
 @register("only_waves", f"SELECT * FROM ({sql.clean(sql.DRIFT_TYPED)}) WHERE wave IN (2, 3, 4)")
 def q_only_waves(spark, sf_dir):
     folder = stage_drifted_waves(spark, sf_dir)

@@ -55,14 +55,20 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", "true").csv(path)
 
 
-def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), base: str | None = None) -> str:
-    """Write the dirty orders view as drifting CSV groups; returns the folder."""
+def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), base: str | None = None,
+                        files_per_group: int | None = None) -> str:
+    """Write the dirty orders view as drifting CSV groups; returns the folder.
+
+    By default each wave is one file; ``files_per_group`` instead splits the
+    rows round-robin so every header group is delivered as that many files.
+    """
     base = base or scratch_path(spark, "waves")
     raw = orders_tracker_raw(spark, sf_dir).withColumn("__true_wave", true_wave())
     # Three writes read the same rows: compute them once (recomputed from
     # lineage if an executor holding them is lost), spread by wave so each
     # wave is written by its own task and lands in its own file.
-    raw = raw.where(F.col("__true_wave").isin(list(waves))).repartition(F.col("__true_wave")).persist()
+    raw = raw.where(F.col("__true_wave").isin(list(waves)))
+    raw = (raw.repartition(files_per_group) if files_per_group else raw.repartition(F.col("__true_wave"))).persist()
     groups = [("legacy", [1], _legacy), ("renamed", [2, 3, 4], _renamed_wave), ("extra", [5, 6, 7], _extra_column)]
     try:
         for name, ws, shape in groups:
