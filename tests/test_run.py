@@ -188,3 +188,15 @@ def test_all_rejected_run_still_writes_rejects(spark, tmp_path):
     s = run_tracker(spark, TrackerConfig(), str(raw), out)
     assert (s.mode, s.waves_processed, s.clean_rows, s.reject_rows) == ("full", [], 0, 1)
     assert spark.read.parquet(output_paths(out)[2]).count() == 1
+
+
+def test_merge_frames_join_strategy(spark):
+    from trackframe.operators.upsert import merge_frames
+
+    t = spark.createDataFrame([(1, "a", 1), (1, "b", 1)], "wave int, respondent_id string, v int")
+    s = spark.createDataFrame([(1, "a", 2)], "wave int, respondent_id string, v int")
+    keys = ["wave", "respondent_id"]
+    small = merge_frames(t, s, keys, broadcast_keys=True)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in small.collect()) == [(1, "a", 2), (1, "b", 1)]
+    assert sorted(tuple(r) for r in merge_frames(t, s, keys).collect()) == [(1, "a", 2), (1, "b", 1)]

@@ -16,6 +16,7 @@ since it is idempotent).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -65,29 +66,53 @@ def check_duplicates(source: DataFrame, keys: Sequence[str], on_duplicate: str,
     raise ValueError("on_duplicate must be 'error', 'latest' or 'allow'")
 
 
-def stage_source(source: DataFrame, partition_col: str | None) -> tuple[DataFrame, list]:
-    """Compute the source once into the shared folder; return it with its partition values.
+# Source keys are broadcast to the anti join up to this many rows (a key is
+# a few tens of bytes, so the broadcast stays under ~100 MB).
+MERGE_BROADCAST_MAX_KEYS = 2_000_000
+
+
+@dataclass(frozen=True)
+class StagedSource:
+    """An upsert source computed once, with facts observed while computing it."""
+
+    frame: DataFrame
+    partitions: list
+    rows: int
+
+
+def stage_source(source: DataFrame, partition_col: str | None) -> StagedSource:
+    """Compute the source once into the shared folder, observing its partition values and size.
 
     An upsert reads its source several times (duplicate check, both sides of
     the merge); staging it keeps an expensive source plan from running more
-    than once. The partition values are observed during that same job.
+    than once. The row count also decides, without another job, whether the
+    source keys are small enough to broadcast.
     """
-    if partition_col is None:
-        return materialise(source), []
-    seen = Observation("touched")
-    staged = materialise(source.observe(seen, F.collect_set(F.col(partition_col)).alias("values"),
-                                        F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")))
+    seen = Observation("source")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if partition_col is not None:
+        metrics += [F.collect_set(F.col(partition_col)).alias("values"),
+                    F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")]
+    staged = materialise(source.observe(seen, *metrics))
     try:
         got = seen.get
-        values = sorted(got["values"]) + ([None] if got["nulls"] else [])
     except Exception:  # noqa: BLE001 - nothing observed: empty source
-        values = []
-    return staged, values
+        return StagedSource(staged, [], 0)
+    values = (sorted(got["values"]) + ([None] if got["nulls"] else [])) if partition_col is not None else []
+    return StagedSource(staged, values, int(got["rows"]))
+
 
+def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
+                 broadcast_keys: bool = False) -> DataFrame:
+    """Pure MERGE of two frames: target rows without a source match, then all source rows.
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pure MERGE of two frames: target rows without a source match, then all source rows."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    ``broadcast_keys`` (for a source of checked, small size) ships the source
+    keys to the target's tasks instead of shuffling the target by key.
+    """
+    source_keys = source.select(*keys)
+    if broadcast_keys:
+        source_keys = F.broadcast(source_keys)
+    kept = target.join(source_keys, list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
@@ -107,7 +132,8 @@ def merge_upsert(
     partitions. Duplicate source keys raise ``DuplicateKeyError`` unless
     ``on_duplicate`` is ``"latest"`` (greatest ``order_col`` wins) or ``"allow"``.
     """
-    source, touched = stage_source(source, partition_col)
+    staged = stage_source(source, partition_col)
+    source, touched = staged.frame, staged.partitions
     source = check_duplicates(source, keys, on_duplicate, order_col)
     if not touched:
         return []
@@ -119,6 +145,6 @@ def merge_upsert(
     if None in touched:
         in_touched = in_touched | F.col(partition_col).isNull()
     target = read_store(spark, path, source.columns).where(in_touched)
-    merged = materialise(merge_frames(target, source, keys))
-    write_partitioned(merged, path, partition_col)
+    merged = merge_frames(target, source, keys, broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS)
+    write_partitioned(materialise(merged), path, partition_col)
     return touched

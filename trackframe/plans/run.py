@@ -34,7 +34,7 @@ from trackframe.config import TrackerConfig
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON
 from trackframe.operators.features import add_features
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
-from trackframe.operators.upsert import merge_frames, stage_source
+from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, merge_frames, stage_source
 from trackframe.session import drop_path, materialise, scratch_path
 from trackframe.sources.delta_store import DeltaStore
 from trackframe.sources.ingest import ingest_tagged
@@ -243,13 +243,15 @@ def upsert_waves(
     Returns the touched waves.
     """
     config = config or TrackerConfig()
-    new_clean, touched = stage_source(new_clean.select(*CANONICAL_COLUMNS), "wave")
-    touched = [w for w in touched if w is not None]
+    staged = stage_source(new_clean.select(*CANONICAL_COLUMNS), "wave")
+    new_clean = staged.frame
+    touched = [w for w in staged.partitions if w is not None]
     if not touched:
         return []
     if store_exists(spark, resp_path):
         stored = read_store(spark, resp_path).where(F.col("wave").isin(touched)).select(*CANONICAL_COLUMNS)
-        merged = materialise(merge_frames(stored, new_clean, RESPONDENT_KEYS))
+        merged = materialise(merge_frames(stored, new_clean, RESPONDENT_KEYS,
+                                          broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS))
     else:
         merged = new_clean
     write_partitioned(add_features(merged, config, method=method), resp_path, "wave")
