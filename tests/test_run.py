@@ -200,3 +200,20 @@ def test_merge_frames_join_strategy(spark):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in small.collect()) == [(1, "a", 2), (1, "b", 1)]
     assert sorted(tuple(r) for r in merge_frames(t, s, keys).collect()) == [(1, "a", 2), (1, "b", 1)]
+
+
+def test_read_as_of_both_strategies(spark, tmp_path):
+    from trackframe.sources.versioned import commit_version
+
+    path = str(tmp_path / "v")
+    schema = "wave int, respondent_id string, v int"
+    commit_version(spark, spark.createDataFrame([(1, "a", 0), (1, "b", 0), (2, "c", 0)], schema), path)
+    commit_version(spark, spark.createDataFrame([(1, "a", 1), (3, "d", 1)], schema), path)
+    commit_version(spark, spark.createDataFrame([(1, "a", 2), (2, "c", 2)], schema), path)
+    expect = {0: {"a": 0, "b": 0, "c": 0}, 1: {"a": 1, "b": 0, "c": 0, "d": 1}, 2: {"a": 2, "b": 0, "c": 2, "d": 1}}
+    for bound in (0, 100):
+        for ver, want in expect.items():
+            got = read_as_of(spark, path, version=ver, column_order=["wave", "respondent_id", "v"],
+                             max_broadcast_rows=bound)
+            assert {r["respondent_id"]: r["v"] for r in got.collect()} == want
+            assert got.columns == ["wave", "respondent_id", "v"]

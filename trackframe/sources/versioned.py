@@ -6,8 +6,9 @@ commit is one append job and older versions stay readable. The table as of
 version ``v`` is, for every key, the row from the greatest version <= v
 (MERGE semantics: matched keys updated, new keys inserted, nothing deleted).
 
-The snapshot read is one hash aggregate on the keys (``max_by``, no sort).
-With a single version <= v it is a plain scan.
+The snapshot read broadcasts the keys of the later (small) commits against
+the first (bulk) version, so the bulk version is never shuffled; see
+``read_as_of``.
 """
 
 from __future__ import annotations
@@ -16,17 +17,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackframe.operators.upsert import check_duplicates, latest_per_key
+from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, check_duplicates, latest_per_key
 from trackframe.sources.store import RESPONDENT_COLUMNS, store_exists, write_partitioned
 
 VERSION_COL = "_version"
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed version numbers, ascending (empty if no store). Bounded by the commit count."""
+def version_sizes(spark: SparkSession, path: str) -> dict[int, int]:
+    """Rows written per committed version (empty if no store). Bounded by the commit count.
+
+    Counting by a partition column reads only parquet footers.
+    """
     if not store_exists(spark, path):
-        return []
-    return sorted(int(r[0]) for r in spark.read.parquet(path).select(VERSION_COL).distinct().collect())
+        return {}
+    rows = spark.read.parquet(path).groupBy(VERSION_COL).count().collect()
+    return {int(r[0]): int(r[1]) for r in rows}
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed version numbers, ascending (empty if no store)."""
+    return sorted(version_sizes(spark, path))
 
 
 def commit_version(
@@ -57,19 +67,41 @@ def read_as_of(
     keys: Sequence[str] = ("wave", "respondent_id"),
     version: int | None = None,
     column_order: Sequence[str] = RESPONDENT_COLUMNS,
+    *,
+    max_broadcast_rows: int = MERGE_BROADCAST_MAX_KEYS,
 ) -> DataFrame:
-    """The table as of ``version`` (latest when None), without the version column."""
-    known = versions(spark, path)
-    if not known:
+    """The table as of ``version`` (latest when None), without the version column.
+
+    The first version is usually the bulk load and later commits are small.
+    Then the snapshot is: first-version rows whose keys no later commit
+    (<= version) touches, found with an anti join against the broadcast keys
+    of those commits, plus the latest row per key among the later commits.
+    The first version is never shuffled. When the later commits are too big
+    to broadcast, one hash aggregate over all versions picks the latest row
+    per key instead.
+    """
+    sizes = version_sizes(spark, path)
+    if not sizes:
         raise FileNotFoundError(f"no versioned store at {path!r}")
+    known = sorted(sizes)
     v = known[-1] if version is None else version
     if v < known[0]:
         raise ValueError(f"version {v} predates the first version {known[0]}")
-    df = spark.read.parquet(path).where(F.col(VERSION_COL) <= v)
-    if sum(1 for k in known if k <= v) > 1:
-        df = latest_per_key(df, keys, VERSION_COL)
-    first = [c for c in column_order if c in df.columns]
-    return df.select(*first, *[c for c in df.columns if c not in first and c != VERSION_COL])
+    upto = [k for k in known if k <= v]
+    data = spark.read.parquet(path).where(F.col(VERSION_COL) <= v)
+    if len(upto) == 1:
+        df = data
+    elif sum(sizes[k] for k in upto[1:]) <= max_broadcast_rows:
+        first = data.where(F.col(VERSION_COL) == upto[0])
+        later = data.where(F.col(VERSION_COL) > upto[0])
+        if len(upto) > 2:
+            later = latest_per_key(later, keys, VERSION_COL)
+        kept = first.join(F.broadcast(later.select(*keys)), list(keys), "left_anti")
+        df = kept.unionByName(later)
+    else:
+        df = latest_per_key(data, keys, VERSION_COL)
+    first_cols = [c for c in column_order if c in df.columns]
+    return df.select(*first_cols, *[c for c in df.columns if c not in first_cols and c != VERSION_COL])
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str] = ("wave", "respondent_id")) -> DataFrame:
