@@ -217,3 +217,20 @@ def test_read_as_of_both_strategies(spark, tmp_path):
                              max_broadcast_rows=bound)
             assert {r["respondent_id"]: r["v"] for r in got.collect()} == want
             assert got.columns == ["wave", "respondent_id", "v"]
+
+
+def test_replace_table_drops_waves_gone_from_input(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write_wave(raw, 1)
+    w2 = write_wave(raw, 2)
+    run_tracker(spark, TrackerConfig(), str(raw), out)
+    os.remove(w2)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        run_tracker(spark, TrackerConfig(), str(raw), out)
+        assert existing_waves(spark, output_paths(out)[0]) == [1, 2]     # default: stale wave stays
+        run_tracker(spark, TrackerConfig(), str(raw), out, replace="table")
+        assert existing_waves(spark, output_paths(out)[0]) == [1]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")

@@ -213,7 +213,8 @@ def run_tracker(
         elif output_format == "delta":
             DeltaStore(spark, resp_path).upsert(features, RESPONDENT_KEYS, "wave")
         elif replace == "table" and not incremental:
-            features.write.mode("overwrite").partitionBy("wave").parquet(resp_path)
+            (features.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("wave").parquet(resp_path))
         else:
             write_partitioned(features, resp_path, "wave")
         clean_rows = _rows(clean_obs, features)
