@@ -13,11 +13,23 @@ threshold, and AQE re-plans either from runtime sizes.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# One resolved relation per (session, table): listing the files and reading the
+# footers costs ~0.1 s on the driver per read, and the test tables are read-only.
+_RELATIONS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver test table (read-only parquet), resolved once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _RELATIONS.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
