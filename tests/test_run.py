@@ -234,3 +234,18 @@ def test_replace_table_drops_waves_gone_from_input(spark, tmp_path):
         assert existing_waves(spark, output_paths(out)[0]) == [1]
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_header_edge_cases(spark, tmp_path):
+    from trackframe.sources.ingest import parse_header
+
+    assert parse_header('﻿"respondent_id", wave ,,wave\r') == ("respondent_id", "wave", "_c2", "wave_2")
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    with open(raw / "bom.csv", "wb") as fh:
+        fh.write('﻿respondent_id,"wave",nps_score\r\nA,1,9\r\nB,1,3\r\n'.encode("utf-8"))
+    with open(raw / "empty.csv", "w") as fh:
+        fh.write("")
+    clean, rejects = ingest_waves(spark, str(raw))
+    assert sorted((r["respondent_id"], r["wave"], r["nps_score"]) for r in clean.collect()) == [("A", 1, 9), ("B", 1, 3)]
+    assert rejects.count() == 0
