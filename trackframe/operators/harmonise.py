@@ -48,21 +48,23 @@ def harmonise(
     """Rename columns, trim key string columns and recode values, in one projection.
 
     Order per column: rename, then trim, then recode (the recode sees the
-    trimmed value). ``region_map`` is shorthand for ``recode_maps["region"]``.
-    With empty maps the frame comes back with the same columns and values.
+    trimmed value). Renames match names exactly; trims and recodes match the
+    renamed column trimmed and case-insensitively, as the contract does.
+    ``region_map`` is shorthand for ``recode_maps["region"]``. With empty maps
+    the frame comes back with the same columns and values.
     """
-    maps = {c: m for c, m in (recode_maps or {}).items() if m}
+    maps = {c.lower(): m for c, m in (recode_maps or {}).items() if m}
     if region_map:
         maps["region"] = {**maps.get("region", {}), **region_map}
-    trims = set(trim_columns)
+    trims = {c.lower() for c in trim_columns}
     new_names = resolve_renames(df.columns, rename_map)
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for old, new in zip(df.columns, new_names):
-        c = _ref(old)
-        if new in trims and isinstance(types[old], StringType):
+        c, key = _ref(old), new.strip().lower()
+        if key in trims and isinstance(types[old], StringType):
             c = F.trim(c)
-        if new in maps:
-            c = recode(c, maps[new])
+        if key in maps:
+            c = recode(c, maps[key])
         exprs.append(c.alias(new))
     return df.select(*exprs)
