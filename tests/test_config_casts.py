@@ -46,3 +46,14 @@ def test_keep_raw_keeps_original_text(spark):
     row = tag_rows(df, keep_raw=True).collect()[0]
     assert row["reject_reason"] == "nps_score out of range 0-10"
     assert row["raw"]["nps_score"] == "99" and row["raw"]["weight"] == "n/a"
+
+
+def test_from_yaml(tmp_path):
+    p = tmp_path / "tracker.yaml"
+    p.write_text("harmonise:\n  rename:\n    nps: nps_score\n  region:\n    N: North\n"
+                 "segment_cols: [region, age_group]\nmetrics:\n  top2box_min: 5\n")
+    cfg = TrackerConfig.from_yaml(str(p))
+    assert cfg.rename_map == {"nps": "nps_score"} and cfg.segment_cols == ("region", "age_group")
+    assert cfg.top2box_min == 5 and cfg.promoter_min == 9
+    (tmp_path / "empty.yaml").write_text("")
+    assert TrackerConfig.from_yaml(str(tmp_path / "empty.yaml")) == TrackerConfig()
