@@ -157,8 +157,8 @@ def test_keep_raw_across_header_groups_and_csv_options(spark, tmp_path):
         fh.write("wave;respondent_id;brand_used;weight\n2;C;X;-3\n")
     cfg = TrackerConfig(rename_map={"nps": "nps_score"})
     clean, rejects = ingest_waves(spark, str(raw), cfg, keep_raw=True, keep_source=True, csv_options={"sep": ";"})
-    got = sorted((r["respondent_id"], r["reject_reason"], r["raw"]["nps_score"], r["raw"]["weight"], r["source_file"])
-                 for r in rejects.collect())
+    got = sorted((r["respondent_id"], r["reject_reason"], r["raw"]["nps_score"], r["raw"]["weight"],
+                  os.path.basename(r["source_file"])) for r in rejects.collect())
     assert got == [("A", "nps_score out of range 0-10", "99", None, "a.csv"),
                    ("C", "weight not positive", None, "-3", "b.csv")]
     assert [r["respondent_id"] for r in clean.collect()] == ["B"]
@@ -249,3 +249,28 @@ def test_header_edge_cases(spark, tmp_path):
     clean, rejects = ingest_waves(spark, str(raw))
     assert sorted((r["respondent_id"], r["wave"], r["nps_score"]) for r in clean.collect()) == [("A", 1, 9), ("B", 1, 3)]
     assert rejects.count() == 0
+
+
+def test_incremental_reads_only_new_files_and_keeps_old_rejects(spark, tmp_path):
+    from trackframe.plans.run import manifest_path
+
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write_wave(raw, 1)
+    with open(raw / "bad1.csv", "w") as fh:
+        fh.write(HEADER + "X1,,2026-01-15,North,25-34,1.0,9,5,1,Crispa\n")
+    s1 = run_tracker(spark, TrackerConfig(), str(raw), out)
+    assert (s1.waves_processed, s1.reject_rows) == ([1], 1)
+    assert spark.read.parquet(manifest_path(out)).count() == 2
+    # New files only: the two already-ingested files are not read again.
+    write_wave(raw, 2)
+    with open(raw / "bad2.csv", "w") as fh:
+        fh.write(HEADER + "X2,,2026-02-15,North,25-34,1.0,9,5,1,Crispa\n")
+    s2 = run_tracker(spark, TrackerConfig(), str(raw), out, incremental=True)
+    assert (s2.waves_processed, s2.clean_rows, s2.reject_rows) == ([2], 4, 1)
+    rej = spark.read.parquet(output_paths(out)[2])
+    assert sorted(r["respondent_id"] for r in rej.collect()) == ["X1", "X2"]     # null-wave partition kept X1
+    s3 = run_tracker(spark, TrackerConfig(), str(raw), out, incremental=True)
+    assert (s3.waves_processed, s3.reject_rows, s3.metric_rows) == ([], 0, 2)
+    assert spark.read.parquet(manifest_path(out)).count() == 4
+    assert read_store(spark, output_paths(out)[0]).count() == 8

@@ -37,7 +37,7 @@ from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
 from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, merge_frames, stage_source
 from trackframe.session import drop_path, materialise, scratch_path
 from trackframe.sources.delta_store import DeltaStore
-from trackframe.sources.ingest import ingest_tagged
+from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, list_wave_files
 from trackframe.sources.store import (
     existing_waves,
     overwrite_table,
@@ -130,6 +130,43 @@ def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str,
     return _rows(obs, metrics)
 
 
+MANIFEST_KEYS = ["file_path", "file_size", "modified"]
+MANIFEST_SCHEMA = "file_path string, file_size bigint, modified timestamp"
+
+
+def manifest_path(output_dir: str) -> str:
+    """The list of raw files already ingested into ``output_dir`` (path, size, modification time)."""
+    return f"{output_dir.rstrip('/')}/_ingested_files"
+
+
+def write_rejects(spark: SparkSession, rejects: DataFrame, reject_path: str, replaced_files: list[str] | None) -> int:
+    """Write rejects into the wave-partitioned side output; returns the rows written.
+
+    With ``replaced_files`` (an incremental run that read only new files) the
+    rejects already stored in the touched partitions that came from *other*
+    files are kept: the touched partitions are rewritten as old rows of other
+    files + the new rejects, so the write stays idempotent per file.
+    """
+    rejects, obs = _counted(rejects, "rejects")
+    if replaced_files is not None and store_exists(spark, reject_path):
+        staged = stage_source(rejects, "wave")
+        if not staged.partitions:
+            return 0
+        values = [w for w in staged.partitions if w is not None]
+        touched = F.col("wave").isin(values)
+        if None in staged.partitions:
+            touched = touched | F.col("wave").isNull()
+        files = spark.createDataFrame([(f,) for f in replaced_files], f"{SOURCE_FILE} string")
+        stored = spark.read.parquet(reject_path).where(touched)
+        if SOURCE_FILE in stored.columns:
+            stored = stored.join(files, SOURCE_FILE, "left_anti")
+        merged = materialise(stored.unionByName(staged.frame.select(*stored.columns)))
+        write_partitioned(merged, reject_path, "wave")
+        return staged.rows
+    write_partitioned(rejects, reject_path, "wave")
+    return _rows(obs, rejects)
+
+
 def run_tracker(
     spark: SparkSession,
     config: TrackerConfig | None,
@@ -142,6 +179,7 @@ def run_tracker(
     recursive: bool = False,
     method: str = "broadcast",
     csv_options: dict | None = None,
+    track_files: bool = True,
 ) -> RunSummary:
     """Run the tracker over every wave file under ``input_path``.
 
@@ -150,6 +188,13 @@ def run_tracker(
     ``"delta"`` (MERGE into a Delta table; needs delta-spark).
     ``replace="table"`` makes a full parquet run drop stored waves that are
     no longer in the input; the default only replaces the waves it writes.
+
+    ``track_files`` keeps a manifest of ingested files (path, size,
+    modification time) next to the outputs: a full run records every file it
+    read, and an incremental run reads only files that are new or changed
+    since, instead of re-parsing the whole history to find new waves. Waves
+    come out the same, since every clean wave of an ingested file is stored
+    by the run that read it. Without it, every run reads every file.
     """
     if output_format not in FORMATS:
         raise ValueError(f"output_format must be one of {FORMATS}")
@@ -165,9 +210,25 @@ def run_tracker(
     # 1. One read of the raw files, staged as parquet. The distinct clean and
     #    reject waves are observed on the way (sets of wave numbers: bounded by
     #    the number of waves, merged from per-task partial sets).
+    files_path = manifest_path(output_dir)
+    listing = read_files = None
+    source, pattern, nested = input_path, "*.csv", recursive
+    if track_files:
+        listing = list_wave_files(spark, input_path, recursive=recursive)
+        if incremental and store_exists(spark, files_path) and store_exists(spark, resp_path):
+            fresh = listing.join(spark.read.parquet(files_path), MANIFEST_KEYS, "left_anti")
+        else:
+            fresh = listing
+        # File metadata only: one small row per file to read in this run.
+        read_files = fresh.collect()
+        if incremental and not read_files:
+            return RunSummary(mode, [], 0, 0, _stored_metric_rows(spark, metrics_path, output_format))
+        if incremental:
+            source, pattern, nested = [r["file_path"] for r in read_files], "", False
+
     staged_path = scratch_path(spark, "staged")
     try:
-        tagged = ingest_tagged(spark, input_path, config, recursive=recursive, keep_source=True,
+        tagged = ingest_tagged(spark, source, config, pattern=pattern, recursive=nested, keep_source=True,
                                csv_options=csv_options)
         waves_seen = Observation("waves")
         is_clean = F.col(REJECT_REASON).isNull()
@@ -192,17 +253,12 @@ def run_tracker(
         # 3. Rejects: processed waves, waves with nothing but rejects, rows without a wave.
         reject_waves = set(to_process) | (reject_waves_seen - set(available) - set(done))
         rejects_new = rejects.where(F.col("wave").isin(sorted(reject_waves)) | F.col("wave").isNull())
-        rejects_new, reject_obs = _counted(rejects_new, "rejects")
-        write_partitioned(rejects_new, reject_path, "wave")
-        reject_rows = _rows(reject_obs, rejects_new)
+        replaced = [r["file_path"] for r in read_files] if (incremental and read_files is not None) else None
+        reject_rows = write_rejects(spark, rejects_new, reject_path, replaced)
 
         if not to_process:
-            if output_format == "delta":
-                store = DeltaStore(spark, metrics_path)
-                metric_rows = store.snapshot().count() if store.exists() else 0
-            else:
-                metric_rows = spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
-            return RunSummary(mode, [], 0, reject_rows, metric_rows)
+            _record_files(spark, files_path, read_files, incremental)
+            return RunSummary(mode, [], 0, reject_rows, _stored_metric_rows(spark, metrics_path, output_format))
 
         # 4. Features and the respondent store.
         features = add_features(clean.where(F.col("wave").isin(to_process)).select(*CANONICAL_COLUMNS),
@@ -222,12 +278,28 @@ def run_tracker(
         # 5. Metrics.
         metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format,
                                       waves=to_process if incremental else None)
+        _record_files(spark, files_path, read_files, incremental)
         return RunSummary(mode, to_process, clean_rows, reject_rows, metric_rows)
     finally:
         # The staging copy is only needed during the run.
         drop_path(spark, staged_path)
 
 
+def _stored_metric_rows(spark: SparkSession, metrics_path: str, output_format: str) -> int:
+    if output_format == "delta":
+        store = DeltaStore(spark, metrics_path)
+        return store.snapshot().count() if store.exists() else 0
+    return spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
+
+
+def _record_files(spark: SparkSession, files_path: str, read_files, incremental: bool) -> None:
+    """After a successful run: add the files it read (incremental) or replace the list (full)."""
+    if read_files is None:
+        return
+    rows = spark.createDataFrame([tuple(r[k] for k in MANIFEST_KEYS) for r in read_files], MANIFEST_SCHEMA)
+    rows.write.mode("append" if incremental else "overwrite").parquet(files_path)
+
+
 def upsert_waves(
     spark: SparkSession,
     new_clean: DataFrame,

@@ -71,6 +71,21 @@ def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, p
     return first_split.groupBy("file_path").agg(F.min_by("value", "pos").alias("header"))
 
 
+def list_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
+                    recursive: bool = False) -> DataFrame:
+    """``(file_path, file_size, modified)`` of the matching files, from the listing alone.
+
+    The ``binaryFile`` source reads no content when ``content`` is not
+    selected, so this costs a directory listing, not a scan.
+    """
+    paths = [input_path] if isinstance(input_path, str) else list(input_path)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(paths).select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
+                                     F.col("modificationTime").alias("modified"))
+
+
 def parse_header(header: str, sep: str = ",", quote: str = '"') -> tuple[str, ...]:
     """Column names of a CSV header line: BOM removed, names trimmed, blanks and repeats made unique."""
     fields = next(csv.reader([header.lstrip("\ufeff").rstrip("\r")], delimiter=sep, quotechar=quote), [])
@@ -103,7 +118,7 @@ def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *,
 
 def read_header_group(spark: SparkSession, group: HeaderGroup,
                       csv_options: Mapping[str, str] | None = None) -> DataFrame:
-    """All files of one header as text columns, in that header's order, plus ``source_file``.
+    """All files of one header as text columns, in that header's order, plus ``source_file`` (its path).
 
     ``csv_options`` are passed to Spark's CSV reader (``sep``, ``quote``,
     ``encoding``, ``multiLine`` ...); header, schema enforcement and the
@@ -113,7 +128,7 @@ def read_header_group(spark: SparkSession, group: HeaderGroup,
     reader = spark.read.options(**{"mode": "PERMISSIVE", **dict(csv_options or {})})
     df = (reader.schema(schema).option("header", "true").option("enforceSchema", "true")
           .option("inferSchema", "false").csv(list(group.files)))
-    return df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def ingest_tagged(
@@ -173,6 +188,7 @@ __all__ = [
     "group_files_by_header",
     "ingest_tagged",
     "ingest_waves",
+    "list_wave_files",
     "parse_header",
     "read_header_group",
     "wave_file_headers",
