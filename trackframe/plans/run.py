@@ -2,6 +2,9 @@
 
 Flow of one run, and its Spark jobs:
 
+0. with file tracking, a content-free listing of the input files; an
+   incremental run keeps only files missing from the manifest of ingested
+   files (path, size, modification time) written by earlier runs;
 1. header sniff (one job) and one tagged read of the raw CSVs, *staged once*
    as parquet partitioned by wave under the shared folder, so later steps
    read only the columns and the waves they need instead of re-parsing the
@@ -20,8 +23,9 @@ Flow of one run, and its Spark jobs:
    the others (exact, since every aggregate and feature is within one wave),
    then recomputes change and rank on the waves x segments table.
 
-Incremental runs process waves not yet stored; late rows for a stored wave
-wait for a full run or for an upsert (``upsert_waves``).
+Incremental runs process waves not yet stored, from files not yet ingested;
+late rows for a stored wave wait for a full run or for an upsert
+(``upsert_waves``).
 """
 
 from __future__ import annotations
@@ -207,9 +211,8 @@ def run_tracker(
     mode = "incremental" if incremental else "full"
     resp_path, metrics_path, reject_path = output_paths(output_dir)
 
-    # 1. One read of the raw files, staged as parquet. The distinct clean and
-    #    reject waves are observed on the way (sets of wave numbers: bounded by
-    #    the number of waves, merged from per-task partial sets).
+    # 0. Which files to read: all of them, or (incremental, tracked) the files
+    #    not in the manifest of an earlier run.
     files_path = manifest_path(output_dir)
     listing = read_files = None
     source, pattern, nested = input_path, "*.csv", recursive
@@ -226,6 +229,9 @@ def run_tracker(
         if incremental:
             source, pattern, nested = [r["file_path"] for r in read_files], "", False
 
+    # 1. One read of the raw files, staged as parquet. The distinct clean and
+    #    reject waves are observed on the way (sets of wave numbers: bounded by
+    #    the number of waves, merged from per-task partial sets).
     staged_path = scratch_path(spark, "staged")
     try:
         tagged = ingest_tagged(spark, source, config, pattern=pattern, recursive=nested, keep_source=True,
