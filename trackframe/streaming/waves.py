@@ -15,8 +15,9 @@ those files:
 Every step is idempotent per batch, so the at-least-once replay of
 ``foreachBatch`` after a failure leaves the same tables. The checkpoint
 (default ``<output_dir>/_checkpoint``) makes a second run skip files it has
-already seen. The file-discovery stream reads each new file once as text in
-addition to the CSV read of the batch.
+already seen. The discovery stream only lists files (a ``binaryFile``
+stream that never selects the content), so each landing file is read once,
+by the batch's CSV scan.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ from trackframe.sources.ingest import ingest_tagged
 from trackframe.sources.store import write_partitioned
 
 
+# The fixed schema of the binaryFile source (streams must be given one).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def process_files(spark: SparkSession, paths: list[str], output_dir: str, config: TrackerConfig,
                   batch_id: int) -> None:
     """Apply one batch of newly landed wave files to the output tables."""
@@ -55,10 +60,12 @@ def stream_waves(
 ) -> StreamingQuery:
     """Start the landing-folder stream; ``input_glob`` selects the files (e.g. ``dir/*.csv``)."""
     config = config or TrackerConfig()
-    reader = spark.readStream.format("text")
+    # A binaryFile stream that selects only ``path`` lists new files without
+    # reading their content; the batch then reads them once, as CSV.
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(input_glob).select(F.col("_metadata.file_path").alias("file_path"))
+    files = reader.load(input_glob).select(F.col("path").alias("file_path"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         # The distinct files of one micro-batch: bounded by maxFilesPerTrigger.
