@@ -274,3 +274,19 @@ def test_incremental_reads_only_new_files_and_keeps_old_rejects(spark, tmp_path)
     assert (s3.waves_processed, s3.reject_rows, s3.metric_rows) == ([], 0, 2)
     assert spark.read.parquet(manifest_path(out)).count() == 4
     assert read_store(spark, output_paths(out)[0]).count() == 8
+
+
+def test_upsert_leaves_no_staged_copies(spark, tmp_path):
+    import glob
+
+    from trackframe.session import shared_dir
+
+    root = shared_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/trackframe-source-*") + glob.glob(f"{root}/trackframe-merged-*"))
+    path = str(tmp_path / "store")
+    schema = "wave int, respondent_id string, v int"
+    merge_upsert(spark, spark.createDataFrame([(1, "a", 1)], schema), path)
+    merge_upsert(spark, spark.createDataFrame([(1, "a", 2), (2, "b", 2)], schema), path)
+    after = set(glob.glob(f"{root}/trackframe-source-*") + glob.glob(f"{root}/trackframe-merged-*"))
+    assert after == before
+    assert spark.read.parquet(path).count() == 2

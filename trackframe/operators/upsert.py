@@ -5,9 +5,10 @@ it; other source rows are inserted; target rows the source does not mention
 stay. Nulls never match, so a row with a null key is always inserted.
 
 Only the partitions the source touches are read and rewritten. The merged
-rows are checkpointed to the shared folder before the write, so the write
-never reads the files it replaces, and a lost executor is recomputed from the
-checkpoint instead of from a half-overwritten store. Between partitions the
+rows are staged as parquet in the shared folder before the write, so the
+write never reads the files it replaces, and a lost executor is recomputed
+from the staged copy instead of from a half-overwritten store; the copy is
+deleted once the write has committed. Between partitions the
 swap is not atomic: a driver crash during the final commit can leave some
 touched partitions replaced and others not (re-running the upsert repairs it,
 since it is idempotent).
@@ -15,12 +16,13 @@ since it is idempotent).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from trackframe.session import materialise
+from trackframe.session import staged_copy
 from trackframe.sources.store import read_store, store_exists, write_partitioned
 
 
@@ -80,26 +82,29 @@ class StagedSource:
     rows: int
 
 
-def stage_source(source: DataFrame, partition_col: str | None) -> StagedSource:
+@contextmanager
+def stage_source(source: DataFrame, partition_col: str | None) -> Iterator[StagedSource]:
     """Compute the source once into the shared folder, observing its partition values and size.
 
     An upsert reads its source several times (duplicate check, both sides of
     the merge); staging it keeps an expensive source plan from running more
     than once. The row count also decides, without another job, whether the
-    source keys are small enough to broadcast.
+    source keys are small enough to broadcast. The staged copy is deleted
+    when the ``with`` block ends.
     """
     seen = Observation("source")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if partition_col is not None:
         metrics += [F.collect_set(F.col(partition_col)).alias("values"),
                     F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")]
-    staged = materialise(source.observe(seen, *metrics))
-    try:
-        got = seen.get
-    except Exception:  # noqa: BLE001 - nothing observed: empty source
-        return StagedSource(staged, [], 0)
-    values = (sorted(got["values"]) + ([None] if got["nulls"] else [])) if partition_col is not None else []
-    return StagedSource(staged, values, int(got["rows"]))
+    with staged_copy(source.observe(seen, *metrics), "source") as frame:
+        try:
+            got = seen.get
+        except Exception:  # noqa: BLE001 - nothing observed: empty source
+            yield StagedSource(frame, [], 0)
+            return
+        values = (sorted(got["values"]) + ([None] if got["nulls"] else [])) if partition_col is not None else []
+        yield StagedSource(frame, values, int(got["rows"]))
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
@@ -132,19 +137,21 @@ def merge_upsert(
     partitions. Duplicate source keys raise ``DuplicateKeyError`` unless
     ``on_duplicate`` is ``"latest"`` (greatest ``order_col`` wins) or ``"allow"``.
     """
-    staged = stage_source(source, partition_col)
-    source, touched = staged.frame, staged.partitions
-    source = check_duplicates(source, keys, on_duplicate, order_col)
-    if not touched:
-        return []
-    if not store_exists(spark, path):
-        write_partitioned(source, path, partition_col)
+    with stage_source(source, partition_col) as staged:
+        source, touched = staged.frame, staged.partitions
+        source = check_duplicates(source, keys, on_duplicate, order_col)
+        if not touched:
+            return []
+        if not store_exists(spark, path):
+            write_partitioned(source, path, partition_col)
+            return touched
+        values = [v for v in touched if v is not None]
+        in_touched = F.col(partition_col).isin(values)
+        if None in touched:
+            in_touched = in_touched | F.col(partition_col).isNull()
+        target = read_store(spark, path, source.columns).where(in_touched)
+        merged = merge_frames(target, source, keys, broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS)
+        # Staged before the overwrite: the write must not read the files it replaces.
+        with staged_copy(merged, "merged") as merged_copy:
+            write_partitioned(merged_copy, path, partition_col)
         return touched
-    values = [v for v in touched if v is not None]
-    in_touched = F.col(partition_col).isin(values)
-    if None in touched:
-        in_touched = in_touched | F.col(partition_col).isNull()
-    target = read_store(spark, path, source.columns).where(in_touched)
-    merged = merge_frames(target, source, keys, broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS)
-    write_partitioned(materialise(merged), path, partition_col)
-    return touched

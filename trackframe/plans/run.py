@@ -39,7 +39,7 @@ from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON
 from trackframe.operators.features import add_features
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
 from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, merge_frames, stage_source
-from trackframe.session import drop_path, materialise, scratch_path
+from trackframe.session import drop_path, materialise, scratch_path, staged_copy
 from trackframe.sources.delta_store import DeltaStore
 from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, list_wave_files
 from trackframe.sources.store import (
@@ -151,22 +151,22 @@ def write_rejects(spark: SparkSession, rejects: DataFrame, reject_path: str, rep
     files are kept: the touched partitions are rewritten as old rows of other
     files + the new rejects, so the write stays idempotent per file.
     """
-    rejects, obs = _counted(rejects, "rejects")
     if replaced_files is not None and store_exists(spark, reject_path):
-        staged = stage_source(rejects, "wave")
-        if not staged.partitions:
-            return 0
-        values = [w for w in staged.partitions if w is not None]
-        touched = F.col("wave").isin(values)
-        if None in staged.partitions:
-            touched = touched | F.col("wave").isNull()
-        files = spark.createDataFrame([(f,) for f in replaced_files], f"{SOURCE_FILE} string")
-        stored = spark.read.parquet(reject_path).where(touched)
-        if SOURCE_FILE in stored.columns:
-            stored = stored.join(files, SOURCE_FILE, "left_anti")
-        merged = materialise(stored.unionByName(staged.frame.select(*stored.columns)))
-        write_partitioned(merged, reject_path, "wave")
-        return staged.rows
+        with stage_source(rejects, "wave") as staged:
+            if not staged.partitions:
+                return 0
+            values = [w for w in staged.partitions if w is not None]
+            touched = F.col("wave").isin(values)
+            if None in staged.partitions:
+                touched = touched | F.col("wave").isNull()
+            files = spark.createDataFrame([(f,) for f in replaced_files], f"{SOURCE_FILE} string")
+            stored = spark.read.parquet(reject_path).where(touched)
+            if SOURCE_FILE in stored.columns:
+                stored = stored.join(files, SOURCE_FILE, "left_anti")
+            with staged_copy(stored.unionByName(staged.frame.select(*stored.columns)), "rejects") as merged:
+                write_partitioned(merged, reject_path, "wave")
+            return staged.rows
+    rejects, obs = _counted(rejects, "rejects")
     write_partitioned(rejects, reject_path, "wave")
     return _rows(obs, rejects)
 
@@ -322,19 +322,20 @@ def upsert_waves(
     Returns the touched waves.
     """
     config = config or TrackerConfig()
-    staged = stage_source(new_clean.select(*CANONICAL_COLUMNS), "wave")
-    new_clean = staged.frame
-    touched = [w for w in staged.partitions if w is not None]
-    if not touched:
-        return []
-    if store_exists(spark, resp_path):
+    with stage_source(new_clean.select(*CANONICAL_COLUMNS), "wave") as staged:
+        touched = [w for w in staged.partitions if w is not None]
+        if not touched:
+            return []
+        if not store_exists(spark, resp_path):
+            write_partitioned(add_features(staged.frame, config, method=method), resp_path, "wave")
+            return touched
         stored = read_store(spark, resp_path).where(F.col("wave").isin(touched)).select(*CANONICAL_COLUMNS)
-        merged = materialise(merge_frames(stored, new_clean, RESPONDENT_KEYS,
-                                          broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS))
-    else:
-        merged = new_clean
-    write_partitioned(add_features(merged, config, method=method), resp_path, "wave")
-    return touched
+        merged = merge_frames(stored, staged.frame, RESPONDENT_KEYS,
+                              broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS)
+        # Staged before the overwrite: the write must not read the files it replaces.
+        with staged_copy(merged, "merged") as merged_copy:
+            write_partitioned(add_features(merged_copy, config, method=method), resp_path, "wave")
+        return touched
 
 
 __all__ = ["RunSummary", "output_paths", "read_respondents", "refresh_metrics", "run_tracker", "upsert_waves"]

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -59,8 +61,26 @@ def drop_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+@contextmanager
+def staged_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Write ``df`` once as parquet under the shared folder; yield a frame over it; delete it on exit.
+
+    For large intermediate results that must not be recomputed (or must not
+    read files that are about to be replaced): parquet is columnar and
+    compressed, survives executor loss like a checkpoint, and is removed as
+    soon as the caller's write has committed.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        drop_path(spark, path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut lineage.
+    """Compute ``df`` once into the shared checkpoint folder and cut lineage (small results).
 
     A reliable checkpoint survives the loss of the executors that computed it.
     """
