@@ -74,7 +74,7 @@ def staged_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     try:
-        yield spark.read.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
         drop_path(spark, path)
 
