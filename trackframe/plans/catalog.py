@@ -17,11 +17,11 @@ from trackframe.functions.expressions import net_score, weighted_share
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON, enforce_contract, tag_rows
 from trackframe.operators.features import add_features, normalise_weights
 from trackframe.operators.harmonise import harmonise
-from trackframe.operators.metrics import wave_metrics
+from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
 from trackframe.operators.upsert import duplicate_keys, latest_per_key, merge_upsert
 from trackframe.plans import oracle as sql
 from trackframe.plans.fixtures import DRIFT_CONFIG, REGION_CODES, stage_canonical_waves, stage_drifted_waves
-from trackframe.plans.run import output_paths, run_tracker
+from trackframe.plans.run import output_paths, run_tracker, upsert_waves
 from trackframe.plans.views import document_flags, events_tracker, orders_tracker, orders_tracker_raw, table
 from trackframe.session import scratch_path
 from trackframe.sources.ingest import ingest_waves
@@ -432,6 +432,25 @@ def q_merge_idempotent(spark, sf_dir):
     return read_store(spark, path, CANONICAL_COLUMNS)
 
 
+@register("upsert_waves_features", f"SELECT {sql.FEATURE_OUT} FROM ({sql.features(_MERGED)})")
+def q_upsert_waves_features(spark, sf_dir):
+    """Late and corrected rows merged by key; weight norms recomputed over each whole touched wave."""
+    base, source = _upsert_frames(spark, sf_dir)
+    path = scratch_path(spark, "store")
+    upsert_waves(spark, base, path)
+    upsert_waves(spark, source, path)
+    return _features_out(read_store(spark, path))
+
+
+@register("metrics_refresh", sql.metrics(FEATURES, ["region"]))
+def q_metrics_refresh(spark, sf_dir):
+    """Metrics of waves 1-5, then waves 6-7 re-aggregated alone and combined: equals a full recompute."""
+    respondents = add_features(orders_tracker(spark, sf_dir))
+    path = scratch_path(spark, "metrics")
+    wave_metrics(respondents.where("wave <= 5")).write.parquet(path)
+    return refresh_wave_metrics(spark.read.parquet(path), respondents, [6, 7])
+
+
 def _versioned(spark, sf_dir):
     base, source = _upsert_frames(spark, sf_dir)
     path = scratch_path(spark, "versions")
