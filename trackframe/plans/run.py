@@ -140,7 +140,7 @@ MANIFEST_SCHEMA = "file_path string, file_size bigint, modified timestamp"
 
 def manifest_path(output_dir: str) -> str:
     """The list of raw files already ingested into ``output_dir`` (path, size, modification time)."""
-    return f"{output_dir.rstrip('/')}/_ingested_files"
+    return f"{output_dir.rstrip('/')}/ingested_files"
 
 
 def write_rejects(spark: SparkSession, rejects: DataFrame, reject_path: str, replaced_files: list[str] | None) -> int:

@@ -47,6 +47,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/trackframe-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True if ``path`` exists (Hadoop FileSystem of its scheme).
+
+    Where the JVM file system is not reachable from Python (Spark Connect)
+    this answers True and callers fall back to trying a read.
+    """
+    try:
+        p, fs = _hadoop_path(spark, path)
+        return bool(fs.exists(p))
+    except Exception:  # noqa: BLE001
+        return True
+
+
 def drop_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a folder this library staged (Hadoop FileSystem of the path's scheme).
 
@@ -54,9 +73,8 @@ def drop_path(spark: SparkSession, path: str) -> bool:
     (e.g. Spark Connect); the folder then stays for the operator to clear.
     """
     try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(conf).delete(p, True))
+        p, fs = _hadoop_path(spark, path)
+        return bool(fs.delete(p, True))
     except Exception:  # noqa: BLE001 - best effort clean-up only
         return False
 

@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.operators.contract import CANONICAL_COLUMNS
+from trackframe.session import path_exists
 
 FEATURE_COLUMNS = ["weight_norm", "nps_segment", "top2box"]
 RESPONDENT_COLUMNS = CANONICAL_COLUMNS + FEATURE_COLUMNS
@@ -54,6 +55,8 @@ def overwrite_table(df: DataFrame, path: str) -> None:
 
 def store_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable parquet dataset."""
+    if not path_exists(spark, path):
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018 - file listing + footer only
         return True
