@@ -8,10 +8,13 @@ Only the partitions the source touches are read and rewritten. The merged
 rows are staged as parquet in the shared folder before the write, so the
 write never reads the files it replaces, and a lost executor is recomputed
 from the staged copy instead of from a half-overwritten store; the copy is
-deleted once the write has committed. Between partitions the
-swap is not atomic: a driver crash during the final commit can leave some
-touched partitions replaced and others not (re-running the upsert repairs it,
-since it is idempotent).
+deleted once the write has committed. A failed job leaves the store
+untouched (nothing is committed). The commit itself is not atomic: Spark's
+dynamic overwrite deletes and then renames each touched partition, so a
+driver crash inside that window can leave a partition without its old rows;
+the staged merged copy stays in the shared folder in that case (the clean-up
+never ran) and holds the full intended content. The versioned store, which
+only appends, has no such window.
 """
 
 from __future__ import annotations
