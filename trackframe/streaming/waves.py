@@ -37,10 +37,10 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 
 def process_files(spark: SparkSession, paths: list[str], output_dir: str, config: TrackerConfig,
-                  batch_id: int) -> None:
+                  batch_id: int, csv_options: dict | None = None) -> None:
     """Apply one batch of newly landed wave files to the output tables."""
     resp_path, metrics_path, reject_path = output_paths(output_dir)
-    tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True)
+    tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options)
     clean = tagged.where(F.col(REJECT_REASON).isNull())
     rejects = tagged.where(F.col(REJECT_REASON).isNotNull()).withColumn("_batch", F.lit(batch_id))
     touched = upsert_waves(spark, clean, resp_path, config)
@@ -57,6 +57,7 @@ def stream_waves(
     checkpoint_location: str | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    csv_options: dict | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder stream; ``input_glob`` selects the files (e.g. ``dir/*.csv``)."""
     config = config or TrackerConfig()
@@ -71,7 +72,7 @@ def stream_waves(
         # The distinct files of one micro-batch: bounded by maxFilesPerTrigger.
         paths = sorted(r[0] for r in batch.distinct().collect())
         if paths:
-            process_files(batch.sparkSession, paths, output_dir, config, batch_id)
+            process_files(batch.sparkSession, paths, output_dir, config, batch_id, csv_options)
 
     writer = (files.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_location or f"{output_dir.rstrip('/')}/_checkpoint"))
