@@ -51,6 +51,11 @@ def normalise_weights(
     ``method="broadcast"`` (default) runs one small job that materialises the
     per-wave means; ``method="window"`` is the lazy single-window form, kept
     as the reference twin and for small inputs.
+
+    The means job reads only the wave and weight columns of ``df``, but it
+    evaluates ``df``'s plan, as the later job does: give it a scan of stored
+    or staged data (as ``run_tracker`` does), not an expensive join, when the
+    input is large.
     """
     if method == "window":
         mean = F.avg(weight_col).over(Window.partitionBy(wave_col))
