@@ -17,7 +17,7 @@ from trackframe.operators.contract import (
 )
 from trackframe.operators.features import add_features, normalise_weights
 from trackframe.operators.harmonise import harmonise
-from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
+from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics, wave_metrics_direct
 from trackframe.operators.upsert import DuplicateKeyError, latest_per_key, merge_upsert
 from trackframe.plans.run import RunSummary, run_tracker, upsert_waves
 from trackframe.sources.delta_store import DeltaStore
@@ -70,5 +70,6 @@ __all__ = [
     "versions",
     "wave_file_headers",
     "wave_metrics",
+    "wave_metrics_direct",
     "write_partitioned",
 ]

@@ -17,7 +17,7 @@ from trackframe.functions.expressions import net_score, weighted_share
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON, enforce_contract, tag_rows
 from trackframe.operators.features import add_features, normalise_weights
 from trackframe.operators.harmonise import harmonise
-from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
+from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics, wave_metrics_direct
 from trackframe.operators.upsert import duplicate_keys, latest_per_key, merge_upsert
 from trackframe.plans import oracle as sql
 from trackframe.plans.fixtures import DRIFT_CONFIG, REGION_CODES, stage_canonical_waves, stage_drifted_waves
@@ -54,18 +54,33 @@ def _features_out(df: DataFrame) -> DataFrame:
     return df.select(*CANONICAL_COLUMNS, F.round("weight_norm", 6).alias("weight_norm"), "nps_segment", "top2box")
 
 
-def _metrics(spark, sf_dir, cfg=CFG, method="broadcast") -> DataFrame:
-    return wave_metrics(add_features(orders_tracker(spark, sf_dir), cfg, method=method), cfg)
+def _metrics(spark, sf_dir, cfg=CFG, method="direct") -> DataFrame:
+    """Tracker metrics over the orders adapter.
+
+    ``direct``: one aggregation pass over raw weights (``wave_metrics_direct``);
+    ``broadcast`` / ``window``: row-level features first (``add_features``),
+    with the per-wave means broadcast back or taken in a wave window.
+    """
+    tracker = orders_tracker(spark, sf_dir)
+    if method == "direct":
+        return wave_metrics_direct(tracker, cfg)
+    return wave_metrics(add_features(tracker, cfg, method=method), cfg)
 
 
 # ---------------------------------------------------------------- metrics
 
 @register("wave_metrics", sql.metrics(FEATURES, ["region"]))
 def q_wave_metrics(spark, sf_dir):
-    """Flagship: weighted NPS / top-box / awareness by wave x region, with delta and rank."""
+    """Flagship: weighted NPS / top-box / awareness by wave x region, with delta and rank, in one pass."""
     return _metrics(spark, sf_dir)
 
 
+@register("wave_metrics_features", sql.metrics(FEATURES, ["region"]))
+def q_wave_metrics_features(spark, sf_dir):
+    """The flagship through row-level features (per-wave means broadcast back), as stored respondents have them."""
+    return _metrics(spark, sf_dir, method="broadcast")
+
+
 @register("wave_metrics_window_norm", sql.metrics(FEATURES, ["region"]))
 def q_wave_metrics_window_norm(spark, sf_dir):
     """The flagship with the single-window weight normalisation (reference plan shape)."""
@@ -105,15 +120,14 @@ def q_wave_metrics_zero_fill(spark, sf_dir):
 @register("wave_metrics_events", sql.metrics(sql.features(sql.EVENTS_TRACKER), ["event_type"]))
 def q_wave_metrics_events(spark, sf_dir):
     """Events as a 30-wave tracker (day of month), segmented by event type."""
-    cfg = CFG.with_segments("event_type")
-    return wave_metrics(add_features(events_tracker(spark, sf_dir), cfg), cfg)
+    return wave_metrics_direct(events_tracker(spark, sf_dir), CFG.with_segments("event_type"))
 
 
 @register("wave_metrics_from_raw", sql.metrics(CLEAN_FEATURES, ["region"]))
 def q_wave_metrics_from_raw(spark, sf_dir):
     """Dirty text rows -> contract -> features -> metrics, without files."""
     clean, _ = enforce_contract(orders_tracker_raw(spark, sf_dir))
-    return wave_metrics(add_features(clean), CFG)
+    return wave_metrics_direct(clean, CFG)
 
 
 @register("metrics_report", f"SELECT {', '.join(P5)} FROM ({sql.metrics(FEATURES, ['region'])}) "
@@ -158,7 +172,7 @@ _GAP = f"SELECT * FROM ({TRACKER}) WHERE NOT (wave = 4 AND region = 'ASIA')"
 
 def _gap_metrics(spark, sf_dir, cfg):
     t = orders_tracker(spark, sf_dir).where(~((F.col("wave") == 4) & (F.col("region") == "ASIA")))
-    return wave_metrics(add_features(t, cfg), cfg).select("wave", "region", "nps", "nps_delta")
+    return wave_metrics_direct(t, cfg).select("wave", "region", "nps", "nps_delta")
 
 
 @register("nps_delta_gap", f"SELECT wave, region, nps, nps_delta FROM ({sql.metrics(sql.features(_GAP), ['region'])})")
