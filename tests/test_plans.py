@@ -57,3 +57,9 @@ def test_snapshot_read_does_not_shuffle_the_bulk_version(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "LeftAnti" in plan and "BroadcastExchange" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_flagship_is_one_aggregation_pass(spark):
+    plan = plan_of(entry.queries()["wave_metrics"](spark, SF))
+    assert "ExistingRDD" not in plan                    # no materialised per-wave lookup
+    assert plan.count("partial_count") == 1 or plan.count("HashAggregate") == 2
