@@ -290,3 +290,23 @@ def test_upsert_leaves_no_staged_copies(spark, tmp_path):
     after = set(glob.glob(f"{root}/trackframe-source-*") + glob.glob(f"{root}/trackframe-merged-*"))
     assert after == before
     assert spark.read.parquet(path).count() == 2
+
+
+def test_multi_split_files_keep_header_and_every_row(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    with open(raw / "big.csv", "w") as fh:
+        fh.write("wave,nps_score,respondent_id,region\n")
+        for i in range(6000):
+            fh.write(f"{1 + i % 3},{i % 11},R{i:05d},North\n")
+    with open(raw / "other.csv", "w") as fh:
+        fh.write("respondent_id,wave\nZ1,4\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        clean, rejects = ingest_waves(spark, str(raw))
+        got = clean.groupBy("wave").count().collect()
+        assert {r["wave"]: r["count"] for r in got} == {1: 2000, 2: 2000, 3: 2000, 4: 1}
+        assert clean.select("respondent_id").distinct().count() == 6001
+        assert rejects.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
