@@ -63,7 +63,8 @@ class Contract:
         return [f.name for f in self.schema.fields]
 
 
-# Rule order and reject reasons.
+# Rule order and reject reasons. The required-key checks come
+# first and read "missing respondent_id" and "missing wave".
 DEFAULT_RULES: tuple[Rule, ...] = (
     Rule("nps_score", lambda c: c.between(0, 10), "nps_score out of range 0-10"),
     Rule("satisfaction", lambda c: c.between(1, 5), "satisfaction out of range 1-5"),
