@@ -79,6 +79,9 @@ def read_as_of(
     The first version is never shuffled. When the later commits are too big
     to broadcast, one hash aggregate over all versions picks the latest row
     per key instead.
+
+    Keys are expected non-null (the contract rejects rows without a
+    respondent id or wave); rows sharing a null key would count as one key.
     """
     sizes = version_sizes(spark, path)
     if not sizes:
