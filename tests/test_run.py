@@ -310,3 +310,30 @@ def test_multi_split_files_keep_header_and_every_row(spark, tmp_path):
         assert rejects.count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_full_rerun_reuses_recorded_headers(spark, tmp_path, monkeypatch):
+    import time as _time
+
+    import trackframe.sources.ingest as ingest_mod
+
+    sniffed = []
+    real = ingest_mod.wave_file_headers
+
+    def counting(spark_, paths, **kw):
+        sniffed.append(sorted(os.path.basename(p) for p in paths))
+        return real(spark_, paths, **kw)
+
+    monkeypatch.setattr(ingest_mod, "wave_file_headers", counting)
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write_wave(raw, 1)
+    write_wave(raw, 2)
+    run_tracker(spark, TrackerConfig(), str(raw), out)
+    assert sniffed == [["wave_01.csv", "wave_02.csv"]]
+    s = run_tracker(spark, TrackerConfig(), str(raw), out)
+    assert sniffed == [["wave_01.csv", "wave_02.csv"]] and s.clean_rows == 8     # no header job
+    _time.sleep(1.1)
+    write_wave(raw, 2, n=6)                                                       # changed file
+    s = run_tracker(spark, TrackerConfig(), str(raw), out)
+    assert sniffed[-1] == ["wave_02.csv"] and s.clean_rows == 10

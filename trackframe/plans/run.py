@@ -31,6 +31,7 @@ late rows for a stored wave wait for a full run or for an upsert
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -41,7 +42,7 @@ from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
 from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, merge_frames, stage_source
 from trackframe.session import drop_path, materialise, scratch_path, staged_copy
 from trackframe.sources.delta_store import DeltaStore
-from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, list_wave_files
+from trackframe.sources.ingest import SOURCE_FILE, header_groups, ingest_tagged, list_wave_files
 from trackframe.sources.store import (
     existing_waves,
     overwrite_table,
@@ -135,7 +136,7 @@ def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str,
 
 
 MANIFEST_KEYS = ["file_path", "file_size", "modified"]
-MANIFEST_SCHEMA = "file_path string, file_size bigint, modified timestamp"
+MANIFEST_SCHEMA = "file_path string, file_size bigint, modified timestamp, header string"
 
 
 def manifest_path(output_dir: str) -> str:
@@ -214,20 +215,27 @@ def run_tracker(
     # 0. Which files to read: all of them, or (incremental, tracked) the files
     #    not in the manifest of an earlier run.
     files_path = manifest_path(output_dir)
-    listing = read_files = None
+    read_files = groups = None
     source, pattern, nested = input_path, "*.csv", recursive
     if track_files:
         listing = list_wave_files(spark, input_path, recursive=recursive)
-        if incremental and store_exists(spark, files_path) and store_exists(spark, resp_path):
-            fresh = listing.join(spark.read.parquet(files_path), MANIFEST_KEYS, "left_anti")
+        manifest = (spark.read.option("mergeSchema", "true").parquet(files_path)
+                    if store_exists(spark, files_path) else None)
+        if incremental and manifest is not None and store_exists(spark, resp_path):
+            fresh = listing.join(manifest.select(*MANIFEST_KEYS), MANIFEST_KEYS, "left_anti")
+        elif manifest is not None and "header" in manifest.columns:
+            # Unchanged files keep the header recorded by an earlier run.
+            fresh = listing.join(manifest.select(*MANIFEST_KEYS, "header").dropDuplicates(MANIFEST_KEYS),
+                                 MANIFEST_KEYS, "left")
         else:
             fresh = listing
         # File metadata only: one small row per file to read in this run.
         read_files = fresh.collect()
         if incremental and not read_files:
             return RunSummary(mode, [], 0, 0, _stored_metric_rows(spark, metrics_path, output_format))
-        if incremental:
-            source, pattern, nested = [r["file_path"] for r in read_files], "", False
+        known = {d["file_path"]: d["header"] for d in (r.asDict() for r in read_files) if d.get("header") is not None}
+        source, pattern, nested = [r["file_path"] for r in read_files], "", False
+        groups = header_groups(spark, source, known, csv_options)
 
     # 1. One read of the raw files, staged as parquet. The distinct clean and
     #    reject waves are observed on the way (sets of wave numbers: bounded by
@@ -235,7 +243,7 @@ def run_tracker(
     staged_path = scratch_path(spark, "staged")
     try:
         tagged = ingest_tagged(spark, source, config, pattern=pattern, recursive=nested, keep_source=True,
-                               csv_options=csv_options)
+                               csv_options=csv_options, groups=groups)
         waves_seen = Observation("waves")
         is_clean = F.col(REJECT_REASON).isNull()
         tagged.observe(waves_seen,
@@ -263,7 +271,7 @@ def run_tracker(
         reject_rows = write_rejects(spark, rejects_new, reject_path, replaced)
 
         if not to_process:
-            _record_files(spark, files_path, read_files, incremental)
+            _record_files(spark, files_path, read_files, incremental, groups)
             return RunSummary(mode, [], 0, reject_rows, _stored_metric_rows(spark, metrics_path, output_format))
 
         # 4. Features and the respondent store.
@@ -284,7 +292,7 @@ def run_tracker(
         # 5. Metrics.
         metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format,
                                       waves=to_process if incremental else None)
-        _record_files(spark, files_path, read_files, incremental)
+        _record_files(spark, files_path, read_files, incremental, groups)
         return RunSummary(mode, to_process, clean_rows, reject_rows, metric_rows)
     finally:
         # The staging copy is only needed during the run.
@@ -298,12 +306,19 @@ def _stored_metric_rows(spark: SparkSession, metrics_path: str, output_format: s
     return spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
 
 
-def _record_files(spark: SparkSession, files_path: str, read_files, incremental: bool) -> None:
-    """After a successful run: add the files it read (incremental) or replace the list (full)."""
+def _record_files(spark: SparkSession, files_path: str, read_files, incremental: bool, groups) -> None:
+    """After a successful run: add the files it read (incremental) or replace the list (full).
+
+    Each file's header line is kept, so a later full run needs no header job
+    for files that did not change.
+    """
     if read_files is None:
         return
-    rows = spark.createDataFrame([tuple(r[k] for k in MANIFEST_KEYS) for r in read_files], MANIFEST_SCHEMA)
-    rows.write.mode("append" if incremental else "overwrite").parquet(files_path)
+    header_of = {unquote(f): g.header for g in (groups or []) for f in g.files}
+    rows = [(r["file_path"], r["file_size"], r["modified"], header_of.get(unquote(r["file_path"])))
+            for r in read_files]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).write.mode("append" if incremental else "overwrite") \
+        .parquet(files_path)
 
 
 def upsert_waves(

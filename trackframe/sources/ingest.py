@@ -109,6 +109,28 @@ def group_files_by_header(headers: DataFrame, csv_options: Mapping[str, str] | N
     return [HeaderGroup(h, parse_header(h, sep, quote), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
 
 
+def header_groups(spark: SparkSession, files: Sequence[str], known: Mapping[str, str] | None = None,
+                  csv_options: Mapping[str, str] | None = None) -> list[HeaderGroup]:
+    """Header groups of an explicit file list, sniffing only files whose header is not ``known``.
+
+    ``known`` maps file path -> header line (e.g. cached from an earlier run);
+    the header job runs only for the rest, or not at all.
+    """
+    wanted = set(files)
+    known = {f: h for f, h in (known or {}).items() if h is not None and f in wanted}
+    rows = [(f, h) for f, h in known.items()]
+    unknown = [f for f in files if f not in known]
+    if unknown:
+        sniffed = wave_file_headers(spark, unknown, pattern="")
+        rows += [(r["file_path"], r["header"]) for r in sniffed.collect()]
+    opts = dict(csv_options or {})
+    sep, quote = opts.get("sep", opts.get("delimiter", ",")), opts.get("quote", '"')
+    by_header: dict[str, list[str]] = {}
+    for f, h in rows:
+        by_header.setdefault(h, []).append(f)
+    return [HeaderGroup(h, parse_header(h, sep, quote), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
+
+
 def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
                         recursive: bool = False) -> list[str]:
     """Sorted paths of the wave files under ``input_path`` (empty list if none)."""
@@ -143,15 +165,18 @@ def ingest_tagged(
     keep_source: bool = False,
     keep_raw: bool = False,
     csv_options: Mapping[str, str] | None = None,
+    groups: Sequence[HeaderGroup] | None = None,
 ) -> DataFrame:
     """Every wave file as contract-tagged rows (``reject_reason`` null = clean).
 
     Raises ``FileNotFoundError`` when no file matches. ``only_waves`` keeps
-    those waves only (rows with a null wave never match).
+    those waves only (rows with a null wave never match). ``groups`` (from
+    ``header_groups``) replaces the header job when the headers are known.
     """
     config = config or TrackerConfig()
-    groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive),
-                                   csv_options)
+    if groups is None:
+        groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive),
+                                       csv_options)
     if not groups:
         raise FileNotFoundError(f"no wave files ({pattern}) found in {input_path!r}")
     carry = (SOURCE_FILE,) if keep_source else ()
@@ -186,6 +211,7 @@ __all__ = [
     "REJECT_REASON",
     "discover_wave_files",
     "group_files_by_header",
+    "header_groups",
     "ingest_tagged",
     "ingest_waves",
     "list_wave_files",
