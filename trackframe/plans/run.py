@@ -213,7 +213,8 @@ def run_tracker(
     resp_path, metrics_path, reject_path = output_paths(output_dir)
 
     # 0. Which files to read: all of them, or (incremental, tracked) the files
-    #    not in the manifest of an earlier run.
+    #    not in the manifest of an earlier run; headers recorded there for
+    #    unchanged files are reused instead of sniffed again.
     files_path = manifest_path(output_dir)
     read_files = groups = None
     source, pattern, nested = input_path, "*.csv", recursive
@@ -233,7 +234,8 @@ def run_tracker(
         read_files = fresh.collect()
         if incremental and not read_files:
             return RunSummary(mode, [], 0, 0, _stored_metric_rows(spark, metrics_path, output_format))
-        known = {d["file_path"]: d["header"] for d in (r.asDict() for r in read_files) if d.get("header") is not None}
+        known = {d["file_path"]: d["header"] for d in (r.asDict() for r in read_files)
+                 if d.get("header") is not None}
         source, pattern, nested = [r["file_path"] for r in read_files], "", False
         groups = header_groups(spark, source, known, csv_options)
 
