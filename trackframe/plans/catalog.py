@@ -20,7 +20,7 @@ from trackframe.operators.harmonise import harmonise
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics, wave_metrics_direct
 from trackframe.operators.upsert import duplicate_keys, latest_per_key, merge_upsert
 from trackframe.plans import oracle as sql
-from trackframe.plans.fixtures import DRIFT_CONFIG, REGION_CODES, stage_canonical_waves, stage_drifted_waves
+from trackframe.plans.fixtures import DRIFT_CONFIG, REGION_CODES, drifted_waves_folder, stage_canonical_waves
 from trackframe.plans.run import output_paths, run_tracker, upsert_waves
 from trackframe.plans.views import document_flags, events_tracker, orders_tracker, orders_tracker_raw, table
 from trackframe.session import scratch_path
@@ -303,26 +303,26 @@ def q_harmonise_trim(spark, sf_dir):
 @register("ingest_drifted_waves", sql.clean(sql.DRIFT_TYPED))
 def q_ingest_drifted_waves(spark, sf_dir):
     """Three header dialects in one folder: renamed, recoded, reordered, missing and extra columns."""
-    folder = stage_drifted_waves(spark, sf_dir)
+    folder = drifted_waves_folder(spark, sf_dir)
     return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[0]
 
 
 @register("ingest_rejects", sql.rejects(sql.DRIFT_TYPED))
 def q_ingest_rejects(spark, sf_dir):
-    folder = stage_drifted_waves(spark, sf_dir)
+    folder = drifted_waves_folder(spark, sf_dir)
     return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[1]
 
 
 @register("ingest_many_files", sql.clean(sql.DRIFT_TYPED))
 def q_ingest_many_files(spark, sf_dir):
     """The drifted waves delivered as 64 files per header: one header job, three CSV scans."""
-    folder = stage_drifted_waves(spark, sf_dir, files_per_group=64)
+    folder = drifted_waves_folder(spark, sf_dir, files_per_group=64)
     return ingest_waves(spark, folder, DRIFT_CONFIG, recursive=True)[0]
 
 
 @register("only_waves", f"SELECT * FROM ({sql.clean(sql.DRIFT_TYPED)}) WHERE wave IN (2, 3, 4)")
 def q_only_waves(spark, sf_dir):
-    folder = stage_drifted_waves(spark, sf_dir)
+    folder = drifted_waves_folder(spark, sf_dir)
     return ingest_waves(spark, folder, DRIFT_CONFIG, only_waves=[2, 3, 4], recursive=True)[0]
 
 
@@ -360,12 +360,13 @@ def q_pending_waves(spark, sf_dir):
 
 
 def _incremental_run(spark, sf_dir):
-    root = scratch_path(spark, "run")
-    run_tracker(spark, DRIFT_CONFIG, stage_drifted_waves(spark, sf_dir, [1, 2, 3], f"{root}/in/a"), f"{root}/out",
-                recursive=True)
-    stage_drifted_waves(spark, sf_dir, [4, 5, 6, 7], f"{root}/in/b")
-    summary = run_tracker(spark, DRIFT_CONFIG, f"{root}/in", f"{root}/out", incremental=True, recursive=True)
-    return summary, f"{root}/out"
+    """A full run over the first drop (waves 1-3), then an incremental run once the second lands."""
+    out = f"{scratch_path(spark, 'run')}/out"
+    first = drifted_waves_folder(spark, sf_dir, [1, 2, 3])
+    second = drifted_waves_folder(spark, sf_dir, [4, 5, 6, 7])
+    run_tracker(spark, DRIFT_CONFIG, first, out, recursive=True)
+    summary = run_tracker(spark, DRIFT_CONFIG, [first, second], out, incremental=True, recursive=True)
+    return summary, out
 
 
 @register("incremental_run_metrics", sql.metrics(sql.features(sql.clean(sql.DRIFT_TYPED)), ["region"]))
@@ -404,7 +405,7 @@ def q_run_summary(spark, sf_dir):
 def q_rejects_store(spark, sf_dir):
     """The wave-partitioned reject side output of a full run (null wave in its own partition)."""
     root = scratch_path(spark, "run")
-    run_tracker(spark, DRIFT_CONFIG, stage_drifted_waves(spark, sf_dir), f"{root}/out", recursive=True)
+    run_tracker(spark, DRIFT_CONFIG, drifted_waves_folder(spark, sf_dir), f"{root}/out", recursive=True)
     return spark.read.parquet(output_paths(f"{root}/out")[2]).select(*CANONICAL_COLUMNS, REJECT_REASON)
 
 

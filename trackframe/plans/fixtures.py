@@ -14,11 +14,13 @@ wave text is corrupted still land in their wave's file.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.config import TrackerConfig
 from trackframe.plans.views import orders_tracker_raw
-from trackframe.session import scratch_path
+from trackframe.session import path_exists, scratch_path
 
 # Region codes of the legacy wave.
 REGION_CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
@@ -80,6 +82,22 @@ def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), bas
     return base
 
 
+# Fixture folders are deterministic functions of (table folder, waves, layout)
+# and are never modified after they are written, so each is written once per
+# session and reused.
+_WRITTEN: "weakref.WeakKeyDictionary[SparkSession, dict[tuple, str]]" = weakref.WeakKeyDictionary()
+
+
+def drifted_waves_folder(spark: SparkSession, sf_dir: str, waves=range(1, 8),
+                         files_per_group: int | None = None) -> str:
+    """The drifting CSV fixture for these waves, written on first use in this session."""
+    key = ("drifted", sf_dir.rstrip("/"), tuple(waves), files_per_group)
+    known = _WRITTEN.setdefault(spark, {})
+    if key not in known or not path_exists(spark, known[key]):
+        known[key] = stage_drifted_waves(spark, sf_dir, waves, files_per_group=files_per_group)
+    return known[key]
+
+
 def stage_canonical_waves(spark: SparkSession, sf_dir: str, waves, path: str) -> str:
     """Write the dirty orders view with the canonical header, one file per selected true wave."""
     raw = orders_tracker_raw(spark, sf_dir)

@@ -175,7 +175,7 @@ def write_rejects(spark: SparkSession, rejects: DataFrame, reject_path: str, rep
 def run_tracker(
     spark: SparkSession,
     config: TrackerConfig | None,
-    input_path: str,
+    input_path: str | list[str],
     output_dir: str,
     *,
     incremental: bool = False,
@@ -186,7 +186,7 @@ def run_tracker(
     csv_options: dict | None = None,
     track_files: bool = True,
 ) -> RunSummary:
-    """Run the tracker over every wave file under ``input_path``.
+    """Run the tracker over every wave file under ``input_path`` (a folder or a list of folders).
 
     ``output_format``: ``"parquet"`` (dynamic partition overwrite),
     ``"versioned"`` (upsert by (wave, respondent_id) as a new version) or
