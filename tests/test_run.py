@@ -337,3 +337,18 @@ def test_full_rerun_reuses_recorded_headers(spark, tmp_path, monkeypatch):
     write_wave(raw, 2, n=6)                                                       # changed file
     s = run_tracker(spark, TrackerConfig(), str(raw), out)
     assert sniffed[-1] == ["wave_02.csv"] and s.clean_rows == 10
+
+
+def test_commit_version_rolls_back_duplicates(spark, tmp_path):
+    from trackframe.sources.versioned import commit_version
+
+    path = str(tmp_path / "v")
+    schema = "wave int, respondent_id string, v int"
+    assert commit_version(spark, spark.createDataFrame([(1, "a", 0)], schema), path) == 0
+    with pytest.raises(DuplicateKeyError):
+        commit_version(spark, spark.createDataFrame([(1, "b", 1), (1, "b", 2)], schema), path)
+    assert versions(spark, path) == [0]
+    assert commit_version(spark, spark.createDataFrame([(1, "b", 1), (1, "b", 2)], schema), path,
+                          on_duplicate="latest", order_col="v") == 1
+    assert {r["respondent_id"]: r["v"] for r in read_as_of(spark, path, column_order=["wave", "respondent_id", "v"])
+            .collect()} == {"a": 0, "b": 2}

@@ -17,7 +17,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, check_duplicates, latest_per_key
+from trackframe.operators.upsert import (
+    MERGE_BROADCAST_MAX_KEYS,
+    DuplicateKeyError,
+    check_duplicates,
+    duplicate_keys,
+    latest_per_key,
+)
+from trackframe.session import drop_path
 from trackframe.sources.store import RESPONDENT_COLUMNS, store_exists, write_partitioned
 
 VERSION_COL = "_version"
@@ -51,13 +58,24 @@ def commit_version(
 ) -> int:
     """Append ``source`` as the next version (0 for the first); returns its number.
 
-    Single writer per store: two concurrent commits would pick the same number.
+    The source plan runs once: the version is written to its own new folder
+    and, under ``on_duplicate="error"``, its keys are checked on the written
+    copy (a key-column scan of that version only); on duplicates the folder
+    is removed again and ``DuplicateKeyError`` raised. Single writer per
+    store: two concurrent commits would pick the same number, and a reader
+    could see a version between its write and a failed check.
     """
-    source = check_duplicates(source, keys, on_duplicate, order_col)
     existing = versions(spark, path)
     v = existing[-1] + 1 if existing else 0
+    if on_duplicate != "error":
+        source = check_duplicates(source, keys, on_duplicate, order_col)
     parts = [VERSION_COL] + ([partition_col] if partition_col else [])
     write_partitioned(source.withColumn(VERSION_COL, F.lit(v)), path, parts, mode="append")
+    if on_duplicate == "error":
+        written = spark.read.parquet(path).where(F.col(VERSION_COL) == v).select(*keys)
+        if not duplicate_keys(written, keys).isEmpty():
+            drop_path(spark, f"{path.rstrip('/')}/{VERSION_COL}={v}")
+            raise DuplicateKeyError(f"version {v} would hold duplicate keys on {list(keys)}; not committed")
     return v
 
 
