@@ -352,3 +352,14 @@ def test_commit_version_rolls_back_duplicates(spark, tmp_path):
                           on_duplicate="latest", order_col="v") == 1
     assert {r["respondent_id"]: r["v"] for r in read_as_of(spark, path, column_order=["wave", "respondent_id", "v"])
             .collect()} == {"a": 0, "b": 2}
+
+
+def test_create_store_rolls_back_duplicates(spark, tmp_path):
+    from trackframe.sources.store import store_exists
+
+    path = str(tmp_path / "store")
+    schema = "wave int, respondent_id string, v int"
+    with pytest.raises(DuplicateKeyError):
+        merge_upsert(spark, spark.createDataFrame([(1, "a", 1), (1, "a", 2)], schema), path)
+    assert not store_exists(spark, path)
+    assert merge_upsert(spark, spark.createDataFrame([(2, "a", 1), (None, "b", 1)], schema), path) == [2, None]

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from trackframe.session import staged_copy
+from trackframe.session import drop_path, staged_copy
 from trackframe.sources.store import read_store, store_exists, write_partitioned
 
 
@@ -140,14 +140,13 @@ def merge_upsert(
     partitions. Duplicate source keys raise ``DuplicateKeyError`` unless
     ``on_duplicate`` is ``"latest"`` (greatest ``order_col`` wins) or ``"allow"``.
     """
+    if not store_exists(spark, path):
+        return _create_store(spark, source, path, keys, partition_col, on_duplicate, order_col)
     with stage_source(source, partition_col) as staged:
         source, touched = staged.frame, staged.partitions
         source = check_duplicates(source, keys, on_duplicate, order_col)
         if not touched:
             return []
-        if not store_exists(spark, path):
-            write_partitioned(source, path, partition_col)
-            return touched
         values = [v for v in touched if v is not None]
         in_touched = F.col(partition_col).isin(values)
         if None in touched:
@@ -158,3 +157,27 @@ def merge_upsert(
         with staged_copy(merged, "merged") as merged_copy:
             write_partitioned(merged_copy, path, partition_col)
         return touched
+
+
+def _create_store(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
+                  on_duplicate: str, order_col: str | None) -> list:
+    """First write of a store: the source plan runs once, straight into the new store.
+
+    The partition values are observed during the write; under
+    ``on_duplicate="error"`` the keys are checked on the written store (key
+    columns only) and the store is removed again if any repeats.
+    """
+    if on_duplicate != "error":
+        source = check_duplicates(source, keys, on_duplicate, order_col)
+    seen = Observation("created")
+    write_partitioned(source.observe(seen, F.collect_set(F.col(partition_col)).alias("values"),
+                                     F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")),
+                      path, partition_col)
+    if on_duplicate == "error" and not duplicate_keys(spark.read.parquet(path).select(*keys), keys).isEmpty():
+        drop_path(spark, path)
+        raise DuplicateKeyError(f"upsert source has duplicate keys on {list(keys)}; store not created")
+    try:
+        got = seen.get
+    except Exception:  # noqa: BLE001 - nothing observed: empty source
+        return []
+    return sorted(got["values"]) + ([None] if got["nulls"] else [])
