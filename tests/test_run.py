@@ -363,3 +363,13 @@ def test_create_store_rolls_back_duplicates(spark, tmp_path):
         merge_upsert(spark, spark.createDataFrame([(1, "a", 1), (1, "a", 2)], schema), path)
     assert not store_exists(spark, path)
     assert merge_upsert(spark, spark.createDataFrame([(2, "a", 1), (None, "b", 1)], schema), path) == [2, None]
+
+
+def test_leading_blank_lines_before_header(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    with open(raw / "w.csv", "w") as fh:
+        fh.write("\n  \nrespondent_id,wave,nps_score\nA,1,9\n\nB,1,3\n")
+    clean, rejects = ingest_waves(spark, str(raw))
+    assert sorted((r["respondent_id"], r["nps_score"]) for r in clean.collect()) == [("A", 9), ("B", 3)]
+    assert rejects.count() == 0

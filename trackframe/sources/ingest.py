@@ -57,7 +57,7 @@ def _listing(spark: SparkSession, input_path: str | Sequence[str], pattern: str,
 
 def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
                       recursive: bool = False) -> DataFrame:
-    """``(file_path, header)``: the first line of every matching file, in one job.
+    """``(file_path, header)``: the first non-blank line of every matching file, in one job.
 
     Only the first split of each file can hold its first line; within a split
     rows keep file order, so the header is the earliest line of block 0.
@@ -67,7 +67,9 @@ def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, p
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
-    first_split = lines.where(F.col("block_start") == 0).withColumn("pos", F.monotonically_increasing_id())
+    # Blank lines are skipped, as Spark's CSV reader skips them before its header line.
+    first_split = (lines.where(F.col("block_start") == 0).withColumn("pos", F.monotonically_increasing_id())
+                   .where(F.trim(F.col("value")) != ""))
     return first_split.groupBy("file_path").agg(F.min_by("value", "pos").alias("header"))
 
 
