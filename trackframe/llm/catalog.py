@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .fingerprint import edited_fingerprints
+from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
 from .simhash import simhash_groups
 from .staging import table
@@ -17,6 +19,15 @@ def _remainder(column: str, by: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % by, F.lit(-1))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
@@ -37,6 +48,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_html_text": op3_html_text,
+    "op5_fingerprints": op5_fingerprints,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op8_toxicity": op8_toxicity,
     "op10_language_id": op10_language_id,
