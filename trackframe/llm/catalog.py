@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .decontam import contaminated
 from .fingerprint import edited_fingerprints
 from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
@@ -19,6 +20,12 @@ def _remainder(column: str, by: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % by, F.lit(-1))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "windows", "n_windows", "coverage", "changed")
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -48,6 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_html_text": op3_html_text,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash_neardup": op6_simhash_neardup,
