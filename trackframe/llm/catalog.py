@@ -10,8 +10,10 @@ from .decontam import contaminated
 from .fingerprint import edited_fingerprints
 from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
+from .packing import pack
 from .simhash import simhash_groups
-from .staging import table
+from .staging import scratch_path, table
+from .tokenfile import read_token_file, token_digests, write_token_file
 from .toxicity import fit_toxicity, score_toxicity
 
 
@@ -31,6 +33,18 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-file")
+    write_token_file(table(spark, sf_dir, "documents"), path, _tokenizer())
+    return token_digests(read_token_file(spark, path))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -39,6 +53,10 @@ def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), _tokenizer())
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(_remainder("doc_id", 5) != 0)
@@ -57,8 +75,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_html_text": op3_html_text,
+    "op4_token_file": op4_token_file,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash_neardup": op6_simhash_neardup,
+    "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
     "op10_language_id": op10_language_id,
 }

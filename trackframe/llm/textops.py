@@ -113,12 +113,13 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(fn, schema)
 
 
-def map_slices(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
+def map_slices(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema,
+               size: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over bounded slices of the text column."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                for part in slices(batch, text):
+                for part in slices(batch, text, size):
                     out = fn(part)
                     if out is not None and out.num_rows:
                         yield out
