@@ -11,6 +11,7 @@ from .fingerprint import edited_fingerprints
 from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
 from .packing import pack
+from .recompress import remove_repeats
 from .simhash import simhash_groups
 from .staging import scratch_path, table
 from .tokenfile import read_token_file, token_digests, write_token_file
@@ -65,6 +66,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit_languages(docs.where(_remainder("doc_id", 4) != 2))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
 
