@@ -14,6 +14,7 @@ from .packing import pack
 from .recompress import remove_repeats
 from .simhash import simhash_groups
 from .staging import scratch_path, table
+from .suffixdedup import remove_repeated_bytes
 from .tokenfile import read_token_file, token_digests, write_token_file
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -29,6 +30,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "windows", "n_windows", "coverage", "changed")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -80,6 +86,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_html_text": op3_html_text,
     "op4_token_file": op4_token_file,
     "op5_fingerprints": op5_fingerprints,
