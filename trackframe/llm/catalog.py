@@ -40,7 +40,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -48,7 +48,7 @@ def _tokenizer() -> str:
 
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
-    write_token_file(table(spark, sf_dir, "documents"), path, _tokenizer())
+    write_token_file(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return token_digests(read_token_file(spark, path))
 
 
@@ -61,7 +61,7 @@ def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), _tokenizer())
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
