@@ -38,7 +38,7 @@ _DIGIT[48:58] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _STOP = np.zeros(256, bool)
-_STOP[[ord(c) for c in ".!?:;\n\r\"([{*#|"]] = True
+_STOP[[ord(c) for c in ".!?\n\r\"([{*#|"]] = True
 _JOINT = np.zeros(256, bool)
 _JOINT[[ord("."), ord(",")]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

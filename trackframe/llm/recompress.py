@@ -176,7 +176,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     keyed = docs.select(*cols, F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("__doc"), F.xxhash64(text).alias("__tag"), text.alias("__text"))
     found = stage(repeated_windows(keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.col("__text").alias("text")), window)
                   .groupBy("doc", "high").agg(F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places")), "repeats")
-    marked = hash_filter(found.select(F.xxhash64("doc").alias("h")), "h")
+    found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
+    marked = hash_filter(found.select(F.xxhash64("__doc").alias("h")), "h")
     probe = keyed.withColumn("__h", F.xxhash64("__doc"))
     schema = docs.select(*cols).schema.add("kept", "string").add("n_words", "long").add("n_removed", "long")
 
@@ -207,9 +208,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return batch.filter(pa.array(maybe_in(marked, _column(batch, "__h").view(U64))))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return finish(batch, batch.column("places").to_pylist(), batch.column("whole").to_pylist())
+        return finish(batch, batch.column("__places").to_pylist(), batch.column("__whole").to_pylist())
     # Texts that may lose words meet their places in a join; the others are not shuffled.
-    touched = map_slices(probe, "__text", chosen, probe.schema).withColumn("high", F.shiftright("__tag", 32)).withColumnRenamed("__doc", "doc")
-    touched = touched.join(found, ["doc", "high"], "left").select(
-        *cols, "__text", F.coalesce("whole", F.lit(False)).alias("whole"), "places")
+    touched = map_slices(probe, "__text", chosen, probe.schema).withColumn("__high", F.shiftright("__tag", 32))
+    touched = touched.join(found, ["__doc", "__high"], "left").select(
+        *cols, "__text", F.coalesce("__whole", F.lit(False)).alias("__whole"), "__places")
     return map_slices(probe, "__text", untouched, schema).union(map_slices(touched, "__text", cut, schema))

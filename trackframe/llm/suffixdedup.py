@@ -298,7 +298,8 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     keyed = docs.select(*cols, F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("__doc"), F.xxhash64(text).alias("__tag"), text.alias("__text"))
     found = stage(repeated_spans(keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.col("__text").alias("text")))
                   .groupBy("doc", "tag").agg(F.max("whole").alias("whole"), F.first("starts", True).alias("starts"), F.first("ends", True).alias("ends")), "repeats")
-    marked = hash_filter(found.select(F.xxhash64("doc", "tag").alias("h")), "h")
+    found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
+    marked = hash_filter(found.select(F.xxhash64("__doc", "__tag").alias("h")), "h")
     probe = keyed.withColumn("__h", F.xxhash64("__doc", "__tag"))
     schema = docs.select(*cols).schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
 
@@ -328,8 +329,8 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         return run
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return finish(batch, *(batch.column(k).to_pylist() for k in ("whole", "starts", "ends")))
+        return finish(batch, *(batch.column(k).to_pylist() for k in ("__whole", "__starts", "__ends")))
     # Texts that may lose bytes meet their spans in a join; the others are not shuffled.
-    touched = map_slices(probe, "__text", split(True), probe.schema).withColumnsRenamed({"__doc": "doc", "__tag": "tag"})
-    touched = touched.join(found, ["doc", "tag"], "left").select(*cols, "__text", "whole", "starts", "ends")
+    touched = map_slices(probe, "__text", split(True), probe.schema)
+    touched = touched.join(found, ["__doc", "__tag"], "left").select(*cols, "__text", "__whole", "__starts", "__ends")
     return map_slices(probe, "__text", split(False), schema).union(map_slices(touched, "__text", cut, schema))
