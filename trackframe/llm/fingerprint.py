@@ -81,11 +81,12 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], tie: str) -> DataF
     targets = F.when(F.col("__before").isNull(), F.array(F.struct(F.col("__k").alias("k"), F.lit(0).alias("extra")))).otherwise(
         F.array(F.struct(F.col("__k").alias("k"), F.lit(0).alias("extra")),
                 F.struct(F.col("__before").alias("k"), F.lit(1).alias("extra"))))
-    dealt = dealt.withColumn("__t", F.explode(targets)).drop("__k", "__hk", "__first", "__before")
-    order = Window.partitionBy("__t.k").orderBy("__t.extra", F.col(id_col).desc_nulls_last(), tie)
-    for c in columns:
-        dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(order))
-    return dealt.where("__t.extra = 0").drop("__t")
+    # Plain columns and one projection for all leads: the range key's exchange then serves them all.
+    dealt = dealt.withColumn("__t", F.explode(targets)).withColumns({"__range": F.col("__t.k"), "__extra": F.col("__t.extra")})
+    order = Window.partitionBy("__range").orderBy("__extra", F.col(id_col).desc_nulls_last(), tie)
+    leads = [F.lead(c).over(order).alias(f"next_{c}") for c in columns]
+    kept = [c for c in df.columns if c != "__k"]
+    return dealt.select(*kept, "__extra", *leads).where("__extra = 0").drop("__extra")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
