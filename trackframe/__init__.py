@@ -1,7 +1,7 @@
 """trackframe: survey-tracker analytics as Spark DataFrame jobs.
 
 Public API: configuration, the contract, harmonisation, features, metrics,
-ingest, stores (partitioned, versioned, Delta when available), upserts,
+ingest, the partitioned store, upserts, change tables,
 full / incremental runs and the streaming ingest.
 """
 
@@ -18,9 +18,8 @@ from trackframe.operators.contract import (
 from trackframe.operators.features import add_features, normalise_weights
 from trackframe.operators.harmonise import harmonise
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics, wave_metrics_direct
-from trackframe.operators.upsert import DuplicateKeyError, latest_per_key, merge_upsert
+from trackframe.operators.upsert import DuplicateKeyError, as_of, latest_per_key, merge_upsert
 from trackframe.plans.run import RunSummary, run_tracker, upsert_waves
-from trackframe.sources.delta_store import DeltaStore
 from trackframe.sources.ingest import discover_wave_files, ingest_waves, wave_file_headers
 from trackframe.sources.store import (
     existing_waves,
@@ -29,7 +28,6 @@ from trackframe.sources.store import (
     stored_waves,
     write_partitioned,
 )
-from trackframe.sources.versioned import commit_version, read_as_of, read_latest, version_history, versions
 from trackframe.streaming.waves import stream_waves
 
 __version__ = "0.1.0"
@@ -40,14 +38,13 @@ __all__ = [
     "CANONICAL_SCHEMA",
     "ConfigError",
     "Contract",
-    "DeltaStore",
     "DuplicateKeyError",
     "Rule",
     "RunSummary",
     "TrackerConfig",
     "__version__",
     "add_features",
-    "commit_version",
+    "as_of",
     "discover_wave_files",
     "enforce_contract",
     "existing_waves",
@@ -57,8 +54,6 @@ __all__ = [
     "merge_upsert",
     "normalise_weights",
     "pending_waves",
-    "read_as_of",
-    "read_latest",
     "read_store",
     "refresh_wave_metrics",
     "run_tracker",
@@ -66,8 +61,6 @@ __all__ = [
     "stream_waves",
     "tag_rows",
     "upsert_waves",
-    "version_history",
-    "versions",
     "wave_file_headers",
     "wave_metrics",
     "wave_metrics_direct",

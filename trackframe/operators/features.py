@@ -4,22 +4,19 @@ Every feature is row-local or computed within one wave, so processing one
 wave alone gives the same rows as processing all waves together; this is what
 makes incremental runs safe.
 
-Weight normalisation divides each weight by its wave's mean weight. The
-textbook form is ``avg(weight) OVER (PARTITION BY wave)``, which sends every
-row of a wave through one task: with few waves, or one wave holding a third of
-the rows, that is a single huge sort. The default form instead aggregates the
-per-wave means (partial aggregation, one small row per wave per task),
-materialises them, checks their size and broadcasts them back, so the
-respondent rows are never shuffled.
+Weight normalisation divides each weight by its wave's mean weight. A
+window over the wave would send every row of a wave through one task; the
+per-wave means are aggregated instead (partial aggregation, one small row per
+wave per task) and joined back. The join carries no hint: the means are a few rows,
+which AQE sees at run time and broadcasts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trackframe.config import TrackerConfig
 from trackframe.functions.expressions import nps_segment, top_box
-from trackframe.session import BROADCAST_MAX_ROWS, bounded_broadcast
 
 WEIGHT_NORM = "weight_norm"
 
@@ -40,39 +37,24 @@ def normalise_weights(
     wave_col: str = "wave",
     weight_col: str = "weight",
     out_col: str = WEIGHT_NORM,
-    method: str = "broadcast",
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Add ``weight / mean(weight within the wave)``.
+    """Add ``weight / mean(weight within the wave)``; nothing runs until the result is used.
 
     The mean skips null weights; a null weight gives a null norm unless its
     wave's mean is null or zero, in which case every row of the wave gets 1.0.
 
-    ``method="broadcast"`` (default) runs one small job that materialises the
-    per-wave means; ``method="window"`` is the lazy single-window form, kept
-    as the reference twin and for small inputs.
-
-    The means job reads only the wave and weight columns of ``df``, but it
-    evaluates ``df``'s plan, as the later job does: give it a scan of stored
-    or staged data (as ``run_tracker`` does), not an expensive join, when the
-    input is large.
+    ``df``'s plan is evaluated twice (for the means only its wave and weight
+    columns): give it a scan of stored or staged data, as the runs do, where its plan is expensive.
     """
-    if method == "window":
-        mean = F.avg(weight_col).over(Window.partitionBy(wave_col))
-        return df.withColumn(out_col, _norm(F.col(weight_col), mean))
-    if method != "broadcast":
-        raise ValueError("method must be 'broadcast' or 'window'")
-    means, _ = bounded_broadcast(wave_weight_means(df, wave_col, weight_col), max_broadcast_rows)
-    joined = df.join(means, df[wave_col].eqNullSafe(means["__wave"]), "left")
-    return joined.select(*[df[c] for c in df.columns],
-                         _norm(df[weight_col], means["__wave_mean"]).alias(out_col))
-
-
-def add_features(df: DataFrame, config: TrackerConfig | None = None, *, method: str = "broadcast") -> DataFrame:
+    means = wave_weight_means(df, wave_col, weight_col)
+    joined = df.join(means, F.col(wave_col).eqNullSafe(F.col("__wave")), "left")
+    return joined.select(*df.columns, _norm(F.col(weight_col), F.col("__wave_mean")).alias(out_col))
+
+
+def add_features(df: DataFrame, config: TrackerConfig | None = None) -> DataFrame:
     """Attach ``weight_norm``, ``nps_segment`` and ``top2box``."""
     config = config or TrackerConfig()
-    out = normalise_weights(df, method=method)
-    return out.select(
+    return normalise_weights(df).select(
         "*",
         nps_segment(F.col("nps_score"), config.promoter_min, config.detractor_max).alias("nps_segment"),
         top_box(F.col("satisfaction"), config.top2box_min).alias("top2box"),

@@ -19,18 +19,22 @@ TRIM_COLUMNS = ("region", "age_group", "brand_used")
 
 
 def resolve_renames(columns: Sequence[str], rename_map: Mapping[str, str] | None) -> list[str]:
-    """Apply a rename map to a header, entry by entry in map order.
+    """Header after the rename entries, taken in map order.
 
-    An entry renames ``src`` only if ``src`` is present, differs from ``dst``
-    and ``dst`` is not already a column, so an existing canonical column is
-    never clobbered. Entries chain (a->b, then b->c) and, with two sources for
-    one target, the first present source wins.
+    Names match as the contract matches them: trimmed and without regard to
+    case. A source that is missing, or a target that another column already
+    has, leaves the header alone, so a canonical column is never clobbered.
+    Entries chain (a->b, then b->c).
     """
-    names = list(columns)
-    for src, dst in (rename_map or {}).items():
-        if src in names and src != dst and dst not in names:
-            names[names.index(src)] = dst
-    return names
+    loose = [c.strip().lower() for c in columns]
+    out = list(columns)
+    for source, target in (rename_map or {}).items():
+        old, new = source.strip().lower(), target.strip().lower()
+        holders = [i for i, c in enumerate(loose) if c == old]
+        taken = any(c == new for i, c in enumerate(loose) if i not in holders[:1])
+        if holders and not taken:
+            out[holders[0]], loose[holders[0]] = target, new
+    return out
 
 
 def _ref(name: str):
@@ -48,8 +52,8 @@ def harmonise(
     """Rename columns, trim key string columns and recode values, in one projection.
 
     Order per column: rename, then trim, then recode (the recode sees the
-    trimmed value). Renames match names exactly; trims and recodes match the
-    renamed column trimmed and case-insensitively, as the contract does.
+    trimmed value). Renames, trims and recodes match column names trimmed and
+    case-insensitively, as the contract does.
     ``region_map`` is shorthand for ``recode_maps["region"]``. With empty maps
     the frame comes back with the same columns and values.
     """

@@ -4,29 +4,27 @@ MERGE semantics: a source row whose keys equal a target row's keys replaces
 it; other source rows are inserted; target rows the source does not mention
 stay. Nulls never match, so a row with a null key is always inserted.
 
-Only the partitions the source touches are read and rewritten. The merged
-rows are staged as parquet in the shared folder before the write, so the
+Only the partitions the source touches are read and rewritten. The source and
+the merged rows are staged as parquet in the shared folder, so the
 write never reads the files it replaces, and a lost executor is recomputed
-from the staged copy instead of from a half-overwritten store; the copy is
-deleted once the write has committed. A failed job leaves the store
-untouched (nothing is committed). The commit itself is not atomic: Spark's
+from the staged copy instead of from a half-overwritten store; the copies are
+deleted once the write has committed. Everything an upsert decides on (touched
+partitions, duplicate keys) is read from the staged copy. Joins carry no hints: the staged
+copies have byte statistics, and Catalyst and AQE choose between broadcast and
+shuffle from them. A failed job leaves the store untouched. The commit itself is not atomic: Spark's
 dynamic overwrite deletes and then renames each touched partition, so a
 driver crash inside that window can leave a partition without its old rows;
-the staged merged copy stays in the shared folder in that case (the clean-up
-never ran) and holds the full intended content. The versioned store, which
-only appends, has no such window.
+the staged merged copy then still holds the full intended content.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackframe.session import drop_path, staged_copy
-from trackframe.sources.store import read_store, store_exists, write_partitioned
+from trackframe.session import staged_copy
+from trackframe.sources.store import in_partitions, in_table_order, open_store, partition_values, write_partitioned
 
 
 class DuplicateKeyError(ValueError):
@@ -34,17 +32,37 @@ class DuplicateKeyError(ValueError):
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Keep, for every key, the row with the greatest ``order_col``.
+    """Keep, for every key, the row with the greatest ``order_col``; null keys group together.
 
-    A hash aggregate with ``max_by`` (partial aggregation before the shuffle,
-    no sort): a key repeated a million times still costs one row per task.
+    A row without an order value only wins where no row of the key has one.
+    Ties go to the row with the greatest content hash, so the result does not
+    depend on the partitioning. A hash aggregate with partial aggregation before the shuffle,
+    no sort: a key repeated a million times still costs one row per task.
     """
     others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
-    agg = df.groupBy(*keys).agg(F.max_by(packed, F.col(order_col)).alias("__row"))
+    if not others:
+        return df.distinct()
+    rank = F.struct(F.col(order_col).isNotNull(), F.col(order_col), F.xxhash64(*others))
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("__row"))
     return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
+def as_of(changes: DataFrame, keys: Sequence[str], change_col: str, upto=None) -> DataFrame:
+    """State of a change table after all changes (or those up to ``upto``), without the change column.
+
+    Every change row sets the row of its key; the latest change wins. One rule
+    whatever the sizes: a row with a null in its key matches nothing and
+    always stays, and a key set twice by one change keeps one of the two rows (by content hash).
+    """
+    if upto is not None:
+        changes = changes.where(F.col(change_col) <= upto)
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    latest = latest_per_key(changes.where(whole), keys, change_col)
+    return latest.unionByName(changes.where(~whole)).drop(change_col)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys occurring more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
@@ -54,12 +72,12 @@ def check_duplicates(source: DataFrame, keys: Sequence[str], on_duplicate: str,
                      order_col: str | None) -> DataFrame:
     """Apply the duplicate-key policy to an upsert source.
 
-    ``"error"`` raises ``DuplicateKeyError`` (one aggregate job that stops at
-    the first duplicate); ``"latest"`` keeps the row with the greatest
+    ``"error"`` raises ``DuplicateKeyError`` (keys with a null never match and
+    are no duplicates); ``"latest"`` keeps the row with the greatest
     ``order_col`` per key; ``"allow"`` passes duplicates through.
     """
     if on_duplicate == "error":
-        if not duplicate_keys(source, keys).isEmpty():
+        if not duplicate_keys(source.dropna(subset=list(keys)), keys).isEmpty():
             raise DuplicateKeyError(f"upsert source has duplicate keys on {list(keys)}")
         return source
     if on_duplicate == "latest":
@@ -71,56 +89,9 @@ def check_duplicates(source: DataFrame, keys: Sequence[str], on_duplicate: str,
     raise ValueError("on_duplicate must be 'error', 'latest' or 'allow'")
 
 
-# Source keys are broadcast to the anti join up to this many rows (a key is
-# a few tens of bytes, so the broadcast stays under ~100 MB).
-MERGE_BROADCAST_MAX_KEYS = 2_000_000
-
-
-@dataclass(frozen=True)
-class StagedSource:
-    """An upsert source computed once, with facts observed while computing it."""
-
-    frame: DataFrame
-    partitions: list
-    rows: int
-
-
-@contextmanager
-def stage_source(source: DataFrame, partition_col: str | None) -> Iterator[StagedSource]:
-    """Compute the source once into the shared folder, observing its partition values and size.
-
-    An upsert reads its source several times (duplicate check, both sides of
-    the merge); staging it keeps an expensive source plan from running more
-    than once. The row count also decides, without another job, whether the
-    source keys are small enough to broadcast. The staged copy is deleted
-    when the ``with`` block ends.
-    """
-    seen = Observation("source")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if partition_col is not None:
-        metrics += [F.collect_set(F.col(partition_col)).alias("values"),
-                    F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")]
-    with staged_copy(source.observe(seen, *metrics), "source") as frame:
-        try:
-            got = seen.get
-        except Exception:  # noqa: BLE001 - nothing observed: empty source
-            yield StagedSource(frame, [], 0)
-            return
-        values = (sorted(got["values"]) + ([None] if got["nulls"] else [])) if partition_col is not None else []
-        yield StagedSource(frame, values, int(got["rows"]))
-
-
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-                 broadcast_keys: bool = False) -> DataFrame:
-    """Pure MERGE of two frames: target rows without a source match, then all source rows.
-
-    ``broadcast_keys`` (for a source of checked, small size) ships the source
-    keys to the target's tasks instead of shuffling the target by key.
-    """
-    source_keys = source.select(*keys)
-    if broadcast_keys:
-        source_keys = F.broadcast(source_keys)
-    kept = target.join(source_keys, list(keys), "left_anti")
+def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pure MERGE of two frames: target rows without a source match, then all source rows."""
+    kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
@@ -133,51 +104,29 @@ def merge_upsert(
     *,
     on_duplicate: str = "error",
     order_col: str | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list:
     """Upsert ``source`` into the store at ``path``; returns the touched partition values.
 
     The first write creates the store. Later writes rewrite only touched
     partitions. Duplicate source keys raise ``DuplicateKeyError`` unless
     ``on_duplicate`` is ``"latest"`` (greatest ``order_col`` wins) or ``"allow"``.
+    ``finish`` adds derived columns to the merged rows of the touched
+    partitions (all of them, so a feature may depend on its whole partition);
+    the store then holds the source's columns and the derived ones.
     """
-    if not store_exists(spark, path):
-        return _create_store(spark, source, path, keys, partition_col, on_duplicate, order_col)
-    with stage_source(source, partition_col) as staged:
-        source, touched = staged.frame, staged.partitions
-        source = check_duplicates(source, keys, on_duplicate, order_col)
+    finish = finish or (lambda merged: merged)
+    with staged_copy(source, "source") as staged:
+        touched = partition_values(staged, partition_col)
         if not touched:
             return []
-        values = [v for v in touched if v is not None]
-        in_touched = F.col(partition_col).isin(values)
-        if None in touched:
-            in_touched = in_touched | F.col(partition_col).isNull()
-        target = read_store(spark, path, source.columns).where(in_touched)
-        merged = merge_frames(target, source, keys, broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS)
+        checked = check_duplicates(staged, keys, on_duplicate, order_col)
+        stored = open_store(spark, path)
+        if stored is None:
+            write_partitioned(finish(checked), path, partition_col)
+            return touched
+        target = in_table_order(stored, source.columns).select(*source.columns).where(in_partitions(touched, partition_col))
         # Staged before the overwrite: the write must not read the files it replaces.
-        with staged_copy(merged, "merged") as merged_copy:
-            write_partitioned(merged_copy, path, partition_col)
-        return touched
-
-
-def _create_store(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
-                  on_duplicate: str, order_col: str | None) -> list:
-    """First write of a store: the source plan runs once, straight into the new store.
-
-    The partition values are observed during the write; under
-    ``on_duplicate="error"`` the keys are checked on the written store (key
-    columns only) and the store is removed again if any repeats.
-    """
-    if on_duplicate != "error":
-        source = check_duplicates(source, keys, on_duplicate, order_col)
-    seen = Observation("created")
-    write_partitioned(source.observe(seen, F.collect_set(F.col(partition_col)).alias("values"),
-                                     F.count(F.when(F.col(partition_col).isNull(), 1)).alias("nulls")),
-                      path, partition_col)
-    if on_duplicate == "error" and not duplicate_keys(spark.read.parquet(path).select(*keys), keys).isEmpty():
-        drop_path(spark, path)
-        raise DuplicateKeyError(f"upsert source has duplicate keys on {list(keys)}; store not created")
-    try:
-        got = seen.get
-    except Exception:  # noqa: BLE001 - nothing observed: empty source
-        return []
-    return sorted(got["values"]) + ([None] if got["nulls"] else [])
+        with staged_copy(merge_frames(target, checked, keys), "merged") as merged:
+            write_partitioned(finish(merged), path, partition_col)
+    return touched

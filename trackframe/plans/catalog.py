@@ -9,24 +9,31 @@ Every float is rounded identically on both sides and every column aliased.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.config import TrackerConfig
-from trackframe.functions.expressions import net_score, weighted_share
+from trackframe.functions.expressions import net_score, nps_segment, top_box, weighted_share
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON, enforce_contract, tag_rows
 from trackframe.operators.features import add_features, normalise_weights
 from trackframe.operators.harmonise import harmonise
 from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics, wave_metrics_direct
-from trackframe.operators.upsert import duplicate_keys, latest_per_key, merge_upsert
+from trackframe.operators.upsert import as_of, duplicate_keys, latest_per_key, merge_upsert
 from trackframe.plans import oracle as sql
-from trackframe.plans.fixtures import DRIFT_CONFIG, REGION_CODES, drifted_waves_folder, stage_canonical_waves
-from trackframe.plans.run import output_paths, run_tracker, upsert_waves
+from trackframe.plans.fixtures import (
+    DRIFT_CONFIG,
+    REGION_CODES,
+    drifted_waves_folder,
+    stage_canonical_waves,
+    true_wave,
+    write_csv,
+)
+from trackframe.plans.run import RESPONDENT_KEYS, output_paths, run_tracker, upsert_waves
 from trackframe.plans.views import document_flags, events_tracker, orders_tracker, orders_tracker_raw, table
-from trackframe.session import scratch_path
-from trackframe.sources.ingest import ingest_waves
+from trackframe.session import scratch_path, staged_copy
+from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, ingest_waves
 from trackframe.sources.store import pending_waves, read_store, stored_waves, write_partitioned
-from trackframe.sources.versioned import commit_version, read_as_of, version_history
 from trackframe.streaming.waves import stream_waves
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,17 +61,9 @@ def _features_out(df: DataFrame) -> DataFrame:
     return df.select(*CANONICAL_COLUMNS, F.round("weight_norm", 6).alias("weight_norm"), "nps_segment", "top2box")
 
 
-def _metrics(spark, sf_dir, cfg=CFG, method="direct") -> DataFrame:
-    """Tracker metrics over the orders adapter.
-
-    ``direct``: one aggregation pass over raw weights (``wave_metrics_direct``);
-    ``broadcast`` / ``window``: row-level features first (``add_features``),
-    with the per-wave means broadcast back or taken in a wave window.
-    """
-    tracker = orders_tracker(spark, sf_dir)
-    if method == "direct":
-        return wave_metrics_direct(tracker, cfg)
-    return wave_metrics(add_features(tracker, cfg, method=method), cfg)
+def _metrics(spark, sf_dir, cfg=CFG) -> DataFrame:
+    """Tracker metrics over the orders adapter, in one aggregation pass over raw weights."""
+    return wave_metrics_direct(orders_tracker(spark, sf_dir), cfg)
 
 
 # ---------------------------------------------------------------- metrics
@@ -77,14 +76,16 @@ def q_wave_metrics(spark, sf_dir):
 
 @register("wave_metrics_features", sql.metrics(FEATURES, ["region"]))
 def q_wave_metrics_features(spark, sf_dir):
-    """The flagship through row-level features (per-wave means broadcast back), as stored respondents have them."""
-    return _metrics(spark, sf_dir, method="broadcast")
+    """The flagship through row-level features (per-wave means joined back), as stored respondents have them."""
+    return wave_metrics(add_features(orders_tracker(spark, sf_dir)))
 
 
 @register("wave_metrics_window_norm", sql.metrics(FEATURES, ["region"]))
 def q_wave_metrics_window_norm(spark, sf_dir):
-    """The flagship with the single-window weight normalisation (reference plan shape)."""
-    return _metrics(spark, sf_dir, method="window")
+    """The flagship over a written respondent store: norms within each wave, then aggregates."""
+    path = scratch_path(spark, "store")
+    write_partitioned(add_features(orders_tracker(spark, sf_dir)), path)
+    return wave_metrics(read_store(spark, path))
 
 
 @register("wave_metrics_by_age", sql.metrics(FEATURES, ["age_group"]))
@@ -131,35 +132,39 @@ def q_wave_metrics_from_raw(spark, sf_dir):
 
 
 @register("metrics_report", f"SELECT {', '.join(P5)} FROM ({sql.metrics(FEATURES, ['region'])}) "
-                            "ORDER BY wave, region LIMIT 40")
+                            "ORDER BY wave, region")
 def q_metrics_report(spark, sf_dir):
-    """The report view: headline columns ordered by wave and region, first 40 rows."""
-    return _metrics(spark, sf_dir).select(*P5).orderBy("wave", "region").limit(40)
+    """The report view: headline columns ordered by wave and region."""
+    return _metrics(spark, sf_dir).select(*P5).orderBy("wave", "region")
 
 
 @register("weight_norm", f"SELECT respondent_id, wave, round(weight_norm, 6) AS weight_norm FROM ({FEATURES})")
 def q_weight_norm(spark, sf_dir):
-    """W1 in the broadcast-means form."""
-    out = normalise_weights(orders_tracker(spark, sf_dir), method="broadcast")
+    """W1 straight from the tables."""
+    out = normalise_weights(orders_tracker(spark, sf_dir))
     return out.select("respondent_id", "wave", F.round("weight_norm", 6).alias("weight_norm"))
 
 
 @register("weight_norm_window", f"SELECT respondent_id, wave, round(weight_norm, 6) AS weight_norm FROM ({FEATURES})")
 def q_weight_norm_window(spark, sf_dir):
-    """W1 in the single-window form."""
-    out = normalise_weights(orders_tracker(spark, sf_dir), method="window")
+    """W1 over a stored input, whose plan is cheap to read for the means and again for the rows."""
+    path = scratch_path(spark, "store")
+    write_partitioned(orders_tracker(spark, sf_dir), path)
+    out = normalise_weights(read_store(spark, path, CANONICAL_COLUMNS))
     return out.select("respondent_id", "wave", F.round("weight_norm", 6).alias("weight_norm"))
 
 
 @register("nps_segment_counts",
           f"SELECT wave, nps_segment, count(*) AS n FROM ({FEATURES}) GROUP BY wave, nps_segment")
 def q_nps_segment_counts(spark, sf_dir):
-    return add_features(orders_tracker(spark, sf_dir)).groupBy("wave", "nps_segment").agg(F.count(F.lit(1)).alias("n"))
+    segment = nps_segment(F.col("nps_score")).alias("nps_segment")
+    return orders_tracker(spark, sf_dir).groupBy("wave", segment).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("top2box_counts", f"SELECT wave, top2box, count(*) AS n FROM ({FEATURES}) GROUP BY wave, top2box")
 def q_top2box_counts(spark, sf_dir):
-    return add_features(orders_tracker(spark, sf_dir)).groupBy("wave", "top2box").agg(F.count(F.lit(1)).alias("n"))
+    flag = top_box(F.col("satisfaction")).alias("top2box")
+    return orders_tracker(spark, sf_dir).groupBy("wave", flag).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("nps_delta", f"SELECT wave, region, nps, nps_delta FROM ({sql.metrics(FEATURES, ['region'])})")
@@ -344,10 +349,10 @@ def q_idempotent_rerun(spark, sf_dir):
     return _features_out(read_store(spark, path))
 
 
-@register("stored_waves", f"SELECT DISTINCT wave FROM ({TRACKER}) WHERE wave <= 3")
+@register("stored_waves", f"SELECT DISTINCT wave FROM ({TRACKER})")
 def q_stored_waves(spark, sf_dir):
     path = scratch_path(spark, "store")
-    write_partitioned(orders_tracker(spark, sf_dir).where("wave <= 3"), path)
+    write_partitioned(orders_tracker(spark, sf_dir), path)
     return stored_waves(spark, path)
 
 
@@ -409,6 +414,62 @@ def q_rejects_store(spark, sf_dir):
     return spark.read.parquet(output_paths(f"{root}/out")[2]).select(*CANONICAL_COLUMNS, REJECT_REASON)
 
 
+# ---------------------------------------------------------------- re-runs, lineage, odd files
+
+@register("source_file_counts", f"""
+SELECT CASE w WHEN 1 THEN 'legacy' WHEN 2 THEN 'renamed' WHEN 3 THEN 'renamed' WHEN 4 THEN 'renamed' ELSE 'extra' END AS delivery,
+       count(*) AS n FROM (SELECT CAST(substr(fieldwork_date, 1, 4) AS INTEGER) - 1994 AS w FROM ({sql.DRIFT_TYPED})) GROUP BY ALL""")
+def q_source_file_counts(spark, sf_dir):
+    """Lineage: every ingested row knows its file; rows by the folder it came from."""
+    tagged = ingest_tagged(spark, drifted_waves_folder(spark, sf_dir), DRIFT_CONFIG, recursive=True, keep_source=True)
+    folder = F.element_at(F.split(SOURCE_FILE, "/"), -2)
+    return tagged.groupBy(folder.alias("delivery")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stored_waves_after_upsert", f"SELECT DISTINCT wave FROM ({TRACKER})")
+def q_stored_waves_after_upsert(spark, sf_dir):
+    """Stored waves of a store that grew by a key upsert."""
+    base, source = _upsert_frames(spark, sf_dir)
+    path = scratch_path(spark, "store")
+    merge_upsert(spark, base, path)
+    merge_upsert(spark, source, path)
+    return stored_waves(spark, path)
+
+
+@register("ingest_odd_names", sql.clean(sql.DRIFT_TYPED))
+def q_ingest_odd_names(spark, sf_dir):
+    """The drifted waves under names with spaces, percent signs, plus signs and brackets, and a padded, upper-case rename source."""
+    base = scratch_path(spark, "odd")
+    raw = orders_tracker_raw(spark, sf_dir).withColumn("__w", true_wave())
+    with staged_copy(raw, "raw") as rows:
+        for name, chosen in (("wave 1+2", (1, 2)), ("100% [3-4]", (3, 4)), ("w{5}", (5, 6, 7))):
+            part = rows.where(F.col("__w").isin(*chosen)).drop("__w").withColumnRenamed("nps_score", " NPS ")
+            if 5 in chosen:
+                part = part.withColumn("brand_used", F.lit(None).cast("string"))
+            write_csv(part, f"{base}/{name}")
+    return ingest_waves(spark, base, DRIFT_CONFIG, recursive=True)[0]
+
+
+@register("rejects_after_fix", sql.rejects(sql.DRIFT_TYPED))
+def q_rejects_after_fix(spark, sf_dir):
+    """A first run without the renames rejects less and stores null scores; a run with them replaces all of it."""
+    out = f"{scratch_path(spark, 'run')}/out"
+    folder = drifted_waves_folder(spark, sf_dir)
+    run_tracker(spark, TrackerConfig(), folder, out, recursive=True)
+    run_tracker(spark, DRIFT_CONFIG, folder, out, recursive=True)
+    return spark.read.parquet(output_paths(out)[2]).select(*CANONICAL_COLUMNS, REJECT_REASON)
+
+
+@register("retry_after_rename_fix", sql.metrics(sql.features(sql.clean(sql.DRIFT_TYPED)), ["region"]))
+def q_retry_after_rename_fix(spark, sf_dir):
+    """Files whose rows were all rejected for want of a key column come in with the fixed configuration, incrementally."""
+    out = f"{scratch_path(spark, 'run')}/out"
+    folder = drifted_waves_folder(spark, sf_dir)
+    run_tracker(spark, replace(DRIFT_CONFIG, rename_map={"nps": "nps_score", "respondent_id": "id"}), folder, out, recursive=True)
+    run_tracker(spark, DRIFT_CONFIG, folder, out, incremental=True, recursive=True)
+    return spark.read.parquet(output_paths(out)[1])
+
+
 # ---------------------------------------------------------------- upsert and versions
 
 def _upsert_frames(spark, sf_dir):
@@ -418,7 +479,7 @@ def _upsert_frames(spark, sf_dir):
                .withColumn("nps_score", ((F.col("nps_score") + 1) % 11).cast("int")))
     late = (t.where((F.col("wave") == 2) & (key % 7 == 0))
             .withColumn("respondent_id", F.concat("respondent_id", F.lit("-late"))))
-    source = updated.unionByName(t.where("wave = 6")).unionByName(late)
+    source = updated.unionByName(t.where("wave >= 6")).unionByName(late)
     return t.where("wave <= 5"), source
 
 
@@ -457,6 +518,16 @@ def q_upsert_waves_features(spark, sf_dir):
     return _features_out(read_store(spark, path))
 
 
+@register("metrics_after_upsert", sql.metrics(sql.features(_MERGED), ["region"]))
+def q_metrics_after_upsert(spark, sf_dir):
+    """The metrics table follows an upsert into the store."""
+    base, source = _upsert_frames(spark, sf_dir)
+    resp, metrics, _ = output_paths(f"{scratch_path(spark, 'run')}/out")
+    upsert_waves(spark, base, resp, metrics_path=metrics)
+    upsert_waves(spark, source, resp, metrics_path=metrics)
+    return spark.read.parquet(metrics)
+
+
 @register("metrics_refresh", sql.metrics(FEATURES, ["region"]))
 def q_metrics_refresh(spark, sf_dir):
     """Metrics of waves 1-5, then waves 6-7 re-aggregated alone and combined: equals a full recompute."""
@@ -466,31 +537,41 @@ def q_metrics_refresh(spark, sf_dir):
     return refresh_wave_metrics(spark.read.parquet(path), respondents, [6, 7])
 
 
-def _versioned(spark, sf_dir):
+def _changes(spark, sf_dir) -> DataFrame:
+    """The base rows as change 0 and the upsert's rows as change 1, written as one change table."""
     base, source = _upsert_frames(spark, sf_dir)
-    path = scratch_path(spark, "versions")
-    commit_version(spark, base, path)
-    commit_version(spark, source, path)
-    return path
+    path = scratch_path(spark, "changes")
+    for number, rows in enumerate((base, source)):
+        rows.withColumn("change", F.lit(number)).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("read_as_of", _BASE)
 def q_read_as_of(spark, sf_dir):
-    """Time travel: the versioned table as first written (version 0)."""
-    return read_as_of(spark, _versioned(spark, sf_dir), version=0, column_order=CANONICAL_COLUMNS)
+    """The change table as of its first change."""
+    return as_of(_changes(spark, sf_dir), RESPONDENT_KEYS, "change", upto=0).select(*CANONICAL_COLUMNS)
 
 
 @register("read_latest_version", _MERGED)
 def q_read_latest_version(spark, sf_dir):
-    """The versioned table's latest snapshot equals the MERGE result."""
-    return read_as_of(spark, _versioned(spark, sf_dir), column_order=CANONICAL_COLUMNS)
+    """The change table's latest state equals the MERGE result."""
+    return as_of(_changes(spark, sf_dir), RESPONDENT_KEYS, "change").select(*CANONICAL_COLUMNS)
 
 
 @register("version_history", f"""
 SELECT 0 AS version, count(*) AS rows_written FROM ({_BASE})
 UNION ALL SELECT 1 AS version, count(*) AS rows_written FROM ({sql.upsert_source(TRACKER)})""")
 def q_version_history(spark, sf_dir):
-    return version_history(spark, _versioned(spark, sf_dir))
+    """Rows of each change of the change table."""
+    return _changes(spark, sf_dir).groupBy(F.col("change").alias("version")).agg(F.count(F.lit(1)).alias("rows_written"))
+
+
+@register("dedupe_latest_null_order", f"SELECT {sql.CANONICAL} FROM ({TRACKER})")
+def q_dedupe_latest_null_order(spark, sf_dir):
+    """Every row twice, once without its order value: the real value wins, and where there is none no column is lost."""
+    t = orders_tracker(spark, sf_dir)
+    twice = t.withColumn("weight", F.lit(None).cast("double")).unionByName(t)
+    return latest_per_key(twice, RESPONDENT_KEYS, "weight")
 
 
 _LINE_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.config import TrackerConfig
 from trackframe.plans.views import orders_tracker_raw
-from trackframe.session import path_exists, scratch_path
+from trackframe.session import path_exists, scratch_path, staged_copy
 
 # Region codes of the legacy wave.
 REGION_CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
@@ -61,24 +61,20 @@ def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), bas
                         files_per_group: int | None = None) -> str:
     """Write the dirty orders view as drifting CSV groups; returns the folder.
 
-    By default each wave is one file; ``files_per_group`` instead splits the
-    rows round-robin so every header group is delivered as that many files.
+    ``files_per_group`` splits the rows round-robin, so that every header group
+    is delivered as about that many files.
     """
     base = base or scratch_path(spark, "waves")
     raw = orders_tracker_raw(spark, sf_dir).withColumn("__true_wave", true_wave())
-    # Three writes read the same rows: compute them once (recomputed from
-    # lineage if an executor holding them is lost), spread by wave so each
-    # wave is written by its own task and lands in its own file.
     raw = raw.where(F.col("__true_wave").isin(list(waves)))
-    raw = (raw.repartition(files_per_group) if files_per_group else raw.repartition(F.col("__true_wave"))).persist()
+    if files_per_group:
+        raw = raw.repartition(files_per_group)
     groups = [("legacy", [1], _legacy), ("renamed", [2, 3, 4], _renamed_wave), ("extra", [5, 6, 7], _extra_column)]
-    try:
+    with staged_copy(raw, "raw") as rows:  # three writes read the same rows
         for name, ws, shape in groups:
             chosen = [w for w in ws if w in set(waves)]
             if chosen:
-                write_csv(shape(raw.where(F.col("__true_wave").isin(chosen)).drop("__true_wave")), f"{base}/{name}")
-    finally:
-        raw.unpersist()
+                write_csv(shape(rows.where(F.col("__true_wave").isin(chosen)).drop("__true_wave")), f"{base}/{name}")
     return base
 
 
@@ -99,7 +95,7 @@ def drifted_waves_folder(spark: SparkSession, sf_dir: str, waves=range(1, 8),
 
 
 def stage_canonical_waves(spark: SparkSession, sf_dir: str, waves, path: str) -> str:
-    """Write the dirty orders view with the canonical header, one file per selected true wave."""
+    """Write the dirty orders view with the canonical header, for the selected true waves."""
     raw = orders_tracker_raw(spark, sf_dir)
-    write_csv(raw.where(true_wave().isin(list(waves))).repartition(true_wave()), path)
+    write_csv(raw.where(true_wave().isin(list(waves))), path)
     return path

@@ -139,20 +139,20 @@ SELECT CAST(event_id AS VARCHAR) AS respondent_id, CAST(day(ts) AS INTEGER) AS w
 FROM events"""
 
 DOCUMENT_FLAGS = """
-SELECT l.doc_id, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS weight, l.quality, l.toxic
-FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+SELECT d.doc_id, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS weight, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
 FEATURE_OUT = f"{CANONICAL}, round(weight_norm, 6) AS weight_norm, nps_segment, top2box"
 
 
 def upsert_source(tracker: str) -> str:
-    """Updated answers for some wave 2-3 keys, all of wave 6, and late wave-2 respondents."""
+    """Updated answers for some wave 2-3 keys, all of waves 6 and 7, and late wave-2 respondents."""
     return f"""
 SELECT respondent_id, wave, fieldwork_date, region, age_group, weight,
        CAST((nps_score + 1) % 11 AS INTEGER) AS nps_score, satisfaction, aware, brand_used
 FROM ({tracker}) WHERE wave IN (2, 3) AND {KEY} % 5 = 0
 UNION ALL
-SELECT {CANONICAL} FROM ({tracker}) WHERE wave = 6
+SELECT {CANONICAL} FROM ({tracker}) WHERE wave >= 6
 UNION ALL
 SELECT respondent_id || '-late' AS respondent_id, wave, fieldwork_date, region, age_group, weight,
        nps_score, satisfaction, aware, brand_used

@@ -1,64 +1,58 @@
 """Full and incremental tracker runs: raw wave files -> respondent store -> metrics.
 
-Flow of one run, and its Spark jobs:
+Flow of one run:
 
 0. with file tracking, a content-free listing of the input files; an
-   incremental run keeps only files missing from the manifest of ingested
-   files (path, size, modification time) written by earlier runs;
-1. header sniff (one job) and one tagged read of the raw CSVs, *staged once*
-   as parquet partitioned by wave under the shared folder, so later steps
-   read only the columns and the waves they need instead of re-parsing the
-   CSVs; row counts come from
-   ``Observation``s on the writes, not from extra count jobs;
-2. the waves to process: clean waves of the staged rows, minus the stored
-   waves in incremental mode (driver lists bounded by the number of waves);
-3. rejects of the processed waves, of waves that only have rejects, and of
-   rows without a wave, to a wave-partitioned side output (also when no wave
-   has clean rows to process);
-4. features (per-wave means broadcast back, see ``normalise_weights``) and a
-   dynamic-partition overwrite (parquet), a new version (versioned store) or
-   a MERGE (Delta);
-5. metrics: a full run aggregates the whole store; an incremental run
-   re-aggregates only the waves it wrote and reuses the stored aggregates of
-   the others (exact, since every aggregate and feature is within one wave),
-   then recomputes change and rank on the waves x segments table.
-
-Incremental runs process waves not yet stored, from files not yet ingested;
-late rows for a stored wave wait for a full run or for an upsert
-(``upsert_waves``).
+   incremental run leaves out files it can prove it need not read again:
+   unchanged, ingested under the same configuration, and all their waves stored;
+1. header job and one tagged read of the raw CSVs, *staged once* as parquet
+   under the shared folder, so later steps read only the columns
+   they need instead of re-parsing the CSVs;
+2. row counts per wave from the staged copy, and the waves to process: those with clean
+   rows, minus the stored waves in incremental mode;
+3. rejects: the rows of the files read replace those files' earlier rejects, so
+   a wave whose rejects were fixed keeps none;
+4. features (per-wave means joined back, see ``normalise_weights``) and a
+   dynamic-partition overwrite or a key upsert;
+5. metrics: one aggregation pass over the whole store, so they are current
+   whatever wrote to it and under whatever configuration.
+
+Incremental runs process waves not yet stored; late rows for a stored wave
+wait for a full run or for an upsert (``upsert_waves``).
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
-from urllib.parse import unquote
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.config import TrackerConfig
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON
 from trackframe.operators.features import add_features
-from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics
-from trackframe.operators.upsert import MERGE_BROADCAST_MAX_KEYS, merge_frames, stage_source
-from trackframe.session import drop_path, materialise, scratch_path, staged_copy
-from trackframe.sources.delta_store import DeltaStore
-from trackframe.sources.ingest import SOURCE_FILE, header_groups, ingest_tagged, list_wave_files
+from trackframe.operators.metrics import wave_metrics_direct
+from trackframe.operators.upsert import merge_upsert
+from trackframe.session import staged_copy
+from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, list_wave_files, literal_path
 from trackframe.sources.store import (
+    MAX_PARTITIONS,
+    TooManyPartitionsError,
     existing_waves,
+    in_partitions,
+    open_store,
     overwrite_table,
     read_store,
-    store_exists,
+    replace_file_rows,
     write_partitioned,
 )
-from trackframe.sources.versioned import commit_version, read_latest, stored_waves_versioned
 
 RESPONDENT_KEYS = ("wave", "respondent_id")
-FORMATS = ("parquet", "versioned", "delta")
+WRITE_MODES = ("overwrite", "upsert")
 
 
 @dataclass
 class RunSummary:
-    """What a run did."""
+    """Outcome of a run: its mode, the waves it wrote, and the rows of each output it produced."""
 
     mode: str
     waves_processed: list[int] = field(default_factory=list)
@@ -67,10 +61,9 @@ class RunSummary:
     metric_rows: int = 0
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        d = asdict(self)
+        row = (self.mode, self.waves_processed, self.clean_rows, self.reject_rows, self.metric_rows)
         return spark.createDataFrame(
-            [(d["mode"], d["waves_processed"], d["clean_rows"], d["reject_rows"], d["metric_rows"])],
-            "mode string, waves_processed array<int>, clean_rows bigint, reject_rows bigint, metric_rows bigint")
+            [row], "mode string, waves_processed array<int>, clean_rows bigint, reject_rows bigint, metric_rows bigint")
 
 
 def output_paths(output_dir: str) -> tuple[str, str, str]:
@@ -78,98 +71,33 @@ def output_paths(output_dir: str) -> tuple[str, str, str]:
     return f"{base}/respondents", f"{base}/metrics", f"{base}/rejects"
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def _rows(obs: Observation, df: DataFrame) -> int:
-    """Observed row count of the last action over ``df``.
-
-    Spark records no observed metrics when a write's input is empty and
-    ``Observation.get`` then fails; only in that case ``df`` is counted.
-    """
-    try:
-        return int(obs.get.get("rows", 0) or 0)
-    except Exception:  # noqa: BLE001 - py4j error of an empty observation
-        return df.count()
+def manifest_path(output_dir: str) -> str:
+    """The raw files ingested into ``output_dir``: path, size, modification time, configuration, clean waves."""
+    return f"{output_dir.rstrip('/')}/ingested_files"
 
 
-def read_respondents(spark: SparkSession, path: str, output_format: str = "parquet") -> DataFrame:
-    if output_format == "delta":
-        return DeltaStore(spark, path).snapshot()
-    return read_latest(spark, path, RESPONDENT_KEYS) if output_format == "versioned" else read_store(spark, path)
+FILE_KEYS = ["file_path", "file_size", "modified"]
 
 
-def stored_wave_list(spark: SparkSession, path: str, output_format: str = "parquet") -> list[int]:
-    if output_format == "delta":
-        return DeltaStore(spark, path).waves()
-    if output_format == "versioned":
-        return sorted(int(r[0]) for r in stored_waves_versioned(spark, path).collect() if r[0] is not None)
-    return existing_waves(spark, path)
+def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str, metrics_path: str) -> int:
+    """Recompute the wave x segment metrics of the whole store and replace the metrics table; returns its row count."""
+    overwrite_table(wave_metrics_direct(read_store(spark, resp_path), config), metrics_path)
+    return spark.read.parquet(metrics_path).count()
 
 
-def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str, metrics_path: str,
-                    output_format: str = "parquet", *, waves: list[int] | None = None) -> int:
-    """Recompute wave x segment metrics and replace the metrics table; returns its row count.
+def unread_files(spark: SparkSession, listing: DataFrame, output_dir: str, config: TrackerConfig, stored: list[int]) -> DataFrame:
+    """Files of the listing that an incremental run has to read.
 
-    With ``waves`` (an incremental run) and an existing metrics table of the
-    same shape, only those waves are re-aggregated from the store; otherwise
-    the whole store is aggregated.
+    Left out are files an earlier run ingested unchanged under the same
+    configuration whose clean waves are all stored: reading them again could
+    add no wave and would give the same rejects.
     """
-    respondents = read_respondents(spark, resp_path, output_format)
-    metrics = None
-    if waves is not None and output_format != "delta" and store_exists(spark, metrics_path):
-        previous = spark.read.parquet(metrics_path)
-        expected = set(wave_metrics(respondents.limit(0), config).columns)
-        if set(previous.columns) == expected:
-            # Materialised first: the new table must not read the files it replaces.
-            metrics = materialise(refresh_wave_metrics(previous, respondents, waves, config))
-    if metrics is None:
-        metrics = wave_metrics(respondents, config)
-    metrics, obs = _counted(metrics, "metrics")
-    if output_format == "delta":
-        DeltaStore(spark, metrics_path).replace(metrics)
-    else:
-        overwrite_table(metrics, metrics_path)
-    return _rows(obs, metrics)
-
-
-MANIFEST_KEYS = ["file_path", "file_size", "modified"]
-MANIFEST_SCHEMA = "file_path string, file_size bigint, modified timestamp, header string"
-
-
-def manifest_path(output_dir: str) -> str:
-    """The list of raw files already ingested into ``output_dir`` (path, size, modification time)."""
-    return f"{output_dir.rstrip('/')}/ingested_files"
-
-
-def write_rejects(spark: SparkSession, rejects: DataFrame, reject_path: str, replaced_files: list[str] | None) -> int:
-    """Write rejects into the wave-partitioned side output; returns the rows written.
-
-    With ``replaced_files`` (an incremental run that read only new files) the
-    rejects already stored in the touched partitions that came from *other*
-    files are kept: the touched partitions are rewritten as old rows of other
-    files + the new rejects, so the write stays idempotent per file.
-    """
-    if replaced_files is not None and store_exists(spark, reject_path):
-        with stage_source(rejects, "wave") as staged:
-            if not staged.partitions:
-                return 0
-            values = [w for w in staged.partitions if w is not None]
-            touched = F.col("wave").isin(values)
-            if None in staged.partitions:
-                touched = touched | F.col("wave").isNull()
-            files = spark.createDataFrame([(f,) for f in replaced_files], f"{SOURCE_FILE} string")
-            stored = spark.read.parquet(reject_path).where(touched)
-            if SOURCE_FILE in stored.columns:
-                stored = stored.join(files, SOURCE_FILE, "left_anti")
-            with staged_copy(stored.unionByName(staged.frame.select(*stored.columns)), "rejects") as merged:
-                write_partitioned(merged, reject_path, "wave")
-            return staged.rows
-    rejects, obs = _counted(rejects, "rejects")
-    write_partitioned(rejects, reject_path, "wave")
-    return _rows(obs, rejects)
+    manifest = open_store(spark, manifest_path(output_dir))
+    if manifest is None:
+        return listing
+    known = F.array(*[F.lit(w) for w in stored]).cast("array<int>")
+    done = manifest.where((F.col("config") == config.fingerprint()) & (F.size(F.array_except("waves", known)) == 0))
+    return listing.join(done.select(*FILE_KEYS).distinct(), FILE_KEYS, "left_anti")
 
 
 def run_tracker(
@@ -179,180 +107,93 @@ def run_tracker(
     output_dir: str,
     *,
     incremental: bool = False,
-    output_format: str = "parquet",
+    write: str = "overwrite",
     replace: str = "partitions",
     recursive: bool = False,
-    method: str = "broadcast",
     csv_options: dict | None = None,
     track_files: bool = True,
 ) -> RunSummary:
     """Run the tracker over every wave file under ``input_path`` (a folder or a list of folders).
 
-    ``output_format``: ``"parquet"`` (dynamic partition overwrite),
-    ``"versioned"`` (upsert by (wave, respondent_id) as a new version) or
-    ``"delta"`` (MERGE into a Delta table; needs delta-spark).
-    ``replace="table"`` makes a full parquet run drop stored waves that are
+    ``write``: ``"overwrite"`` replaces the waves written; ``"upsert"`` merges
+    rows by (wave, respondent_id), so stored respondents that are not in the input stay.
+    ``replace="table"`` makes a full overwriting run drop stored waves that are
     no longer in the input; the default only replaces the waves it writes.
-
-    ``track_files`` keeps a manifest of ingested files (path, size,
-    modification time) next to the outputs: a full run records every file it
-    read, and an incremental run reads only files that are new or changed
-    since, instead of re-parsing the whole history to find new waves. Waves
-    come out the same, since every clean wave of an ingested file is stored
-    by the run that read it. Without it, every run reads every file.
+    ``track_files`` keeps a manifest of ingested files next to the outputs, from which an
+    incremental run knows files it need not read (see ``unread_files``).
     """
-    if output_format not in FORMATS:
-        raise ValueError(f"output_format must be one of {FORMATS}")
-    if output_format == "delta" and not DeltaStore.available():
-        raise ValueError("output_format='delta' needs delta-spark and a Delta-enabled session; "
-                         "'versioned' gives upserts and as-of reads on plain parquet")
+    if write not in WRITE_MODES:
+        raise ValueError(f"write must be one of {WRITE_MODES}")
     if replace not in ("partitions", "table"):
         raise ValueError("replace must be 'partitions' or 'table'")
     config = config or TrackerConfig()
     mode = "incremental" if incremental else "full"
     resp_path, metrics_path, reject_path = output_paths(output_dir)
-
-    # 0. Which files to read: all of them, or (incremental, tracked) the files
-    #    not in the manifest of an earlier run; headers recorded there for
-    #    unchanged files are reused instead of sniffed again.
-    files_path = manifest_path(output_dir)
-    read_files = groups = None
-    source, pattern, nested = input_path, "*.csv", recursive
-    if track_files:
-        listing = list_wave_files(spark, input_path, recursive=recursive)
-        manifest = (spark.read.option("mergeSchema", "true").parquet(files_path)
-                    if store_exists(spark, files_path) else None)
-        if incremental and manifest is not None and store_exists(spark, resp_path):
-            fresh = listing.join(manifest.select(*MANIFEST_KEYS), MANIFEST_KEYS, "left_anti")
-        elif manifest is not None and "header" in manifest.columns:
-            # Unchanged files keep the header recorded by an earlier run.
-            fresh = listing.join(manifest.select(*MANIFEST_KEYS, "header").dropDuplicates(MANIFEST_KEYS),
-                                 MANIFEST_KEYS, "left")
-        else:
-            fresh = listing
-        # File metadata only: one small row per file to read in this run.
-        read_files = fresh.collect()
-        if incremental and not read_files:
-            return RunSummary(mode, [], 0, 0, _stored_metric_rows(spark, metrics_path, output_format))
-        known = {d["file_path"]: d["header"] for d in (r.asDict() for r in read_files)
-                 if d.get("header") is not None}
-        source, pattern, nested = [r["file_path"] for r in read_files], "", False
-        groups = header_groups(spark, source, known, csv_options)
-
-    # 1. One read of the raw files, staged as parquet. The distinct clean and
-    #    reject waves are observed on the way (sets of wave numbers: bounded by
-    #    the number of waves, merged from per-task partial sets).
-    staged_path = scratch_path(spark, "staged")
-    try:
-        tagged = ingest_tagged(spark, source, config, pattern=pattern, recursive=nested, keep_source=True,
-                               csv_options=csv_options, groups=groups)
-        waves_seen = Observation("waves")
-        is_clean = F.col(REJECT_REASON).isNull()
-        tagged.observe(waves_seen,
-                       F.collect_set(F.when(is_clean, F.col("wave"))).alias("clean"),
-                       F.collect_set(F.when(~is_clean, F.col("wave"))).alias("rejected")
-                       ).write.partitionBy("wave").parquet(staged_path)
-        staged = spark.read.parquet(staged_path).withColumn("wave", F.col("wave").cast("int"))
-        clean = staged.where(is_clean)
-        rejects = staged.where(~is_clean)
-        try:
-            seen = waves_seen.get
-            clean_waves, reject_waves_seen = set(seen["clean"]), set(seen["rejected"])
-        except Exception:  # noqa: BLE001 - nothing observed: the files held no rows
-            clean_waves, reject_waves_seen = set(), set()
-
-        # 2. Waves to process.
-        available = sorted(clean_waves)
-        done = stored_wave_list(spark, resp_path, output_format) if incremental else []
-        to_process = [w for w in available if w not in set(done)]
-
-        # 3. Rejects: processed waves, waves with nothing but rejects, rows without a wave.
-        reject_waves = set(to_process) | (reject_waves_seen - set(available) - set(done))
-        rejects_new = rejects.where(F.col("wave").isin(sorted(reject_waves)) | F.col("wave").isNull())
-        replaced = [r["file_path"] for r in read_files] if (incremental and read_files is not None) else None
-        reject_rows = write_rejects(spark, rejects_new, reject_path, replaced)
-
-        if not to_process:
-            _record_files(spark, files_path, read_files, incremental, groups)
-            return RunSummary(mode, [], 0, reject_rows, _stored_metric_rows(spark, metrics_path, output_format))
-
-        # 4. Features and the respondent store.
-        features = add_features(clean.where(F.col("wave").isin(to_process)).select(*CANONICAL_COLUMNS),
-                                config, method=method)
-        features, clean_obs = _counted(features, "clean")
-        if output_format == "versioned":
-            commit_version(spark, features, resp_path, RESPONDENT_KEYS, "wave")
-        elif output_format == "delta":
-            DeltaStore(spark, resp_path).upsert(features, RESPONDENT_KEYS, "wave")
-        elif replace == "table" and not incremental:
-            (features.write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy("wave").parquet(resp_path))
-        else:
-            write_partitioned(features, resp_path, "wave")
-        clean_rows = _rows(clean_obs, features)
-
-        # 5. Metrics.
-        metric_rows = refresh_metrics(spark, config, resp_path, metrics_path, output_format,
-                                      waves=to_process if incremental else None)
-        _record_files(spark, files_path, read_files, incremental, groups)
-        return RunSummary(mode, to_process, clean_rows, reject_rows, metric_rows)
-    finally:
-        # The staging copy is only needed during the run.
-        drop_path(spark, staged_path)
-
-
-def _stored_metric_rows(spark: SparkSession, metrics_path: str, output_format: str) -> int:
-    if output_format == "delta":
-        store = DeltaStore(spark, metrics_path)
-        return store.snapshot().count() if store.exists() else 0
-    return spark.read.parquet(metrics_path).count() if store_exists(spark, metrics_path) else 0
-
-
-def _record_files(spark: SparkSession, files_path: str, read_files, incremental: bool, groups) -> None:
-    """After a successful run: add the files it read (incremental) or replace the list (full).
-
-    Each file's header line is kept, so a later full run needs no header job
-    for files that did not change.
-    """
-    if read_files is None:
-        return
-    header_of = {unquote(f): g.header for g in (groups or []) for f in g.files}
-    rows = [(r["file_path"], r["file_size"], r["modified"], header_of.get(unquote(r["file_path"])))
-            for r in read_files]
-    spark.createDataFrame(rows, MANIFEST_SCHEMA).write.mode("append" if incremental else "overwrite") \
-        .parquet(files_path)
-
-
-def upsert_waves(
-    spark: SparkSession,
-    new_clean: DataFrame,
-    resp_path: str,
-    config: TrackerConfig | None = None,
-    *,
-    method: str = "broadcast",
-) -> list[int]:
-    """Merge clean canonical rows into the parquet store by key, wave by wave.
+    done = existing_waves(spark, resp_path) if incremental else []
+    listing = list_wave_files(spark, input_path, recursive=recursive)
+    if incremental and track_files:
+        listing = unread_files(spark, listing, output_dir, config, done)
+
+    with staged_copy(listing, "files") as files:
+        paths = [literal_path(r["file_path"]) for r in files.select("file_path").collect()]
+        if not paths:
+            if incremental:
+                return RunSummary(mode, metric_rows=_rows(spark, metrics_path))
+            raise FileNotFoundError(f"no wave files found in {input_path!r}")
+        tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options)
+        with staged_copy(tagged, "tagged") as staged:
+            is_clean = F.col(REJECT_REASON).isNull()
+            counts = staged.groupBy("wave").agg(F.count_if(is_clean).alias("clean"), F.count_if(~is_clean).alias("rejected"))
+            by_wave = counts.limit(MAX_PARTITIONS + 1).collect()
+            if len(by_wave) > MAX_PARTITIONS:
+                raise TooManyPartitionsError(f"more than {MAX_PARTITIONS} waves; is the wave column mapped right?")
+            clean_rows = {r["wave"]: r["clean"] for r in by_wave if r["clean"]}
+            to_process = sorted(set(clean_rows) - set(done))
+
+            replace_file_rows(spark, staged.where(~is_clean), reject_path, files.select(F.col("file_path").alias(SOURCE_FILE))
+                              if incremental else None, SOURCE_FILE)
+            if to_process:
+                clean = staged.where(is_clean & in_partitions(to_process)).select(*CANONICAL_COLUMNS)
+                if write == "upsert":
+                    upsert_waves(spark, clean, resp_path, config)
+                else:
+                    write_partitioned(add_features(clean, config), resp_path, "wave", static=replace == "table" and not incremental)
+            metric_rows = refresh_metrics(spark, config, resp_path, metrics_path) if open_store(spark, resp_path) is not None else 0
+            if track_files:
+                waves = staged.where(is_clean).groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(F.collect_set("wave").alias("waves"))
+                _record_files(spark, files.join(waves, "file_path", "left"), output_dir, config, incremental)
+            return RunSummary(mode, to_process, sum(clean_rows[w] for w in to_process), sum(r["rejected"] for r in by_wave), metric_rows)
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    stored = open_store(spark, path)
+    return 0 if stored is None else stored.count()
+
+
+def _record_files(spark: SparkSession, files: DataFrame, output_dir: str, config: TrackerConfig, incremental: bool) -> None:
+    """After a run: add the files it read to the manifest (incremental) or replace the list (full)."""
+    rows = files.select(*FILE_KEYS, F.lit(config.fingerprint()).alias("config"),
+                        F.coalesce("waves", F.array().cast("array<int>")).alias("waves"))
+    rows.coalesce(1).write.mode("append" if incremental else "overwrite").parquet(manifest_path(output_dir))
+
+
+def upsert_waves(spark: SparkSession, new_clean: DataFrame, resp_path: str, config: TrackerConfig | None = None, *,
+                 metrics_path: str | None = None, on_duplicate: str = "error", order_col: str | None = None) -> list:
+    """Merge clean canonical rows into the store by key, wave by wave; returns the touched waves.
 
     Unlike a plain key upsert, the within-wave weight normalisation of every
     touched wave is recomputed over the merged wave (stored rows + new rows),
     so a partial delivery of a wave leaves the same features as a full one.
-    Returns the touched waves.
+    Duplicates are treated as in ``merge_upsert``. With ``metrics_path`` the metrics
+    table is brought up to date; every run does that, too.
     """
     config = config or TrackerConfig()
-    with stage_source(new_clean.select(*CANONICAL_COLUMNS), "wave") as staged:
-        touched = [w for w in staged.partitions if w is not None]
-        if not touched:
-            return []
-        if not store_exists(spark, resp_path):
-            write_partitioned(add_features(staged.frame, config, method=method), resp_path, "wave")
-            return touched
-        stored = read_store(spark, resp_path).where(F.col("wave").isin(touched)).select(*CANONICAL_COLUMNS)
-        merged = merge_frames(stored, staged.frame, RESPONDENT_KEYS,
-                              broadcast_keys=staged.rows <= MERGE_BROADCAST_MAX_KEYS)
-        # Staged before the overwrite: the write must not read the files it replaces.
-        with staged_copy(merged, "merged") as merged_copy:
-            write_partitioned(add_features(merged_copy, config, method=method), resp_path, "wave")
-        return touched
-
-
-__all__ = ["RunSummary", "output_paths", "read_respondents", "refresh_metrics", "run_tracker", "upsert_waves"]
+    touched = merge_upsert(spark, new_clean.select(*CANONICAL_COLUMNS, *([order_col] if order_col and order_col not in CANONICAL_COLUMNS else [])),
+                           resp_path, RESPONDENT_KEYS, on_duplicate=on_duplicate, order_col=order_col,
+                           finish=lambda merged: add_features(merged.select(*CANONICAL_COLUMNS), config))
+    if metrics_path and touched:
+        refresh_metrics(spark, config, resp_path, metrics_path)
+    return touched
+
+
+__all__ = ["RunSummary", "manifest_path", "output_paths", "refresh_metrics", "run_tracker", "upsert_waves"]

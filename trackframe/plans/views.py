@@ -109,8 +109,8 @@ def events_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents: 0/1 quality and toxic flags, weighted by length."""
+    """All documents, weighted by length, with their 0/1 quality and toxic flags (null where not labelled)."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return labels.join(docs, "doc_id").select(
+    return docs.join(labels, "doc_id", "left").select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("weight"), "quality", "toxic")

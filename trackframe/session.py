@@ -1,7 +1,7 @@
-"""Session-level helpers: the shared scratch folder and size-checked broadcast.
+"""Session-level helpers: the shared scratch folder and staged tables.
 
 The library never owns the session. It reads the cluster's shared checkpoint
-folder (``spark.checkpoint.dir``) for anything it has to materialise, and only
+folder (``spark.checkpoint.dir``) for anything it has to write in between, and only
 sets one itself when none is configured (local runs and tests).
 """
 
@@ -12,12 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-
-# Row bound under which a materialised lookup side is broadcast. Rows of the
-# lookups broadcast here are a key plus one or two numbers (< 100 bytes), so
-# the bound keeps a broadcast under ~100 MB.
-BROADCAST_MAX_ROWS = 1_000_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -83,10 +78,10 @@ def drop_path(spark: SparkSession, path: str) -> bool:
 def staged_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Write ``df`` once as parquet under the shared folder; yield a frame over it; delete it on exit.
 
-    For large intermediate results that must not be recomputed (or must not
+    For intermediate results that must not be recomputed (or must not
     read files that are about to be replaced): parquet is columnar and
-    compressed, survives executor loss like a checkpoint, and is removed as
-    soon as the caller's write has committed.
+    compressed, survives executor loss like a checkpoint, carries byte statistics
+    for the planner, and is removed as soon as the caller's write has committed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -95,41 +90,3 @@ def staged_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         drop_path(spark, path)
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut lineage (small results).
-
-    A reliable checkpoint survives the loss of the executors that computed it.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, *,
-                      materialise_first: bool = True) -> tuple[DataFrame, bool]:
-    """Mark ``small`` for broadcast only if its row count is proven to be at most ``max_rows``.
-
-    Returns ``(frame, broadcast?)``. Above ``max_rows`` the frame comes back
-    unhinted, so the join that uses it plans as a shuffle join (with AQE skew
-    splitting) instead of shipping an unbounded table to every executor.
-
-    ``materialise_first`` checkpoints ``small`` before counting, so a lookup
-    derived from a large input (an aggregate) is computed once, not once for
-    the check and again for the join. A lookup read straight from small base
-    tables is only counted.
-    """
-    if materialise_first:
-        # The row count is observed while the checkpoint is written: no extra job.
-        rows = Observation("rows")
-        frame = materialise(small.observe(rows, F.count(F.lit(1)).alias("n")))
-        try:
-            n = int(rows.get["n"])
-        except Exception:  # noqa: BLE001 - nothing observed: the frame is empty
-            n = 0
-    else:
-        frame = small
-        n = frame.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(frame), True
-    return frame, False

@@ -5,23 +5,27 @@ positionally to every file: a file whose columns come in another order is
 silently misread. Reading one file at a time is correct but costs a job and a
 plan branch per file. Instead:
 
-1. one Spark job reads the first line of every file (``wave_file_headers``);
-2. files are grouped by header text on the driver (file metadata only);
+1. one Spark job reads the start of every file (``wave_file_headers``);
+2. files are grouped by header text;
 3. each distinct header gets one CSV scan over all its files, with an explicit
    all-text schema in that header's order;
 4. each group is harmonised and tagged by the contract, and the groups are
    unioned by name.
 
 The plan therefore grows with the number of distinct headers, not files.
-Parsing stays in Spark's CSV reader; no row passes through Python.
+Parsing stays in Spark's CSV reader; no data row passes through Python. The
+driver holds file metadata: a path and a header per file, some 200 bytes each.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Mapping, Sequence
+import re
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -36,6 +40,8 @@ from trackframe.operators.contract import (
 from trackframe.operators.harmonise import harmonise
 
 SOURCE_FILE = "source_file"
+# Lines a header task asks of its file at a time; it stops at the first that is not blank.
+HEADER_LINES = 16
 
 
 @dataclass(frozen=True)
@@ -47,56 +53,74 @@ class HeaderGroup:
     files: tuple[str, ...]
 
 
-def _listing(spark: SparkSession, input_path: str | Sequence[str], pattern: str, recursive: bool):
-    paths = [input_path] if isinstance(input_path, str) else list(input_path)
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(paths)
+def _paths(input_path: str | Sequence[str]) -> list[str]:
+    return [input_path] if isinstance(input_path, str) else list(input_path)
 
 
-def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
-                      recursive: bool = False) -> DataFrame:
-    """``(file_path, header)``: the first non-blank line of every matching file, in one job.
+def literal_path(path: str) -> str:
+    """A file's path with glob characters escaped, so that a reader takes it literally."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
-    Only the first split of each file can hold its first line; within a split
-    rows keep file order, so the header is the earliest line of block 0.
-    """
-    lines = _listing(spark, input_path, pattern, recursive).select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-    )
-    # Blank lines are skipped, as Spark's CSV reader skips them before its header line.
-    first_split = (lines.where(F.col("block_start") == 0).withColumn("pos", F.monotonically_increasing_id())
-                   .where(F.trim(F.col("value")) != ""))
-    return first_split.groupBy("file_path").agg(F.min_by("value", "pos").alias("header"))
+
+def _plain(file_path: F.Column) -> F.Column:
+    """``_metadata.file_path`` (URL-encoded) as the path that listings and readers use."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
 
 
 def list_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
                     recursive: bool = False) -> DataFrame:
-    """``(file_path, file_size, modified)`` of the matching files, from the listing alone.
+    """``(file_path, file_size, modified)`` of the matching files, empty ones too, from the listing alone.
 
     The ``binaryFile`` source reads no content when ``content`` is not
     selected, so this costs a directory listing, not a scan.
     """
-    paths = [input_path] if isinstance(input_path, str) else list(input_path)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(paths).select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
-                                     F.col("modificationTime").alias("modified"))
+    return reader.load(_paths(input_path)).select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
+
+
+def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
+                      recursive: bool = False) -> DataFrame:
+    """``(file_path, header)``: the first non-blank line of every matching non-empty file, in one job.
+
+    The job runs in a session of its own, whose settings give every file one
+    task and a task a few lines at a time: a task stops at the first line that
+    is not blank, so it reads the start of its file and no more.
+    """
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.files.maxPartitionBytes", str((1 << 63) - 1))  # a file is one split
+    probe.conf.set("spark.sql.files.openCostInBytes", str(1 << 62))  # and a split one task
+    probe.conf.set("spark.sql.files.minPartitionNum", "1")
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEADER_LINES))
+    reader = probe.read.option("recursiveFileLookup", str(recursive).lower())
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    lines = reader.text(_paths(input_path)).select("value", F.col("_metadata.file_path").alias("file_path"))
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if value.strip():  # Spark's CSV reader skips blank lines before its header, too
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([value])], ["file_path", "header"])
+                    return
+    found = lines.mapInArrow(first_line, "file_path string, header string").collect()
+    return spark.createDataFrame([(unquote(r["file_path"]), r["header"]) for r in found], "file_path string, header string")
 
 
 def parse_header(header: str, sep: str = ",", quote: str = '"') -> tuple[str, ...]:
-    """Column names of a CSV header line: BOM removed, names trimmed, blanks and repeats made unique."""
+    """Column names of a CSV header line: BOM removed, names trimmed, blanks and repeats (in any case) made unique."""
     fields = next(csv.reader([header.lstrip("\ufeff").rstrip("\r")], delimiter=sep, quotechar=quote), [])
     names: list[str] = []
+    taken = {f.strip().lower() for f in fields}
+    seen: set[str] = set()
     for i, raw in enumerate(fields):
-        name = raw.strip() or f"_c{i}"
-        base, k = name, 2
-        while name in names:
+        name = base = raw.strip() or f"_c{i}"
+        k = 2
+        while name.lower() in seen or name != base and name.lower() in taken:
             name, k = f"{base}_{k}", k + 1
+        seen.add(name.lower())
         names.append(name)
     return tuple(names)
 
@@ -111,33 +135,11 @@ def group_files_by_header(headers: DataFrame, csv_options: Mapping[str, str] | N
     return [HeaderGroup(h, parse_header(h, sep, quote), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
 
 
-def header_groups(spark: SparkSession, files: Sequence[str], known: Mapping[str, str] | None = None,
-                  csv_options: Mapping[str, str] | None = None) -> list[HeaderGroup]:
-    """Header groups of an explicit file list, sniffing only files whose header is not ``known``.
-
-    ``known`` maps file path -> header line (e.g. cached from an earlier run);
-    the header job runs only for the rest, or not at all.
-    """
-    wanted = set(files)
-    known = {f: h for f, h in (known or {}).items() if h is not None and f in wanted}
-    rows = [(f, h) for f, h in known.items()]
-    unknown = [f for f in files if f not in known]
-    if unknown:
-        sniffed = wave_file_headers(spark, unknown, pattern="")
-        rows += [(r["file_path"], r["header"]) for r in sniffed.collect()]
-    opts = dict(csv_options or {})
-    sep, quote = opts.get("sep", opts.get("delimiter", ",")), opts.get("quote", '"')
-    by_header: dict[str, list[str]] = {}
-    for f, h in rows:
-        by_header.setdefault(h, []).append(f)
-    return [HeaderGroup(h, parse_header(h, sep, quote), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
-
-
 def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
                         recursive: bool = False) -> list[str]:
-    """Sorted paths of the wave files under ``input_path`` (empty list if none)."""
-    return sorted(f for g in group_files_by_header(
-        wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive)) for f in g.files)
+    """Sorted paths of the wave files under ``input_path``, empty ones included (empty list if none)."""
+    files = list_wave_files(spark, input_path, pattern=pattern, recursive=recursive)
+    return sorted(r["file_path"] for r in files.select("file_path").collect())
 
 
 def read_header_group(spark: SparkSession, group: HeaderGroup,
@@ -151,8 +153,8 @@ def read_header_group(spark: SparkSession, group: HeaderGroup,
     schema = StructType([StructField(c, StringType(), True) for c in group.columns])
     reader = spark.read.options(**{"mode": "PERMISSIVE", **dict(csv_options or {})})
     df = (reader.schema(schema).option("header", "true").option("enforceSchema", "true")
-          .option("inferSchema", "false").csv(list(group.files)))
-    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+          .option("inferSchema", "false").csv([literal_path(f) for f in group.files]))
+    return df.select("*", _plain(F.col("_metadata.file_path")).alias(SOURCE_FILE))
 
 
 def ingest_tagged(
@@ -167,21 +169,21 @@ def ingest_tagged(
     keep_source: bool = False,
     keep_raw: bool = False,
     csv_options: Mapping[str, str] | None = None,
-    groups: Sequence[HeaderGroup] | None = None,
 ) -> DataFrame:
     """Every wave file as contract-tagged rows (``reject_reason`` null = clean).
 
     Raises ``FileNotFoundError`` when no file matches. ``only_waves`` keeps
-    those waves only (rows with a null wave never match). ``groups`` (from
-    ``header_groups``) replaces the header job when the headers are known.
+    those waves only (rows with a null wave never match). Files without any
+    line add no rows; if all are such, the result is empty.
     """
     config = config or TrackerConfig()
-    if groups is None:
-        groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive),
-                                       csv_options)
-    if not groups:
-        raise FileNotFoundError(f"no wave files ({pattern}) found in {input_path!r}")
+    groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive), csv_options)
     carry = (SOURCE_FILE,) if keep_source else ()
+    if not groups:
+        if not discover_wave_files(spark, input_path, pattern=pattern, recursive=recursive):
+            raise FileNotFoundError(f"no wave files ({pattern}) found in {input_path!r}")
+        fields = [f"`{c}` string" for c in (*contract.columns, *carry)]
+        return tag_rows(spark.createDataFrame([], ", ".join(fields)), contract, strict_parse=config.strict_parse, keep_raw=keep_raw, carry=carry)
     parts = []
     for g in groups:
         raw = harmonise(read_header_group(spark, g, csv_options), config.rename_map, recode_maps=config.value_maps())
@@ -213,10 +215,10 @@ __all__ = [
     "REJECT_REASON",
     "discover_wave_files",
     "group_files_by_header",
-    "header_groups",
     "ingest_tagged",
     "ingest_waves",
     "list_wave_files",
+    "literal_path",
     "parse_header",
     "read_header_group",
     "wave_file_headers",

@@ -14,11 +14,33 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.operators.contract import CANONICAL_COLUMNS
-from trackframe.session import path_exists
+from trackframe.session import drop_path, path_exists, staged_copy
 
 FEATURE_COLUMNS = ["weight_norm", "nps_segment", "top2box"]
 RESPONDENT_COLUMNS = CANONICAL_COLUMNS + FEATURE_COLUMNS
 
+# More distinct partition values than this mean a mis-mapped column, not a tracker.
+MAX_PARTITIONS = 100_000
+
+
+class TooManyPartitionsError(ValueError):
+    """A partition column holds implausibly many values; nothing was written."""
+
+
+def partition_values(df: DataFrame, partition_col: str = "wave") -> list:
+    """Distinct values of a partition column, ascending, a null last; at most ``MAX_PARTITIONS``."""
+    rows = df.select(partition_col).distinct().limit(MAX_PARTITIONS + 1).collect()
+    if len(rows) > MAX_PARTITIONS:
+        raise TooManyPartitionsError(f"{partition_col} has more than {MAX_PARTITIONS} distinct values; is it the right column?")
+    values = [r[0] for r in rows]
+    return sorted(v for v in values if v is not None) + ([None] if None in values else [])
+
+
+def in_partitions(values: Sequence, partition_col: str = "wave") -> F.Column:
+    """Condition: the partition column is one of ``values`` (None matches null)."""
+    known = F.col(partition_col).isin([v for v in values if v is not None])
+    return known | F.col(partition_col).isNull() if None in values else known
+
 
 def write_partitioned(
     df: DataFrame,
@@ -26,23 +48,21 @@ def write_partitioned(
     partition_col: str | Sequence[str] = "wave",
     mode: str = "overwrite",
     *,
-    rebalance: bool = False,
+    rebalance: bool = True,
+    static: bool = False,
     max_records_per_file: int | None = 5_000_000,
 ) -> None:
     """Write parquet partitioned by ``partition_col``; overwrite replaces only the partitions written.
 
-    Input already clustered by the partition column (a scan of a partitioned
-    store or staging table) writes one file per task and partition without
-    any shuffle, so that is the default. For an arbitrary frame,
-    ``rebalance=True`` adds a REBALANCE on the partition columns first: rows
-    of one partition meet in few tasks (few large files instead of one small
-    file per task per partition) and AQE splits a hot partition over several
-    tasks, at the price of a shuffle. ``max_records_per_file`` caps file size.
+    A REBALANCE on the partition columns comes first: rows of one partition
+    meet in few tasks, so files are near the advisory size instead of one
+    small file per task and partition, and AQE splits a hot partition over
+    several tasks. ``static`` replaces the whole table instead.
     """
     cols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     if rebalance:
         df = df.hint("rebalance", *cols)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static" if static else "dynamic").partitionBy(*cols)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
@@ -53,44 +73,64 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def store_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable parquet dataset."""
+def open_store(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset at ``path`` (listed and its schema resolved once), or None if there is none."""
     if not path_exists(spark, path):
-        return False
+        return None
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - file listing + footer only
-        return True
+        return spark.read.parquet(path)
     except AnalysisException:
-        return False
+        return None
 
 
-def read_store(spark: SparkSession, path: str, column_order: Sequence[str] = RESPONDENT_COLUMNS) -> DataFrame:
-    """Read a partitioned store with its columns back in table order.
+def store_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable parquet dataset."""
+    return open_store(spark, path) is not None
 
-    Partition discovery puts the partition column last; columns named in
-    ``column_order`` come first in that order, any others keep theirs.
-    """
-    df = spark.read.parquet(path)
+
+def in_table_order(df: DataFrame, column_order: Sequence[str] = RESPONDENT_COLUMNS) -> DataFrame:
+    """``df`` with the columns named in ``column_order`` first, in that order."""
     first = [c for c in column_order if c in df.columns]
     return df.select(*first, *[c for c in df.columns if c not in first])
 
 
+def read_store(spark: SparkSession, path: str, column_order: Sequence[str] = RESPONDENT_COLUMNS) -> DataFrame:
+    """Read a partitioned store with its columns back in table order (partition discovery puts that column last)."""
+    return in_table_order(spark.read.parquet(path), column_order)
+
+
 def stored_waves(spark: SparkSession, path: str, partition_col: str = "wave") -> DataFrame:
     """Distinct stored partition values as a one-column frame (empty if no store)."""
-    if not store_exists(spark, path):
-        return spark.createDataFrame([], f"{partition_col} int")
-    df = spark.read.parquet(path)
-    if partition_col not in df.columns:
+    df = open_store(spark, path)
+    if df is None or partition_col not in df.columns:
         return spark.createDataFrame([], f"{partition_col} int")
     return df.select(partition_col).distinct()
 
 
 def existing_waves(spark: SparkSession, path: str, partition_col: str = "wave") -> list[int]:
-    """Sorted stored partition values; bounded by the number of partition folders."""
-    return sorted(int(r[0]) for r in stored_waves(spark, path, partition_col).collect() if r[0] is not None)
+    """Sorted stored partition values; bounded by ``MAX_PARTITIONS``."""
+    return [int(v) for v in partition_values(stored_waves(spark, path, partition_col), partition_col) if v is not None]
 
 
 def pending_waves(available: DataFrame, stored: DataFrame, wave_col: str = "wave") -> DataFrame:
     """Waves present in ``available`` and not yet in ``stored`` (left anti join)."""
     return (available.select(wave_col).where(F.col(wave_col).isNotNull()).distinct()
             .join(stored.select(wave_col), wave_col, "left_anti"))
+
+
+def replace_file_rows(spark: SparkSession, new: DataFrame, path: str, files: DataFrame | None, file_col: str,
+                      partition_col: str = "wave") -> None:
+    """Replace a side table's rows of the read ``files`` by ``new``; with ``files`` None, all rows.
+
+    The rows of other files stay. The table is rewritten from a staged copy,
+    so rows that are gone leave no stale partition behind; without rows the table goes.
+    """
+    stored = open_store(spark, path) if files is not None else None
+    if stored is not None and file_col in stored.columns:
+        kept = stored.join(files.select(file_col), file_col, "left_anti").select(*new.columns)
+        new = kept.unionByName(new)
+    with staged_copy(new, "side") as staged:
+        if staged.isEmpty():
+            drop_path(spark, path)
+        else:
+            write_partitioned(staged, path, partition_col, static=True)

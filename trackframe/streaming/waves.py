@@ -8,9 +8,12 @@ those files:
 * clean rows merged into the respondent store by (wave, respondent_id), with
   the within-wave weight normalisation recomputed over each *whole* touched
   wave, because a batch may carry only part of a wave (``upsert_waves``);
-* rejects written under ``rejects/_batch=<epoch>/``, replaced if a batch is
-  replayed;
-* metrics re-aggregated for the touched waves (``refresh_metrics``).
+* rejects into the same wave-partitioned side output as the batch runs, where
+  they replace the files' earlier rejects if a batch is replayed;
+* metrics recomputed from the store (``refresh_metrics``).
+
+The batch's files are parsed once, into a staged copy that all steps read.
+A key that comes twice in one batch is an error, as in every upsert.
 
 Every step is idempotent per batch, so the at-least-once replay of
 ``foreachBatch`` after a failure leaves the same tables. The checkpoint
@@ -27,25 +30,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trackframe.config import TrackerConfig
 from trackframe.operators.contract import REJECT_REASON
-from trackframe.plans.run import output_paths, refresh_metrics, upsert_waves
-from trackframe.sources.ingest import ingest_tagged
-from trackframe.sources.store import write_partitioned
+from trackframe.plans.run import output_paths, upsert_waves
+from trackframe.session import staged_copy
+from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, literal_path
+from trackframe.sources.store import replace_file_rows
 
+# Files of one micro-batch unless the caller says otherwise.
+MAX_FILES_PER_TRIGGER = 1000
 
 # The fixed schema of the binaryFile source (streams must be given one).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def process_files(spark: SparkSession, paths: list[str], output_dir: str, config: TrackerConfig,
-                  batch_id: int, csv_options: dict | None = None) -> None:
+                  csv_options: dict | None = None) -> None:
     """Apply one batch of newly landed wave files to the output tables."""
     resp_path, metrics_path, reject_path = output_paths(output_dir)
-    tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options)
-    clean = tagged.where(F.col(REJECT_REASON).isNull())
-    rejects = tagged.where(F.col(REJECT_REASON).isNotNull()).withColumn("_batch", F.lit(batch_id))
-    touched = upsert_waves(spark, clean, resp_path, config)
-    write_partitioned(rejects, reject_path, "_batch")
-    refresh_metrics(spark, config, resp_path, metrics_path, waves=touched)
+    tagged = ingest_tagged(spark, [literal_path(p) for p in paths], config, pattern="", keep_source=True, csv_options=csv_options)
+    with staged_copy(tagged, "batch") as staged:
+        is_clean = F.col(REJECT_REASON).isNull()
+        upsert_waves(spark, staged.where(is_clean), resp_path, config, metrics_path=metrics_path)
+        files = spark.createDataFrame([(p,) for p in paths], f"{SOURCE_FILE} string")
+        replace_file_rows(spark, staged.where(~is_clean), reject_path, files, SOURCE_FILE)
 
 
 def stream_waves(
@@ -55,7 +61,7 @@ def stream_waves(
     config: TrackerConfig | None = None,
     *,
     checkpoint_location: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
     available_now: bool = True,
     csv_options: dict | None = None,
 ) -> StreamingQuery:
@@ -64,15 +70,13 @@ def stream_waves(
     # A binaryFile stream that selects only ``path`` lists new files without
     # reading their content; the batch then reads them once, as CSV.
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(input_glob).select(F.col("path").alias("file_path"))
+    files = reader.option("maxFilesPerTrigger", max_files_per_trigger).load(input_glob).select(F.col("path").alias("file_path"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         # The distinct files of one micro-batch: bounded by maxFilesPerTrigger.
         paths = sorted(r[0] for r in batch.distinct().collect())
         if paths:
-            process_files(batch.sparkSession, paths, output_dir, config, batch_id, csv_options)
+            process_files(batch.sparkSession, paths, output_dir, config, csv_options)
 
     writer = (files.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_location or f"{output_dir.rstrip('/')}/_checkpoint"))
