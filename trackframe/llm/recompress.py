@@ -5,8 +5,9 @@ of what it stands for, so every task gives equal runs and pairs the same name
 without a shared dictionary. Pairs are formed by a fixed two-way split of the names
 (left symbols with right ones), so inside equal word sequences the same symbols arise,
 but for a few at the edges; for each window those edges are tracked exactly and only
-its interior symbols, which its words alone determine, are used. The smallest
-pair of interior symbols of the highest level is the window's anchor.
+its interior symbols, which its words alone determine, are used. The smallest name
+of three adjacent interior symbols (two, where there are no three) of the
+highest level is the window's anchor.
 
 Anchors met in more than one document reveal candidate windows; these are
 compared by 96-bit hashes of their words and the smallest id that holds each window is found.
@@ -20,11 +21,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from .hashfilter import hash_filter, maybe_in
 from .staging import stage
-from .textops import U64, byte_prefix, map_slices, mix, prefix_hash, span_hash, utf8, words
+from .textops import U64, byte_prefix, map_batches, map_slices, mix, prefix_hash, span_hash, utf8, words
 
 WINDOW = 13
 ROUNDS = 2
 LAST = (1 << 63) - 1
+# Text handled at once: several arrays of eight bytes a byte are alive at a time.
+SLICE = 1 << 20
 
 
 def parse(names: np.ndarray, bounds: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS):
@@ -79,20 +82,23 @@ def window_starts(bounds: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 def anchors(names: np.ndarray, bounds: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
-    """Each window's anchor: the least named pair of adjacent interior symbols, of the highest level that has one."""
+    """Each window's anchor: the least name of adjacent interior symbols of the highest level, of three rather than two."""
     out = None
     for level, x, low, high in parse(names, bounds, window, rounds):
         if out is None:
             out = np.zeros(len(low), U64)
-        have = high - low >= 2
-        if not have.any():
-            continue
-        grams = np.concatenate([mix(x[:-1] * U64(7) + mix(x[1:] + U64(level))), np.full(2, np.iinfo(U64).max)])
-        a, b = low[have], high[have] - 1
-        new = np.ones(len(a), bool)  # neighbouring windows often share their interior
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        least = np.minimum.reduceat(grams, np.stack([a[new], b[new]], axis=1).ravel())[::2]
-        out[have] = least[np.cumsum(new) - 1]
+        grams = x
+        for size in (2, 3):
+            grams = mix(grams[:-1] * U64(7) + mix(x[size - 1:] + U64(level)))
+            have = high - low >= size
+            if not have.any():
+                break
+            padded = np.concatenate([grams, np.full(size, np.iinfo(U64).max)])
+            a, b = low[have], high[have] - size + 1
+            new = np.ones(len(a), bool)  # neighbouring windows often share their interior
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            least = np.minimum.reduceat(padded, np.stack([a[new], b[new]], axis=1).ravel())[::2]
+            out[have] = least[np.cumsum(new) - 1]
     return out
 
 
@@ -106,33 +112,42 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(doc, tag, whole, places)`` of the texts with words to remove.
+def twin_filter(docs: DataFrame):
+    """Filter of the ids that several rows share; only their places need to say which text they are of."""
+    return hash_filter(docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("doc").alias("h")), "h")
+
+
+def _high(twins, ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Upper half of the text hash for rows whose id is shared, else 0; ``ids`` are hashed ids."""
+    return np.where(maybe_in(twins, ids.view(U64)), tags >> 32, 0)
+
+
+def repeated_windows(docs: DataFrame, twins, window: int = WINDOW) -> DataFrame:
+    """``(doc, high, whole, places)`` of the texts with words to remove.
 
     ``docs`` has ``doc`` (id order key), ``tag`` (text hash) and ``text``.
     ``places`` are first words of windows that a smaller ``doc`` holds; ``whole``
-    marks a copy of a smaller document's text, whose windows all are such.
+    marks a copy of a smaller document's text, whose windows all are such;
+    ``high`` tells texts of one id apart.
     """
     copies = stage(docs.groupBy("tag", F.md5(F.col("text").cast("binary")).alias("sum")).agg(F.min("doc").alias("least"), F.max("doc").alias("most")), "texts")
     # The first document of each text stands for all of them. A copy that passes this filter is only judged twice.
     stands = hash_filter(copies.select(F.xxhash64("tag", "least").alias("h")), "h")
-    known = docs.select("doc", "tag", "text", F.xxhash64("tag", "doc").alias("h"))
+    known = docs.select("doc", "tag", "text", F.xxhash64("tag", "doc").alias("h"), F.xxhash64("doc").alias("id"))
 
     def first_only(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(maybe_in(stands, _column(batch, "h").view(U64))))
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        batch = first_only(batch)
-        names, bounds = _names(batch)
+        names, bounds = _names(first_only(batch))
         key = anchors(names, bounds, window)
         if not len(key):
             return None
-        doc = np.repeat(np.arange(batch.num_rows), np.maximum(np.diff(bounds) - window + 1, 0))
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        return pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(_column(batch, "doc")[doc[new]])], ["key", "doc"])
-    shared = (map_slices(known, "text", find, "key bigint, doc bigint").groupBy("key")
-              .agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"))
+        counts = np.maximum(np.diff(bounds) - window + 1, 0)
+        ends = np.cumsum(counts)
+        keys = [np.unique(key[a:b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]  # once a text
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"])
+    shared = map_slices(known, "text", find, "key bigint", SLICE).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = hash_filter(shared, "key")
 
     def windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -142,23 +157,30 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         hit = np.flatnonzero(maybe_in(common, key))
         if not len(hit):
             return None
-        starts = window_starts(bounds, window)
-        doc = np.repeat(np.arange(batch.num_rows), np.maximum(np.diff(bounds) - window + 1, 0))[hit]
-        at = starts[hit]
+        at = window_starts(bounds, window)[hit]
+        doc = np.searchsorted(bounds, at, "right") - 1
         h1 = span_hash(prefix_hash(names), at, at + window).view(np.int64)
         h2 = (span_hash(prefix_hash(_names(batch, 2)[0]), at, at + window) >> U64(33)).astype(np.int32)
-        place = (_column(batch, "tag")[doc] & ~0xFFFFFFFF) | (at - bounds[:-1][doc])  # the text's upper hash bits, then the place
+        high = _high(twins, _column(batch, "id"), _column(batch, "tag"))
+        place = (high[doc] << 32) | (at - bounds[:-1][doc])
         return pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(_column(batch, "doc")[doc]), pa.array(place)],
                                           ["h1", "h2", "doc", "place"])
-    candidates = stage(map_slices(known, "text", windows, "h1 bigint, h2 int, doc bigint, place bigint"), "windows")
-    least = (candidates.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-             .where("least < most").select("h1", "h2", "least"))
+    # Computed twice rather than kept: the candidates are the largest table here, and cheap to find again.
+    candidates = map_slices(known, "text", windows, "h1 bigint, h2 int, doc bigint, place bigint", SLICE)
+    least = candidates.groupBy("h1", "h2").agg(F.min("doc").alias("least"))
     later = candidates.join(least, ["h1", "h2"]).where("doc > least").select(
         "doc", F.shiftright("place", 32).alias("high"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"))
     parts = later.groupBy("doc", "high").agg(F.collect_list("place").alias("places")).select(
         "doc", "high", F.lit(False).alias("whole"), "places")
+
+    def upper(batches):
+        for b in batches:
+            high = pa.array(_high(twins, _column(b, "id"), _column(b, "tag")))
+            yield pa.RecordBatch.from_arrays([b.column("doc"), high], ["doc", "high"])
     again = (docs.select("doc", "tag").join(copies.where("least < most").select("tag", "least"), "tag").where("doc > least")
-             .select("doc", F.shiftright("tag", 32).alias("high"), F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("places")).distinct())
+             .select("doc", F.xxhash64("doc").alias("id"), "tag").distinct())
+    again = map_batches(again, upper, "doc bigint, high bigint").select(
+        "doc", "high", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("places"))
     return parts.union(again)
 
 
@@ -174,8 +196,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     cols = [c for c in docs.columns if c.lower() not in added]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(*cols, F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("__doc"), F.xxhash64(text).alias("__tag"), text.alias("__text"))
-    found = stage(repeated_windows(keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.col("__text").alias("text")), window)
-                  .groupBy("doc", "high").agg(F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places")), "repeats")
+    plain = keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.col("__text").alias("text"))
+    twins = twin_filter(plain)
+    found = stage(repeated_windows(plain, twins, window).groupBy("doc", "high").agg(
+        F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places")), "repeats")
     found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
     marked = hash_filter(found.select(F.xxhash64("__doc").alias("h")), "h")
     probe = keyed.withColumn("__h", F.xxhash64("__doc"))
@@ -205,12 +229,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return finish(batch, None, None) if batch.num_rows else None
 
     def chosen(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        return batch.filter(pa.array(maybe_in(marked, _column(batch, "__h").view(U64))))
+        batch = batch.filter(pa.array(maybe_in(marked, _column(batch, "__h").view(U64))))
+        high = pa.array(_high(twins, _column(batch, "__h"), _column(batch, "__tag")))
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*cols, "__doc", "__text")), high], [*cols, "__doc", "__text", "__high"])
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         return finish(batch, batch.column("__places").to_pylist(), batch.column("__whole").to_pylist())
     # Texts that may lose words meet their places in a join; the others are not shuffled.
-    touched = map_slices(probe, "__text", chosen, probe.schema).withColumn("__high", F.shiftright("__tag", 32))
+    touched = map_slices(probe, "__text", chosen, probe.select(*cols, "__doc", "__text").schema.add("__high", "long"), SLICE)
     touched = touched.join(found, ["__doc", "__high"], "left").select(
         *cols, "__text", F.coalesce("__whole", F.lit(False)).alias("__whole"), "__places")
-    return map_slices(probe, "__text", untouched, schema).union(map_slices(touched, "__text", cut, schema))
+    return map_slices(probe, "__text", untouched, schema, SLICE).union(map_slices(touched, "__text", cut, schema, SLICE))
