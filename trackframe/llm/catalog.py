@@ -31,7 +31,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = remove_repeated_bytes(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -73,7 +73,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 

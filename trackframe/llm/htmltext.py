@@ -239,10 +239,11 @@ def extract_pages(pages: DataFrame, html_col: str = "html", text_col: str = "tex
     stay as they are; an empty table stays empty.
     """
     kept = [c for c in pages.columns if c.lower() != text_col.lower()]
-    source = pages.select(*kept, F.col(html_col).cast("string").alias("__html"))
+    pages = pages.withColumn(html_col, F.col(html_col).cast("string"))
+    source = pages.select(*kept, *([] if html_col in kept else [html_col]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [main_text(p) if p else "" for p in batch.column("__html").to_pylist()]
+        texts = [main_text(p) if p else "" for p in batch.column(html_col).to_pylist()]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, text_col])
     schema = pages.select(*kept).schema.add(text_col, "string")
-    return map_slices(source, "__html", run, schema)
+    return map_slices(source, html_col, run, schema)

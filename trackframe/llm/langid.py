@@ -128,20 +128,20 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     docs = docs.select(*kept)
     spec = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights))
-    marked = docs.select("*", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"),
-                         F.coalesce(F.col(text_col).cast("string").rlike("\\p{L}"), F.lit(False)).alias("__letter"))
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    marked = docs.withColumn(text_col, F.col(text_col).cast("string")).select(
+        "*", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("__letter"))
+    schema = marked.drop("__letter").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         languages, weights = spec.value
         letter = batch.column("__letter").to_numpy(zero_copy_only=False)
         pred, score = np.full(batch.num_rows, UND, object), np.zeros(batch.num_rows)
         if languages:
-            z = LanguageModel(languages, weights).margins(*utf8(batch.column("__text")))
+            z = LanguageModel(languages, weights).margins(*utf8(batch.column(text_col)))
             e = np.exp(4.0 * (z - z.max(axis=1, keepdims=True)).astype(np.float64))
             best = z.argmax(axis=1)
             pred[letter] = np.array(languages, object)[best][letter]
             score[letter] = (e.max(axis=1) / e.sum(axis=1))[letter]
         cols = [batch.column(c) for c in kept]
         return pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
-    return map_slices(marked, "__text", run, schema)
+    return map_slices(marked, text_col, run, schema)

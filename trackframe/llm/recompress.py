@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .hashfilter import hash_filter, maybe_in
@@ -184,8 +185,9 @@ def repeated_windows(docs: DataFrame, twins, window: int = WINDOW) -> DataFrame:
     return parts.union(again)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``kept`` (kept words joined by one space), ``n_words`` and ``n_removed`` appended.
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                   carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``carry``, by default all) with ``kept`` (kept words joined by one space), ``n_words`` and ``n_removed`` appended.
 
     A word goes if a window of ``window`` words over it also starts in a document with a
     smaller id. Null and empty texts have no words. Rows with equal ids do not take
@@ -193,10 +195,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     the new ones are replaced; an empty table stays empty.
     """
     added = ("kept", "n_words", "n_removed")
-    cols = [c for c in docs.columns if c.lower() not in added]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(*cols, F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("__doc"), F.xxhash64(text).alias("__tag"), text.alias("__text"))
-    plain = keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.col("__text").alias("text"))
+    cols = [c for c in carry or docs.columns if c.lower() not in added]
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # The text itself travels once, under its own name.
+    read = [*cols, *([] if text_col in cols else [text_col])]
+    keyed = docs.select(*read, F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("__doc"), F.xxhash64(text).alias("__tag"))
+    plain = keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     twins = twin_filter(plain)
     found = stage(repeated_windows(plain, twins, window).groupBy("doc", "high").agg(
         F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places")), "repeats")
@@ -207,7 +212,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def finish(batch: pa.RecordBatch, places: list | None, whole: list | None) -> pa.RecordBatch:
         kept, counts, removed = [], [], []
-        for i, t in enumerate(batch.column("__text").to_pylist()):
+        for i, t in enumerate(pc.fill_null(batch.column(text_col), "").to_pylist()):
             parts = t.encode().split()
             n = len(parts)
             if whole is not None and n >= window and (whole[i] or places[i]):
@@ -231,12 +236,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def chosen(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         batch = batch.filter(pa.array(maybe_in(marked, _column(batch, "__h").view(U64))))
         high = pa.array(_high(twins, _column(batch, "__h"), _column(batch, "__tag")))
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*cols, "__doc", "__text")), high], [*cols, "__doc", "__text", "__high"])
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*read, "__doc")), high], [*read, "__doc", "__high"])
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         return finish(batch, batch.column("__places").to_pylist(), batch.column("__whole").to_pylist())
     # Texts that may lose words meet their places in a join; the others are not shuffled.
-    touched = map_slices(probe, "__text", chosen, probe.select(*cols, "__doc", "__text").schema.add("__high", "long"), SLICE)
+    touched = map_slices(probe, text_col, chosen, probe.select(*read, "__doc").schema.add("__high", "long"), SLICE)
     touched = touched.join(found, ["__doc", "__high"], "left").select(
-        *cols, "__text", F.coalesce("__whole", F.lit(False)).alias("__whole"), "__places")
-    return map_slices(probe, "__text", untouched, schema, SLICE).union(map_slices(touched, "__text", cut, schema, SLICE))
+        *read, F.coalesce("__whole", F.lit(False)).alias("__whole"), "__places")
+    return map_slices(probe, text_col, untouched, schema, SLICE).union(map_slices(touched, text_col, cut, schema, SLICE))

@@ -36,6 +36,8 @@ GRAM = 64
 SIDE = SIZE - GRAM  # bytes that matter on each side of a sampled gram
 WORDS = -(-SIDE // 8)
 BLOCK = 1 << 21
+# Text handled at once: several arrays of eight bytes a byte are alive at a time.
+SLICE = 1 << 20
 ROWS = 40_000  # contexts per ordered partition
 
 
@@ -220,7 +222,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         offsets, data = utf8(batch.column("text"))
         keys = [part[0] for part in sampled(data, offsets)]
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"]) if keys else None
-    often = map_slices(known, "text", grams, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = map_slices(known, "text", grams, "key bigint", SLICE).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = hash_filter(often, "key")
 
     def occurrences(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -243,12 +245,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
              pa.array(left, pa.binary()), pa.array([raw[a:a + GRAM] for a in at.tolist()], pa.binary()), pa.array(right, pa.binary())],
             ["doc", "tag", "at", "key", "h1", "h2", "omin", "omax", "left", "gram", "right"])
     seen = stage(map_slices(known, "text", occurrences, "doc bigint, tag bigint, at bigint, key bigint, h1 bigint, h2 bigint, omin int, omax int, "
-                            "left binary, gram binary, right binary"), "sampled")
+                            "left binary, gram binary, right binary", SLICE), "sampled")
     # Equal surroundings become one context, counted.
     grouped = seen.groupBy("key", "h1", "h2").agg(
         F.count(F.lit(1)).alias("n"), *(F.first(k).alias(k) for k in ("omin", "omax", "left", "gram", "right")))
     contexts = stage(grouped.withColumn("c", F.monotonically_increasing_id()), "contexts")
-    rows = contexts.count()
+    # Contexts that occur more than once are settled. Only those of grams with another context are ordered.
+    single = contexts.where("n = 1").select("key").distinct()
+    compared = stage(contexts.join(single, "key", "left_semi"), "compared")
+    rows = compared.count()
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -260,18 +265,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 cuts = pa.array(np.arange(0, w.size + 1, WORDS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([b.column("c"), pa.array([side] * b.num_rows), pa.ListArray.from_arrays(cuts, pa.array(w.ravel()))],
                                                  ["c", "side", "w"])
-    strings = map_batches(contexts.select("c", "right", "left"), words, "c bigint, side string, w array<bigint>")
+    strings = map_batches(compared.select("c", "right", "left"), words, "c bigint, side string, w array<bigint>")
     ranked = ranks(strings, WORDS, 2 * rows).groupBy("c").agg(
         F.max(F.when(F.col("side") == "right", F.col("rank"))).alias("r"), F.max(F.when(F.col("side") == "left", F.col("rank"))).alias("l"))
-    ordered = stage(contexts.select("c", "key", "right", "left").join(ranked, "c"), "ranked")
+    ordered = stage(compared.select("c", "key", "right", "left").join(ranked, "c"), "ranked")
     near = neighbours(ordered, ["r", "l"], rows, "by-right").union(neighbours(ordered, ["l", "r"], rows, "by-left"))
     near = near.groupBy("c").agg(F.collect_list(F.struct("lcp", "lcs")).alias("near"))  # at most eight
     nul = (F.instr(F.hex("right"), "00") > 0) | (F.instr(F.hex("left"), "00") > 0)
     judged = stage(_spans(contexts.select("c", "n", "omin", "omax", nul.alias("nul")).join(near, "c", "left")), "spans")
     # What neighbours leave open: count the strings of all contexts with those grams.
     unsure = judged.where("open")
-    keys = contexts.join(unsure.select("c").distinct(), "c", "left_semi").select("key").distinct()
-    strings_ = stage(_strings(contexts.join(keys, "key", "left_semi").select("c", "omin", "omax", "n", "left", "gram", "right")), "open-strings")
+    keys = compared.join(unsure.select("c").distinct(), "c", "left_semi").select("key").distinct()
+    strings_ = stage(_strings(compared.join(keys, "key", "left_semi").select("c", "omin", "omax", "n", "left", "gram", "right")), "open-strings")
     twice = strings_.groupBy("o", "h1", "h2").agg(F.sum("n").alias("m")).where("m > 1").select("o", "h1", "h2")
     closed = (strings_.join(twice, ["o", "h1", "h2"]).join(unsure.select("c", "low", "high"), "c").where("o between low and high")
               .select("c", F.col("o").alias("low"), F.col("o").alias("high")))
@@ -284,8 +289,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return placed.select("doc", "tag", F.lit(False).alias("whole"), "starts", "ends").union(whole)
 
 
-def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``kept`` (binary), ``n_bytes``, ``n_removed`` and ``n_spans`` appended.
+def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``carry``, by default all) with ``kept`` (binary), ``n_bytes``, ``n_removed`` and ``n_spans`` appended.
 
     Each byte covered by a 200-byte string that also starts anywhere else, in any
     text, goes. Texts are UTF-8 bytes; null is empty; strings never cross texts.
@@ -293,10 +298,13 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     the new ones are replaced; an empty table stays empty.
     """
     added = ("kept", "n_bytes", "n_removed", "n_spans")
-    cols = [c for c in docs.columns if c.lower() not in added]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(*cols, F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("__doc"), F.xxhash64(text).alias("__tag"), text.alias("__text"))
-    found = stage(repeated_spans(keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.col("__text").alias("text")))
+    cols = [c for c in carry or docs.columns if c.lower() not in added]
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # The text itself travels once, under its own name.
+    read = [*cols, *([] if text_col in cols else [text_col])]
+    keyed = docs.select(*read, F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("__doc"), F.xxhash64(text).alias("__tag"))
+    found = stage(repeated_spans(keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
                   .groupBy("doc", "tag").agg(F.max("whole").alias("whole"), F.first("starts", True).alias("starts"), F.first("ends", True).alias("ends")), "repeats")
     found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
     marked = hash_filter(found.select(F.xxhash64("__doc", "__tag").alias("h")), "h")
@@ -304,7 +312,7 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     schema = docs.select(*cols).schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
 
     def finish(batch: pa.RecordBatch, whole: list | None, starts: list | None, ends: list | None) -> pa.RecordBatch:
-        offsets, data = utf8(batch.column("__text"))
+        offsets, data = utf8(batch.column(text_col))
         kept, removed, spans = [], [], []
         for i in range(batch.num_rows):
             own = data[offsets[i]:offsets[i + 1]]
@@ -331,6 +339,6 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         return finish(batch, *(batch.column(k).to_pylist() for k in ("__whole", "__starts", "__ends")))
     # Texts that may lose bytes meet their spans in a join; the others are not shuffled.
-    touched = map_slices(probe, "__text", split(True), probe.schema)
-    touched = touched.join(found, ["__doc", "__tag"], "left").select(*cols, "__text", "__whole", "__starts", "__ends")
-    return map_slices(probe, "__text", split(False), schema).union(map_slices(touched, "__text", cut, schema))
+    touched = map_slices(probe, text_col, split(True), probe.schema, SLICE)
+    touched = touched.join(found, ["__doc", "__tag"], "left").select(*read, "__whole", "__starts", "__ends")
+    return map_slices(probe, text_col, split(False), schema, SLICE).union(map_slices(touched, text_col, cut, schema, SLICE))

@@ -7,6 +7,8 @@ size of its partition.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -46,7 +48,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the hash base and of its inverse; kept and grown per process."""
     global _powers, _inverses
     if len(_powers) <= n:
-        size = max(n + 1, 2 * len(_powers))
+        size = -(-(n + 1) // (1 << 18)) << 18
         with np.errstate(over="ignore"):
             _powers = np.cumprod(np.r_[U64(1), np.full(size, _BASE, U64)])
             _inverses = np.cumprod(np.r_[U64(1), np.full(size, _INVERSE, U64)])
@@ -107,10 +109,21 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        _give_back()
+    return df.mapInArrow(run, schema)
 
 
 def map_slices(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema,
@@ -121,8 +134,12 @@ def map_slices(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.Recor
             for batch in batches:
                 for part in slices(batch, text, size):
                     out = fn(part)
+                    del part
                     if out is not None and out.num_rows:
                         yield out
+                    del out
+                del batch
+                _give_back()
     return map_batches(df, run, schema)
 
 

@@ -12,17 +12,18 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
 from .textops import ragged
 
-# Distinct pieces kept by a process before it starts anew.
-CACHE_PIECES = 1_000_000
+# Distinct pieces a process keeps; later ones are looked up anew in each slice.
+CACHE_PIECES = 500_000
 BATCH = 64
 # Text encoded at once: larger slices repeat more pieces.
-SLICE = 6 << 20
+SLICE = 4 << 20
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -161,8 +162,9 @@ class Encoder:
         _, bounds, raw = coded.dictionary.buffers()
         cut, raw = np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1].tolist(), raw.to_pybytes()
         distinct = [raw[a:b] for a, b in zip(cut, cut[1:])]
-        if len(self.known) + len(distinct) > CACHE_PIECES:
-            self._clear()
+        if len(self.known) > CACHE_PIECES:  # the slice before brought pieces that are not kept
+            for p in list(islice(reversed(self.known), len(self.known) - CACHE_PIECES)):
+                del self.known[p]
         get = self.known.get
         at = [get(p, -1) for p in distinct]
         new = [p for p, i in zip(distinct, at) if i < 0]

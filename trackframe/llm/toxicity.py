@@ -96,13 +96,14 @@ def score_toxicity(docs: DataFrame, model: dict[int, float], text_col: str = "te
     docs = docs.select(*kept)
     ids = np.fromiter(model.keys(), np.int64, len(model))
     spec = docs.sparkSession.sparkContext.broadcast((ids, np.fromiter(model.values(), float, len(model))))
-    schema = docs.schema.add("score", "double").add("predicted", "integer")
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    schema = docs.select("*").schema.add("score", "double").add("predicted", "integer")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         w = np.zeros(SPACE)
         w[spec.value[0]] = spec.value[1]
-        raw = np.array([w[x].sum() for x in features(*utf8(batch.column("__text")))])
+        raw = np.array([w[x].sum() for x in features(*utf8(batch.column(text_col)))])
         score = 1 / (1 + np.exp(-np.clip(raw, -35, 35)))
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                                           [*kept, "score", "predicted"])
-    return map_slices(docs.select("*", F.col(text_col).cast("string").alias("__text")), "__text", run, schema)
+    return map_slices(docs, text_col, run, schema)
