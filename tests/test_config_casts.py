@@ -23,12 +23,18 @@ def test_from_mapping_defaults_and_coercion():
 
 
 @pytest.mark.parametrize("raw", [[1], {"harmonise": {"rename": ["x"]}}, {"segment_cols": "region"},
-                                 {"harmonise": {"recode": {"a": 1}}}, {"metrics": [1]}])
+                                 {"harmonise": {"recode": {"a": 1}}}, {"metrics": [1]}, {"metrics": {"promoter_min": "x"}},
+                                 {"options": {"zero_fill": "yes"}}])
 def test_from_mapping_rejects_bad_structure(raw):
     with pytest.raises(ConfigError):
         TrackerConfig.from_mapping(raw)
 
 
+def test_fingerprint_tells_configurations_apart():
+    one = TrackerConfig(rename_map={"a": "b"})
+    assert one.fingerprint() == TrackerConfig(rename_map={"a": "b"}).fingerprint() != TrackerConfig(zero_fill=True).fingerprint()
+
+
 def test_lenient_int_matches_non_ansi_cast(spark):
     cases = ["9", " 9 ", "9.7", "-3.2", "1e1", "abc", "", None, "3000000000", "+4", "007"]
     df = spark.createDataFrame([(c,) for c in cases], "t string")

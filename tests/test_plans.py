@@ -6,11 +6,9 @@ import contextlib
 import io
 import re
 
-import pytest
-
-import __spark_entry__ as entry
 from trackframe.operators.contract import enforce_contract
 from trackframe.operators.features import normalise_weights
+from trackframe.plans.catalog import QUERIES
 from trackframe.plans.views import orders_tracker, orders_tracker_raw
 
 SF = "/root/testdata/sf0.001"
@@ -20,21 +18,21 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_means_never_shuffle_respondent_rows(spark):
-    plan = plan_of(normalise_weights(orders_tracker(spark, SF)))
-    assert "Window" not in plan
-    assert re.search(r"BroadcastHashJoin .*LeftOuter", plan)
-    # The only hash exchange is the one inside the means aggregate, already materialised.
-    assert "Exchange hashpartitioning" not in plan
+def test_weight_norm_uses_partial_means_and_no_window(spark):
+    df = normalise_weights(orders_tracker(spark, SF))
+    plan = plan_of(df)
+    assert "Window" not in plan and "partial_avg" in plan
+    assert "hint" not in df._jdf.queryExecution().analyzed().toString().lower()
 
 
-def test_window_twin_sorts_by_wave(spark):
-    plan = plan_of(normalise_weights(orders_tracker(spark, SF), method="window"))
-    assert "Window" in plan and "hashpartitioning(wave" in plan
+def test_segment_counts_need_no_means(spark):
+    for name in ("nps_segment_counts", "top2box_counts"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert "avg(" not in plan and "ExistingRDD" not in plan
 
 
 def test_flagship_prunes_columns_and_aggregates_partially(spark):
-    df = entry.queries()["wave_metrics"](spark, SF)
+    df = QUERIES["wave_metrics"](spark, SF)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
@@ -52,14 +50,13 @@ def test_contract_split_is_not_pushed_into_the_casts(spark):
     assert not any("try_cast" in line for line in filters)
 
 
-@pytest.mark.parametrize("name", ["read_latest_version"])
-def test_snapshot_read_does_not_shuffle_the_bulk_version(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
-    assert "LeftAnti" in plan and "BroadcastExchange" in plan
-    assert "Exchange hashpartitioning" not in plan
+def test_change_table_state_is_one_aggregate(spark):
+    plan = plan_of(QUERIES["read_latest_version"](spark, SF))
+    assert "Join" not in plan and "partial_max_by" in plan
 
 
 def test_flagship_is_one_aggregation_pass(spark):
-    plan = plan_of(entry.queries()["wave_metrics"](spark, SF))
+    plan = plan_of(QUERIES["wave_metrics"](spark, SF))
     assert "ExistingRDD" not in plan                    # no materialised per-wave lookup
-    assert plan.count("partial_count") == 1 or plan.count("HashAggregate") == 2
+    aggregates = [line for line in plan.splitlines() if "HashAggregate(" in line]
+    assert len(aggregates) == 2 and sum("partial_count" in line for line in aggregates) == 1

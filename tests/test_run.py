@@ -1,4 +1,4 @@
-"""End-to-end runs over CSV waves: full, idempotent, incremental, rejects, upserts, versions."""
+"""End-to-end runs over CSV waves: full, repeated, incremental, rejects, upserts, change tables."""
 
 from __future__ import annotations
 
@@ -6,53 +6,201 @@ import os
 
 import pytest
 
-from conftest import HEADER, write_wave
+from conftest import deliver, sheets
 from trackframe.config import TrackerConfig
-from trackframe.operators.upsert import DuplicateKeyError, merge_upsert
-from trackframe.plans.run import output_paths, run_tracker, upsert_waves
-from trackframe.sources.ingest import discover_wave_files, ingest_waves
+from trackframe.operators.upsert import DuplicateKeyError, as_of, latest_per_key, merge_frames, merge_upsert
+from trackframe.plans.run import manifest_path, output_paths, run_tracker, upsert_waves
+from trackframe.sources import store
+from trackframe.sources.ingest import discover_wave_files, ingest_waves, wave_file_headers
 from trackframe.sources.store import existing_waves, read_store
-from trackframe.sources.versioned import read_as_of, version_history, versions
 
+CFG = TrackerConfig()
 
-def test_full_then_incremental_then_idempotent(spark, tmp_path):
+
+def stored(spark, out):
+    return sorted((r["wave"], r["respondent_id"], r["nps_score"]) for r in read_store(spark, output_paths(out)[0]).collect())
+
+
+def rejected(spark, out):
+    table = store.open_store(spark, output_paths(out)[2])
+    return [] if table is None else sorted((r["respondent_id"], r["reject_reason"]) for r in table.collect())
+
+
+def test_life_of_a_tracker(spark, tmp_path):
+    """Deliveries come in, are corrected and repeated; every run leaves exactly what the files say."""
+    raw, out = tmp_path / "deliveries", str(tmp_path / "out")
+    deliver(raw, "spring.csv", *sheets(3, ada=10, bo=2, cy=6))
+    deliver(raw, "summer.csv", *sheets(4, ada=8, dee=9), {"respondent_id": "eve", "wave": "4", "satisfaction": "9"},
+            {"respondent_id": "fay", "wave": "?"}, {"respondent_id": "gus", "wave": "5", "weight": "-2"})
+    first = run_tracker(spark, CFG, str(raw), out)
+    assert (first.mode, first.waves_processed, first.clean_rows, first.reject_rows, first.metric_rows) == ("full", [3, 4], 5, 3, 2)
+    after = stored(spark, out)
+    assert after == [(3, "ada", 10), (3, "bo", 2), (3, "cy", 6), (4, "ada", 8), (4, "dee", 9)]
+    bad = [("eve", "satisfaction out of range 1-5"), ("fay", "missing wave"), ("gus", "weight not positive")]
+    assert rejected(spark, out) == bad
+    assert run_tracker(spark, CFG, str(raw), out) == first and stored(spark, out) == after and rejected(spark, out) == bad
+
+    deliver(raw, "autumn.csv", *sheets(6, hal=0))
+    third = run_tracker(spark, CFG, str(raw), out, incremental=True)
+    assert (third.mode, third.waves_processed, third.clean_rows, third.metric_rows) == ("incremental", [6], 1, 3)
+    assert existing_waves(spark, output_paths(out)[0]) == [3, 4, 6] and rejected(spark, out) == bad
+    nothing = run_tracker(spark, CFG, str(raw), out, incremental=True)
+    assert (nothing.waves_processed, nothing.metric_rows) == ([], 3) and len(stored(spark, out)) == 6
+
+    # The summer delivery is corrected: its rejects go, its late wave comes in.
+    deliver(raw, "summer.csv", *sheets(4, ada=8, dee=9), *sheets(5, gus=7))
+    fixed = run_tracker(spark, CFG, str(raw), out, incremental=True)
+    assert fixed.waves_processed == [5] and rejected(spark, out) == []
+    assert run_tracker(spark, CFG, str(raw), out).reject_rows == 0
+
+
+def test_counts_of_four_waves_with_a_few_bad_rows(spark, tmp_path):
+    """Four waves of 300, three broken answers in each, four regions: 1188 stored, 12 rejected, 16 metric rows."""
     raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    write_wave(raw, 1)
-    write_wave(raw, 2)
-    cfg = TrackerConfig()
-    resp = output_paths(out)[0]
-    s1 = run_tracker(spark, cfg, str(raw), out)
-    assert (s1.mode, s1.waves_processed, s1.clean_rows, s1.reject_rows) == ("full", [1, 2], 8, 0)
-    assert read_store(spark, resp).count() == 8 and existing_waves(spark, resp) == [1, 2]
-    run_tracker(spark, cfg, str(raw), out)
-    assert read_store(spark, resp).count() == 8
-    write_wave(raw, 3)
-    s3 = run_tracker(spark, cfg, str(raw), out, incremental=True)
-    assert (s3.waves_processed, s3.clean_rows) == ([3], 4)
-    assert read_store(spark, resp).count() == 12 and existing_waves(spark, resp) == [1, 2, 3]
-    s4 = run_tracker(spark, cfg, str(raw), out, incremental=True)
-    assert (s4.mode, s4.waves_processed, s4.metric_rows) == ("incremental", [], 3)
-    assert read_store(spark, resp).count() == 12
-    assert read_store(spark, resp).columns[:2] == ["respondent_id", "wave"]
-
-
-def test_rejects_quarantined(spark, tmp_path):
+    broken = {7: {"nps_score": "41"}, 77: {"weight": "-0.5"}, 177: {"satisfaction": "0"}}
+    for wave in range(1, 5):
+        rows = [{"respondent_id": f"{wave}.{i}", "wave": str(wave), "region": "NESW"[i % 4], "nps_score": str(i % 11), **broken.get(i, {})}
+                for i in range(300)]
+        deliver(raw, f"{wave}.csv", *rows, rename={"nps_score": "nps"} if wave == 1 else None)
+    cfg = TrackerConfig(rename_map={"nps": "nps_score"}, region_map={"N": "North", "E": "East", "S": "South", "W": "West"})
+    run = run_tracker(spark, cfg, str(raw), out)
+    assert (run.clean_rows, run.reject_rows, run.metric_rows) == (1188, 12, 16)
+    assert read_store(spark, output_paths(out)[0]).count() == 1188
+
+
+def test_config_changes_reach_stored_waves_and_skipped_files(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
+    deliver(raw, "1.csv", *sheets(1, a=10, b=9))
+    deliver(raw, "2.csv", *sheets(2, c=1), rename={"respondent_id": "who"})
+    run = run_tracker(spark, CFG, str(raw), out)
+    assert run.waves_processed == [1] and [r[1] for r in rejected(spark, out)] == ["missing respondent_id"]
+    assert spark.read.parquet(output_paths(out)[1]).first()["nps"] is None  # promoters only
+    cfg = TrackerConfig(rename_map={"who": "respondent_id"}, zero_fill=True)
+    run = run_tracker(spark, cfg, str(raw), out, incremental=True)
+    assert run.waves_processed == [2] and rejected(spark, out) == []
+    assert {r["wave"]: r["nps"] for r in spark.read.parquet(output_paths(out)[1]).collect()} == {1: 100.0, 2: -100.0}
+
+
+def test_incremental_runs_skip_only_files_that_can_add_nothing(spark, tmp_path, monkeypatch):
+    import trackframe.plans.run as run_module
+
+    read = []
+    real = run_module.ingest_tagged
+    monkeypatch.setattr(run_module, "ingest_tagged", lambda s, paths, *a, **k: read.append(sorted(map(os.path.basename, paths))) or real(s, paths, *a, **k))
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    for w in (1, 2):
+        deliver(raw, f"{w}.csv", *sheets(w, a=3))
+    run_tracker(spark, CFG, str(raw), out)
+    deliver(raw, "3.csv", *sheets(3, a=3))
+    run_tracker(spark, CFG, str(raw), out, incremental=True)
+    store.drop_path(spark, f"{output_paths(out)[0]}/wave=2")  # a stored wave is lost: its file is read again
+    assert run_tracker(spark, CFG, str(raw), out, incremental=True).waves_processed == [2]
+    run_tracker(spark, TrackerConfig(strict_parse=True), str(raw), out, incremental=True)
+    assert read == [["1.csv", "2.csv"], ["3.csv"], ["2.csv"], ["1.csv", "2.csv", "3.csv"]]
+    assert spark.read.parquet(manifest_path(out)).count() == 7
+
+
+def test_upsert_runs_keep_respondents_that_are_not_in_the_input(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    deliver(raw, "w.csv", *sheets(1, a=4, b=5))
+    run_tracker(spark, CFG, str(raw), out, write="upsert")
+    deliver(raw, "w.csv", *sheets(1, b=9, c=0))
+    run = run_tracker(spark, CFG, str(raw), out, write="upsert")
+    assert run.clean_rows == 2 and stored(spark, out) == [(1, "a", 4), (1, "b", 9), (1, "c", 0)]
+    assert spark.read.parquet(output_paths(out)[1]).first()["n"] == 3
+
+
+def test_upsert_refreshes_metrics_and_refuses_duplicates(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    deliver(raw, "w.csv", *sheets(1, a=10, b=0))
+    run_tracker(spark, CFG, str(raw), out)
+    resp, metrics, _ = output_paths(out)
+    late, _ = ingest_waves(spark, deliver(tmp_path / "late", "l.csv", *sheets(1, c=10, d=10)), pattern="")
+    assert upsert_waves(spark, late, resp, metrics_path=metrics) == [1]
+    assert [(r["n"], r["nps"]) for r in spark.read.parquet(metrics).collect()] == [(4, 50.0)]
+    with pytest.raises(DuplicateKeyError):
+        upsert_waves(spark, late.union(late), resp)
+    assert len(stored(spark, out)) == 4
+
+
+def test_odd_file_names_and_headers(spark, tmp_path):
+    raw = tmp_path / "raw"
+    names = ["a b.csv", "50%.csv", "x+y.csv", "[z].csv", "q{1,2}.csv", "%20.csv"]
+    for i, name in enumerate(names):
+        deliver(raw, name, *sheets(1, **{f"p{i}": i}), rename={"nps_score": " NPS "})
+    with open(raw / "twice.csv", "w") as fh:
+        fh.write("wave,Wave,respondent_id\n2,3,t\n")
+    open(raw / "nothing.csv", "w").close()
+    found = discover_wave_files(spark, str(raw))
+    assert sorted(map(os.path.basename, found)) == sorted([*names, "twice.csv", "nothing.csv"])
+    clean, rejects = ingest_waves(spark, str(raw), TrackerConfig(rename_map={"nps": "nps_score"}), keep_source=True)
+    got = {r["respondent_id"]: (r["wave"], r["nps_score"]) for r in clean.collect()}
+    assert got == {**{f"p{i}": (1, i) for i in range(len(names))}, "t": (2, None)} and rejects.count() == 0
+    run = run_tracker(spark, CFG, str(raw), str(tmp_path / "out"))
+    assert run.waves_processed == [1, 2]
+
+
+def test_only_empty_files(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    open(tmp_path / "raw" / "e.csv", "w").close()
+    clean, rejects = ingest_waves(spark, str(tmp_path / "raw"))
+    assert clean.count() == rejects.count() == 0
+    assert run_tracker(spark, CFG, str(tmp_path / "raw"), str(tmp_path / "out")).waves_processed == []
+
+
+def test_header_job_reads_only_the_start_of_a_file(spark, tmp_path):
+    raw = tmp_path / "raw"
     raw.mkdir()
-    with open(raw / "wave_01.csv", "w") as fh:
-        fh.write(HEADER)
-        fh.write("R1,1,2026-01-15,North,25-34,1.0,9,5,1,Crispa\n")
-        fh.write("R2,1,2026-01-15,North,25-34,1.0,99,5,1,Crispa\n")
-        fh.write("R3,,2026-01-15,North,25-34,1.0,9,5,1,Crispa\n")
-    with open(raw / "wave_02.csv", "w") as fh:       # a wave with nothing but rejects
-        fh.write(HEADER)
-        fh.write("R4,2,2026-02-15,North,25-34,-1,9,5,1,Crispa\n")
-    s = run_tracker(spark, TrackerConfig(), str(raw), out)
-    assert (s.clean_rows, s.reject_rows, s.waves_processed) == (1, 3, [1])
-    rej = spark.read.parquet(output_paths(out)[2])
-    assert sorted((r["respondent_id"], r["reject_reason"]) for r in rej.collect()) == [
-        ("R2", "nps_score out of range 0-10"), ("R3", "missing wave"), ("R4", "weight not positive")]
+    with open(raw / "big.csv", "w") as fh:
+        fh.write("\n\nrespondent_id,wave\n" + "".join(f"r{i},1\n" for i in range(2_000_000)))
+    bytes_read = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getStatistics("file", spark.sparkContext._jvm.java.lang.Class.forName("org.apache.hadoop.fs.LocalFileSystem"))
+    before = bytes_read.getBytesRead()
+    got = wave_file_headers(spark, str(raw)).collect()
+    assert [r["header"] for r in got] == ["respondent_id,wave"]
+    assert bytes_read.getBytesRead() - before < 4_000_000 < os.path.getsize(raw / "big.csv")
+
+
+def test_implausible_partition_column_fails_before_writing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "MAX_PARTITIONS", 3)
+    df = spark.createDataFrame([(i, str(i), i) for i in range(5)], "wave int, respondent_id string, v int")
+    with pytest.raises(store.TooManyPartitionsError):
+        merge_upsert(spark, df, str(tmp_path / "s"))
+    assert not store.store_exists(spark, str(tmp_path / "s"))
+
+
+def test_store_writes_few_files(spark, tmp_path):
+    df = spark.range(0, 20_000, 1, 16).selectExpr("cast(id % 7 as int) as wave", "cast(id as string) as respondent_id")
+    store.write_partitioned(df, str(tmp_path / "s"))
+    files = [f for _, _, fs in os.walk(tmp_path / "s") for f in fs if f.endswith(".parquet")]
+    assert 7 <= len(files) <= 14
+
+
+def test_latest_per_key_keeps_rows_without_an_order_value(spark):
+    df = spark.createDataFrame([("a", None, 5), ("b", None, 1), ("b", 2, 7), ("b", 1, 9), (None, 1, 3), ("c", 4, None)], "k string, t int, v int")
+    got = sorted((tuple(r) for r in latest_per_key(df, ["k"], "t").collect()), key=str)
+    assert got == [("a", None, 5), ("b", 2, 7), ("c", 4, None), (None, 1, 3)]
+    ties = spark.createDataFrame([("a", 1, v) for v in range(50)], "k string, t int, v int")
+    assert len({tuple(latest_per_key(ties.repartition(n, "v"), ["k"], "t").first()) for n in (1, 3, 8)}) == 1
+
+
+def test_as_of_has_one_rule_for_nulls_and_repeats(spark):
+    rows = [(0, 1, "a", 10), (0, 1, "a", 11), (0, 1, None, 1), (0, 1, None, 2), (0, 2, "b", 3), (1, 1, "a", 20), (2, 2, "b", 30), (2, None, "n", 4)]
+    changes = spark.createDataFrame(rows, "change int, wave int, id string, v int")
+
+    def state(upto):
+        return sorted(((r["wave"], r["id"], r["v"]) for r in as_of(changes, ["wave", "id"], "change", upto).collect()), key=str)
+    assert [r for r in state(0) if r[1] != "a"] == [(1, None, 1), (1, None, 2), (2, "b", 3)] and len(state(0)) == 4
+    assert state(1) == [(1, "a", 20), (1, None, 1), (1, None, 2), (2, "b", 3)]
+    assert state(None) == [(1, "a", 20), (1, None, 1), (1, None, 2), (2, "b", 30), (None, "n", 4)]
+    assert as_of(changes, ["wave", "id"], "change").columns == ["wave", "id", "v"]
+
+
+def test_merge_frames(spark):
+    t = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (1, None, 1)], "wave int, respondent_id string, v int")
+    s = spark.createDataFrame([(1, "a", 2), (1, None, 2)], "wave int, respondent_id string, v int")
+    got = merge_frames(t, s, ["wave", "respondent_id"])
+    assert "hint" not in got._jdf.queryExecution().analyzed().toString().lower()
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, "a", 2), (1, "b", 1), (1, None, 1), (1, None, 2)]
 
 
 def test_drifting_headers_are_not_misaligned(spark, tmp_path):
@@ -85,40 +233,6 @@ def test_no_files_raises(spark, tmp_path):
         ingest_waves(spark, str(tmp_path / "empty"))
 
 
-def test_versioned_full_incremental_idempotent(spark, tmp_path):
-    raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    write_wave(raw, 1, [("R1", 9), ("R2", 3)])
-    write_wave(raw, 2, [("R3", 9), ("R4", 3)])
-    cfg = TrackerConfig()
-    resp = output_paths(out)[0]
-    s1 = run_tracker(spark, cfg, str(raw), out, output_format="versioned")
-    assert s1.waves_processed == [1, 2] and read_as_of(spark, resp).count() == 4
-    run_tracker(spark, cfg, str(raw), out, output_format="versioned")
-    assert read_as_of(spark, resp).count() == 4
-    write_wave(raw, 3, [("R5", 10), ("R6", 0)])
-    s3 = run_tracker(spark, cfg, str(raw), out, incremental=True, output_format="versioned")
-    assert s3.waves_processed == [3] and read_as_of(spark, resp).count() == 6
-    assert len(versions(spark, resp)) >= 2
-    assert read_as_of(spark, resp, version=0).count() == 4
-    assert {r["version"]: r["rows_written"] for r in version_history(spark, resp).collect()} == {0: 4, 1: 4, 2: 2}
-
-
-def test_versioned_merge_updates_changed_rows(spark, tmp_path):
-    raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    resp = output_paths(out)[0]
-    write_wave(raw, 1, [("R1", 10), ("R2", 10)])
-    run_tracker(spark, TrackerConfig(), str(raw), out, output_format="versioned")
-    write_wave(raw, 1, [("R1", 0), ("R2", 10)])
-    run_tracker(spark, TrackerConfig(), str(raw), out, output_format="versioned")
-    df = read_as_of(spark, resp)
-    assert df.count() == 2
-    assert {r["respondent_id"]: r["nps_score"] for r in df.collect()} == {"R1": 0, "R2": 10}
-    assert {r["respondent_id"]: r["nps_score"] for r in read_as_of(spark, resp, version=0).collect()} == \
-        {"R1": 10, "R2": 10}
-
-
 def test_merge_upsert_parquet(spark, tmp_path):
     path = str(tmp_path / "store")
     schema = "wave int, respondent_id string, v int"
@@ -164,15 +278,6 @@ def test_keep_raw_across_header_groups_and_csv_options(spark, tmp_path):
     assert [r["respondent_id"] for r in clean.collect()] == ["B"]
 
 
-def test_delta_format_is_gated(spark, tmp_path):
-    from trackframe.sources.delta_store import DeltaStore
-
-    if DeltaStore.available():
-        pytest.skip("delta-spark present; the gate does not apply")
-    with pytest.raises(ValueError, match="delta"):
-        run_tracker(spark, TrackerConfig(), str(tmp_path), str(tmp_path / "out"), output_format="delta")
-
-
 def test_public_api_imports():
     import trackframe
 
@@ -180,50 +285,10 @@ def test_public_api_imports():
         assert hasattr(trackframe, name), name
 
 
-def test_all_rejected_run_still_writes_rejects(spark, tmp_path):
-    raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    with open(raw / "w.csv", "w") as fh:
-        fh.write(HEADER + "R1,1,2026-01-15,North,25-34,1.0,99,5,1,Crispa\n")
-    s = run_tracker(spark, TrackerConfig(), str(raw), out)
-    assert (s.mode, s.waves_processed, s.clean_rows, s.reject_rows) == ("full", [], 0, 1)
-    assert spark.read.parquet(output_paths(out)[2]).count() == 1
-
-
-def test_merge_frames_join_strategy(spark):
-    from trackframe.operators.upsert import merge_frames
-
-    t = spark.createDataFrame([(1, "a", 1), (1, "b", 1)], "wave int, respondent_id string, v int")
-    s = spark.createDataFrame([(1, "a", 2)], "wave int, respondent_id string, v int")
-    keys = ["wave", "respondent_id"]
-    small = merge_frames(t, s, keys, broadcast_keys=True)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert sorted(tuple(r) for r in small.collect()) == [(1, "a", 2), (1, "b", 1)]
-    assert sorted(tuple(r) for r in merge_frames(t, s, keys).collect()) == [(1, "a", 2), (1, "b", 1)]
-
-
-def test_read_as_of_both_strategies(spark, tmp_path):
-    from trackframe.sources.versioned import commit_version
-
-    path = str(tmp_path / "v")
-    schema = "wave int, respondent_id string, v int"
-    commit_version(spark, spark.createDataFrame([(1, "a", 0), (1, "b", 0), (2, "c", 0)], schema), path)
-    commit_version(spark, spark.createDataFrame([(1, "a", 1), (3, "d", 1)], schema), path)
-    commit_version(spark, spark.createDataFrame([(1, "a", 2), (2, "c", 2)], schema), path)
-    expect = {0: {"a": 0, "b": 0, "c": 0}, 1: {"a": 1, "b": 0, "c": 0, "d": 1}, 2: {"a": 2, "b": 0, "c": 2, "d": 1}}
-    for bound in (0, 100):
-        for ver, want in expect.items():
-            got = read_as_of(spark, path, version=ver, column_order=["wave", "respondent_id", "v"],
-                             max_broadcast_rows=bound)
-            assert {r["respondent_id"]: r["v"] for r in got.collect()} == want
-            assert got.columns == ["wave", "respondent_id", "v"]
-
-
 def test_replace_table_drops_waves_gone_from_input(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    write_wave(raw, 1)
-    w2 = write_wave(raw, 2)
+    deliver(raw, "1.csv", *sheets(1, a=5))
+    w2 = deliver(raw, "2.csv", *sheets(2, a=5))
     run_tracker(spark, TrackerConfig(), str(raw), out)
     os.remove(w2)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -251,31 +316,6 @@ def test_header_edge_cases(spark, tmp_path):
     assert rejects.count() == 0
 
 
-def test_incremental_reads_only_new_files_and_keeps_old_rejects(spark, tmp_path):
-    from trackframe.plans.run import manifest_path
-
-    raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    write_wave(raw, 1)
-    with open(raw / "bad1.csv", "w") as fh:
-        fh.write(HEADER + "X1,,2026-01-15,North,25-34,1.0,9,5,1,Crispa\n")
-    s1 = run_tracker(spark, TrackerConfig(), str(raw), out)
-    assert (s1.waves_processed, s1.reject_rows) == ([1], 1)
-    assert spark.read.parquet(manifest_path(out)).count() == 2
-    # New files only: the two already-ingested files are not read again.
-    write_wave(raw, 2)
-    with open(raw / "bad2.csv", "w") as fh:
-        fh.write(HEADER + "X2,,2026-02-15,North,25-34,1.0,9,5,1,Crispa\n")
-    s2 = run_tracker(spark, TrackerConfig(), str(raw), out, incremental=True)
-    assert (s2.waves_processed, s2.clean_rows, s2.reject_rows) == ([2], 4, 1)
-    rej = spark.read.parquet(output_paths(out)[2])
-    assert sorted(r["respondent_id"] for r in rej.collect()) == ["X1", "X2"]     # null-wave partition kept X1
-    s3 = run_tracker(spark, TrackerConfig(), str(raw), out, incremental=True)
-    assert (s3.waves_processed, s3.reject_rows, s3.metric_rows) == ([], 0, 2)
-    assert spark.read.parquet(manifest_path(out)).count() == 4
-    assert read_store(spark, output_paths(out)[0]).count() == 8
-
-
 def test_upsert_leaves_no_staged_copies(spark, tmp_path):
     import glob
 
@@ -312,48 +352,6 @@ def test_multi_split_files_keep_header_and_every_row(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_full_rerun_reuses_recorded_headers(spark, tmp_path, monkeypatch):
-    import time as _time
-
-    import trackframe.sources.ingest as ingest_mod
-
-    sniffed = []
-    real = ingest_mod.wave_file_headers
-
-    def counting(spark_, paths, **kw):
-        sniffed.append(sorted(os.path.basename(p) for p in paths))
-        return real(spark_, paths, **kw)
-
-    monkeypatch.setattr(ingest_mod, "wave_file_headers", counting)
-    raw, out = tmp_path / "raw", str(tmp_path / "out")
-    raw.mkdir()
-    write_wave(raw, 1)
-    write_wave(raw, 2)
-    run_tracker(spark, TrackerConfig(), str(raw), out)
-    assert sniffed == [["wave_01.csv", "wave_02.csv"]]
-    s = run_tracker(spark, TrackerConfig(), str(raw), out)
-    assert sniffed == [["wave_01.csv", "wave_02.csv"]] and s.clean_rows == 8     # no header job
-    _time.sleep(1.1)
-    write_wave(raw, 2, n=6)                                                       # changed file
-    s = run_tracker(spark, TrackerConfig(), str(raw), out)
-    assert sniffed[-1] == ["wave_02.csv"] and s.clean_rows == 10
-
-
-def test_commit_version_rolls_back_duplicates(spark, tmp_path):
-    from trackframe.sources.versioned import commit_version
-
-    path = str(tmp_path / "v")
-    schema = "wave int, respondent_id string, v int"
-    assert commit_version(spark, spark.createDataFrame([(1, "a", 0)], schema), path) == 0
-    with pytest.raises(DuplicateKeyError):
-        commit_version(spark, spark.createDataFrame([(1, "b", 1), (1, "b", 2)], schema), path)
-    assert versions(spark, path) == [0]
-    assert commit_version(spark, spark.createDataFrame([(1, "b", 1), (1, "b", 2)], schema), path,
-                          on_duplicate="latest", order_col="v") == 1
-    assert {r["respondent_id"]: r["v"] for r in read_as_of(spark, path, column_order=["wave", "respondent_id", "v"])
-            .collect()} == {"a": 0, "b": 2}
-
-
 def test_create_store_rolls_back_duplicates(spark, tmp_path):
     from trackframe.sources.store import store_exists
 

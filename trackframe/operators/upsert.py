@@ -36,8 +36,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
 
     A row without an order value only wins where no row of the key has one.
     Ties go to the row with the greatest content hash, so the result does not
-    depend on the partitioning. A hash aggregate with partial aggregation before the shuffle,
-    no sort: a key repeated a million times still costs one row per task.
+    depend on the partitioning. One aggregate with partial aggregation before the shuffle:
+    a key repeated a million times still costs one row per task.
     """
     others = [c for c in df.columns if c not in keys]
     if not others:

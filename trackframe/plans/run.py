@@ -33,7 +33,7 @@ from trackframe.operators.features import add_features
 from trackframe.operators.metrics import wave_metrics_direct
 from trackframe.operators.upsert import merge_upsert
 from trackframe.session import staged_copy
-from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, list_wave_files, literal_path
+from trackframe.sources.ingest import SOURCE_FILE, discover_wave_files, ingest_tagged, list_wave_files, literal_path
 from trackframe.sources.store import (
     MAX_PARTITIONS,
     TooManyPartitionsError,
@@ -139,7 +139,9 @@ def run_tracker(
         if not paths:
             if incremental:
                 return RunSummary(mode, metric_rows=_rows(spark, metrics_path))
-            raise FileNotFoundError(f"no wave files found in {input_path!r}")
+            if not discover_wave_files(spark, input_path, recursive=recursive):
+                raise FileNotFoundError(f"no wave files found in {input_path!r}")
+            return RunSummary(mode)  # nothing but empty files
         tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options)
         with staged_copy(tagged, "tagged") as staged:
             is_clean = F.col(REJECT_REASON).isNull()

@@ -23,6 +23,7 @@ import csv
 import re
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from fnmatch import fnmatchcase
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -69,7 +70,7 @@ def _plain(file_path: F.Column) -> F.Column:
 
 def list_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
                     recursive: bool = False) -> DataFrame:
-    """``(file_path, file_size, modified)`` of the matching files, empty ones too, from the listing alone.
+    """``(file_path, file_size, modified)`` of the matching files that hold anything, from the listing alone.
 
     The ``binaryFile`` source reads no content when ``content`` is not
     selected, so this costs a directory listing, not a scan.
@@ -137,9 +138,24 @@ def group_files_by_header(headers: DataFrame, csv_options: Mapping[str, str] | N
 
 def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
                         recursive: bool = False) -> list[str]:
-    """Sorted paths of the wave files under ``input_path``, empty ones included (empty list if none)."""
-    files = list_wave_files(spark, input_path, pattern=pattern, recursive=recursive)
-    return sorted(r["file_path"] for r in files.select("file_path").collect())
+    """Sorted paths of the wave files under ``input_path``, empty ones included (empty list if none).
+
+    A listing by the path's own file system; Spark's sources leave empty files out of theirs.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: set[str] = set()
+    for root in _paths(input_path):
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            if status.isFile():
+                found.add(status.getPath().toString())
+                continue
+            listing = fs.listFiles(status.getPath(), recursive)
+            while listing.hasNext():
+                found.add(listing.next().getPath().toString())
+    names = ((f, f.rsplit("/", 1)[-1]) for f in found)
+    return sorted(f for f, name in names if fnmatchcase(name, pattern or "*") and not name.startswith(("_", ".")))
 
 
 def read_header_group(spark: SparkSession, group: HeaderGroup,
