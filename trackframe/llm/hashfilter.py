@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .textops import U64, map_batches
 
-BITS = 27
+BITS = 26
 _PIECE = 16  # slots per collected piece, as a power of two
 
 

@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .textops import map_batches, ragged, slices, utf8
-from .tokens import SLICE, encoder
+from .textops import SLICE_BYTES, give_back, map_batches, ragged, slices, utf8
+from .tokens import encoder
 
 WINDOW = 1024
 END_ID = 0
@@ -121,7 +121,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
     Every id of every document, with its end id, is in exactly one piece. A shard is
-    a run of rows of one input partition, about ``SLICE`` bytes of text. Null and
+    a run of rows of one input partition, about ``SLICE_BYTES`` of text. Null and
     empty texts are just the end id; rows with null or equal ids are packed like
     others; extra columns are ignored; an empty table gives no rows.
     """
@@ -133,7 +133,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
         sequence = TaskContext.get().partitionId() << 40
         with np.errstate(over="ignore"):
             for batch in batches:
-                for rows in slices(batch, "text", SLICE):
+                for rows in slices(batch, "text", SLICE_BYTES):
                     ids, bounds = encoder(tokenizer).encode(*utf8(rows.column("text")))
                     ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
                     bounds = bounds + np.arange(len(bounds))
@@ -151,6 +151,8 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(out, names)
                     sequence += int(number[-1]) + 1
+                    del ids, chain, out, rows
+                    give_back()
     schema = (f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, "
               "doc_tokens bigint, sequence_id bigint, offset bigint" + (", ids array<int>" if keep_ids else ""))
     return map_batches(chosen, run, schema)

@@ -35,10 +35,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     flat = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     current, before = stage(flat, "edges"), None
     for _ in range(max_rounds):
-        print_ = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if tuple(print_) == before or not print_["n"]:
+        state = tuple(current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first())
+        if state == before or not state[0]:
             break
-        before = tuple(print_)
+        before = state
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -109,7 +109,7 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system: Python workers outlive their tasks."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
@@ -122,7 +122,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(batches)
-        _give_back()
+        give_back()
     return df.mapInArrow(run, schema)
 
 
@@ -139,7 +139,7 @@ def map_slices(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.Recor
                         yield out
                     del out
                 del batch
-                _give_back()
+                give_back()
     return map_batches(df, run, schema)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from .textops import ragged
 
 # Distinct pieces a process keeps; later ones are looked up anew in each slice.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 BATCH = 64
 # Text encoded at once: larger slices repeat more pieces.
 SLICE = 4 << 20
