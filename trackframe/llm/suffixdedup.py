@@ -55,8 +55,9 @@ def sampled(data: np.ndarray, offsets: np.ndarray):
         grams = mix((prefix[GRAM:] - prefix[:-GRAM]) * powers(len(prefix))[1][:len(prefix) - GRAM])
         least = sliding((grams & ~mask) | np.arange(len(grams), dtype=U64), width, np.minimum)
         starts = np.arange(begin, begin + n)
-        text = np.searchsorted(offsets, starts, "right") - 1
-        good = starts + SIZE <= ends[np.minimum(text, len(ends) - 1)]
+        bounds = np.clip(offsets, begin, begin + n)
+        text = np.repeat(np.arange(len(ends)), np.diff(bounds))
+        good = starts + SIZE <= ends[text]
         starts, text, at = starts[good], text[good], (least[good] & mask).astype(np.int64)
         if not len(starts):
             continue
@@ -166,15 +167,12 @@ def neighbours(contexts: DataFrame, order: list[str], rows: int, label: str) ->
 
 
 def _spans(df: DataFrame) -> DataFrame:
-    """Proven and open distance ranges of contexts from their neighbours: ``c, low, high, open``."""
+    """Proven and open distance ranges of contexts that occur once, from their neighbours: ``c, low, high, open``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for r in b.to_pylist():
                 lo, hi = r["omin"], r["omax"]
-                if r["n"] > 1:
-                    out.append((r["c"], lo, hi, False))
-                    continue
                 near = [(SIDE - m["lcp"], m["lcs"]) for m in (r["near"] or [])]
                 low, high = max([lo, min((a for a, _ in near), default=SIZE)]), min([hi, max((s for _, s in near), default=-1)])
                 if r["nul"]:  # padding and zero bytes sort alike: leave these to the count
@@ -272,7 +270,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     near = neighbours(ordered, ["r", "l"], rows, "by-right").union(neighbours(ordered, ["l", "r"], rows, "by-left"))
     near = near.groupBy("c").agg(F.collect_list(F.struct("lcp", "lcs")).alias("near"))  # at most eight
     nul = (F.instr(F.hex("right"), "00") > 0) | (F.instr(F.hex("left"), "00") > 0)
-    judged = stage(_spans(contexts.select("c", "n", "omin", "omax", nul.alias("nul")).join(near, "c", "left")), "spans")
+    settled = contexts.where("n > 1").select("c", F.col("omin").alias("low"), F.col("omax").alias("high"), F.lit(False).alias("open"))
+    judged = stage(_spans(compared.where("n = 1").select("c", "omin", "omax", nul.alias("nul")).join(near, "c", "left")).union(settled), "spans")
     # What neighbours leave open: count the strings of all contexts with those grams.
     unsure = judged.where("open")
     keys = compared.join(unsure.select("c").distinct(), "c", "left_semi").select("key").distinct()

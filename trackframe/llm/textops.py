@@ -169,17 +169,14 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
-    """``pick`` (minimum or maximum) over every ``width`` consecutive entries."""
-    n = len(x)
-    if width <= 1 or n < width:
-        return x[:max(0, n - width + 1)].copy() if width <= 1 else x[:0]
-    blocks = -(-n // width)
-    pad = np.resize(x[-1:], blocks * width)
-    pad[:n] = x
-    grid = pad.reshape(blocks, width)
-    ahead = pick.accumulate(grid, axis=1).ravel()
-    back = pick.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return pick(back[:n - width + 1], ahead[width - 1:n])
+    """``pick`` (minimum or maximum) over every ``width`` consecutive entries, by windows of doubled width."""
+    if len(x) < width:
+        return x[:0]
+    span = 1
+    while 2 * span <= width:
+        x = pick(x[:-span], x[span:])
+        span *= 2
+    return pick(x[:len(x) - (width - span)], x[width - span:]) if span < width else x
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
