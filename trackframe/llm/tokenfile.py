@@ -21,12 +21,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from .textops import map_batches, ragged, slices, utf8
-from .tokens import SLICE, encoder
+from .tokens import encoder
 
 FIRST = 1 << 16  # the first nonterminal; vocabularies are smaller
 ROUNDS, RULES, LEAST = 4, 4096, 12
 STEP = 1024
 END_ID = 2
+# Text of a shard, and pieces a process keeps: larger shards repeat more pieces and pairs.
+SHARD_BYTES = 6 << 20
+PIECES = 1_000_000
 
 SCHEMA = ("part int, shard int, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint, rules binary, "
           "expansions binary, symbols binary, marks binary")
@@ -137,8 +140,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
         number, part = 0, TaskContext.get().partitionId()
         with np.errstate(over="ignore"):
             for batch in batches:
-                for rows in slices(batch, "text", SLICE):
-                    ids, bounds = encoder(tokenizer).encode(*utf8(rows.column("text")))
+                for rows in slices(batch, "text", SHARD_BYTES):
+                    ids, bounds = encoder(tokenizer, PIECES).encode(*utf8(rows.column("text")))
                     ends = np.insert(ids, bounds[1:], end_id)
                     yield _shard(part, number, rows.column("doc_id"), ends, bounds + np.arange(len(bounds)))
                     number += 1

@@ -22,8 +22,6 @@ from .textops import ragged
 # Distinct pieces a process keeps; later ones are looked up anew in each slice.
 CACHE_PIECES = 300_000
 BATCH = 64
-# Text encoded at once: larger slices repeat more pieces.
-SLICE = 4 << 20
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -90,7 +88,8 @@ def piece_starts(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of whole texts; one per process and vocabulary file (``encoder``)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = CACHE_PIECES):
+        self.keep = keep
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -162,8 +161,8 @@ class Encoder:
         _, bounds, raw = coded.dictionary.buffers()
         cut, raw = np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1].tolist(), raw.to_pybytes()
         distinct = [raw[a:b] for a, b in zip(cut, cut[1:])]
-        if len(self.known) > CACHE_PIECES:  # the slice before brought pieces that are not kept
-            for p in list(islice(reversed(self.known), len(self.known) - CACHE_PIECES)):
+        if len(self.known) > self.keep:  # the slice before brought pieces that are not kept
+            for p in list(islice(reversed(self.known), len(self.known) - self.keep)):
                 del self.known[p]
         get = self.known.get
         at = [get(p, -1) for p in distinct]
@@ -178,10 +177,11 @@ class Encoder:
         return ids, total[np.searchsorted(starts, offsets)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, keep: int = CACHE_PIECES) -> Encoder:
+    """The process's encoder of a vocabulary file that keeps up to ``keep`` pieces."""
+    if (path, keep) not in _encoders:
+        _encoders[path, keep] = Encoder(path, keep)
+    return _encoders[path, keep]
