@@ -7,15 +7,16 @@ but the last keep the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
 
 from trackframe.llm.catalog import tokenizer_path
 from trackframe.llm.decontam import contaminated
 from trackframe.llm.langid import UND, fit_languages, predict_languages
 from trackframe.llm.packing import pack
 from trackframe.llm.recompress import remove_repeats
-from trackframe.llm.simhash import simhash_groups
+from trackframe.llm.simhash import simhash_least
 from trackframe.llm.staging import stage, table
 
 
@@ -32,19 +33,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return predict_languages(shielded, model).where(F.col("lang_pred") != UND).select(*own)
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of the smallest id, of each group linked by fingerprints of 3-word shingles at 3 bits or fewer.
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, *, unique_ids: bool = True) -> DataFrame:
+    """Keep one document of each group linked by fingerprints of 3-word shingles at 3 bits or fewer.
 
-    A document without an id stays if its group has no id at all; rows that
-    repeat an id stay once, the one with the smallest text hash.
+    It is that of the smallest id, by text hash among rows that repeat the id; a
+    document without an id stays if its group has no id at all. So every group
+    keeps exactly one row, whatever the ids. With ``unique_ids`` an id that stands
+    for several groups keeps only the row with the smallest text hash.
     """
-    groups = simhash_groups(docs, shingle=3, radius=3)
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("__key")
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    kept = docs.select("*", key).join(first, "__key", "left_semi")
-    # The join's partitioning serves the choice among rows of one id, too.
-    place = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text")))
-    return kept.withColumn("__place", place).where("__place = 1").select(*docs.columns)
+    # Equal rows have equal keys, so any of them will do; nulls are told from the hash's skipped values.
+    marks = F.concat(*[F.col(c).isNull().cast("string") for c in docs.columns])
+    key = {"__none": F.col("doc_id").isNull(), "__id": F.col("doc_id"), "__text": F.xxhash64("text"), "__all": F.xxhash64(marks, *docs.columns)}
+    first = simhash_least(docs, F.struct(*[c.alias(k) for k, c in key.items()]), shingle=3, radius=3)
+    if unique_ids:
+        named = first.where("not __none").groupBy("__id").agg(F.min(F.struct("__text", "__all")).alias("__row"))
+        first = first.where("__none").select("__text", "__all").union(named.select("__row.*"))
+    hashes = ["__text", "__all"]
+    # Partial aggregates leave one of equal rows in each task; the join uses the same partitioning.
+    rows = docs.select("*", *[key[k].alias(k) for k in hashes]).groupBy(*hashes).agg(*[F.first(c).alias(c) for c in docs.columns])
+    return rows.join(first.select(*hashes), hashes, "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +79,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language),
-    ("simhash_neardup", near_copies),
+    ("simhash_neardup", partial(near_copies, unique_ids=False)),
     ("substring_dedup", repeated_passages),
     ("benchmark_decontamination", decontamination),
     ("packing", packing),

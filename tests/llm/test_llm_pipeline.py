@@ -43,3 +43,22 @@ def test_run_reads_documents(spark, tmp_path):
     frame(spark, [(1, "one two three", "en", "s", 13), (2, "four five six", "en", "s", 13)]).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 2
+
+
+def test_near_copies_keep_a_row_of_every_group(spark):
+    rng = random.Random(11)
+    texts = [sentence(rng, 40) for _ in range(30)]
+    rows = [(None, t, "en", None, i) for i, t in enumerate(texts[:15])] * 2  # many unlinked texts without an id, each twice
+    rows += [(7, t, "en", "s", 0) for t in texts[15:25]]  # one id, ten texts
+    rows += [(3, texts[20], "en", "s", 0), (9, texts[0], "en", "s", 0)]  # a smaller id for one of them, an id for a text without one
+    rows += [(50 + i, t, None, "s", 0) for i, t in enumerate(texts[25:])] * 2
+    rows += [(None, texts[1], None, "en", 1), (None, texts[2], "fr", None, 2)]
+    stage = dict(corpus_pipeline.STAGES)["simhash_neardup"]
+    got = [tuple(r) for r in stage(spark, frame(spark, rows).repartition(4), "").collect()]
+    root = groups({fingerprint(t) for t in texts})
+    want = {}
+    for r in rows:
+        g = root[fingerprint(r[1])]
+        want[g] = min(want.get(g, (True, 0)), (r[0] is None, r[0] or 0))
+    assert len(want) == len(got) == 30 and set(got) <= set(rows)
+    assert {root[fingerprint(r[1])]: (r[0] is None, r[0] or 0) for r in got} == want

@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .staging import components, stage
 from .textops import map_batches, map_slices
@@ -58,9 +58,13 @@ def simhash(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)``: the signed 64-bit SimHash of each whole text (null text: no words, fingerprint 0)."""
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 key: Column | None = None) -> DataFrame:
+    """``(doc_id, fp)``: the signed 64-bit SimHash of each whole text (null text: no words, fingerprint 0).
+
+    ``key`` takes the place of the id, under the same name.
+    """
+    chosen = docs.select((F.col(id_col) if key is None else key).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").to_pylist()
@@ -141,6 +145,20 @@ def links(distinct: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFra
     return pairs.union(small).union(wide)
 
 
+def _rooted(rows: DataFrame, radius: int) -> DataFrame:
+    """``(fp, least, root)`` of each distinct fingerprint: its least ``doc_id`` and the root of its component."""
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    roots = components(links(distinct.select("fp"), radius))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_least(docs: DataFrame, key: Column, text_col: str = "text", *, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The least ``key`` (a struct) of each group, one row per group, as columns."""
+    rows = stage(fingerprints(docs, text_col=text_col, shingle=shingle, key=key), "fingerprints")
+    return _rooted(rows, radius).groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3,
                    radius: int = 3) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint`` (16 hex digits) and ``component_id``.
@@ -152,10 +170,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     columns are ignored; an empty table gives no rows.
     """
     rows = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(rows, radius)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(
