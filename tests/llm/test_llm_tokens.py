@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
-from llm_data import documents, frame
+from llm_data import documents, frame, sentence
 from tokenizers import Tokenizer
 
 from trackframe.llm.packing import pack, pieces
@@ -99,3 +99,27 @@ def test_empty_tables(spark):
     write_token_file(frame(spark, []), path, PATH)
     assert token_digests(read_token_file(spark, path)).count() == 0
     assert pack(frame(spark, []), PATH).count() == 0
+
+
+def test_packing_brings_neighbours_together(spark):
+    rng = random.Random(4)
+    topics = [[sentence(rng, 1) for _ in range(12)] for _ in range(40)]
+    filler = [sentence(rng, 1) for _ in range(30)]
+    text = lambda t: " ".join(rng.choice(topics[t]) if i % 2 else rng.choice(filler) for i in range(150))
+    # A topic's documents lie far apart: in many partitions of rows, each a shard of its own if shards follow the layout.
+    rows = [(100 * k + t, text(t)) for k in range(6) for t in range(40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 24), "doc_id bigint, text string")
+    got = pack(docs, PATH).collect()
+    together = {}
+    for r in got:
+        together.setdefault(r["sequence_id"], []).append(r["doc_id"] % 100)
+    alike = [x[i] == x[i + 1] for x in together.values() for i in range(len(x) - 1)]
+    assert sum(alike) > 0.5 * len(alike)  # by layout every partition holds ten topics once
+
+
+def test_long_text_has_neighbours():
+    from trackframe.llm.packing import _blocks, planes
+
+    sizes = [10, 5000, 10, 10, 3000, 900, 10, 10]
+    batches = [pa.RecordBatch.from_arrays([pa.array([planes(np.arange(n))], pa.binary())], ["ids"]) for n in sizes]
+    assert [b.num_rows for b in _blocks(iter(batches), 1000)] == [5, 3]

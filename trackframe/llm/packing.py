@@ -1,8 +1,11 @@
 """Lexical retrieval packing into fixed windows.
 
-Documents are taken in bounded shards. Each shard has a BM25 inverted index
-over token ids; a seed document is followed by its best unused neighbours, which
-greedily fill its window. A document that does not fit is cut, and its rest
+Documents are brought together by their rarest shared terms: the key of a document
+lists its token ids from rare to common by their document counts over the whole
+table, and the table is dealt and sorted by it, so documents that share a rare term (or,
+where many do, also the next ones) follow one another. Shards are bounded
+runs in that order. Each shard has a BM25 inverted index over token ids; a
+seed document is followed by its best unused neighbours, which greedily fill its window. A document that does not fit is cut, and its rest
 opens the next window as the new seed. So windows are full but for the
 shard's last one, which is cut at powers of two (these need no padding).
 """
@@ -16,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .textops import SLICE_BYTES, give_back, map_batches, ragged, slices, utf8
+from .staging import stage
+from .textops import give_back, map_batches, map_slices, ragged, utf8
 from .tokens import encoder
 
 WINDOW = 1024
@@ -24,6 +28,9 @@ END_ID = 0
 # Query terms of a seed: its rarest that another document of the shard has too. Neighbours ranked at once.
 QUERY_TERMS, NEIGHBOURS = 16, 32
 K1, B = 1.2, 0.75
+# Ids of a shard (about 2 MB of text); one document counts as half of them at most, so none is alone for its length.
+SHARD_IDS = 1 << 19
+KEY_TERMS = 8
 
 
 class Index:
@@ -116,43 +123,144 @@ def pieces(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.nd
     return doc, begins - (ends - lengths)[doc], size, sequence, begins - cuts_[sequence]
 
 
+def planes(ids: np.ndarray) -> bytes:
+    """Ids as their low halves, then their high ones (mostly zero, so they compress)."""
+    return ids.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
+
+
+def from_planes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids, bounds)`` of a binary column made by ``planes``."""
+    column = column.cast(pa.large_binary())
+    _, off, data = column.buffers()
+    offsets = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1]
+    half = np.frombuffer(data, "<u2") if data is not None and data.size else np.zeros(0, "<u2")
+    half, bounds = half[offsets[0] // 2:offsets[-1] // 2], (offsets - offsets[0]) // 4
+    count = np.diff(bounds)
+    low = ragged(2 * bounds[:-1], count)
+    high = low + np.repeat(count, count)
+    return half[low].astype("<u4") | half[high].astype("<u4") << np.uint32(16), bounds
+
+
+def plane_bounds(column: pa.Array) -> np.ndarray:
+    """Where each row's ids begin, without reading them."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    return (offsets - offsets[0]) // 4
+
+
+def _terms(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(doc, id)`` of the distinct ids of each document, ascending."""
+    code = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64) << np.uint64(32), np.diff(bounds)) | ids.astype(np.uint64)
+    code.sort()
+    if len(code):
+        code = code[np.concatenate([[True], code[1:] != code[:-1]])]
+    return (code >> np.uint64(32)).astype(np.int64), (code & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], most: int = SHARD_IDS) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a partition, across its batches, of about ``most`` ids; a row counts as half of it at most."""
+    held, size = [], 0
+    for batch in batches:
+        counts = np.diff(plane_bounds(batch.column("ids")))
+        ends = np.cumsum(np.minimum(counts, most // 2))
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = min(batch.num_rows, int(np.searchsorted(ends, done + most - size, "left")) + 1)
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1]) - done
+            at = to
+            if size >= most:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+    """``(doc_id, ids)``: ids of each whole ``text`` and its end id, as ``planes``."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, bounds = encoder(tokenizer).encode(*utf8(batch.column("text")))
+        ids = np.insert(ids, bounds[1:], end_id)
+        bounds = bounds + np.arange(len(bounds))
+        rows = [planes(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "ids"])
+    return map_slices(docs, "text", run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+
+
+def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
+    """``coded`` dealt and sorted by each document's rarest ids that another document of the table has too.
+
+    Document counts are one number per id of the vocabulary. Rows of equal
+    keys are ordered by the hash of their ids and spread over tasks like others.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in _blocks(batches):
+            found = np.bincount(_terms(*from_planes(batch.column("ids")))[1], minlength=len(total))
+            found[:len(total)] += total
+            total = found
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], ["term", "n"])
+    counts = map_batches(coded.select("ids"), count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).where("n > 1")
+    common = sorted((r["n"], r["term"]) for r in counts.collect())  # at most the vocabulary
+    rank = np.full(max((t for _, t in common), default=-1) + 2, 0xFFFFFFFF, np.uint32)  # the last place is for all other ids
+    for i, (_, t) in enumerate(common):
+        rank[t] = i
+    spec = coded.sparkSession.sparkContext.broadcast(rank)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = spec.value
+        for batch in _blocks(batches):
+            ids, bounds = from_planes(batch.column("ids"))
+            doc, place = _terms(rank[np.minimum(ids, len(rank) - 1)], bounds)
+            nth = np.arange(len(doc)) - np.searchsorted(doc, doc, "left")
+            kept = (nth < terms) & (place < 0xFFFFFFFF)
+            cuts = 4 * np.concatenate([[0], np.cumsum(np.bincount(doc[kept], minlength=batch.num_rows))]).astype(np.int32)
+            key = pa.Array.from_buffers(pa.binary(), batch.num_rows,
+                                        [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(place[kept].astype(">u4").tobytes())])
+            yield pa.RecordBatch.from_arrays([*batch.columns, key], [*batch.schema.names, "key"])
+            give_back()
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    keyed = map_batches(coded, keys, f"doc_id {kind}, ids binary, key binary").select(
+        "*", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("copy"))
+    order = ["key", "tie", "doc_id", "copy"]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+
+
 def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
          end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
     Every id of every document, with its end id, is in exactly one piece. A shard is
-    a run of rows of one input partition, about ``SLICE_BYTES`` of text. Null and
+    a run of rows in the order of ``neighbourly``, about ``SHARD_IDS`` ids. Null and
     empty texts are just the end id; rows with null or equal ids are packed like
     others; extra columns are ignored; an empty table gives no rows.
     """
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    coded = stage(encoded(chosen, tokenizer, end_id), "encoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         sequence = TaskContext.get().partitionId() << 40
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for rows in slices(batch, "text", SLICE_BYTES):
-                    ids, bounds = encoder(tokenizer).encode(*utf8(rows.column("text")))
-                    ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
-                    bounds = bounds + np.arange(len(bounds))
-                    chain = np.array(order(ids, bounds, window), np.int64)
-                    place, start, length, number, offset = pieces(np.diff(bounds)[chain], window)
-                    doc = chain[place]
-                    first = bounds[doc] + start
-                    crc = [zlib.crc32(ids[a:a + k]) for a, k in zip(first.tolist(), length.tolist())]
-                    out = [rows.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
-                           pa.array(np.diff(bounds)[doc]), pa.array(sequence + number), pa.array(offset)]
-                    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-                    if keep_ids:
-                        cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-                        out.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids[ragged(first, length)].astype(np.int32))))
-                        names.append("ids")
-                    yield pa.RecordBatch.from_arrays(out, names)
-                    sequence += int(number[-1]) + 1
-                    del ids, chain, out, rows
-                    give_back()
+        for rows in _blocks(batches):
+            ids, bounds = from_planes(rows.column("ids"))
+            chain = np.array(order(ids, bounds, window), np.int64)
+            place, start, length, number, offset = pieces(np.diff(bounds)[chain], window)
+            doc = chain[place]
+            first = bounds[doc] + start
+            crc = [zlib.crc32(ids[a:a + k]) for a, k in zip(first.tolist(), length.tolist())]
+            out = [rows.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+                   pa.array(np.diff(bounds)[doc]), pa.array(sequence + number), pa.array(offset)]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            if keep_ids:
+                cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                out.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids[ragged(first, length)].astype(np.int32))))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(out, names)
+            sequence += int(number[-1]) + 1
+            del ids, chain, out, rows
+            give_back()
     schema = (f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, "
               "doc_tokens bigint, sequence_id bigint, offset bigint" + (", ids array<int>" if keep_ids else ""))
-    return map_batches(chosen, run, schema)
+    return map_batches(neighbourly(coded), run, schema)
