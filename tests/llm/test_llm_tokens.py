@@ -123,3 +123,23 @@ def test_long_text_has_neighbours():
     sizes = [10, 5000, 10, 10, 3000, 900, 10, 10]
     batches = [pa.RecordBatch.from_arrays([pa.array([planes(np.arange(n))], pa.binary())], ["ids"]) for n in sizes]
     assert [b.num_rows for b in _blocks(iter(batches), 1000)] == [5, 3]
+
+
+def test_neighbours_by_all_shared_terms():
+    from trackframe.llm.packing import Index, order
+
+    flat = lambda docs: (np.concatenate(docs), np.concatenate([[0], np.cumsum([len(d) for d in docs])]))
+    # The seed shares 20 rare ids with one document each, and 200 others with the last one, which three more hold.
+    seed = np.arange(220)
+    docs = [seed, *[np.array([i, 1000 + i]) for i in range(20)], *[np.arange(200 * k + 2000, 200 * k + 2200) for k in range(3)]]
+    docs = [np.concatenate([d, np.arange(20, 220)]) if len(d) == 200 else d for d in docs] + [np.arange(20, 220)]
+    index = Index(*flat(docs))
+    used = np.zeros(len(docs), bool)
+    used[0] = True
+    ranked = index.neighbours(0, used).tolist()
+    assert ranked[0] == len(docs) - 1 and sorted(ranked) == list(range(1, len(docs)))
+    # 60 short neighbours of the first document, each after an unrelated one: all of them fill its window.
+    docs = [np.arange(60), *[np.array([500 + k, 500 + k]) if k % 2 else np.array([k // 2, 9000]) for k in range(120)]]
+    docs = [d if d[-1] != 9000 else d[:1] for d in docs]
+    ids, bounds = flat(docs)
+    assert all(len(docs[d]) == 1 for d in order(ids, bounds, 1024)[1:61])

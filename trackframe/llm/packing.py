@@ -25,11 +25,9 @@ from .tokens import encoder
 
 WINDOW = 1024
 END_ID = 0
-# Query terms of a seed: its rarest that another document of the shard has too. Neighbours ranked at once.
-QUERY_TERMS, NEIGHBOURS = 16, 32
 K1, B = 1.2, 0.75
-# Ids of a shard (about 2 MB of text); one document counts as half of them at most, so none is alone for its length.
-SHARD_IDS = 1 << 19
+# Ids of a shard (2 to 4 MB of text); one document counts as half of them at most, so none is alone for its length.
+SHARD_IDS = 1 << 20
 KEY_TERMS = 8
 
 
@@ -51,20 +49,18 @@ class Index:
         idf = np.log1p((n - self.df + 0.5) / (self.df + 0.5))
         norm = K1 * (1 - B + B * lengths[self.doc] / max(1.0, lengths.mean()))
         self.weight = idf[slot] * tf * (K1 + 1) / (tf + norm)
-        # Each document's terms from rare to common, those of its own alone left out.
+        # Each document's terms, those of its own alone left out.
         shared = np.flatnonzero(self.df[slot] > 1)
-        order = shared[np.lexsort((self.df[slot[shared]], self.doc[shared]))]
+        order = shared[np.argsort(self.doc[shared], kind="stable")]
         self.terms, self.own = slot[order], np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.score = np.zeros(n)
 
-    def neighbours(self, seed: int, used: np.ndarray, most: int = NEIGHBOURS) -> np.ndarray:
-        """Unused documents that share a query term with ``seed``, best first, ties by position."""
-        query = self.terms[self.own[seed]:min(self.own[seed + 1], self.own[seed] + QUERY_TERMS)]
+    def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
+        """Unused documents that share a term with ``seed``, by the BM25 sum over all shared terms, best first, ties by position."""
+        query = self.terms[self.own[seed]:self.own[seed + 1]]
         at = ragged(self.starts[query], self.df[query])
-        docs = self.doc[at]
-        total = np.bincount(docs, self.weight[at], len(self.score)) if len(at) else self.score
-        found = np.unique(docs[~used[docs]])
-        return found[np.argsort(-total[found], kind="stable")][:most]
+        total = np.bincount(self.doc[at], self.weight[at], len(used)) if len(at) else np.zeros(len(used))
+        found = np.flatnonzero((total > 0) & ~used)
+        return found[np.argsort(-total[found], kind="stable")]
 
 
 def order(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> list[int]:
