@@ -26,3 +26,14 @@ def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert contaminated(frame(spark, []), items).count() == 0
     assert contaminated(frame(spark, extra=True), items.where("false")).count() == 0
+
+
+def test_names_that_open_sentences(spark):
+    item = "Tom has 5 apples. Anna gives Tom 3 more apples. How many apples does Tom have now?"
+    swap = lambda a, b: item.replace("Tom", a).replace("Anna", b)
+    texts = [swap("Bob", "Eve"), "He said: " + swap("Bob", "Eve").replace("5", "8"), "x. " + swap("Bob", "Eve").replace(". How", "; how"), item,
+             swap("Bob", "Eve").replace("does Bob", "does Sam").replace("gives Bob", "gives Jim"), swap("Bob", "Eve").replace("apples", "cherries")]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in contaminated(frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert set(got) == {0, 1, 2, 3}
+    assert got[0]["coverage"] == got[2]["coverage"] == 1 and got[0]["n_windows"] == 13 and got[0]["changed"] and not got[3]["changed"]

@@ -6,7 +6,8 @@ five template tokens are joined by hash. For each document and item the matched
 windows are grouped by place; every placeholder must stand for one value all
 through (a re-parameterised question changes the values, but consistently),
 windows that break this are left out, and the item is found if at least 0.8 of
-its windows remain.
+its windows remain. A capitalised word that opens a text or sentence may be a
+name or not: its windows have a key for each reading, on both sides.
 """
 
 from __future__ import annotations
@@ -56,8 +57,11 @@ def _low(data: np.ndarray) -> np.ndarray:
     return low
 
 
-def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(kind, value, place, bounds)``: value is the token's hash (unit suffixes split off numbers), place its first byte."""
+def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(kind, value, place, bounds, either)``: value is the token's hash (unit suffixes split off numbers), place its first byte.
+
+    ``either`` marks plain words that may be names, as a text or sentence starts with them.
+    """
     low = _low(data)
     digit = _DIGIT[data]
     inner = np.zeros(len(data), bool)  # a point or comma between digits belongs to the number
@@ -72,7 +76,7 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     value = span_hash(prefix_hash(_CODES[low]), starts, ends)
     kind = np.zeros(len(starts), np.int8)
     kind[number] = NUMBER
-    first = np.zeros(len(starts), bool)  # no name at the start of a text or sentence
+    first, either = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
     bounds = np.searchsorted(starts, offsets)
     if len(starts):
         stops = np.concatenate([[0], np.cumsum(_STOP[data] & ~inner)])
@@ -86,11 +90,13 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
         big = capitals[np.minimum(starts + 1 + wide, len(data))] > capitals[starts]
         mixed = capitals[ends] - capitals[starts] < characters[ends] - characters[starts]
         kind[big & mixed & ~number & ~first] = NAME
+        either = big & mixed & ~number & first
         after = np.zeros(len(starts), bool)
         after[1:] = number[:-1]
         after[bounds[:-1][bounds[:-1] < len(starts)]] = False
         kind[after & ~number & np.isin(value, _unit_hashes())] = UNIT
-    return kind, value, starts, bounds
+        either &= kind == WORD
+    return kind, value, starts, bounds, either
 
 
 _units: list[np.ndarray] = []
@@ -104,44 +110,66 @@ def _unit_hashes() -> np.ndarray:
 
 
 def windows(offsets: np.ndarray, data: np.ndarray, size: int = WINDOW):
-    """``(kind, value, place, bounds, key, text, first)``: template window keys with their text number and first token.
+    """``(kind, value, place, bounds, key, text, first, names)``: template window keys with their text number and first token.
 
     A window without any plain word would match every list of numbers or
     names, so its key keeps the values themselves. A text of fewer tokens has
-    one window of all its tokens.
+    one window of all its tokens. Bit j of ``names`` says that the window's token j, a
+    word that may be a name, is read as one; a window has a row for each reading
+    that leaves a plain word, the plain readings of all windows first.
     """
-    kind, value, place, bounds = tokens(offsets, data)
+    kind, value, place, bounds, either = tokens(offsets, data)
     template = np.where(kind == WORD, value, kind.astype(U64))
     counts = np.diff(bounds)
     n = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
     text = np.repeat(np.arange(len(counts)), n)
     first = np.repeat(bounds[:-1], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+    def keys(first: np.ndarray, width: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        key, raw, plain = np.zeros(len(first), U64), np.zeros(len(first), U64), np.zeros(len(first), bool)
+        free = np.zeros(len(first), np.int64)
+        for j in range(size):
+            have = j < width
+            at = np.minimum(first + j, max(0, len(kind) - 1))
+            if len(kind):
+                entry = U64(NAME) if names >> j & 1 else template[at]
+                key = np.where(have, mix(key * U64(3) + entry), key)
+                raw = np.where(have, mix(raw * U64(5) + value[at]), raw)
+                if not names >> j & 1:
+                    plain |= have & (kind[at] == WORD)
+                free |= (have & either[at]).astype(np.int64) << j
+        return key, raw, plain, free
+
     width = np.minimum(size, counts)[text]
-    key, raw, plain = np.zeros(len(first), U64), np.zeros(len(first), U64), np.zeros(len(first), bool)
-    for j in range(size):
-        have = j < width
-        at = np.minimum(first + j, max(0, len(kind) - 1))
-        if len(kind):
-            key = np.where(have, mix(key * U64(3) + template[at]), key)
-            raw = np.where(have, mix(raw * U64(5) + value[at]), raw)
-            plain |= have & (kind[at] == WORD)
-    return kind, value, place, bounds, np.where(plain, key, raw), text, first
+    key, raw, plain, free = keys(first, width, 0)
+    out = [(np.where(plain, key, raw), text, first, np.zeros(len(first), np.int64))]
+    open_ = np.flatnonzero(free)
+    for names in range(1, 1 << size):
+        fits = open_[free[open_] & names == names]
+        if len(fits):
+            key, _, plain, _ = keys(first[fits], width[fits], names)
+            fits, key = fits[plain], key[plain]
+            out.append((key, text[fits], first[fits], np.full(len(fits), names, np.int64)))
+    key, text, first, names = (np.concatenate(x) for x in zip(*out))
+    return kind, value, place, bounds, key, text, first, names
 
 
 def _window_rows(df: DataFrame, schema: str, keep=None, size: int = WINDOW) -> DataFrame:
     """Rows ``(row, id, n, at, key, kinds, values)`` of the windows whose key passes ``keep``."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        kind, value, _, bounds, key, text, first = windows(*utf8(batch.column("text")), size)
-        n_windows = np.bincount(text, minlength=batch.num_rows)
-        ordinal = np.arange(len(text)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        kind, value, _, bounds, key, text, first, names = windows(*utf8(batch.column("text")), size)
+        counts = np.diff(bounds)
+        n_windows = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
         hit = np.flatnonzero(keep(key)) if keep is not None else np.arange(len(key))
         if not len(hit):
             return None
-        counts = np.diff(bounds)
+        ordinal = first - bounds[text]
         width = np.minimum(size, counts)[text[hit]]
         offs = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
         at = np.repeat(first[hit], width) + np.arange(int(width.sum())) - np.repeat(offs[:-1], width)
-        lists = [pa.ListArray.from_arrays(pa.array(offs), pa.array(x)) for x in (kind[at].astype(np.int32), value[at].view(np.int64))]
+        named = np.repeat(names[hit], width) >> (np.arange(int(width.sum())) - np.repeat(offs[:-1], width)) & 1
+        kinds = np.where(named == 1, NAME, kind[at]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(offs), pa.array(x)) for x in (kinds, value[at].view(np.int64))]
         take = pa.array(text[hit])
         return pa.RecordBatch.from_arrays(
             [batch.column("row").take(take), batch.column("id").take(take), pa.array(n_windows[text[hit]].astype(np.int64)),
