@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
-from llm_data import SCHEMA, documents, frame
+from llm_data import SCHEMA, documents, frame, sentence
 from pyspark.sql import functions as F
 
-from trackframe.llm.fingerprint import edited_fingerprints, with_sketch
+from trackframe.llm.catalog import op5_fingerprints
+from trackframe.llm.fingerprint import edited_fingerprints, merge_sketches, with_sketch
 
 
 def shingles(text):
@@ -63,3 +65,40 @@ def test_sketches_merge(spark):
     rows = spark.createDataFrame([("one two three four five six seven " * 40,), ("alpha beta gamma delta epsilon " * 9,)], "t string")
     parts = with_sketch(rows, "t", "s", fraction=0.5).collect()
     assert all(p["s"] == sorted(set(p["s"])) and p["s"] for p in parts)
+
+
+def test_short_texts_in_long_ones(spark, tmp_path):
+    rng = random.Random(6)
+    texts = []
+    for n in (1, 5, 6, 9, 17, 24, 64, 130, 255):  # a short text, then a long one that holds it
+        short = sentence(rng, n)
+        texts += [short, sentence(rng, 700) + " " + short + " " + sentence(rng, 900)]
+    texts += ["", "x " * 300, "x " * 5, sentence(rng, 400), None]
+    rows = [(1000 - i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in op5_fingerprints(spark, str(tmp_path)).collect()}
+
+    def exact(a, b):
+        a, b = ({tuple(s) for s in shingles(t)} for t in (a, b))
+        return 1.0 if not a and not b else 0.0 if not a or not b else len(a & b) / min(len(a), len(b))
+    texts = [t or "" for t in texts]
+    for i, t in enumerate(texts):
+        following = texts[(i + 1) % len(texts)]
+        edited = t[:len(t) - len(t) // 2] + following[:len(t) // 2]
+        few = min(len({tuple(s) for s in shingles(t)}), len({tuple(s) for s in shingles(following)})) <= 256
+        assert abs(got[1000 - i]["near_next"] - exact(t, following)) < (1e-12 if few else 0.2)
+        assert abs(got[1000 - i]["near_edited"] - exact(t, edited)) < (1e-12 if few and len(t) < 2500 else 0.2)
+    assert all(got[1000 - i]["near_next"] == 1 for i in range(2, 18, 2))
+
+
+def test_sketches_of_parts_merge(spark):
+    rng = random.Random(9)
+    parts = [sentence(rng, n) for n in (5, 5, 6, 7, 200, 5)]
+    rows = spark.createDataFrame([(a, b) for a in parts for b in parts], "a string, b string")
+    for c in "ab":
+        rows = with_sketch(rows, c, f"s{c}")
+    got = rows.select("*", merge_sketches("sa", "sb").alias("m")).collect()
+    limit = -(1 << 63) + (1 << 60)
+    for r in got:
+        low = sorted({h for h in r["sa"] + r["sb"] if h < limit})
+        assert r["m"] == (low or [min(r["sa"] + r["sb"])])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .decontam import contaminated
-from .fingerprint import edited_fingerprints
+from .fingerprint import FEW, WIDE, edited_fingerprints
 from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
 from .packing import pack
@@ -53,7 +53,7 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(table(spark, sf_dir, "documents"))
+    return edited_fingerprints(table(spark, sf_dir, "documents"), fraction=WIDE, few=FEW)
 
 
 def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
