@@ -27,8 +27,13 @@ def _shielded(docs: DataFrame, taken: tuple[str, ...]) -> tuple[DataFrame, list]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts in a language the model knows; texts without a letter (or null) go. The model learns from all of ``docs``."""
+    """Keep texts in a language the model knows; texts without a letter (or null) go. The model learns from all of ``docs``.
+
+    Without any labelled text there is no language to go by: every text with a letter stays.
+    """
     model = fit_languages(docs)
+    if not model.languages:
+        return docs.where(F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
     shielded, own = _shielded(docs, ("lang_pred", "score"))
     return predict_languages(shielded, model).where(F.col("lang_pred") != UND).select(*own)
 

@@ -62,3 +62,9 @@ def test_near_copies_keep_a_row_of_every_group(spark):
         want[g] = min(want.get(g, (True, 0)), (r[0] is None, r[0] or 0))
     assert len(want) == len(got) == 30 and set(got) <= set(rows)
     assert {root[fingerprint(r[1])]: (r[0] is None, r[0] or 0) for r in got} == want
+
+
+def test_language_without_labels(spark):
+    rows = [(1, "one two", None, "s", 7), (2, "123 456", None, "s", 7), (3, None, None, "s", None), (None, "été", None, None, 3), (5, "", None, "s", 0)]
+    got = corpus_pipeline.language(spark, frame(spark, rows), "")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, (rows[0], rows[3])))
