@@ -37,3 +37,11 @@ def test_names_that_open_sentences(spark):
     got = {r["doc_id"]: r for r in contaminated(frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     assert set(got) == {0, 1, 2, 3}
     assert got[0]["coverage"] == got[2]["coverage"] == 1 and got[0]["n_windows"] == 13 and got[0]["changed"] and not got[3]["changed"]
+
+
+def test_short_items_inside_longer_texts(spark):
+    items = [(1, "capital of France?"), (2, "forty two"), (3, "why")]
+    texts = ["say the capital of Spain or so, please", "capital of Italy", "the answer is forty two of course", "but why", "why", "capital city of France now", "forty one or two"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = {(r["doc_id"], r["item_id"]): r["changed"] for r in contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(0, 1): True, (1, 1): True, (2, 2): False, (3, 3): False, (4, 3): False}

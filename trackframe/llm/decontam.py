@@ -154,13 +154,18 @@ def windows(offsets: np.ndarray, data: np.ndarray, size: int = WINDOW):
     return kind, value, place, bounds, key, text, first, names
 
 
-def _window_rows(df: DataFrame, schema: str, keep=None, size: int = WINDOW) -> DataFrame:
-    """Rows ``(row, id, n, at, key, kinds, values)`` of the windows whose key passes ``keep``."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+def _window_rows(df: DataFrame, schema: str, keep=None, size: int = WINDOW, smaller: tuple[int, ...] = ()) -> DataFrame:
+    """Rows ``(row, id, n, at, key, kinds, values)`` of the windows whose key passes ``keep``.
+
+    Texts of more tokens than one of the ``smaller`` sizes are cut into windows of that size, too.
+    """
+    def cut(batch: pa.RecordBatch, size: int, longer: bool = False) -> pa.RecordBatch | None:
         kind, value, _, bounds, key, text, first, names = windows(*utf8(batch.column("text")), size)
         counts = np.diff(bounds)
         n_windows = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
         hit = np.flatnonzero(keep(key)) if keep is not None else np.arange(len(key))
+        if longer:  # a text of just that size has such a window already
+            hit = hit[counts[text[hit]] > size]
         if not len(hit):
             return None
         ordinal = first - bounds[text]
@@ -175,6 +180,11 @@ def _window_rows(df: DataFrame, schema: str, keep=None, size: int = WINDOW) -> D
             [batch.column("row").take(take), batch.column("id").take(take), pa.array(n_windows[text[hit]].astype(np.int64)),
              pa.array(ordinal[hit].astype(np.int64)), pa.array(key[hit].view(np.int64)), *lists],
             ["row", "id", "n", "at", "key", "kinds", "values"])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        parts = [cut(batch, size), *(cut(batch, w, True) for w in smaller)]
+        parts = [p for p in parts if p is not None]
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if len(parts) > 1 else parts[0] if parts else None
     return map_slices(df, "text", run, schema)
 
 
@@ -230,7 +240,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     Columns: ``row`` (the value of ``row_col``, by default the id), ``doc_id``,
     ``item_id``, ``windows`` found, ``n_windows`` of the item, ``coverage`` and
     ``changed`` (a placeholder has another value than in the item). Null and empty
-    texts and items have no windows and are never found; rows with equal ids
+    texts and items have no windows and are never found; an item of fewer than five
+    tokens is one window of that width, found at any place of a document; rows with equal ids
     (and ``row_col``) and equal texts count as one; items with equal ids are
     taken apart by their text; extra columns are ignored; empty tables give no rows.
     """
@@ -256,7 +267,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     def keep(key: np.ndarray) -> np.ndarray:
         at = (key >> U64(64 - FILTER_BITS)).astype(np.int64)
         return (spec.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-    mine = _window_rows(rows, f"row {kind_of(rows, 'row')}, id {kind_of(rows, 'id')}, {tail}", keep)
+    widths = tuple(r["w"] for r in known.select(F.size("values").alias("w")).where(F.col("w") < WINDOW).distinct().collect())
+    mine = _window_rows(rows, f"row {kind_of(rows, 'row')}, id {kind_of(rows, 'id')}, {tail}", keep, smaller=widths)
     theirs = known.select(F.col("row").alias("item_row"), F.col("id").alias("item_id"), "n", F.col("at").alias("item_at"),
                           "key", F.col("values").alias("item_values"), F.size("values").alias("width"))
     pairs = (mine.withColumn("width", F.size("values")).drop("n").join(theirs, ["key", "width"])
