@@ -143,3 +143,13 @@ def test_neighbours_by_all_shared_terms():
     docs = [d if d[-1] != 9000 else d[:1] for d in docs]
     ids, bounds = flat(docs)
     assert all(len(docs[d]) == 1 for d in order(ids, bounds, 1024)[1:61])
+
+
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 5000, 400)
+    ids = np.concatenate([np.concatenate([passage, rng.integers(5000, 60000, 3)]) for _ in range(40)])
+    symbols, rules, lengths = repair(ids)
+    assert (expand(symbols, rules, lengths) == ids).all() and lengths.max() > 100
+    pairs, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+    assert counts.max() < 12

@@ -7,7 +7,8 @@ symbol stream, and the running expansion length at every ``STEP``-th symbol, whi
 lets a reader decode any range of ids without expanding what comes before it.
 
 Re-Pair works in rounds: count all adjacent pairs of the shard, give the most
-frequent ones a nonterminal each, replace them left to right, and repeat.
+frequent ones a nonterminal each, replace them left to right, and repeat until no
+pair is frequent enough.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from .textops import map_batches, ragged, slices, utf8
 from .tokens import encoder
 
 FIRST = 1 << 16  # the first nonterminal; vocabularies are smaller
-ROUNDS, RULES, LEAST = 4, 4096, 12
+RULES, LEAST = 4096, 12  # most rules of a round, least count of a pair
 STEP = 1024
 END_ID = 2
 # Text of a shard, and pieces a process keeps: larger shards repeat more pieces and pairs.
@@ -35,13 +36,11 @@ SCHEMA = ("part int, shard int, doc_ids array<bigint>, lengths array<bigint>, n_
           "expansions binary, symbols binary, marks binary")
 
 
-def repair(ids: np.ndarray, rounds: int = ROUNDS, most: int = RULES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, most: int = RULES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(symbols, rules, expansions)``; rule k is nonterminal FIRST + k and stands for its two symbols."""
     x = ids.astype(np.uint32)
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    for _ in range(rounds):
-        if len(x) < 2:
-            break
+    while len(x) > 1:
         pair = x[:-1].astype(np.uint64) << np.uint64(32) | x[1:]
         ordered = np.sort(pair)
         heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
