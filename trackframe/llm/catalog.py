@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .bestfit import pack_best_fit
 from .decontam import contaminated
 from .fingerprint import FEW, WIDE, edited_fingerprints
 from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
+from .negatives import hard_negatives
 from .packing import pack
 from .recompress import remove_repeats
 from .simhash import simhash_groups
@@ -17,6 +19,7 @@ from .staging import scratch_path, table
 from .suffixdedup import remove_repeated_bytes
 from .tokenfile import read_token_file, token_digests, write_token_file
 from .toxicity import fit_toxicity, score_toxicity
+from .whitening import whiten
 
 
 def _remainder(column: str, by: int):
@@ -84,6 +87,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"), scale=64, components=16)
+    return white.select("vec_id", "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -95,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_best_fit": op12_best_fit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # DuckDB SQL for the queries that SQL can express; the others are tested against brute force.
