@@ -24,8 +24,10 @@ def whole():
 
 def test_word_encoder_equals_the_library(whole):
     rng = random.Random(2)
-    letters = list("abST 's're'll 'm  \n\n\t\x0b.,!?0123'’éßÀ²½×_$€日本\xa0\x85 ΣςσİıA") + ["é", " ́", "<|endoftext|>", "<|start", "n't", "が"]
+    letters = list("abST 's're'll 'm  \n\n\t\x0b.,!?0123'’éßÀ²½×_$€日本\xa0\x85 ΣςσİıA") + ["é", " ́", "<|endoftext|>", "<|start", "n't", "が", "\x1c", "'RE", "'S", "''s", "'ll2", "İ!", "É", "¾"]
     texts = [r[1] or "" for r in documents()] + ["".join(rng.choices(letters, k=rng.randint(0, 14))) for _ in range(4000)]
+    simple = [c for c in letters if all(ord(x) < 0x240 and x not in "\xa0\x85İ" for x in c) and "<|e" not in c]
+    texts += ["".join(rng.choices(simple, k=rng.randint(0, 14))) for _ in range(6000)]
     encoder = WordEncoder(PATH, keep=500)
     for i in range(0, len(texts), 300):
         part = texts[i:i + 300]

@@ -11,13 +11,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .staging import stage
-from .textops import _SPACE, map_batches, ragged, slices, utf8, words
+from .textops import map_batches, ragged, slices, utf8
+from .tokens import _KINDS, NUMBER, SPACE, Encoder
 
 WINDOW = 2048
 END_ID = 0
@@ -27,45 +29,70 @@ SLACK = 8
 BLOCK, GROUP = 1 << 16, 1 << 12
 # A round that saves less than this part of its bins is the last one.
 SAVING = 0.002
-PIECES = 300_000
+# Pieces a process keeps, and text it encodes at once.
+PIECES, SLICE = 600_000, 4 << 20
 
 
-class WordEncoder:
-    """Ids of whole texts for a tokenizer that never joins characters across white space and drops it.
-
-    Distinct words of a slice go to the tokenizers library once and are kept (up to ``keep``).
+class WordEncoder(Encoder):
+    """Ids of whole texts for a lower-casing tokenizer whose pieces are letter runs, single digits, contractions
+    and runs of other characters, white space dropped. Unusual texts go to the library whole, as in ``Encoder``.
     """
 
-    def __init__(self, path: str, keep: int = PIECES):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.whole, self.keep = Tokenizer.from_file(path), keep
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, bounds)``: all ids, and where each text's begin (one more than texts)."""
-        starts, ends, bounds = words(offsets, data)
+    def _simple(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        dotted = np.flatnonzero(data[:-1] == 0xC4)  # U+0130 becomes two characters in lower case
+        dotted = dotted[data[dotted + 1] == 0xB0]
+        simple = super()._simple(offsets, data)
+        simple[np.searchsorted(offsets, dotted, "right") - 1] = False
+        return simple
+
+    def _cut(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(starts, kinds, lower)``: first byte of each piece or white space, what each byte is, ASCII in lower case."""
+        n = len(data)
+        lower = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+        kind = _KINDS[data]
+        lead = np.flatnonzero(data >= 0xC0)
+        if len(lead):
+            code = ((data[lead].astype(np.int32) & 0x1F) << 6) | (data[lead + 1] & 0x3F)
+            kind[lead] = kind[lead + 1] = _KINDS[np.minimum(code, 0x23F)]
+        start = (kind == NUMBER) & ((data & 0xC0) != 0x80)
+        start[1:] |= kind[1:] != kind[:-1]
+        start[offsets[:-1][offsets[:-1] < n]] = True
+        quote = np.flatnonzero((data == 39) & start)
+        if len(quote):
+            ends = offsets[np.searchsorted(offsets, quote, "right")]
+            pad = np.concatenate([lower, np.zeros(3, np.uint8)])
+            a, b = pad[quote + 1], pad[quote + 2]
+            one = np.isin(a, np.frombuffer(b"stmd", np.uint8)) & (quote + 2 <= ends)
+            two = (((a == 114) | (a == 118)) & (b == 101) | (a == 108) & (b == 108)) & (quote + 3 <= ends)
+            for hit, size in ((quote[one], 2), (quote[two], 3)):
+                start[hit + 1] = False
+                start[(hit + size)[hit + size < n]] = True
+        return np.flatnonzero(start), kind, lower
+
+    def _encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        starts, kind, lower = self._cut(offsets, data)
+        sizes, solid = np.diff(np.concatenate([starts, [len(data)]])), kind[starts] != SPACE
+        starts, sizes = starts[solid], sizes[solid]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        cuts = np.concatenate([[0], np.cumsum(ends - starts)])
-        packed = data[~_SPACE[data]].tobytes()
-        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(packed)]).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) > self.keep:
-            self.known.clear()
-        new = [w for w in distinct if w not in self.known]
-        for w, e in zip(new, self.whole.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, np.uint32)
-        lists = [self.known[w] for w in distinct]
-        count = np.fromiter(map(len, lists), np.int64, len(lists))
-        first = np.cumsum(count) - count
-        at = coded.indices.to_numpy()
-        ids = np.concatenate(lists)[ragged(first[at], count[at])]
-        total = np.concatenate([[0], np.cumsum(count[at])])
-        return ids, total[bounds]
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(lower[kind != SPACE].tobytes())]).dictionary_encode()
+        _, bounds, raw = coded.dictionary.buffers()
+        at, raw = np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1].tolist(), raw.to_pybytes()
+        distinct = [raw[a:b] for a, b in zip(at, at[1:])]
+        distinct = [p if p.isascii() else p.decode().lower().encode() for p in distinct]
+        if len(self.known) > self.keep:  # the slice before brought pieces that are not kept
+            for p in list(islice(reversed(self.known), len(self.known) - self.keep)):
+                del self.known[p]
+        new = [p for p in dict.fromkeys(distinct) if p not in self.known]
+        if new:
+            self._learn(new)
+        index = np.array([self.known[p] for p in distinct], np.int64)[coded.indices.to_numpy()]
+        first, count = self.starts[index], self.starts[index + 1] - self.starts[index]
+        total = np.concatenate([[0], np.cumsum(count)])
+        return self.flat[ragged(first, count)], total[np.searchsorted(starts, offsets)]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -73,7 +100,7 @@ _encoders: dict[str, WordEncoder] = {}
 
 def word_encoder(path: str) -> WordEncoder:
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(path, PIECES)
     return _encoders[path]
 
 
@@ -138,7 +165,7 @@ def _packed_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int, sc
             number, held, many = number + len(fills), [], 0
             return out
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids, bounds = code.encode(*utf8(part.column("text")))
                 ids = np.insert(ids, bounds[1:], end_id)
                 bounds = bounds + np.arange(len(bounds))
@@ -185,7 +212,7 @@ def pack_best_fit(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", te
     last shorter one. Pieces are packed whole, so that a sequence holds at most ``window`` ids from
     offset 0 on without gaps. Null and empty texts are just the end id; rows with null or equal
     ids are packed like others; equal sizes are taken in their order; an empty table gives no
-    rows; extra columns are ignored. The tokenizer must treat white space as a bound it drops.
+    rows; extra columns are ignored. The tokenizer must cut texts as ``WordEncoder`` does.
     """
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
