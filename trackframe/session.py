@@ -42,7 +42,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/trackframe-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """``(path, file system)`` of the path's scheme, as the JVM has them."""
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
@@ -55,7 +56,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     this answers True and callers fall back to trying a read.
     """
     try:
-        p, fs = _hadoop_path(spark, path)
+        p, fs = hadoop_path(spark, path)
         return bool(fs.exists(p))
     except Exception:  # noqa: BLE001
         return True
@@ -68,7 +69,7 @@ def drop_path(spark: SparkSession, path: str) -> bool:
     (e.g. Spark Connect); the folder then stays for the operator to clear.
     """
     try:
-        p, fs = _hadoop_path(spark, path)
+        p, fs = hadoop_path(spark, path)
         return bool(fs.delete(p, True))
     except Exception:  # noqa: BLE001 - best effort clean-up only
         return False
