@@ -37,6 +37,7 @@ def normalise_weights(
     wave_col: str = "wave",
     weight_col: str = "weight",
     out_col: str = WEIGHT_NORM,
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``weight / mean(weight within the wave)``; nothing runs until the result is used.
 
@@ -44,18 +45,25 @@ def normalise_weights(
     wave's mean is null or zero, in which case every row of the wave gets 1.0.
 
     ``df``'s plan is evaluated twice (for the means only its wave and weight
-    columns): give it a scan of stored or staged data, as the runs do, where its plan is expensive.
+    columns): give it a scan of stored or staged data, as the runs do, where its plan is expensive, or the
+    ``means`` (``__wave``, ``__wave_mean``) if they are known (``wave_means`` of a metric state).
     """
-    means = wave_weight_means(df, wave_col, weight_col)
+    if means is None:
+        means = wave_weight_means(df, wave_col, weight_col)
     joined = df.join(means, F.col(wave_col).eqNullSafe(F.col("__wave")), "left")
     return joined.select(*df.columns, _norm(F.col(weight_col), F.col("__wave_mean")).alias(out_col))
 
 
-def add_features(df: DataFrame, config: TrackerConfig | None = None) -> DataFrame:
-    """Attach ``weight_norm``, ``nps_segment`` and ``top2box``."""
+def row_features(df: DataFrame, config: TrackerConfig | None = None) -> DataFrame:
+    """Attach the features that need nothing but their row: ``nps_segment`` and ``top2box``."""
     config = config or TrackerConfig()
-    return normalise_weights(df).select(
+    return df.select(
         "*",
         nps_segment(F.col("nps_score"), config.promoter_min, config.detractor_max).alias("nps_segment"),
         top_box(F.col("satisfaction"), config.top2box_min).alias("top2box"),
     )
+
+
+def add_features(df: DataFrame, config: TrackerConfig | None = None, *, means: DataFrame | None = None) -> DataFrame:
+    """Attach ``weight_norm`` (from ``means`` if given), ``nps_segment`` and ``top2box``."""
+    return row_features(normalise_weights(df, means=means), config)

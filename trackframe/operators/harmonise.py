@@ -72,3 +72,23 @@ def harmonise(
             c = recode(c, maps[key])
         exprs.append(c.alias(new))
     return df.select(*exprs)
+
+
+def recode_lookup(df: DataFrame, column: str, lookup: DataFrame, code_col: str, value_col: str) -> DataFrame:
+    """``df`` with ``column`` recoded by a table of codes; codes that are not in it (and null) pass through.
+
+    For code lists too large for a literal map: one equi-join without a hint on the trimmed value, so that
+    Catalyst and AQE choose its strategy by size. Rows neither multiply nor go: a code with one value in several rows
+    counts once, one with different values is an error when the result is computed. A null value
+    or code in the table recodes nothing. Extra columns of the table are ignored.
+    """
+    code, value = F.col(code_col).cast("string"), F.col(value_col).cast("string")
+    clash = F.raise_error(F.concat(F.lit(f"different values in the recode table of {column} for code "), F.col("__code")))
+    table = (lookup.select(F.trim(code).alias("__code"), value.alias("__value")).dropna()
+             .groupBy("__code").agg(F.min("__value").alias("__value"), F.max("__value").alias("__other"))
+             .select("__code", F.when(F.col("__value") == F.col("__other"), F.col("__value")).otherwise(clash.cast("string")).alias("__value")))
+    name = next((c for c in df.columns if c.strip().lower() == column.strip().lower()), None)
+    if name is None:
+        return df
+    joined = df.join(table, F.trim(_ref(name).cast("string")) == F.col("__code"), "left")
+    return joined.select(*[F.coalesce("__value", F.trim(_ref(c).cast("string"))).alias(c) if c == name else _ref(c) for c in df.columns])

@@ -17,23 +17,32 @@ from trackframe.config import TrackerConfig
 from trackframe.functions.expressions import net_score, nps_segment, top_box, weighted_share
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON, enforce_contract, tag_rows
 from trackframe.operators.features import add_features, normalise_weights
-from trackframe.operators.harmonise import harmonise
-from trackframe.operators.metrics import refresh_wave_metrics, wave_metrics, wave_metrics_direct
+from trackframe.operators.harmonise import harmonise, recode_lookup
+from trackframe.operators.metrics import (
+    add_parts,
+    metric_parts,
+    metrics_from_parts,
+    refresh_wave_metrics,
+    wave_metrics,
+    wave_metrics_direct,
+)
 from trackframe.operators.upsert import as_of, duplicate_keys, latest_per_key, merge_upsert
 from trackframe.plans import oracle as sql
 from trackframe.plans.fixtures import (
     DRIFT_CONFIG,
     REGION_CODES,
     drifted_waves_folder,
+    many_headers_folder,
     stage_canonical_waves,
     true_wave,
     write_csv,
 )
-from trackframe.plans.run import RESPONDENT_KEYS, output_paths, run_tracker, upsert_waves
+from trackframe.plans.run import RESPONDENT_KEYS, output_paths, read_waves, run_tracker, upsert_waves
 from trackframe.plans.views import document_flags, events_tracker, orders_tracker, orders_tracker_raw, table
 from trackframe.session import scratch_path, staged_copy
 from trackframe.sources.ingest import SOURCE_FILE, ingest_tagged, ingest_waves
-from trackframe.sources.store import pending_waves, read_store, stored_waves, write_partitioned
+from trackframe.sources.state import read_respondents
+from trackframe.sources.store import existing_waves, pending_waves, read_store, store_exists, stored_waves, write_partitioned
 from trackframe.streaming.waves import stream_waves
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,6 +608,177 @@ def q_duplicate_keys(spark, sf_dir):
     return duplicate_keys(li, ["l_orderkey", "l_linenumber"])
 
 
+# ---------------------------------------------------------------- upserts by any key, metric state, indexes
+
+def _respondent(rows: str) -> str:
+    return f"SELECT {sql.CANONICAL} FROM ({rows})"
+
+
+_MOVES = f"""
+SELECT * REPLACE (CAST(6 AS INTEGER) AS wave) FROM ({_respondent(TRACKER)}) WHERE wave = 5
+UNION ALL SELECT * REPLACE (CAST(2 AS INTEGER) AS wave) FROM ({_respondent(TRACKER)}) WHERE wave = 1 AND {sql.KEY} % 11 = 0
+UNION ALL SELECT * REPLACE (CAST((nps_score + 1) % 11 AS INTEGER) AS nps_score) FROM ({_respondent(TRACKER)}) WHERE wave = 3 AND {sql.KEY} % 5 = 0
+UNION ALL SELECT * FROM ({_respondent(TRACKER)}) WHERE wave = 7"""
+_MOVED = f"""
+SELECT {sql.CANONICAL} FROM ({_BASE}) t WHERE respondent_id NOT IN (SELECT respondent_id FROM ({_MOVES}))
+UNION ALL SELECT {sql.CANONICAL} FROM ({_MOVES})"""
+
+
+def _moves(spark, sf_dir) -> DataFrame:
+    """All of wave 5 moved to wave 6, some of wave 1 to wave 2, some of wave 3 corrected, wave 7 new."""
+    t, key = orders_tracker(spark, sf_dir), F.col("respondent_id").cast("bigint")
+    six = t.where("wave = 5").withColumn("wave", F.lit(6))
+    two = t.where((F.col("wave") == 1) & (key % 11 == 0)).withColumn("wave", F.lit(2))
+    three = t.where((F.col("wave") == 3) & (key % 5 == 0)).withColumn("nps_score", ((F.col("nps_score") + 1) % 11).cast("int"))
+    return six.unionByName(two).unionByName(three).unionByName(t.where("wave = 7"))
+
+
+def _merged_moves(spark, sf_dir, **options) -> DataFrame:
+    path = scratch_path(spark, "store")
+    merge_upsert(spark, orders_tracker(spark, sf_dir).where("wave <= 5"), path, ["respondent_id"])
+    merge_upsert(spark, _moves(spark, sf_dir), path, ["respondent_id"], **options)
+    return read_store(spark, path, CANONICAL_COLUMNS)
+
+
+@register("merge_moved_rows", _MOVED)
+def q_merge_moved_rows(spark, sf_dir):
+    """A key upsert whose keys lack the partition column: matches lie in other partitions, one of which empties."""
+    return _merged_moves(spark, sf_dir)
+
+
+@register("merge_moved_rows_files", _MOVED)
+def q_merge_moved_rows_files(spark, sf_dir):
+    """The same, rewriting only files that hold a key of the source."""
+    return _merged_moves(spark, sf_dir, rewrite="files")
+
+
+_NULL_KEYS = f"""
+SELECT * REPLACE (2.0 AS weight, CAST(10 AS INTEGER) AS nps_score) FROM ({_respondent(TRACKER)}) WHERE wave = 2 AND {sql.KEY} % 5 = 0"""
+
+
+@register("merge_latest_null_keys", f"""
+SELECT {sql.CANONICAL} FROM ({_BASE}) WHERE NOT (wave = 2 AND {sql.KEY} % 5 = 0)
+UNION ALL {_NULL_KEYS}
+UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS respondent_id) FROM ({_respondent(TRACKER)}) WHERE wave = 2 AND {sql.KEY} % 7 = 0""")
+def q_merge_latest_null_keys(spark, sf_dir):
+    """Repeated keys resolved to their latest row; rows without a key are inserted, every one."""
+    t, key = orders_tracker(spark, sf_dir), F.col("respondent_id").cast("bigint")
+    twice = t.where((F.col("wave") == 2) & (key % 5 == 0))
+    source = twice.withColumn("weight", F.lit(1.0)).withColumn("nps_score", F.lit(0)).unionByName(
+        twice.withColumn("weight", F.lit(2.0)).withColumn("nps_score", F.lit(10)))
+    nameless = t.where((F.col("wave") == 2) & (key % 7 == 0)).withColumn("respondent_id", F.lit(None).cast("string"))
+    path = scratch_path(spark, "store")
+    merge_upsert(spark, t.where("wave <= 5"), path)
+    merge_upsert(spark, source.unionByName(nameless), path, on_duplicate="latest", order_col="weight")
+    return read_store(spark, path, CANONICAL_COLUMNS)
+
+
+@register("upsert_norms_from_state", f"SELECT {sql.FEATURE_OUT} FROM ({sql.features(_MERGED)})")
+def q_upsert_norms_from_state(spark, sf_dir):
+    """A store without norms: an upsert rewrites only files with its keys, and norms come from the metric state."""
+    base, source = _upsert_frames(spark, sf_dir)
+    resp, metrics, _ = output_paths(f"{scratch_path(spark, 'run')}/out")
+    upsert_waves(spark, base, resp, metrics_path=metrics, norms="state")
+    upsert_waves(spark, source, resp, metrics_path=metrics, norms="state")
+    return _features_out(read_respondents(spark, resp, metrics))
+
+
+@register("metrics_of_added_parts", sql.metrics(FEATURES, ["region"]))
+def q_metrics_of_added_parts(spark, sf_dir):
+    """Metric sums of two halves of every wave, added: equal to those of all rows."""
+    t, half = orders_tracker(spark, sf_dir), F.col("respondent_id").cast("bigint") % 2 == 0
+    parts = metric_parts(t.where(half), CFG).unionByName(metric_parts(t.where(~half), CFG))
+    return metrics_from_parts(add_parts(parts, CFG), CFG)
+
+
+@register("metrics_follow_the_store", sql.metrics(sql.features(f"SELECT * FROM ({TRACKER}) WHERE wave <> 3 AND NOT (wave = 2 AND {sql.KEY} % 3 = 0)"), ["region"]))
+def q_metrics_follow_the_store(spark, sf_dir):
+    """Other writers replace one wave and remove another: an upsert-free run finds out from the files and refreshes what changed."""
+    from trackframe.plans.run import refresh_metrics
+    from trackframe.sources.store import drop_partitions
+
+    resp, metrics, _ = output_paths(f"{scratch_path(spark, 'run')}/out")
+    t = orders_tracker(spark, sf_dir)
+    write_partitioned(add_features(t), resp)
+    refresh_metrics(spark, CFG, resp, metrics)
+    write_partitioned(add_features(t.where((F.col("wave") == 2) & (F.col("respondent_id").cast("bigint") % 3 != 0))), resp)
+    drop_partitions(spark, resp, [3])
+    refresh_metrics(spark, CFG, resp, metrics)
+    return spark.read.parquet(metrics)
+
+
+@register("ingest_many_headers", sql.clean(RAW))
+def q_ingest_many_headers(spark, sf_dir):
+    """Two hundred files, each with its own header: one scan, one projection."""
+    return ingest_waves(spark, many_headers_folder(spark, sf_dir), CFG, pattern="*.txt", recursive=True)[0]
+
+
+@register("only_waves_indexed", f"SELECT * FROM ({sql.clean(sql.DRIFT_TYPED)}) WHERE wave IN (2, 3, 4)")
+def q_only_waves_indexed(spark, sf_dir):
+    """Some waves again, after a run: the manifest tells which files hold them, and only those are opened."""
+    out = f"{scratch_path(spark, 'run')}/out"
+    folder = drifted_waves_folder(spark, sf_dir)
+    run_tracker(spark, DRIFT_CONFIG, folder, out, recursive=True)
+    return read_waves(spark, folder, out, [2, 3, 4], DRIFT_CONFIG, recursive=True)[0]
+
+
+@register("harmonise_recode_lookup", f"""
+SELECT t.respondent_id, t.wave, CASE WHEN c.c_nationkey % 4 = 3 THEN CAST(c.c_nationkey AS VARCHAR) ELSE n.n_name END AS region
+FROM ({TRACKER}) t JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = t.respondent_id
+JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def q_harmonise_recode_lookup(spark, sf_dir):
+    """Padded nation numbers recoded by the nation table; numbers that are not in it pass through."""
+    orders, customer, nation = (table(spark, sf_dir, n) for n in ("orders", "customer", "nation"))
+    codes = (orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+             .select(F.col("o_orderkey").cast("string").alias("respondent_id"), (F.year("o_orderdate") - 1994).cast("int").alias("wave"),
+                     F.concat(F.lit(" "), F.col("c_nationkey").cast("string")).alias("region")))
+    return recode_lookup(codes, "region", nation.where("n_nationkey % 4 <> 3"), "n_nationkey", "n_name")
+
+
+@register("stored_waves_sorted", f"""
+SELECT CAST(row_number() OVER (ORDER BY wave) AS INTEGER) AS place, wave FROM (SELECT DISTINCT wave FROM ({TRACKER}) WHERE wave > 2)""")
+def q_stored_waves_sorted(spark, sf_dir):
+    """The driver's list of stored waves, in order."""
+    path = scratch_path(spark, "store")
+    write_partitioned(orders_tracker(spark, sf_dir).where("wave > 2"), path)
+    return spark.createDataFrame(list(enumerate(existing_waves(spark, path), 1)), "place int, wave int")
+
+
+@register("store_exists", f"SELECT wave, wave % 2 = 0 AS stored FROM (SELECT DISTINCT wave FROM ({TRACKER}))")
+def q_store_exists(spark, sf_dir):
+    """A store for every other wave: which paths hold one."""
+    base, t = scratch_path(spark, "stores"), orders_tracker(spark, sf_dir)
+    waves = sorted(r["wave"] for r in t.select("wave").distinct().collect())
+    for w in waves:
+        if w % 2 == 0:
+            write_partitioned(t.where(F.col("wave") == w), f"{base}/{w}")
+    return spark.createDataFrame([(w, store_exists(spark, f"{base}/{w}")) for w in waves], "wave int, stored boolean")
+
+
+@register("config_from_document", sql.metrics(sql.features(TRACKER, 8, 5, 5), ["age_group"], zero_fill=True))
+def q_config_from_document(spark, sf_dir):
+    """Metrics under a configuration given as a document."""
+    cfg = TrackerConfig.from_mapping({"segment_cols": ["age_group"], "options": {"zero_fill": True},
+                                      "metrics": {"promoter_min": "8", "detractor_max": 5, "top2box_min": 5}})
+    return _metrics(spark, sf_dir, cfg)
+
+
+@register("rejects_only_if_any", f"SELECT count(*) AS rejected FROM ({sql.rejects(RAW)}) HAVING count(*) > 0")
+def q_rejects_only_if_any(spark, sf_dir):
+    """Two runs, one over clean rows only: rows of the reject tables that exist."""
+    counts = []
+    for name, clean_only in (("clean", True), ("all", False)):
+        base = scratch_path(spark, f"run-{name}")
+        raw = orders_tracker_raw(spark, sf_dir)
+        if clean_only:
+            raw = enforce_contract(raw)[0]
+        write_csv(raw, f"{base}/in")
+        run_tracker(spark, CFG, f"{base}/in", f"{base}/out")
+        if store_exists(spark, output_paths(f"{base}/out")[2]):
+            counts.append(spark.read.parquet(output_paths(f"{base}/out")[2]).agg(F.count(F.lit(1)).alias("rejected")))
+    return counts[0] if len(counts) == 1 else counts[0].union(counts[1])
+
+
 # ---------------------------------------------------------------- streaming
 
 @register("stream_ingest", f"SELECT {sql.FEATURE_OUT} FROM ({CLEAN_FEATURES})")

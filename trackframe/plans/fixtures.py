@@ -78,6 +78,26 @@ def stage_drifted_waves(spark: SparkSession, sf_dir: str, waves=range(1, 8), bas
     return base
 
 
+HEADERS = 200
+
+
+def many_headers_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The dirty orders view as ``HEADERS`` files, each with a header of its own: columns rotated, one extra column at some place."""
+    raw = orders_tracker_raw(spark, sf_dir)
+    shape = F.pmod(F.xxhash64(*raw.columns), F.lit(HEADERS)).cast("int")
+
+    def line(fields: F.Column, extra: F.Column) -> F.Column:
+        turn, place = F.col("shape") % 10, (F.floor(F.col("shape") / 10) % 10).cast("int")
+        turned = F.concat(F.slice(fields, turn + 1, F.lit(10) - turn), F.slice(fields, F.lit(1), turn))
+        return F.array_join(F.array_insert(turned, place + 1, extra), ",", "")
+    names, values = F.array(*map(F.lit, raw.columns)), F.array(*[F.col(c).cast("string") for c in raw.columns])
+    rows = raw.select(shape.alias("shape"), "*").select("shape", F.lit(1).alias("nth"), line(values, F.lit("e")).alias("value"))
+    heads = rows.select("shape").distinct().select("shape", F.lit(0).alias("nth"), line(names, F.concat(F.lit("x"), "shape")).alias("value"))
+    path = scratch_path(spark, "headers-fixture")
+    rows.union(heads).repartition("shape").sortWithinPartitions("shape", "nth").select("shape", "value").write.partitionBy("shape").text(path)
+    return path
+
+
 # Fixture folders are deterministic functions of (table folder, waves, layout)
 # and are never modified after they are written, so each is written once per
 # session and reused.

@@ -10,12 +10,13 @@ Flow of one run:
    they need instead of re-parsing the CSVs;
 2. row counts per wave from the staged copy, and the waves to process: those with clean
    rows, minus the stored waves in incremental mode;
-3. rejects: the rows of the files read replace those files' earlier rejects, so
-   a wave whose rejects were fixed keeps none;
-4. features (per-wave means joined back, see ``normalise_weights``) and a
+3. features (per-wave means joined back, see ``normalise_weights``) and a
    dynamic-partition overwrite or a key upsert;
-5. metrics: one aggregation pass over the whole store, so they are current
-   whatever wrote to it and under whatever configuration.
+4. metrics: the waves whose files changed are aggregated into the stored metric state, from which the
+   metrics derive, so they are current whatever wrote to the store and under whatever
+   configuration (``sources.state``);
+5. rejects, once their files' clean rows are stored: the rows of the files read replace those files'
+   earlier rejects, so a wave whose rejects were fixed keeps none; last, the manifest of files.
 
 Incremental runs process waves not yet stored; late rows for a stored wave
 wait for a full run or for an upsert (``upsert_waves``).
@@ -29,25 +30,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.config import TrackerConfig
 from trackframe.operators.contract import CANONICAL_COLUMNS, REJECT_REASON
-from trackframe.operators.features import add_features
-from trackframe.operators.metrics import wave_metrics_direct
-from trackframe.operators.upsert import merge_upsert
-from trackframe.session import staged_copy
-from trackframe.sources.ingest import SOURCE_FILE, discover_wave_files, ingest_tagged, list_wave_files, literal_path
+from trackframe.operators.features import add_features, row_features
+from trackframe.operators.upsert import check_duplicates, merge_upsert
+from trackframe.session import drop_path, staged_copy
+from trackframe.sources.ingest import SOURCE_FILE, discover_wave_files, ingest_tagged, ingest_waves, list_wave_files, staged_headers
+from trackframe.sources.state import refresh_metrics
 from trackframe.sources.store import (
     MAX_PARTITIONS,
     TooManyPartitionsError,
     existing_waves,
     in_partitions,
+    literal_path,
     open_store,
-    overwrite_table,
-    read_store,
     replace_file_rows,
     write_partitioned,
 )
 
 RESPONDENT_KEYS = ("wave", "respondent_id")
 WRITE_MODES = ("overwrite", "upsert")
+# Where weight norms come from: a stored column, or the wave means of the metric state at read time.
+NORMS = ("stored", "state")
 
 
 @dataclass
@@ -79,12 +81,6 @@ def manifest_path(output_dir: str) -> str:
 FILE_KEYS = ["file_path", "file_size", "modified"]
 
 
-def refresh_metrics(spark: SparkSession, config: TrackerConfig, resp_path: str, metrics_path: str) -> int:
-    """Recompute the wave x segment metrics of the whole store and replace the metrics table; returns its row count."""
-    overwrite_table(wave_metrics_direct(read_store(spark, resp_path), config), metrics_path)
-    return spark.read.parquet(metrics_path).count()
-
-
 def unread_files(spark: SparkSession, listing: DataFrame, output_dir: str, config: TrackerConfig, stored: list[int]) -> DataFrame:
     """Files of the listing that an incremental run has to read.
 
@@ -112,13 +108,16 @@ def run_tracker(
     recursive: bool = False,
     csv_options: dict | None = None,
     track_files: bool = True,
+    norms: str = "stored",
 ) -> RunSummary:
     """Run the tracker over every wave file under ``input_path`` (a folder or a list of folders).
 
     ``write``: ``"overwrite"`` replaces the waves written; ``"upsert"`` merges
     rows by (wave, respondent_id), so stored respondents that are not in the input stay.
     ``replace="table"`` makes a full overwriting run drop stored waves that are
-    no longer in the input; the default only replaces the waves it writes.
+    no longer in the input, all of them if it holds no clean row; the default only replaces the waves it writes.
+    ``norms="state"`` stores no ``weight_norm``: ``read_respondents`` adds it from the metric state, so
+    that late rows of an upsert rewrite only the files that hold their keys.
     ``track_files`` keeps a manifest of ingested files next to the outputs, from which an
     incremental run knows files it need not read (see ``unread_files``).
     """
@@ -126,6 +125,9 @@ def run_tracker(
         raise ValueError(f"write must be one of {WRITE_MODES}")
     if replace not in ("partitions", "table"):
         raise ValueError("replace must be 'partitions' or 'table'")
+    if norms not in NORMS:
+        raise ValueError(f"norms must be one of {NORMS}")
+    anew = replace == "table" and write == "overwrite" and not incremental
     config = config or TrackerConfig()
     mode = "incremental" if incremental else "full"
     resp_path, metrics_path, reject_path = output_paths(output_dir)
@@ -141,30 +143,44 @@ def run_tracker(
                 return RunSummary(mode, metric_rows=_rows(spark, metrics_path))
             if not discover_wave_files(spark, input_path, recursive=recursive):
                 raise FileNotFoundError(f"no wave files found in {input_path!r}")
-            return RunSummary(mode)  # nothing but empty files
-        tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options)
-        with staged_copy(tagged, "tagged") as staged:
-            is_clean = F.col(REJECT_REASON).isNull()
-            counts = staged.groupBy("wave").agg(F.count_if(is_clean).alias("clean"), F.count_if(~is_clean).alias("rejected"))
-            by_wave = counts.limit(MAX_PARTITIONS + 1).collect()
-            if len(by_wave) > MAX_PARTITIONS:
-                raise TooManyPartitionsError(f"more than {MAX_PARTITIONS} waves; is the wave column mapped right?")
-            clean_rows = {r["wave"]: r["clean"] for r in by_wave if r["clean"]}
-            to_process = sorted(set(clean_rows) - set(done))
-
-            replace_file_rows(spark, staged.where(~is_clean), reject_path, files.select(F.col("file_path").alias(SOURCE_FILE))
-                              if incremental else None, SOURCE_FILE)
-            if to_process:
-                clean = staged.where(is_clean & in_partitions(to_process)).select(*CANONICAL_COLUMNS)
-                if write == "upsert":
-                    upsert_waves(spark, clean, resp_path, config)
+            # Nothing but empty files.
+            return RunSummary(mode, metric_rows=_emptied(spark, config, resp_path, metrics_path) if anew else _rows(spark, metrics_path))
+        with staged_headers(spark, paths, pattern="") as headers:
+            tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options, headers=headers)
+            with staged_copy(tagged, "tagged") as staged:
+                is_clean = F.col(REJECT_REASON).isNull()
+                counts = staged.groupBy("wave").agg(F.count_if(is_clean).alias("clean"), F.count_if(~is_clean).alias("rejected"))
+                by_wave = counts.limit(MAX_PARTITIONS + 1).collect()
+                if len(by_wave) > MAX_PARTITIONS:
+                    raise TooManyPartitionsError(f"more than {MAX_PARTITIONS} waves; is the wave column mapped right?")
+                clean_rows = {r["wave"]: r["clean"] for r in by_wave if r["clean"]}
+                to_process = sorted(set(clean_rows) - set(done))
+
+                if to_process:
+                    clean = staged.where(is_clean & in_partitions(to_process)).select(*CANONICAL_COLUMNS)
+                    if write == "upsert":
+                        upsert_waves(spark, clean, resp_path, config, norms=norms)
+                    else:
+                        features = add_features(clean, config) if norms == "stored" else row_features(clean, config)
+                        write_partitioned(features, resp_path, "wave", static=anew)
+                    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path)
+                elif anew:
+                    metric_rows = _emptied(spark, config, resp_path, metrics_path)
                 else:
-                    write_partitioned(add_features(clean, config), resp_path, "wave", static=replace == "table" and not incremental)
-            metric_rows = refresh_metrics(spark, config, resp_path, metrics_path) if open_store(spark, resp_path) is not None else 0
-            if track_files:
-                waves = staged.where(is_clean).groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(F.collect_set("wave").alias("waves"))
-                _record_files(spark, files.join(waves, "file_path", "left"), output_dir, config, incremental)
-            return RunSummary(mode, to_process, sum(clean_rows[w] for w in to_process), sum(r["rejected"] for r in by_wave), metric_rows)
+                    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path)
+                replace_file_rows(spark, staged.where(~is_clean), reject_path,
+                                  files.select(F.col("file_path").alias(SOURCE_FILE)) if incremental else None, SOURCE_FILE)
+                if track_files:
+                    seen = staged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
+                        F.collect_set(F.when(is_clean, F.col("wave"))).alias("waves"), F.collect_set("wave").alias("all_waves"))
+                    _record_files(spark, files.join(seen, "file_path", "left"), output_dir, config, incremental)
+                return RunSummary(mode, to_process, sum(clean_rows[w] for w in to_process), sum(r["rejected"] for r in by_wave), metric_rows)
+
+
+def _emptied(spark: SparkSession, config: TrackerConfig, resp_path: str, metrics_path: str) -> int:
+    """Remove the respondents and all that derives from them; returns the metric rows left (none)."""
+    drop_path(spark, resp_path)
+    return refresh_metrics(spark, config, resp_path, metrics_path)
 
 
 def _rows(spark: SparkSession, path: str) -> int:
@@ -174,28 +190,64 @@ def _rows(spark: SparkSession, path: str) -> int:
 
 def _record_files(spark: SparkSession, files: DataFrame, output_dir: str, config: TrackerConfig, incremental: bool) -> None:
     """After a run: add the files it read to the manifest (incremental) or replace the list (full)."""
+    none = F.array().cast("array<int>")
     rows = files.select(*FILE_KEYS, F.lit(config.fingerprint()).alias("config"),
-                        F.coalesce("waves", F.array().cast("array<int>")).alias("waves"))
+                        F.coalesce("waves", none).alias("waves"), F.coalesce("all_waves", none).alias("all_waves"))
     rows.coalesce(1).write.mode("append" if incremental else "overwrite").parquet(manifest_path(output_dir))
 
 
+def files_of_waves(spark: SparkSession, input_path: str | list[str], output_dir: str, waves: list[int],
+                   config: TrackerConfig | None = None, *, recursive: bool = False) -> DataFrame:
+    """The listing without files known to hold no row of ``waves``.
+
+    A file is known from the manifest of ``output_dir`` if it is unchanged and was read under the same
+    configuration; any other file may hold anything and stays.
+    """
+    config = config or TrackerConfig()
+    listing = list_wave_files(spark, input_path, recursive=recursive)
+    manifest = open_store(spark, manifest_path(output_dir))
+    if manifest is None or "all_waves" not in manifest.columns:
+        return listing
+    wanted = F.array(*[F.lit(w) for w in waves]).cast("array<int>")
+    other = manifest.where((F.col("config") == config.fingerprint()) & ~F.arrays_overlap("all_waves", wanted))
+    return listing.join(other.select(*FILE_KEYS).distinct(), FILE_KEYS, "left_anti")
+
+
+def read_waves(spark: SparkSession, input_path: str | list[str], output_dir: str, waves: list[int], config: TrackerConfig | None = None,
+               *, recursive: bool = False, **options) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejects)`` of some waves, from the files that may hold them (``files_of_waves``)."""
+    files = files_of_waves(spark, input_path, output_dir, waves, config, recursive=recursive)
+    paths = [literal_path(r["file_path"]) for r in files.select("file_path").collect()]
+    if not paths and discover_wave_files(spark, input_path, recursive=recursive):
+        return ingest_waves(spark, input_path, config, only_waves=[], recursive=recursive, **options)
+    return ingest_waves(spark, paths or input_path, config, only_waves=waves, pattern="" if paths else "*.csv", **options)
+
+
 def upsert_waves(spark: SparkSession, new_clean: DataFrame, resp_path: str, config: TrackerConfig | None = None, *,
-                 metrics_path: str | None = None, on_duplicate: str = "error", order_col: str | None = None) -> list:
+                 metrics_path: str | None = None, on_duplicate: str = "error", order_col: str | None = None, norms: str = "stored") -> list:
     """Merge clean canonical rows into the store by key, wave by wave; returns the touched waves.
 
     Unlike a plain key upsert, the within-wave weight normalisation of every
     touched wave is recomputed over the merged wave (stored rows + new rows),
-    so a partial delivery of a wave leaves the same features as a full one.
-    Duplicates are treated as in ``merge_upsert``. With ``metrics_path`` the metrics
-    table is brought up to date; every run does that, too.
+    so a partial delivery of a wave leaves the same features as a full one. With ``norms="state"``
+    the store holds no norms (see ``read_respondents``), and only files with a key of the new rows are rewritten.
+    Duplicates are treated as in ``merge_upsert``; ``order_col`` need not be a column of the store. With ``metrics_path`` the
+    metric state and the metrics table are brought up to date, reading only the touched waves; every run does that, too.
     """
     config = config or TrackerConfig()
-    touched = merge_upsert(spark, new_clean.select(*CANONICAL_COLUMNS, *([order_col] if order_col and order_col not in CANONICAL_COLUMNS else [])),
-                           resp_path, RESPONDENT_KEYS, on_duplicate=on_duplicate, order_col=order_col,
-                           finish=lambda merged: add_features(merged.select(*CANONICAL_COLUMNS), config))
+    if norms not in NORMS:
+        raise ValueError(f"norms must be one of {NORMS}")
+    if on_duplicate == "latest":  # the order column decides here and is not stored
+        new_clean, on_duplicate = check_duplicates(new_clean, RESPONDENT_KEYS, "latest", order_col), "allow"
+    rows = new_clean.select(*CANONICAL_COLUMNS)
+    if norms == "state":
+        touched = merge_upsert(spark, row_features(rows, config), resp_path, RESPONDENT_KEYS, on_duplicate=on_duplicate, rewrite="files")
+    else:
+        touched = merge_upsert(spark, rows, resp_path, RESPONDENT_KEYS, on_duplicate=on_duplicate,
+                               finish=lambda merged: add_features(merged.select(*CANONICAL_COLUMNS), config))
     if metrics_path and touched:
-        refresh_metrics(spark, config, resp_path, metrics_path)
+        refresh_metrics(spark, config, resp_path, metrics_path, touched)
     return touched
 
 
-__all__ = ["RunSummary", "manifest_path", "output_paths", "refresh_metrics", "run_tracker", "upsert_waves"]
+__all__ = ["RunSummary", "files_of_waves", "manifest_path", "output_paths", "read_waves", "refresh_metrics", "run_tracker", "upsert_waves"]

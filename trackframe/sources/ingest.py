@@ -5,16 +5,16 @@ positionally to every file: a file whose columns come in another order is
 silently misread. Reading one file at a time is correct but costs a job and a
 plan branch per file. Instead:
 
-1. one Spark job reads the start of every file (``wave_file_headers``);
-2. files are grouped by header text;
-3. each distinct header gets one CSV scan over all its files, with an explicit
-   all-text schema in that header's order;
-4. each group is harmonised and tagged by the contract, and the groups are
-   unioned by name.
-
-The plan therefore grows with the number of distinct headers, not files.
-Parsing stays in Spark's CSV reader; no data row passes through Python. The
-driver holds file metadata: a path and a header per file, some 200 bytes each.
+1. one Spark job reads the first bytes of every file, many files to a task, and writes
+   ``(file, header)`` to the shared folder (``wave_file_headers``);
+2. the driver sees each *distinct* header once and works out at which position it has
+   each contract column, renames included: the header dictionary;
+3. one CSV scan reads all files by position, as text; a join with the dictionary by file gives every row
+   the positions of its columns, which pick its fields;
+4. the picked columns are harmonised and tagged by the contract.
+
+So neither the plan nor the number of scans grows with files or headers, and the driver holds no row per
+file. Parsing stays in Spark's CSV reader; no data row passes through Python.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from contextlib import contextmanager
 from fnmatch import fnmatchcase
-from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -35,34 +35,22 @@ from trackframe.operators.contract import (
     CANONICAL_CONTRACT,
     REJECT_REASON,
     Contract,
+    match_columns,
     split_tagged,
     tag_rows,
 )
-from trackframe.operators.harmonise import harmonise
+from trackframe.operators.harmonise import harmonise, resolve_renames
+from trackframe.session import drop_path, scratch_path
 
 SOURCE_FILE = "source_file"
-# Lines a header task asks of its file at a time; it stops at the first that is not blank.
-HEADER_LINES = 16
-
-
-@dataclass(frozen=True)
-class HeaderGroup:
-    """Files sharing one header line, and the column names parsed from it."""
-
-    header: str
-    columns: tuple[str, ...]
-    files: tuple[str, ...]
+# Header tasks aimed at, bytes read of a file at first, and lines a task asks of a file only Spark can open.
+HEADER_TASKS, HEADER_BYTES, HEADER_LINES = 32, 1 << 16, 16
 
 
 def _paths(input_path: str | Sequence[str]) -> list[str]:
     return [input_path] if isinstance(input_path, str) else list(input_path)
 
 
-def literal_path(path: str) -> str:
-    """A file's path with glob characters escaped, so that a reader takes it literally."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
-
-
 def _plain(file_path: F.Column) -> F.Column:
     """``_metadata.file_path`` (URL-encoded) as the path that listings and readers use."""
     return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
@@ -82,32 +70,107 @@ def list_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pat
         F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
 
 
-def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
-                      recursive: bool = False) -> DataFrame:
-    """``(file_path, header)``: the first non-blank line of every matching non-empty file, in one job.
+def _python_reads(path: str) -> bool:
+    """Whether Python workers can open files like this one: local (or mounted) ones, or a store Arrow has a client for."""
+    if path.startswith(("/", "file:")):
+        return True
+    try:
+        fs, inner = pa.fs.FileSystem.from_uri(path)
+        return fs.get_file_info(inner).type == pa.fs.FileType.File
+    except Exception:  # noqa: BLE001 - no client for this scheme: Spark reads the headers
+        return False
+
+
+def _first_line(path: str) -> str | None:
+    """The first non-blank line of a file, from as few leading bytes as hold it; Spark's CSV reader skips blank ones, too."""
+    from pyarrow import fs as arrow_fs
+
+    if path.startswith(("/", "file:")):
+        fs, inner = arrow_fs.LocalFileSystem(), re.sub("^file:/*", "/", path)
+    else:
+        fs, inner = arrow_fs.FileSystem.from_uri(path)
+    with fs.open_input_stream(inner, compression="detect") as stream:
+        held, size = b"", HEADER_BYTES
+        while True:
+            more = stream.read(size)
+            held, size = held + more, 2 * size
+            lines = re.split(rb"\r\n|\n|\r", held)
+            # The last one may go on beyond the bytes read.
+            for line in lines if not more else lines[:-1]:
+                if line.strip():
+                    return line.decode("utf-8", "replace")
+            if not more:
+                return None
+
+
+def _probe_session(spark: SparkSession, **settings) -> SparkSession:
+    """A session of its own for a header job: files are never split, and packed into few tasks unless ``settings`` say otherwise."""
+    probe = spark.newSession()
+    conf = {"spark.sql.files.maxPartitionBytes": (1 << 63) - 1, "spark.sql.files.openCostInBytes": 1 << 10,
+            "spark.sql.files.minPartitionNum": HEADER_TASKS, **settings}
+    for key, value in conf.items():
+        probe.conf.set(key, str(value))
+    return probe
+
+
+def _headers_by_python(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """First lines of the listed files, many files to a task."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(p, h) for p in batch.column(0).to_pylist() if (h := _first_line(p)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)], ["file_path", "header"])
+    return listing.select("file_path").mapInArrow(read, "file_path string, header string")
+
+
+def _headers_by_spark(spark: SparkSession, input_path: str | Sequence[str], pattern: str, recursive: bool) -> DataFrame:
+    """First lines through Spark's text source, for stores only Spark reads.
 
-    The job runs in a session of its own, whose settings give every file one
-    task and a task a few lines at a time: a task stops at the first line that
-    is not blank, so it reads the start of its file and no more.
+    Every file is a task that takes a few lines at a time and stops at the first that is not blank.
     """
-    probe = spark.newSession()
-    probe.conf.set("spark.sql.files.maxPartitionBytes", str((1 << 63) - 1))  # a file is one split
-    probe.conf.set("spark.sql.files.openCostInBytes", str(1 << 62))  # and a split one task
-    probe.conf.set("spark.sql.files.minPartitionNum", "1")
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEADER_LINES))
-    reader = probe.read.option("recursiveFileLookup", str(recursive).lower())
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    lines = reader.text(_paths(input_path)).select("value", F.col("_metadata.file_path").alias("file_path"))
+    probe = _probe_session(spark, **{"spark.sql.files.openCostInBytes": 1 << 62, "spark.sql.files.minPartitionNum": 1,
+                                     "spark.sql.execution.arrow.maxRecordsPerBatch": HEADER_LINES})
+    lines = _reader(probe, pattern, recursive).text(_paths(input_path)).select("value", _plain(F.col("_metadata.file_path")).alias("file_path"))
 
     def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if value.strip():  # Spark's CSV reader skips blank lines before its header, too
+                if value.strip():
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([value])], ["file_path", "header"])
                     return
-    found = lines.mapInArrow(first_line, "file_path string, header string").collect()
-    return spark.createDataFrame([(unquote(r["file_path"]), r["header"]) for r in found], "file_path string, header string")
+    return lines.mapInArrow(first_line, "file_path string, header string")
+
+
+def _reader(spark: SparkSession, pattern: str, recursive: bool):
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    return reader.option("pathGlobFilter", pattern) if pattern else reader
+
+
+def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
+                      recursive: bool = False) -> DataFrame:
+    """``(file_path, header)``: the first non-blank line of every matching non-empty file.
+
+    One job, written as a small table to the shared folder, which the result reads (``staged_headers`` removes it after use).
+    """
+    listing = list_wave_files(_probe_session(spark), input_path, pattern=pattern, recursive=recursive)
+    one = listing.select("file_path").first()
+    direct = one is not None and _python_reads(one["file_path"])
+    found = _headers_by_python(spark, listing) if direct else _headers_by_spark(spark, input_path, pattern, recursive)
+    path = scratch_path(spark, "headers")
+    found.write.parquet(path)
+    return spark.read.schema("file_path string, header string").parquet(path)
+
+
+@contextmanager
+def staged_headers(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
+                   recursive: bool = False) -> Iterator[DataFrame]:
+    """``wave_file_headers`` whose table is removed on exit."""
+    headers = wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive)
+    folders = {f.rsplit("/", 1)[0] for f in headers.inputFiles()[:1]}
+    try:
+        yield headers
+    finally:
+        for folder in folders:
+            drop_path(spark, folder)
 
 
 def parse_header(header: str, sep: str = ",", quote: str = '"') -> tuple[str, ...]:
@@ -126,14 +189,20 @@ def parse_header(header: str, sep: str = ",", quote: str = '"') -> tuple[str, ..
     return tuple(names)
 
 
-def group_files_by_header(headers: DataFrame, csv_options: Mapping[str, str] | None = None) -> list[HeaderGroup]:
-    """Collect the file -> header listing (file metadata, one row per file) and group files by header text."""
+def header_dictionary(headers: Iterable[str], config: TrackerConfig, columns: Sequence[str],
+                      csv_options: Mapping[str, str] | None = None) -> dict[str, tuple[int, list[int | None]]]:
+    """For each distinct header line its width, and the position at which it has each of ``columns`` (None: not at all).
+
+    Renames apply first; names match exactly or else trimmed and without regard to case, as in the contract.
+    """
     opts = dict(csv_options or {})
     sep, quote = opts.get("sep", opts.get("delimiter", ",")), opts.get("quote", '"')
-    by_header: dict[str, list[str]] = {}
-    for row in headers.collect():
-        by_header.setdefault(row["header"], []).append(row["file_path"])
-    return [HeaderGroup(h, parse_header(h, sep, quote), tuple(sorted(fs))) for h, fs in sorted(by_header.items())]
+    found = {}
+    for header in headers:
+        names = resolve_renames(parse_header(header, sep, quote), config.rename_map)
+        present = match_columns(names, columns)
+        found[header] = (len(names), [names.index(present[c]) if c in present else None for c in columns])
+    return found
 
 
 def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *, pattern: str = "*.csv",
@@ -158,19 +227,27 @@ def discover_wave_files(spark: SparkSession, input_path: str | Sequence[str], *,
     return sorted(f for f, name in names if fnmatchcase(name, pattern or "*") and not name.startswith(("_", ".")))
 
 
-def read_header_group(spark: SparkSession, group: HeaderGroup,
-                      csv_options: Mapping[str, str] | None = None) -> DataFrame:
-    """All files of one header as text columns, in that header's order, plus ``source_file`` (its path).
+def read_by_header(spark: SparkSession, input_path: str | Sequence[str], headers: DataFrame, config: TrackerConfig,
+                   columns: Sequence[str], *, pattern: str = "*.csv", recursive: bool = False,
+                   csv_options: Mapping[str, str] | None = None) -> DataFrame | None:
+    """All files' ``columns`` as text, plus ``source_file`` (the path), by one CSV scan; None if no file has a header.
 
     ``csv_options`` are passed to Spark's CSV reader (``sep``, ``quote``,
     ``encoding``, ``multiLine`` ...); header, schema enforcement and the
-    all-text schema are fixed here.
+    all-text schema are fixed here. Files that came after ``headers`` were read are not part of it.
     """
-    schema = StructType([StructField(c, StringType(), True) for c in group.columns])
-    reader = spark.read.options(**{"mode": "PERMISSIVE", **dict(csv_options or {})})
-    df = (reader.schema(schema).option("header", "true").option("enforceSchema", "true")
-          .option("inferSchema", "false").csv([literal_path(f) for f in group.files]))
-    return df.select("*", _plain(F.col("_metadata.file_path")).alias(SOURCE_FILE))
+    known = header_dictionary([r["header"] for r in headers.select("header").distinct().collect()], config, columns, csv_options)
+    if not known:
+        return None
+    places = spark.createDataFrame([(h, at) for h, (_, at) in sorted(known.items())], "header string, __at array<int>")
+    files = headers.join(places, "header").select(F.col("file_path").alias("__file"), "__at")
+    schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(max(width for width, _ in known.values()))])
+    reader = _reader(spark, pattern, recursive).options(**{"mode": "PERMISSIVE", **dict(csv_options or {})})
+    raw = (reader.schema(schema).option("header", "true").option("enforceSchema", "true")
+           .option("inferSchema", "false").csv(_paths(input_path)))
+    rows = raw.select(F.array(*raw.columns).alias("__fields"), _plain(F.col("_metadata.file_path")).alias(SOURCE_FILE))
+    placed = rows.join(files, F.col(SOURCE_FILE) == F.col("__file"))
+    return placed.select(*[F.get("__fields", F.get("__at", F.lit(i))).alias(c) for i, c in enumerate(columns)], SOURCE_FILE)
 
 
 def ingest_tagged(
@@ -185,28 +262,25 @@ def ingest_tagged(
     keep_source: bool = False,
     keep_raw: bool = False,
     csv_options: Mapping[str, str] | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """Every wave file as contract-tagged rows (``reject_reason`` null = clean).
 
     Raises ``FileNotFoundError`` when no file matches. ``only_waves`` keeps
     those waves only (rows with a null wave never match). Files without any
-    line add no rows; if all are such, the result is empty.
+    line add no rows; if all are such, the result is empty. ``headers`` are the files' (``staged_headers``);
+    without them they are read here, and their small table stays in the shared folder for as long as the result may be used.
     """
     config = config or TrackerConfig()
-    groups = group_files_by_header(wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive), csv_options)
+    if headers is None:
+        headers = wave_file_headers(spark, input_path, pattern=pattern, recursive=recursive)
     carry = (SOURCE_FILE,) if keep_source else ()
-    if not groups:
+    raw = read_by_header(spark, input_path, headers, config, contract.columns, pattern=pattern, recursive=recursive, csv_options=csv_options)
+    if raw is None:
         if not discover_wave_files(spark, input_path, pattern=pattern, recursive=recursive):
             raise FileNotFoundError(f"no wave files ({pattern}) found in {input_path!r}")
-        fields = [f"`{c}` string" for c in (*contract.columns, *carry)]
-        return tag_rows(spark.createDataFrame([], ", ".join(fields)), contract, strict_parse=config.strict_parse, keep_raw=keep_raw, carry=carry)
-    parts = []
-    for g in groups:
-        raw = harmonise(read_header_group(spark, g, csv_options), config.rename_map, recode_maps=config.value_maps())
-        parts.append(tag_rows(raw, contract, strict_parse=config.strict_parse, keep_raw=keep_raw, carry=carry))
-    tagged = parts[0]
-    for p in parts[1:]:
-        tagged = tagged.unionByName(p)
+        raw = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (*contract.columns, SOURCE_FILE)))
+    tagged = tag_rows(harmonise(raw, recode_maps=config.value_maps()), contract, strict_parse=config.strict_parse, keep_raw=keep_raw, carry=carry)
     if only_waves is not None:
         tagged = tagged.where(F.col("wave").isin(list(only_waves)))
     return tagged
@@ -227,15 +301,14 @@ def ingest_waves(
 
 
 __all__ = [
-    "HeaderGroup",
     "REJECT_REASON",
     "discover_wave_files",
-    "group_files_by_header",
+    "header_dictionary",
     "ingest_tagged",
     "ingest_waves",
     "list_wave_files",
-    "literal_path",
     "parse_header",
-    "read_header_group",
+    "read_by_header",
+    "staged_headers",
     "wave_file_headers",
 ]
