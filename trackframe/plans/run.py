@@ -2,15 +2,15 @@
 
 Flow of one run:
 
-0. with file tracking, a content-free listing of the input files; an
+0. a content-free listing of the input files; with file tracking, an
    incremental run leaves out files it can prove it need not read again:
    unchanged, ingested under the same configuration, and all their waves stored;
 1. header job and one tagged read of the raw CSVs, *staged once* as parquet
    under the shared folder, so later steps read only the columns
    they need instead of re-parsing the CSVs;
-2. row counts per wave from the staged copy, and the waves to process: those with clean
+2. row counts and mean weights per wave from the staged copy, and the waves to process: those with clean
    rows, minus the stored waves in incremental mode;
-3. features (per-wave means joined back, see ``normalise_weights``) and a
+3. features (those means joined back) and a
    dynamic-partition overwrite or a key upsert;
 4. metrics: the waves whose files changed are aggregated into the stored metric state, from which the
    metrics derive, so they are current whatever wrote to the store and under whatever
@@ -136,45 +136,49 @@ def run_tracker(
     if incremental and track_files:
         listing = unread_files(spark, listing, output_dir, config, done)
 
-    with staged_copy(listing, "files") as files:
-        paths = [literal_path(r["file_path"]) for r in files.select("file_path").collect()]
-        if not paths:
-            if incremental:
-                return RunSummary(mode, metric_rows=_rows(spark, metrics_path))
-            if not discover_wave_files(spark, input_path, recursive=recursive):
-                raise FileNotFoundError(f"no wave files found in {input_path!r}")
-            # Nothing but empty files.
-            return RunSummary(mode, metric_rows=_emptied(spark, config, resp_path, metrics_path) if anew else _rows(spark, metrics_path))
-        with staged_headers(spark, paths, pattern="") as headers:
-            tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options, headers=headers)
-            with staged_copy(tagged, "tagged") as staged:
-                is_clean = F.col(REJECT_REASON).isNull()
-                counts = staged.groupBy("wave").agg(F.count_if(is_clean).alias("clean"), F.count_if(~is_clean).alias("rejected"))
-                by_wave = counts.limit(MAX_PARTITIONS + 1).collect()
-                if len(by_wave) > MAX_PARTITIONS:
-                    raise TooManyPartitionsError(f"more than {MAX_PARTITIONS} waves; is the wave column mapped right?")
-                clean_rows = {r["wave"]: r["clean"] for r in by_wave if r["clean"]}
-                to_process = sorted(set(clean_rows) - set(done))
-
-                if to_process:
-                    clean = staged.where(is_clean & in_partitions(to_process)).select(*CANONICAL_COLUMNS)
-                    if write == "upsert":
-                        upsert_waves(spark, clean, resp_path, config, norms=norms)
-                    else:
-                        features = add_features(clean, config) if norms == "stored" else row_features(clean, config)
-                        write_partitioned(features, resp_path, "wave", static=anew)
-                    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path)
-                elif anew:
-                    metric_rows = _emptied(spark, config, resp_path, metrics_path)
-                else:
-                    metric_rows = refresh_metrics(spark, config, resp_path, metrics_path)
-                replace_file_rows(spark, staged.where(~is_clean), reject_path,
-                                  files.select(F.col("file_path").alias(SOURCE_FILE)) if incremental else None, SOURCE_FILE)
-                if track_files:
-                    seen = staged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
-                        F.collect_set(F.when(is_clean, F.col("wave"))).alias("waves"), F.collect_set("wave").alias("all_waves"))
-                    _record_files(spark, files.join(seen, "file_path", "left"), output_dir, config, incremental)
-                return RunSummary(mode, to_process, sum(clean_rows[w] for w in to_process), sum(r["rejected"] for r in by_wave), metric_rows)
+    # The listing once, as Spark's own file index holds it: what lands later belongs to the next run.
+    listed = listing.select(*FILE_KEYS).toArrow()
+    paths = [literal_path(p) for p in listed.column("file_path").to_pylist()]
+    if not paths:
+        if incremental:
+            return RunSummary(mode, metric_rows=_rows(spark, metrics_path))
+        if not discover_wave_files(spark, input_path, recursive=recursive):
+            raise FileNotFoundError(f"no wave files found in {input_path!r}")
+        # Nothing but empty files.
+        return RunSummary(mode, metric_rows=_emptied(spark, config, resp_path, metrics_path) if anew else _rows(spark, metrics_path))
+    files = spark.createDataFrame(listed)
+    with staged_headers(spark, paths, pattern="") as headers:
+        tagged = ingest_tagged(spark, paths, config, pattern="", keep_source=True, csv_options=csv_options, headers=headers)
+        with staged_copy(tagged, "tagged") as staged:
+            is_clean = F.col(REJECT_REASON).isNull()
+            counts = staged.groupBy("wave").agg(F.count_if(is_clean).alias("clean"), F.count_if(~is_clean).alias("rejected"),
+                                                F.avg(F.when(is_clean, F.col("weight"))).alias("mean"))
+            by_wave = counts.limit(MAX_PARTITIONS + 1).collect()
+            if len(by_wave) > MAX_PARTITIONS:
+                raise TooManyPartitionsError(f"more than {MAX_PARTITIONS} waves; is the wave column mapped right?")
+            clean_rows = {r["wave"]: r["clean"] for r in by_wave if r["clean"]}
+            to_process = sorted(set(clean_rows) - set(done))
+            rejected = sum(r["rejected"] for r in by_wave)
+
+            if to_process:
+                clean = staged.where(is_clean & in_partitions(to_process)).select(*CANONICAL_COLUMNS)
+                if write == "upsert":
+                    upsert_waves(spark, clean, resp_path, config, norms=norms)
+                elif norms == "state":
+                    write_partitioned(row_features(clean, config), resp_path, "wave", static=anew)
+                else:  # whole waves are written, so the counts' means are theirs
+                    means = spark.createDataFrame([(r["wave"], r["mean"]) for r in by_wave], "__wave int, __wave_mean double")
+                    write_partitioned(add_features(clean, config, means=means), resp_path, "wave", static=anew)
+            elif anew:
+                drop_path(spark, resp_path)
+            metric_rows = refresh_metrics(spark, config, resp_path, metrics_path)
+            read = files.select(F.col("file_path").alias(SOURCE_FILE)) if incremental else None
+            replace_file_rows(spark, staged.where(~is_clean), reject_path, read, SOURCE_FILE, none=not rejected)
+            if track_files:
+                seen = staged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
+                    F.collect_set(F.when(is_clean, F.col("wave"))).alias("waves"), F.collect_set("wave").alias("all_waves"))
+                _record_files(spark, files.join(seen, "file_path", "left"), output_dir, config, incremental)
+            return RunSummary(mode, to_process, sum(clean_rows[w] for w in to_process), rejected, metric_rows)
 
 
 def _emptied(spark: SparkSession, config: TrackerConfig, resp_path: str, metrics_path: str) -> int:

@@ -152,8 +152,11 @@ def wave_file_headers(spark: SparkSession, input_path: str | Sequence[str], *, p
     One job, written as a small table to the shared folder, which the result reads (``staged_headers`` removes it after use).
     """
     listing = list_wave_files(_probe_session(spark), input_path, pattern=pattern, recursive=recursive)
-    one = listing.select("file_path").first()
-    direct = one is not None and _python_reads(one["file_path"])
+    # Plain and file: paths need no look at a file.
+    direct = all(p.startswith(("/", "file:")) for p in _paths(input_path))
+    if not direct:
+        one = listing.select("file_path").first()
+        direct = one is not None and _python_reads(one["file_path"])
     found = _headers_by_python(spark, listing) if direct else _headers_by_spark(spark, input_path, pattern, recursive)
     path = scratch_path(spark, "headers")
     found.write.parquet(path)

@@ -188,9 +188,11 @@ def _bucket(file_col: str) -> F.Column:
 
 
 def replace_file_rows(spark: SparkSession, new: DataFrame, path: str, files: DataFrame | None, file_col: str,
-                      partition_col: str = "wave") -> None:
+                      partition_col: str = "wave", *, none: bool | None = None) -> None:
     """Replace a side table's rows of the read ``files`` by ``new``; with ``files`` None, all rows.
 
+    A caller that has counted ``new`` says whether there are ``none``.
+
     The table is partitioned by a bucket of the file's hash, then by ``partition_col``. Only buckets that
     one of the files falls in are read and rewritten (from a staged copy, so rows that are gone leave no
     stale partition behind); the files of other buckets stay as they are. Without any row the table goes.
@@ -199,7 +201,7 @@ def replace_file_rows(spark: SparkSession, new: DataFrame, path: str, files: Dat
     rows = new.withColumn(BUCKET, _bucket(file_col))
     stored = open_store(spark, path) if files is not None else None
     if stored is None:
-        if new.isEmpty():
+        if new.isEmpty() if none is None else none:
             drop_path(spark, path)
         else:
             write_partitioned(rows, path, layout, static=True)
