@@ -232,20 +232,25 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["row", "id", "item_id", "windows", "n", "changed"])
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> F.Column:
+    """A hash of a row's id and text: equal for equal rows only, null ids included."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).cast("string"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", row_col: str | None = None,
                  covered: float = COVERED) -> DataFrame:
     """One row per document row and benchmark item found in it.
 
-    Columns: ``row`` (the value of ``row_col``, by default the id), ``doc_id``,
+    Columns: ``row`` (the value of ``row_col``, by default ``row_key``, which tells texts of one id or of none apart), ``doc_id``,
     ``item_id``, ``windows`` found, ``n_windows`` of the item, ``coverage`` and
     ``changed`` (a placeholder has another value than in the item). Null and empty
     texts and items have no windows and are never found; an item of fewer than five
-    tokens is one window of that width, found at any place of a document; rows with equal ids
-    (and ``row_col``) and equal texts count as one; items with equal ids are
+    tokens is one window of that width, found at any place of a document; windows of different rows never
+    add up; rows with equal ids and equal texts (or equal ``row_col``) count as one; items with equal ids are
     taken apart by their text; extra columns are ignored; empty tables give no rows.
     """
-    rows = docs.select(F.col(row_col or id_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select((F.col(row_col) if row_col else row_key(id_col, text_col)).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.xxhash64(F.col(item_text).cast("string"), F.col(item_col)).alias("row"), F.col(item_col).alias("id"),
                              F.col(item_text).cast("string").alias("text")).where("text is not null").dropDuplicates(["row"])
     kind_of = lambda df, c: df.schema[c].dataType.simpleString()

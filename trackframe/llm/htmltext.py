@@ -30,7 +30,7 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
         "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "body": ({"head"}, {"html"})}
-DROPPED = frozenset("""nav footer aside form script style noscript template button select textarea input iframe object
+DROPPED = frozenset("""nav footer aside script style noscript template button select textarea input label legend iframe object
 embed svg math canvas audio video dialog menu head title""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td dd li".split())
@@ -42,6 +42,8 @@ widget footer foot header masthead topbar toolbar share sharing social related r
 recirculation comment comments commentlist disqus reply replies respond discussion reader hidden complementary
 contentinfo search tags""".split())
 CONTENT = frozenset("article content main body post entry story text".split())
+# Words of a class that tells about other parts of the page ("has-sidebar").
+ABOUT = frozenset("has with no without hide is".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -68,7 +70,7 @@ def _furniture(tag: str, attributes: str, inside: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    names: set[str] = set()
+    marks: list[list[str]] = []
     for name, value in _MARK.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -77,14 +79,49 @@ def _furniture(tag: str, attributes: str, inside: bool) -> bool:
             if "display:none" in value.replace(" ", "") or "visibility:hidden" in value.replace(" ", ""):
                 return True
         else:
-            names.update(_WORD.findall(value))
-    return bool(names & FURNITURE) and not names & CONTENT
+            marks += [words for words in map(_WORD.findall, value.split()) if words]
+    # "comment-body" and "content-ad" are furniture, "post content widget" is content, "has-sidebar" says nothing.
+    named = [w for w in marks if w[0] not in ABOUT and (w[0] in FURNITURE or w[-1] in FURNITURE)]
+    return bool(named) and not any(CONTENT.issuperset(w) for w in marks)
+
+
+def _drop_forms(root: "Node", forms: list["Node"]) -> None:
+    """Drop every form but one that holds more text than the rest of the page: some servers wrap all of it in one."""
+    if not forms:
+        return
+    sizes: dict[int, int] = {}
+    for node, entering in _walk(root):
+        if isinstance(node, str):
+            continue
+        if entering:
+            sizes[id(node)] = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        elif node.parent is not None:
+            sizes[id(node.parent)] += sizes[id(node)]
+    for form in forms:
+        if 2 * sizes.get(id(form), 0) <= sizes[id(root)]:
+            form.drop = True
 
 
 def parse(page: str) -> Node:
-    """The element tree of a page; unclosed elements end where HTML ends them."""
+    """The element tree of a page; unclosed elements end where HTML ends them.
+
+    ``path`` holds the open elements and ``opened`` the places in it of each tag, so that the
+    element an end belongs to is found without a walk, however deep the page nests.
+    """
     root = node = Node("#root", None)
-    at, size, inside = 0, len(page), 0
+    path: list[Node] = [root]
+    opened: dict[str, list[int]] = {}
+    forms: list[Node] = []
+    at, size = 0, len(page)
+
+    def last(names) -> int:
+        return max((opened[n][-1] for n in names if opened.get(n)), default=0)
+
+    def close(to: int) -> Node:
+        """End the open elements from place ``to`` on."""
+        while len(path) > to:
+            opened[path.pop().tag].pop()
+        return path[-1]
     while at < size:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -97,37 +134,32 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1]:
-            up = node
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                node = up.parent
+            if found := last((tag,)):
+                node = close(found)
             elif tag == "p":
                 node.children.append(Node("p", node))
             continue
         if tag in CLOSES_P or tag in ENDS:
             names, stop = ({"p"}, {"td", "th", "button", "caption", "article", "section"}) if tag in CLOSES_P else ENDS[tag]
-            up = node
-            while up.parent is not None and up.tag not in names and up.tag not in stop:
-                up = up.parent
-            while up.parent is not None and up.tag in names:
-                node = up = up.parent
-        within = node
-        while within is not None and within.tag not in ("article", "main"):
-            within = within.parent
-        child = Node(tag, node, _furniture(tag, m[3], within is not None))
+            bound = last(stop)
+            while (found := last(names)) > bound:
+                node = close(found)
+        child = Node(tag, node, _furniture(tag, m[3], last(("article", "main")) > 0))
         node.children.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])|</{tag}$", re.I).search(page, at)
             child.drop = True
             at = size if end is None else end.start()
             if end is not None:
-                close = page.find(">", at)
-                at = size if close < 0 else close + 1
-        elif tag not in VOID and not m[3].endswith("/"):
+                after = page.find(">", at)
+                at = size if after < 0 else after + 1
+        elif tag not in VOID and (tag in BLOCK or not m[3].endswith("/")):  # a slash does not close blocks
             node = child
-        elif tag not in VOID and tag in BLOCK:
-            node = child  # a slash does not close these
+            opened.setdefault(tag, []).append(len(path))
+            path.append(child)
+            if tag == "form":
+                forms.append(child)
+    _drop_forms(root, forms)
     return root
 
 
@@ -168,7 +200,7 @@ def score(root: Node) -> list[Node]:
             continue
         points = (min(1.0, p.length / 25) + p.commas + min(p.length / 100, 3.0)) * (1 - p.density())
         up, share = p.parent, 1.0
-        while up is not None and up.tag != "#root":
+        while up is not None and up.tag != "#root" and share > 1e-9:  # what is further up gets nothing to speak of
             if up.points == 0:
                 seen.append(up)
             up.points += points * share
@@ -211,12 +243,13 @@ def main_text(page: str) -> str:
         top = top.parent
     if top is not None:
         best = top  # the article element around the best container holds its other parts
+    around, up = set(), best
+    while up is not None:
+        around.add(id(up))
+        up = up.parent
     for n in containers:  # lists of links inside the article
-        if n.tag in ("ul", "ol", "div", "section", "table") and n is not best and n.density() > 0.6:
-            inner = best
-            while inner is not None and inner is not n:
-                inner = inner.parent
-            n.drop = n.drop or inner is None
+        if n.tag in ("ul", "ol", "div", "section", "table") and id(n) not in around and n.density() > 0.6:
+            n.drop = True
     if best.tag == "body" or best.parent is None:
         return "\n".join(blocks([best]))
     least, kept, passed = max(5.0, 0.2 * value.get(id(best), 0.0)), [], False

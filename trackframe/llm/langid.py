@@ -128,13 +128,16 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     docs = docs.select(*kept)
     spec = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights))
+    letter_col = "__letter"
+    while letter_col in {c.lower() for c in kept}:
+        letter_col = f"_{letter_col}"
     marked = docs.withColumn(text_col, F.col(text_col).cast("string")).select(
-        "*", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("__letter"))
-    schema = marked.drop("__letter").schema.add("lang_pred", "string").add("score", "double")
+        "*", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias(letter_col))
+    schema = marked.drop(letter_col).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         languages, weights = spec.value
-        letter = batch.column("__letter").to_numpy(zero_copy_only=False)
+        letter = batch.column(letter_col).to_numpy(zero_copy_only=False)
         pred, score = np.full(batch.num_rows, UND, object), np.zeros(batch.num_rows)
         if languages:
             z = LanguageModel(languages, weights).margins(*utf8(batch.column(text_col)))
