@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackframe.llm.catalog import tokenizer_path
-from trackframe.llm.decontam import contaminated
+from trackframe.llm.decontam import contaminated, row_key
 from trackframe.llm.langid import UND, fit_languages, predict_languages
 from trackframe.llm.packing import pack
 from trackframe.llm.recompress import remove_repeats
@@ -20,9 +20,17 @@ from trackframe.llm.simhash import simhash_least
 from trackframe.llm.staging import stage, table
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def _shielded(docs: DataFrame, taken: tuple[str, ...]) -> tuple[DataFrame, list]:
     """``docs`` with columns of the ``taken`` names renamed, and the selection that gives its own columns back."""
-    names = {c: f"__own_{c}" for c in docs.columns if c.lower() in taken}
+    names = {c: _fresh(docs, f"__own_{c}") for c in docs.columns if c.lower() in taken}
     return docs.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in docs.columns]
 
 
@@ -49,14 +57,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, *, unique_ids
     # Equal rows have equal keys, so any of them will do; nulls are told from the hash's skipped values.
     marks = F.concat(*[F.col(c).isNull().cast("string") for c in docs.columns])
     key = {"__none": F.col("doc_id").isNull(), "__id": F.col("doc_id"), "__text": F.xxhash64("text"), "__all": F.xxhash64(marks, *docs.columns)}
-    first = simhash_least(docs, F.struct(*[c.alias(k) for k, c in key.items()]), shingle=3, radius=3)
+    own = docs.select("doc_id", "text", *[c.alias(_fresh(docs, k)) for k, c in key.items()])
+    first = simhash_least(own, F.struct(*[F.col(_fresh(docs, k)).alias(k) for k in key]), shingle=3, radius=3)
     if unique_ids:
         named = first.where("not __none").groupBy("__id").agg(F.min(F.struct("__text", "__all")).alias("__row"))
         first = first.where("__none").select("__text", "__all").union(named.select("__row.*"))
-    hashes = ["__text", "__all"]
+    hashes = {k: _fresh(docs, k) for k in ("__text", "__all")}
     # Partial aggregates leave one of equal rows in each task; the join uses the same partitioning.
-    rows = docs.select("*", *[key[k].alias(k) for k in hashes]).groupBy(*hashes).agg(*[F.first(c).alias(c) for c in docs.columns])
-    return rows.join(first.select(*hashes), hashes, "left_semi").select(*docs.columns)
+    rows = docs.select("*", *[key[k].alias(h) for k, h in hashes.items()]).groupBy(*hashes.values()).agg(*[F.first(c).alias(c) for c in docs.columns])
+    kept = first.select(*[F.col(k).alias(h) for k, h in hashes.items()])
+    return rows.join(kept, list(hashes.values()), "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,9 +82,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item, its values changed or not."""
-    found = stage(contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__found")).distinct(), "contaminated")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti").select(*docs.columns)
+    """Drop documents that hold a benchmark item, its values changed or not.
+
+    Rows are told apart by id and text: others of the same id, or without one, stay.
+    """
+    key = _fresh(docs, "__found")
+    found = contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select(F.col("row").alias(key)).distinct()
+    return docs.withColumn(key, row_key()).join(stage(found, "contaminated"), key, "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
