@@ -68,3 +68,28 @@ def test_language_without_labels(spark):
     rows = [(1, "one two", None, "s", 7), (2, "123 456", None, "s", 7), (3, None, None, "s", None), (None, "été", None, None, 3), (5, "", None, "s", 0)]
     got = corpus_pipeline.language(spark, frame(spark, rows), "")
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, (rows[0], rows[3])))
+
+
+def test_decontamination_keeps_other_rows_of_an_id(spark, tmp_path):
+    rng = random.Random(21)
+    item = sentence(rng, 30)
+    half = item.split()
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, "See " + item, "en", "s", 1), (None, sentence(rng, 40), "en", "s", 2), (None, None, None, None, None), (None, "", "en", "s", 0),
+            (5, item + ".", "en", "s", 3), (5, sentence(rng, 40), "en", "s", 4), (5, item + ".", "fr", "s", 5),
+            (6, " ".join(half[:15]), "en", "s", 6), (6, " ".join(half[15:]), "en", "s", 7)]  # two rows do not add up
+    got = corpus_pipeline.decontamination(spark, frame(spark, rows).repartition(3), str(tmp_path))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, (rows[i] for i in (1, 2, 3, 5, 7, 8))))
+
+
+def test_stages_take_empty_tables_and_clashing_names(spark, tmp_path):
+    spark.createDataFrame([(1, "what is the name of the thing that was asked")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    names = ["__own_score", "score", "lang_pred", "__text", "__all", "__id", "__none", "__found", "kept", "n_words", "row", "fp", "__letter"]
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, 20), ("en", "fr")[i % 2], "s", 0) for i in range(6)]
+    for data in (rows, []):
+        docs = frame(spark, data).selectExpr("*", *[f"{i} AS `{n}`" for i, n in enumerate(names)])
+        for name, stage_of in corpus_pipeline.STAGES[:-1]:
+            out = stage_of(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns and out.count() == len(data), name
+        assert corpus_pipeline.packing(spark, docs, str(tmp_path)).select("doc_id").distinct().count() == len(data)
