@@ -136,7 +136,7 @@ def test_neighbours_by_all_shared_terms():
     index = Index(*flat(docs))
     used = np.zeros(len(docs), bool)
     used[0] = True
-    ranked = index.neighbours(0, used).tolist()
+    ranked = list(index.neighbours(0, used))
     assert ranked[0] == len(docs) - 1 and sorted(ranked) == list(range(1, len(docs)))
     # 60 short neighbours of the first document, each after an unrelated one: all of them fill its window.
     docs = [np.arange(60), *[np.array([500 + k, 500 + k]) if k % 2 else np.array([k // 2, 9000]) for k in range(120)]]
@@ -153,3 +153,34 @@ def test_repair_goes_on_until_no_pair_is_frequent():
     assert (expand(symbols, rules, lengths) == ids).all() and lengths.max() > 100
     pairs, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
     assert counts.max() < 12
+
+
+def test_neighbours_in_parts_and_after_forgetting():
+    from trackframe.llm.packing import B, K1, Index
+
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 60, rng.integers(1, 30)) for _ in range(400)]
+    docs += [docs[5]] * 100  # ties
+    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    index, used = Index(np.concatenate(docs).astype(np.uint32), bounds), np.zeros(len(docs), bool)
+    df = np.array([sum(t in d for d in docs) for t in range(60)])
+    mean = np.mean([len(d) for d in docs])
+
+    def plain(seed):
+        score = []
+        for d in docs:
+            s = 0.0
+            for t in np.unique(docs[seed]).tolist():
+                if (tf := int((d == t).sum())) and df[t] > 1:
+                    s += np.log1p((len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(d) / mean))
+            score.append(round(s, 9))
+        return score
+    for seed in (0, 5, 17):
+        used[seed] = True
+        got, score = list(index.neighbours(seed, used)), plain(seed)
+        assert sorted(got) == [i for i in range(len(docs)) if not used[i] and score[i] > 0]
+        assert all(score[a] >= score[b] - 1e-8 for a, b in zip(got, got[1:]))
+        used[rng.integers(0, len(docs), 120)] = True
+        before = list(index.neighbours(seed, used))
+        index.forget(used)
+        assert list(index.neighbours(seed, used)) == before

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bestfit import pack_best_fit
 from .decontam import contaminated
-from .fingerprint import FEW, WIDE, edited_fingerprints
+from .fingerprint import WIDE, edited_fingerprints
 from .htmltext import extract_pages
 from .langid import fit_languages, predict_languages
 from .negatives import hard_negatives
@@ -56,7 +56,7 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(table(spark, sf_dir, "documents"), fraction=WIDE, few=FEW)
+    return edited_fingerprints(table(spark, sf_dir, "documents"), fraction=WIDE)
 
 
 def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

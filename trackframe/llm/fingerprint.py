@@ -3,7 +3,7 @@
 The sketch of a text is the set of its word-shingle hashes below a fixed
 fraction of the hash space, so its size follows the text. The share of the
 smaller sketch found in the larger one estimates containment even between very
-unequal texts; texts of few shingles are compared by all their hashes instead.
+unequal texts; the fewer hashes it has, the rougher the estimate.
 A text without a hash below the threshold has its smallest hash for a sketch.
 Sketches of parts merge by union, where a hash above the threshold only counts if
 there is none below (``merge_sketches``).
@@ -16,8 +16,8 @@ from pyspark.sql.window import Window
 
 SHINGLE = 5
 FRACTION = 1 / 16
-# op5's own fraction, and the distinct shingles up to which it compares a pair by all hashes.
-WIDE, FEW = 1 / 4, 256
+# op5's own fraction: short texts need a wide one to keep some hashes.
+WIDE = 1 / 2
 # Order buckets: at most QUANTILES x STEPS, of about BUCKET_ROWS documents while the table allows.
 QUANTILES, STEPS, BUCKET_ROWS = 4096, 16, 256
 
@@ -38,14 +38,6 @@ def merge_sketches(a: str, b: str, fraction: float = FRACTION) -> Column:
     return F.expr(f"case when array_min({both}) < {limit}L then filter({both}, h -> h < {limit}L) else slice({both}, 1, 1) end")
 
 
-def _distinct_hashes(text: str, shingle: int) -> str:
-    """SQL text: the distinct shingle hashes of column ``text`` (see ``shingle_hashes``)."""
-    words = f"filter(split({text}, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
-    # The words stand in an array of one, so that they are split once.
-    return (f"flatten(transform(array({words}), p -> case when size(p) = 0 then cast(array() as array<bigint>) else array_distinct("
-            f"transform(sequence(1, greatest(size(p) - {shingle - 1}, 1)), i -> xxhash64(slice(p, i, {shingle})))) end))")
-
-
 def with_sketch(df: DataFrame, text: str, out: str, *, shingle: int = SHINGLE, fraction: float = FRACTION) -> DataFrame:
     """``df`` with the sorted array of kept hashes of column ``text`` as ``out``."""
     words, hashes = f"__{out}_words", f"__{out}_hashes"
@@ -112,37 +104,23 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], tie: str) -> DataF
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
-                        fraction: float = FRACTION, few: int = 0) -> DataFrame:
+                        fraction: float = FRACTION) -> DataFrame:
     """Fingerprint of each whole text and of its edited text, one row per input row.
 
     The edited text replaces the last floor(n/2) code points by as many first
     ones (or all) of the next document in descending id order. Null texts count
     as empty (fingerprint ""); repeated ids stay, ordered by the hash of their text; extra
     columns are ignored; a single document is its own next; an empty table
-    gives no rows. Likeness of a pair whose smaller text has at most ``few`` distinct
-    shingles is their exact containment, otherwise that of the sketches.
+    gives no rows. Likenesses are those of the fingerprints returned (``near_next``: of this row's and the next one's).
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     base = with_sketch(base, "text", "sketch", shingle=shingle, fraction=fraction).withColumn("tie", F.xxhash64("text"))
-    columns = ["text", "sketch"]
-    if few:
-        base = base.withColumn("n", F.expr(f"size({_distinct_hashes('text', shingle)})"))
-        columns.append("n")
-    rows = with_next(base, "doc_id", columns, "tie")
+    rows = with_next(base, "doc_id", ["text", "sketch"], "tie")
     rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
     rows = rows.withColumn("edited", F.expr(
         "concat(left(text, cast(n_chars - n_chars div 2 as int)), left(next_text, cast(n_chars div 2 as int)))"))
     rows = with_sketch(rows, "edited", "edited_sketch", shingle=shingle, fraction=fraction)
-    near = {"near_edited": likeness("sketch", "edited_sketch"), "near_next": likeness("sketch", "next_sketch")}
-    if few:
-        rows = rows.withColumn("edited_n", F.expr(f"size({_distinct_hashes('edited', shingle)})"))
-        for name, text, n in (("near_edited", "edited", "edited_n"), ("near_next", "next_text", "next_n")):
-            small = F.least("n", n) <= few
-            for side, column in (("a", "text"), ("b", text)):
-                every = F.expr(_distinct_hashes(column, shingle))
-                rows = rows.withColumn(f"{name}_{side}", F.when(small, every).otherwise(F.array().cast("array<bigint>")))
-            near[name] = F.when(small, likeness(f"{name}_a", f"{name}_b")).otherwise(near[name])
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         sketch_text("sketch").alias("fingerprint"), sketch_text("edited_sketch").alias("edited_fingerprint"),
-        *[c.alias(name) for name, c in near.items()])
+        likeness("sketch", "edited_sketch").alias("near_edited"), likeness("sketch", "next_sketch").alias("near_next"))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .staging import stage
+from .staging import stage, unstage
 from .textops import give_back, map_batches, map_slices, ragged, utf8
 from .tokens import encoder
 
@@ -29,6 +29,10 @@ K1, B = 1.2, 0.75
 # Ids of a shard (2 to 4 MB of text); one document counts as half of them at most, so none is alone for its length.
 SHARD_IDS = 1 << 20
 KEY_TERMS = 8
+# Neighbours ranked at a time.
+RANKED = 64
+# Text encoded at once and pieces a process keeps: time against memory, the ids are the same.
+ENCODED_BYTES, PIECES = 4 << 20, 600_000
 
 
 class Index:
@@ -54,13 +58,30 @@ class Index:
         order = shared[np.argsort(self.doc[shared], kind="stable")]
         self.terms, self.own = slot[order], np.searchsorted(self.doc[order], np.arange(n + 1))
 
-    def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with ``seed``, by the BM25 sum over all shared terms, best first, ties by position."""
+    def neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a term with ``seed``, by the BM25 sum over all shared terms, best first, ties by position.
+
+        Ranks are made ``RANKED`` at a time, as most seeds need few of them.
+        """
         query = self.terms[self.own[seed]:self.own[seed + 1]]
         at = ragged(self.starts[query], self.df[query])
         total = np.bincount(self.doc[at], self.weight[at], len(used)) if len(at) else np.zeros(len(used))
-        found = np.flatnonzero((total > 0) & ~used)
-        return found[np.argsort(-total[found], kind="stable")]
+        total[used] = 0
+        found = np.flatnonzero(total > 0)
+        score = total[found]
+        while len(found) > RANKED:
+            least = np.partition(score, len(score) - RANKED)[len(score) - RANKED]
+            first = score >= least  # with all that tie with the last of them
+            yield from found[first][np.argsort(-score[first], kind="stable")].tolist()
+            found, score = found[~first], score[~first]
+        yield from found[np.argsort(-score, kind="stable")].tolist()
+
+    def forget(self, used: np.ndarray) -> None:
+        """Take used documents off the lists; nothing else about the remaining ones changes."""
+        kept = ~used[self.doc]
+        before = np.concatenate([[0], np.cumsum(kept)])
+        self.starts, self.doc, self.weight = before[self.starts], self.doc[kept], self.weight[kept]
+        self.df = np.diff(self.starts)
 
 
 def order(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> list[int]:
@@ -70,8 +91,11 @@ def order(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> list[int
         return []
     index, used, out = Index(ids, bounds), np.zeros(n, bool), []
     lengths = np.diff(bounds).tolist()
-    fresh, seed, room = 0, -1, 0
+    fresh, seed, room, listed = 0, -1, 0, n
     while True:
+        if n - len(out) < 0.7 * listed:
+            listed = n - len(out)
+            index.forget(used)
         if seed < 0:
             while fresh < n and used[fresh]:
                 fresh += 1
@@ -85,7 +109,7 @@ def order(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> list[int
                 seed = -1
                 continue
         following = -1
-        for d in index.neighbours(seed, used).tolist():
+        for d in index.neighbours(seed, used):
             used[d] = True
             out.append(d)
             if lengths[d] >= room:  # fills the window; a rest of it seeds the next one
@@ -173,19 +197,19 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int = SHARD_IDS) -> Iterato
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, size: int = ENCODED_BYTES, pieces: int = PIECES) -> DataFrame:
     """``(doc_id, ids)``: ids of each whole ``text`` and its end id, as ``planes``."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, bounds = encoder(tokenizer).encode(*utf8(batch.column("text")))
+        ids, bounds = encoder(tokenizer, pieces).encode(*utf8(batch.column("text")))
         ids = np.insert(ids, bounds[1:], end_id)
         bounds = bounds + np.arange(len(bounds))
         rows = [planes(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "ids"])
-    return map_slices(docs, "text", run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return map_slices(docs, "text", run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary", size)
 
 
 def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
-    """``coded`` dealt and sorted by each document's rarest ids that another document of the table has too.
+    """``coded``, a staged table that is removed, dealt and sorted by each document's rarest ids that another document of the table has too.
 
     Document counts are one number per id of the vocabulary. Rows of equal
     keys are ordered by the hash of their ids and spread over tasks like others.
@@ -219,21 +243,26 @@ def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
     kind = coded.schema["doc_id"].dataType.simpleString()
     keyed = map_batches(coded, keys, f"doc_id {kind}, ids binary, key binary").select(
         "*", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("copy"))
+    # Written once: the range bounds are sampled from the stored key columns alone.
+    keyed = stage(keyed, "keyed")
+    unstage(coded)
+    spec.destroy()
     order = ["key", "tie", "doc_id", "copy"]
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
 
 
 def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
+         end_id: int = END_ID, keep_ids: bool = False, size: int = ENCODED_BYTES, kept_pieces: int = PIECES) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
     Every id of every document, with its end id, is in exactly one piece. A shard is
     a run of rows in the order of ``neighbourly``, about ``SHARD_IDS`` ids. Null and
     empty texts are just the end id; rows with null or equal ids are packed like
-    others; extra columns are ignored; an empty table gives no rows.
+    others; extra columns are ignored; an empty table gives no rows. ``size`` and ``kept_pieces`` bound the memory of
+    the encoding and change no result.
     """
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    coded = stage(encoded(chosen, tokenizer, end_id), "encoded")
+    coded = stage(encoded(chosen, tokenizer, end_id, size, kept_pieces), "encoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
