@@ -92,8 +92,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into windows of 1024 ids; one row per piece, with its ids."""
-    return pack(docs, tokenizer_path(), keep_ids=True)
+    """Pack what is left into windows of 1024 ids; one row per piece, with its ids.
+
+    The encoder gets less memory here than alone: executors still hold what earlier stages left.
+    """
+    return pack(docs, tokenizer_path(), keep_ids=True, size=1 << 20, kept_pieces=150_000)
 
 
 STAGES = [
