@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .staging import stage, unstage
-from .textops import give_back, map_batches, map_slices, ragged, utf8
+from .textops import give_back, map_batches, ragged, slices, utf8
 from .tokens import encoder
 
 WINDOW = 1024
@@ -32,7 +32,13 @@ KEY_TERMS = 8
 # Neighbours ranked at a time.
 RANKED = 64
 # Text encoded at once and pieces a process keeps: time against memory, the ids are the same.
-ENCODED_BYTES, PIECES = 4 << 20, 600_000
+ENCODED_BYTES, PIECES = 3 << 20, 1_000_000
+NAMES = ["doc_id", "ids", "counts"]
+
+
+def _ranks(x: np.ndarray) -> np.ndarray:
+    """Stable sorting order of small whole numbers; 16 bits are enough for most and sort in linear time."""
+    return np.argsort(x.astype(np.uint16) if not len(x) or x.max() < 1 << 16 else x, kind="stable")
 
 
 class Index:
@@ -55,8 +61,22 @@ class Index:
         self.weight = idf[slot] * tf * (K1 + 1) / (tf + norm)
         # Each document's terms, those of its own alone left out.
         shared = np.flatnonzero(self.df[slot] > 1)
-        order = shared[np.argsort(self.doc[shared], kind="stable")]
+        order = shared[_ranks(self.doc[shared])]
         self.terms, self.own = slot[order], np.searchsorted(self.doc[order], np.arange(n + 1))
+        # Terms of over a quarter of the documents are rows of a matrix (four entries a posting at most), faster to add up than lists.
+        common = np.flatnonzero(4 * self.df > n)
+        self.line = np.full(len(self.df), -1, np.int64)
+        self.line[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), n))
+        in_matrix = self.line[slot] >= 0
+        self.matrix[self.line[slot[in_matrix]], self.doc[in_matrix]] = self.weight[in_matrix]
+        self._keep(~in_matrix)
+
+    def _keep(self, kept: np.ndarray) -> None:
+        """Reduce the lists to the postings marked in ``kept``."""
+        before = np.concatenate([[0], np.cumsum(kept)])
+        self.starts, self.doc, self.weight = before[self.starts], self.doc[kept], self.weight[kept]
+        self.df = np.diff(self.starts)
 
     def neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with ``seed``, by the BM25 sum over all shared terms, best first, ties by position.
@@ -66,6 +86,8 @@ class Index:
         query = self.terms[self.own[seed]:self.own[seed + 1]]
         at = ragged(self.starts[query], self.df[query])
         total = np.bincount(self.doc[at], self.weight[at], len(used)) if len(at) else np.zeros(len(used))
+        lines = self.line[query]
+        total += self.matrix[lines[lines >= 0]].sum(axis=0)
         total[used] = 0
         found = np.flatnonzero(total > 0)
         score = total[found]
@@ -78,10 +100,7 @@ class Index:
 
     def forget(self, used: np.ndarray) -> None:
         """Take used documents off the lists; nothing else about the remaining ones changes."""
-        kept = ~used[self.doc]
-        before = np.concatenate([[0], np.cumsum(kept)])
-        self.starts, self.doc, self.weight = before[self.starts], self.doc[kept], self.weight[kept]
-        self.df = np.diff(self.starts)
+        self._keep(~used[self.doc])
 
 
 def order(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> list[int]:
@@ -198,14 +217,31 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int = SHARD_IDS) -> Iterato
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, size: int = ENCODED_BYTES, pieces: int = PIECES) -> DataFrame:
-    """``(doc_id, ids)``: ids of each whole ``text`` and its end id, as ``planes``."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, bounds = encoder(tokenizer, pieces).encode(*utf8(batch.column("text")))
-        ids = np.insert(ids, bounds[1:], end_id)
-        bounds = bounds + np.arange(len(bounds))
-        rows = [planes(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "ids"])
-    return map_slices(docs, "text", run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary", size)
+    """``(doc_id, ids, counts)``: ids of each whole ``text`` and its end id, as ``planes``.
+
+    Each task adds a row of its own that has no ids, but ``counts``: ids and in how many of its documents each is.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text", size):
+                ids, bounds = encoder(tokenizer, pieces).encode(*utf8(part.column("text")))
+                ids = np.insert(ids, bounds[1:], end_id)
+                bounds = bounds + np.arange(len(bounds))
+                found = np.bincount(_terms(ids, bounds)[1], minlength=len(total))
+                found[:len(total)] += total
+                total = found
+                rows = [planes(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary()), pa.nulls(len(rows), pa.binary())], NAMES)
+                del ids, bounds, found, rows, part
+            kind = batch.schema.field("doc_id").type
+            del batch
+            give_back()
+        if len(total):
+            term = np.flatnonzero(total)
+            counts = np.stack([term, total[term]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], NAMES)
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, counts binary")
 
 
 def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
@@ -215,13 +251,12 @@ def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
     keys are ordered by the hash of their ids and spread over tasks like others.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in _blocks(batches):
-            found = np.bincount(_terms(*from_planes(batch.column("ids")))[1], minlength=len(total))
-            found[:len(total)] += total
-            total = found
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], ["term", "n"])
-    counts = map_batches(coded.select("ids"), count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).where("n > 1")
+        for batch in batches:
+            for row in batch.column("counts"):
+                term, n = np.frombuffer(row.as_py(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "n"])
+    counts = map_batches(coded.select("counts").where("counts is not null"), count, "term bigint, n bigint")
+    counts = counts.groupBy("term").agg(F.sum("n").alias("n")).where("n > 1")
     common = sorted((r["n"], r["term"]) for r in counts.collect())  # at most the vocabulary
     rank = np.full(max((t for _, t in common), default=-1) + 2, 0xFFFFFFFF, np.uint32)  # the last place is for all other ids
     for i, (_, t) in enumerate(common):
@@ -241,7 +276,7 @@ def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, key], [*batch.schema.names, "key"])
             give_back()
     kind = coded.schema["doc_id"].dataType.simpleString()
-    keyed = map_batches(coded, keys, f"doc_id {kind}, ids binary, key binary").select(
+    keyed = map_batches(coded.where("counts is null").select("doc_id", "ids"), keys, f"doc_id {kind}, ids binary, key binary").select(
         "*", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("copy"))
     # Written once: the range bounds are sampled from the stored key columns alone.
     keyed = stage(keyed, "keyed")
