@@ -118,10 +118,10 @@ def test_packing_brings_neighbours_together(spark):
 
 
 def test_long_text_has_neighbours():
-    from trackframe.llm.packing import _blocks, planes
+    from trackframe.llm.packing import _blocks, halves
 
     sizes = [10, 5000, 10, 10, 3000, 900, 10, 10]
-    batches = [pa.RecordBatch.from_arrays([pa.array([planes(np.arange(n))], pa.binary())], ["ids"]) for n in sizes]
+    batches = [pa.RecordBatch.from_arrays([pa.array([halves(np.arange(n))[0]], pa.binary())], ["ids"]) for n in sizes]
     assert [b.num_rows for b in _blocks(iter(batches), 1000)] == [5, 3]
 
 
@@ -184,3 +184,15 @@ def test_neighbours_in_parts_and_after_forgetting():
         before = list(index.neighbours(seed, used))
         index.forget(used)
         assert list(index.neighbours(seed, used)) == before
+
+
+def test_ids_as_halves():
+    from trackframe.llm.packing import from_halves, halves
+
+    rows = [[], [1, 65535], [65536, 7, (1 << 32) - 1], [], [3], [1 << 20]]
+    for part in (rows, rows[:2], rows[3:5], []):
+        made = [halves(np.array(r, np.uint32)) for r in part]
+        batch = pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.binary()) for i in (0, 1)], ["ids", "high"])
+        for first in range(len(part) + 1):
+            ids, bounds = from_halves(batch.slice(first))
+            assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == part[first:]

@@ -33,7 +33,7 @@ KEY_TERMS = 8
 RANKED = 64
 # Text encoded at once and pieces a process keeps: time against memory, the ids are the same.
 ENCODED_BYTES, PIECES = 3 << 20, 1_000_000
-NAMES = ["doc_id", "ids", "counts"]
+NAMES = ["doc_id", "ids", "high", "counts"]
 
 
 def _ranks(x: np.ndarray) -> np.ndarray:
@@ -162,29 +162,31 @@ def pieces(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.nd
     return doc, begins - (ends - lengths)[doc], size, sequence, begins - cuts_[sequence]
 
 
-def planes(ids: np.ndarray) -> bytes:
-    """Ids as their low halves, then their high ones (mostly zero, so they compress)."""
-    return ids.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
+def halves(ids: np.ndarray) -> tuple[bytes, bytes | None]:
+    """The low 16 bits of ids, and the high ones if any is not zero (no vocabulary of up to 65,536 ids needs them)."""
+    low, high = ids.astype("<u2"), (ids >> np.uint32(16)).astype("<u2")
+    return low.tobytes(), high.tobytes() if high.any() else None
 
 
-def from_planes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(ids, bounds)`` of a binary column made by ``planes``."""
+def _shorts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All 16-bit numbers of a binary column, and where each row's begin."""
     column = column.cast(pa.large_binary())
     _, off, data = column.buffers()
     offsets = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1]
-    half = np.frombuffer(data, "<u2") if data is not None and data.size else np.zeros(0, "<u2")
-    half, bounds = half[offsets[0] // 2:offsets[-1] // 2], (offsets - offsets[0]) // 4
-    count = np.diff(bounds)
-    low = ragged(2 * bounds[:-1], count)
-    high = low + np.repeat(count, count)
-    return half[low].astype("<u4") | half[high].astype("<u4") << np.uint32(16), bounds
+    values = np.frombuffer(data, "<u2") if data is not None and data.size else np.zeros(0, "<u2")
+    return values[offsets[0] // 2:offsets[-1] // 2], (offsets - offsets[0]) // 2
 
 
-def plane_bounds(column: pa.Array) -> np.ndarray:
-    """Where each row's ids begin, without reading them."""
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    return (offsets - offsets[0]) // 4
+def from_halves(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids, bounds)`` of the columns ``ids`` and ``high`` made by ``halves``."""
+    low, bounds = _shorts(batch.column("ids"))
+    ids = low.astype(np.uint32)
+    high = batch.column("high")
+    if high.null_count < len(high):
+        rows = np.flatnonzero(high.is_valid().to_numpy(zero_copy_only=False))
+        upper, _ = _shorts(high)  # a null row has none
+        ids[ragged(bounds[rows], np.diff(bounds)[rows])] |= upper.astype(np.uint32) << np.uint32(16)
+    return ids, bounds
 
 
 def _terms(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +202,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int = SHARD_IDS) -> Iterato
     """Consecutive rows of a partition, across its batches, of about ``most`` ids; a row counts as half of it at most."""
     held, size = [], 0
     for batch in batches:
-        counts = np.diff(plane_bounds(batch.column("ids")))
+        counts = np.diff(_shorts(batch.column("ids"))[1])
         ends = np.cumsum(np.minimum(counts, most // 2))
         at = 0
         while at < batch.num_rows:
@@ -217,7 +219,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int = SHARD_IDS) -> Iterato
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, size: int = ENCODED_BYTES, pieces: int = PIECES) -> DataFrame:
-    """``(doc_id, ids, counts)``: ids of each whole ``text`` and its end id, as ``planes``.
+    """``(doc_id, ids, high, counts)``: ids of each whole ``text`` and its end id, as ``halves``.
 
     Each task adds a row of its own that has no ids, but ``counts``: ids and in how many of its documents each is.
     """
@@ -231,8 +233,9 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, size: int = E
                 found = np.bincount(_terms(ids, bounds)[1], minlength=len(total))
                 found[:len(total)] += total
                 total = found
-                rows = [planes(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary()), pa.nulls(len(rows), pa.binary())], NAMES)
+                rows = [halves(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                low, high = (pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), low, high, pa.nulls(len(rows), pa.binary())], NAMES)
                 del ids, bounds, found, rows, part
             kind = batch.schema.field("doc_id").type
             del batch
@@ -240,8 +243,8 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, size: int = E
         if len(total):
             term = np.flatnonzero(total)
             counts = np.stack([term, total[term]]).astype("<i8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], NAMES)
-    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, counts binary")
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], NAMES)
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, high binary, counts binary")
 
 
 def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
@@ -266,7 +269,7 @@ def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = spec.value
         for batch in _blocks(batches):
-            ids, bounds = from_planes(batch.column("ids"))
+            ids, bounds = from_halves(batch)
             doc, place = _terms(rank[np.minimum(ids, len(rank) - 1)], bounds)
             nth = np.arange(len(doc)) - np.searchsorted(doc, doc, "left")
             kept = (nth < terms) & (place < 0xFFFFFFFF)
@@ -276,14 +279,14 @@ def neighbourly(coded: DataFrame, terms: int = KEY_TERMS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, key], [*batch.schema.names, "key"])
             give_back()
     kind = coded.schema["doc_id"].dataType.simpleString()
-    keyed = map_batches(coded.where("counts is null").select("doc_id", "ids"), keys, f"doc_id {kind}, ids binary, key binary").select(
-        "*", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("copy"))
+    keyed = map_batches(coded.where("counts is null").select("doc_id", "ids", "high"), keys, f"doc_id {kind}, ids binary, high binary, key binary").select(
+        "*", F.xxhash64("ids", "high").alias("tie"), F.monotonically_increasing_id().alias("copy"))
     # Written once: the range bounds are sampled from the stored key columns alone.
     keyed = stage(keyed, "keyed")
     unstage(coded)
     spec.destroy()
     order = ["key", "tie", "doc_id", "copy"]
-    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids", "high")
 
 
 def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -304,7 +307,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
 
         sequence = TaskContext.get().partitionId() << 40
         for rows in _blocks(batches):
-            ids, bounds = from_planes(rows.column("ids"))
+            ids, bounds = from_halves(rows)
             chain = np.array(order(ids, bounds, window), np.int64)
             place, start, length, number, offset = pieces(np.diff(bounds)[chain], window)
             doc = chain[place]
