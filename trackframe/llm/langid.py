@@ -4,50 +4,55 @@ Texts are compared by the blended-spectrum presence kernel: the number of
 distinct character n-grams (n = 1..3) two texts share, normalised by the
 geometric mean of their own counts. Nyström landmarks (sample texts) turn the
 kernel into features, and one ridge regression per language is fitted on them.
-A text's kernel values are one product of its presence vector with the
-landmark matrix; batches of texts go through the folded matrix at once.
+Texts go through the folded landmark matrix in blocks: a 0/1 matrix of texts by
+the n-grams that occur in the block, times those n-grams' rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .textops import map_slices, utf8
+from .textops import U64, characters, lower_points, map_slices, utf8
 
 UND = "und"
 SPACE = 1 << 16  # hashed n-gram space
-# Fixed bounds of the fit: labelled texts used per language, and how many of them are landmarks.
+# Fixed bounds of the fit: labelled texts used per language, and landmarks over all languages (one each at least).
 PER_LANGUAGE = 400
 LANDMARKS = 96
-LANGUAGES = 256
-
-
-def presence(offsets: np.ndarray, data: np.ndarray) -> Iterator[np.ndarray]:
-    """For each text the sorted hashed ids of its distinct lower-cased n-grams of 1 to 3 characters' bytes."""
-    low = data.copy()
-    low[(data >= 65) & (data <= 90)] += 32
-    x = low.astype(np.uint32)
-    two = np.zeros(len(x), np.uint32)
-    two[:-1] = x[:-1] << 8 | x[1:]
-    three = np.zeros(len(x), np.uint32)
-    three[:-2] = x[:-2] << 16 | x[1:-1] << 8 | x[2:]
-    spread = np.uint32(0x9E3779B1)
-    ids2 = ((two | np.uint32(1 << 24)) * spread >> np.uint32(16)).astype(np.uint16)
-    ids3 = ((three | np.uint32(2 << 24)) * spread >> np.uint32(16)).astype(np.uint16)
-    ids1 = ((x | np.uint32(3 << 24)) * spread >> np.uint32(16)).astype(np.uint16)
-    flags = np.zeros(SPACE, bool)
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        flags[ids1[a:b]] = True
-        flags[ids2[a:max(a, b - 1)]] = True
-        flags[ids3[a:max(a, b - 2)]] = True
-        found = np.flatnonzero(flags)
-        flags[found] = False
-        yield found
+# Texts and characters of a block (one text at least).
+BLOCK_TEXTS = 64
+BLOCK_CHARS = 1 << 18
+
+
+def gram_ids(offsets: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, id)`` of every lower-cased n-gram of 1 to 3 characters, hashed; repeats included."""
+    x = lower_points(points).astype(U64)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    end = offsets[1:][text]
+    at = np.arange(len(x))
+    texts, ids = [], []
+    gram = np.zeros(len(x), U64)
+    for n in (1, 2, 3):
+        gram = (gram[:len(x) - n + 1] << U64(21)) | x[n - 1:]
+        inside = at[:len(gram)] + n <= end[:len(gram)]
+        hashed = ((gram[inside] << U64(2) | U64(n)) * U64(0x9E3779B97F4A7C15)) >> U64(48)
+        texts.append(text[:len(gram)][inside])
+        ids.append(hashed.astype(np.int64))
+    return np.concatenate(texts), np.concatenate(ids)
+
+
+def block_product(text: np.ndarray, ids: np.ndarray, n: int, matrix: np.ndarray) -> np.ndarray:
+    """Normalised presence vectors of ``n`` texts times ``matrix`` (n-gram space x columns)."""
+    used = np.zeros(SPACE, bool)
+    used[ids] = True
+    column = np.cumsum(used) - 1
+    block = np.zeros((n, int(column[-1]) + 1), np.float32)
+    block[text, column[ids]] = 1
+    return (block @ matrix[used]) / np.sqrt(np.maximum(1, block.sum(axis=1)))[:, None]
 
 
 @dataclass
@@ -58,64 +63,68 @@ class LanguageModel:
     weights: np.ndarray
 
     def margins(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        offsets, points = characters(offsets, data)
         out = np.zeros((len(offsets) - 1, len(self.languages)), np.float32)
-        for i, ids in enumerate(presence(offsets, data)):
-            if len(ids):
-                out[i] = self.weights[ids].sum(axis=0) / np.sqrt(len(ids))
+        a = 0
+        while a < len(out):
+            fits = int(np.searchsorted(offsets, offsets[a] + BLOCK_CHARS, "right")) - 1
+            b = min(len(out), a + BLOCK_TEXTS, max(a + 1, fits))
+            inner = offsets[a:b + 1] - offsets[a]
+            out[a:b] = block_product(*gram_ids(inner, points[offsets[a]:offsets[b]]), b - a, self.weights)
+            a = b
         return out
 
 
 def fit_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", *, per_language: int = PER_LANGUAGE,
                   landmarks: int = LANDMARKS, ridge: float = 1e-3) -> LanguageModel:
-    """Fit on at most ``per_language`` labelled non-empty texts of each language (``LANGUAGES`` languages at most).
+    """Fit on at most ``per_language`` labelled texts with a letter of each language; every language is learned.
 
     The sample is the same for the same rows: the texts with the smallest
     hashes, each distinct text once. Without any labelled text the model has no
-    languages and answers ``und``.
+    languages and answers ``und``. The model takes 256 KB a language.
     """
     labelled = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text rlike '\\\\p{L}'")
     keyed = labelled.select("lang", F.xxhash64("text").alias("h"), "text")
-    # Partial top-k per language: thresholds from counts keep the window input small.
-    counts = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    # Thresholds from counts keep the window's input small: some 2 * per_language hashes of each language pass.
+    counts = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return LanguageModel([], np.zeros((SPACE, 0), np.float32))
-    parts = []
-    for lang, n in counts.items():
-        share = min(1.0, 2.0 * per_language / max(1, n))
-        limit = int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1
-        parts.append((F.col("lang") == lang) & (F.col("h") <= F.lit(min(limit, (1 << 63) - 1))))
-    chosen = parts[0]
-    for p in parts[1:]:
-        chosen = chosen | p
-    grams = keyed.where(chosen).dropDuplicates(["lang", "h"])
+    top = (1 << 63) - 1
+    limits = [min(top, int(-(1 << 63) + min(1.0, 2.0 * per_language / max(1, n)) * ((1 << 64) - 1))) for n in counts.values()]
+    limit = F.map_from_arrays(F.array(*map(F.lit, counts)), F.array(*(F.lit(x).cast("bigint") for x in limits)))
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = (keyed.where(F.col("h") <= limit[F.col("lang")]).dropDuplicates(["lang", "h"])
+              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language).select("lang", "h", "text"))
 
     def found(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [x.astype(np.int32) for x in presence(*utf8(batch.column("text")))]
+        offsets, points = characters(*utf8(batch.column("text")))
+        ids = [np.unique(gram_ids(np.array([0, b - a]), points[a:b])[1]).astype(np.int32)
+               for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         return pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(ids, pa.list_(pa.int32()))],
                                           ["lang", "h", "ids"])
-    sample = map_slices(grams, "text", found, "lang string, h bigint, ids array<int>").collect()
-    kept: dict[str, list[np.ndarray]] = {}
-    for row in sorted(sample, key=lambda r: (r["h"], r["lang"])):
-        if len(kept.setdefault(row["lang"], [])) < per_language:
-            kept[row["lang"]].append(np.array(row["ids"], np.int64))
-    languages = sorted(kept)
-    texts = [ids for lang in languages for ids in kept[lang]]
-    targets = np.repeat(np.arange(len(languages)), [len(kept[lang]) for lang in languages])
+    sample = map_slices(chosen, "text", found, "lang string, h bigint, ids array<int>").collect()
+    sample.sort(key=lambda r: (r["lang"], r["h"]))
+    languages = sorted({r["lang"] for r in sample})
+    texts = [np.array(r["ids"], np.int64) for r in sample]
+    targets = np.searchsorted(languages, [r["lang"] for r in sample])
     each = max(1, landmarks // len(languages))
     marks = np.concatenate([np.flatnonzero(targets == k)[:each] for k in range(len(languages))])
-    base = np.zeros((len(marks), SPACE), np.float32)
+    base = np.zeros((SPACE, len(marks)), np.float32)
     for i, m in enumerate(marks):
-        base[i, texts[m]] = 1 / np.sqrt(len(texts[m]))
-    cross = np.array([base[:, ids].sum(axis=1) / np.sqrt(len(ids)) for ids in texts], np.float64)
+        base[texts[m], i] = 1 / np.sqrt(len(texts[m]))
+    parts = []
+    for a in range(0, len(texts), BLOCK_TEXTS):
+        some = texts[a:a + BLOCK_TEXTS]
+        parts.append(block_product(np.repeat(np.arange(len(some)), [len(t) for t in some]), np.concatenate(some), len(some), base))
+    cross = np.concatenate(parts).astype(np.float64)
     own = cross[marks]
     goal = np.where(targets[:, None] == np.arange(len(languages))[None, :], 1.0, -1.0)
     # Every language weighs the same, however many samples it has.
     weight = 1.0 / np.bincount(targets)[targets][:, None]
     left = cross.T @ (weight * cross) + ridge * own + 1e-6 * np.eye(len(marks))
     alpha = np.linalg.solve(left, cross.T @ (weight * goal))
-    return LanguageModel(languages, (base.T @ alpha.astype(np.float32)))
+    return LanguageModel(languages, base @ alpha.astype(np.float32))
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
@@ -123,7 +132,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
 
     ``und`` with score 0 for null texts, texts without a letter, or a model
     without languages; otherwise the language of the largest margin, with the
-    margins' softmax as score. Ties go to the first language by name.
+    margins' softmax as score (six places). Ties go to the first language by name.
     """
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     docs = docs.select(*kept)
@@ -144,7 +153,8 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
             e = np.exp(4.0 * (z - z.max(axis=1, keepdims=True)).astype(np.float64))
             best = z.argmax(axis=1)
             pred[letter] = np.array(languages, object)[best][letter]
-            score[letter] = (e.max(axis=1) / e.sum(axis=1))[letter]
+            # Sums in single precision depend on the block in their last digits.
+            score[letter] = (e.max(axis=1) / e.sum(axis=1)).round(6)[letter]
         cols = [batch.column(c) for c in kept]
         return pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
     return map_slices(marked, text_col, run, schema)

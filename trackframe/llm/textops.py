@@ -80,6 +80,34 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], view[offsets[0]:offsets[-1]]
 
 
+def characters(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(offsets, code points)`` of the texts ``utf8`` gives; bytes that are no UTF-8 become U+FFFD."""
+    raw = data.tobytes()
+    try:
+        points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+        return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets], points
+    except UnicodeDecodeError:
+        texts = [raw[a:b].decode(errors="replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        return np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]), points
+
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def character_table(name: str, of: Callable[[str], int], kind=bool) -> np.ndarray:
+    """``of`` every character of the basic plane, made once a process."""
+    if name not in _tables:
+        _tables[name] = np.fromiter((of(chr(i)) for i in range(1 << 16)), kind, 1 << 16)
+    return _tables[name]
+
+
+def lower_points(points: np.ndarray) -> np.ndarray:
+    """Lower-cased code points, where the lower case is one character of the basic plane."""
+    table = character_table("lower", lambda c: ord(c.lower()) if len(c.lower()) == 1 else ord(c), np.uint32)
+    return np.where(points < len(table), table[np.minimum(points, len(table) - 1)], points)
+
+
 def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of a batch with about ``size`` bytes of text each, at least one row."""
     if not batch.num_rows:
