@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import pyarrow as pa
 from llm_data import documents, frame
 
-from trackframe.llm.decontam import contaminated
+from trackframe.llm.decontam import NAME, NUMBER, UNIT, WORD, contaminated, tokens
+from trackframe.llm.textops import utf8
 
 ITEMS = [(1, "A train leaves Paris with 120 people and after Lyon it has 45 people more than before; Anna counts 120 seats of 3 kg each."),
          (2, "How many apples does the old farmer sell on every market day of the month?"), (3, None), (4, ""), (5, "1 2 3 4 5 6 7"), (2, "Short one here")]
@@ -45,3 +47,32 @@ def test_short_items_inside_longer_texts(spark):
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     got = {(r["doc_id"], r["item_id"]): r["changed"] for r in contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == {(0, 1): True, (1, 1): True, (2, 2): False, (3, 3): False, (4, 3): False}
+
+
+def test_other_ways_to_write_numbers_and_names(spark):
+    item = "Tom has five apples and gives three of them to Anna before lunch. How many apples does Tom still have?"
+
+    def swap(*pairs: tuple[str, str]) -> str:
+        text = item
+        for old, new in pairs:
+            text = text.replace(old, new)
+        return text
+
+    found = [swap(("five", "twelve"), ("three", "four")), swap(("five", "5"), ("three", "3")), swap(("five", "9"), ("three", "twenty-two")),
+             swap(("Tom", "Олег"), ("Anna", "Žofie")), swap(("Tom", "TOM"), ("Anna", "ANNA")), swap(("Tom", "Mary Ann"), ("Anna", "Peter van Dyk".title())),
+             swap(("Tom", "Élodie"), ("Anna", "Ömer")), "In class: " + item]
+    missed = [swap(("apples does Tom", "apples does Bob"), ("gives three", "gives Bob three")).replace("Anna", "Bob"),
+              swap(("apples", "pears"), ("gives", "sells"), ("lunch", "dawn")), "tom has five apples"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(found + missed)]
+    got = {r["doc_id"]: r for r in contaminated(frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert set(got) == set(range(len(found)))
+    assert got[0]["changed"] and not got[1]["changed"] and not got[7]["changed"]
+
+
+def test_tokens_of_any_script():
+    texts = ["Twenty-five km, ЖЁЛТЫЙ дом. Mary Ann Smith paid 3,500 euros", "", "ID 5 five \u0665", "x"]
+    kind, value, place, bounds, either = tokens(*utf8(pa.array(texts)))
+    part = lambda x, i: x[bounds[i]:bounds[i + 1]].tolist()
+    assert part(kind, 0) == [NUMBER, UNIT, WORD, WORD, NAME, WORD, NUMBER, UNIT]
+    assert part(either, 0) == [False, False, True] + [False] * 5 and not part(kind, 1) and part(kind, 2) == [WORD, NUMBER, NUMBER, NUMBER]
+    assert part(value, 2)[1] == part(value, 2)[2] and part(kind, 3) == [WORD]

@@ -6,12 +6,13 @@ five template tokens are joined by hash. For each document and item the matched
 windows are grouped by place; every placeholder must stand for one value all
 through (a re-parameterised question changes the values, but consistently),
 windows that break this are left out, and the item is found if at least 0.8 of
-its windows remain. A capitalised word that opens a text or sentence may be a
-name or not: its windows have a key for each reading, on both sides.
+its windows remain. A capitalised word that opens a text or sentence, or a word all
+in capitals between others, may be a name or not: its windows have a key for each reading, on both sides.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -20,93 +21,121 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .staging import stage
-from .textops import U64, byte_codes, map_batches, map_slices, mix, prefix_hash, runs, span_hash, utf8
+from .textops import U64, character_table, characters, lower_points, map_batches, map_slices, mix, prefix_hash, runs, span_hash, utf8
 
 WINDOW = 5
 COVERED = 0.8
-# A fixed-size filter of benchmark window hashes goes to every task; it only spares work, the join decides.
-FILTER_BITS = 22
+# Slots of the filter of benchmark window hashes that goes to every task, as powers of two; it only spares work, the join decides.
+FILTER_BITS = (16, 27)
 
-# Unit words and the placeholder kinds.
+# Unit words, number words with their values, and the placeholder kinds.
 UNITS = """mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces
 pound pounds lb lbs ton tons ml l liter liters litre litres gallon gallons second seconds sec minute minutes min hour
 hours day days week weeks month months year years cent cents dollar dollars euro euros percent kmh mph degree degrees
 meter meters metre metres kilometer kilometers kilometre kilometres""".split()
+NUMBERS = {"zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
+           "ten": 10, "eleven": 11, "twelve": 12, "thirteen": 13, "fourteen": 14, "fifteen": 15, "sixteen": 16,
+           "seventeen": 17, "eighteen": 18, "nineteen": 19, "twenty": 20, "thirty": 30, "forty": 40, "fifty": 50,
+           "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90, "hundred": 100, "thousand": 1000,
+           "million": 1000000, "billion": 1000000000}
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
+# Characters after which a sentence may open, and those that belong to a number between digits.
+STOPS, JOINTS = ".!?\n\r\"([{*#|\u201c\u201e\u00ab\u00bf\u00a1\u3002", ".,"
 
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
-_STOP = np.zeros(256, bool)
-_STOP[[ord(c) for c in ".!?\n\r\"([{*#|"]] = True
-_JOINT = np.zeros(256, bool)
-_JOINT[[ord("."), ord(",")]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_CODES = byte_codes(21)
-
-
-def _low(data: np.ndarray) -> np.ndarray:
-    """Lower-cased bytes: A-Z and the two-byte capitals of the Latin-1 letters."""
-    low = _LOWER[data]
-    after = np.zeros(len(data), bool)
-    after[1:] = data[:-1] == 0xC3
-    capital = after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
-    low[capital] += 32
-    return low
+
+def _marked(points: np.ndarray, name: str, of, beyond: bool) -> np.ndarray:
+    """``of`` each character; ``beyond`` for those outside the basic plane."""
+    table = character_table(name, of)
+    return np.where(points < len(table), table[np.minimum(points, len(table) - 1)], beyond)
+
+
+def _prefix(points: np.ndarray) -> np.ndarray:
+    return prefix_hash(mix(points.astype(U64) + U64(21)))
+
+
+_fixed: dict[str, np.ndarray] = {}
+
+
+def _fixed_hashes(name: str, texts: list[str]) -> np.ndarray:
+    """Token hashes of fixed words, made once a process."""
+    if name not in _fixed:
+        offsets, points = characters(*utf8(pa.array(texts, pa.large_string())))
+        _fixed[name] = span_hash(_prefix(points), offsets[:-1], offsets[1:])
+    return _fixed[name]
+
+
+def _merge(starts, ends, bounds, follows):
+    """Token arrays with each token of ``follows`` joined to the one before it; ``heads`` are the tokens left."""
+    heads = np.flatnonzero(~follows)
+    last = np.concatenate([heads[1:], [len(starts)]]) - 1
+    return heads, starts[heads], ends[last], np.searchsorted(heads, bounds)
 
 
 def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(kind, value, place, bounds, either)``: value is the token's hash (unit suffixes split off numbers), place its first byte.
+    """``(kind, value, place, bounds, either)``: value is the token's hash (unit suffixes split off numbers), place its first character.
 
-    ``either`` marks plain words that may be names, as a text or sentence starts with them.
+    Numbers are digits, or number words (``twenty-five`` is one; ``five`` has the value of ``5``). A name is a run of
+    capitalised words a space apart; the word that opens a sentence belongs to the run it starts.
+    ``either`` marks plain words that may be names: capitalised words alone at the start of a text or
+    sentence, and words all in capitals between others.
     """
-    low = _low(data)
-    digit = _DIGIT[data]
-    inner = np.zeros(len(data), bool)  # a point or comma between digits belongs to the number
-    if len(data) > 2:
-        inner[1:-1] = _JOINT[data[1:-1]] & digit[:-2] & digit[2:]
+    offsets, points = characters(offsets, data)
+    low = lower_points(points)
+    digit = _marked(points, "digit", str.isdecimal, False)
+    letter = _marked(points, "letter", lambda c: c.isalpha() or unicodedata.category(c)[0] == "M", True)
+    inner = np.zeros(len(points), bool)  # a point or comma between digits belongs to the number
+    if len(points) > 2:
+        inner[1:-1] = _marked(points[1:-1], "joint", JOINTS.__contains__, False) & digit[:-2] & digit[2:]
     ds, de = runs(digit | inner, offsets)
-    ls, le = runs(_LETTER[data], offsets)
+    ls, le = runs(letter, offsets)
     starts, ends = np.concatenate([ds, ls]), np.concatenate([de, le])
     order = np.argsort(starts, kind="stable")
     number = np.concatenate([np.ones(len(ds), bool), np.zeros(len(ls), bool)])[order]
     starts, ends = starts[order], ends[order]
-    value = span_hash(prefix_hash(_CODES[low]), starts, ends)
-    kind = np.zeros(len(starts), np.int8)
-    kind[number] = NUMBER
-    first, either = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
     bounds = np.searchsorted(starts, offsets)
-    if len(starts):
-        stops = np.concatenate([[0], np.cumsum(_STOP[data] & ~inner)])
-        first[0] = True
-        first[1:] = stops[starts[1:]] != stops[ends[:-1]]
-        first[bounds[:-1][bounds[:-1] < len(starts)]] = True
-        # A name starts with a capital and has other letters too; words all in capitals are plain words.
-        capitals = np.concatenate([[0], np.cumsum(low != data)])
-        characters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        wide = (data[starts] == 0xC3).astype(np.int64)
-        big = capitals[np.minimum(starts + 1 + wide, len(data))] > capitals[starts]
-        mixed = capitals[ends] - capitals[starts] < characters[ends] - characters[starts]
-        kind[big & mixed & ~number & ~first] = NAME
-        either = big & mixed & ~number & first
-        after = np.zeros(len(starts), bool)
-        after[1:] = number[:-1]
-        after[bounds[:-1][bounds[:-1] < len(starts)]] = False
-        kind[after & ~number & np.isin(value, _unit_hashes())] = UNIT
-        either &= kind == WORD
-    return kind, value, starts, bounds, either
-
-
-_units: list[np.ndarray] = []
-
-
-def _unit_hashes() -> np.ndarray:
-    if not _units:
-        o, d = utf8(pa.array(UNITS, pa.large_string()))
-        _units.append(span_hash(prefix_hash(_CODES[d]), o[:-1], o[1:]))
-    return _units[0]
+    if not len(starts):
+        return np.zeros(0, np.int8), np.zeros(0, U64), starts, bounds, np.zeros(0, bool)
+    prefix = _prefix(low)
+    value = span_hash(prefix, starts, ends)
+    stops = np.concatenate([[0], np.cumsum(_marked(points, "stop", STOPS.__contains__, False) & ~inner)])
+    opens = np.zeros(len(starts), bool)  # the text's first token
+    opens[bounds[:-1][bounds[:-1] < len(starts)]] = True
+    first = opens.copy()
+    first[1:] |= stops[starts[1:]] != stops[ends[:-1]]
+    beside = np.zeros(len(starts), bool)  # one space or hyphen after the token before
+    beside[1:] = (starts[1:] == ends[:-1] + 1) & ~opens[1:]
+    gap = points[np.maximum(starts, 1) - 1]
+    # A name starts with a capital and has other letters too; a word all in capitals may be one, if those beside it are not
+    # (in a text all in capitals they say nothing).
+    capitals = np.concatenate([[0], np.cumsum(low != points)])
+    big = (low[starts] != points[starts]) & ~number
+    full = capitals[ends] - capitals[starts] == ends - starts
+    counted = np.isin(value, _fixed_hashes("numbers", list(NUMBERS))) & ~number
+    named = big & ~full & ~counted
+    full &= big & (ends - starts > 1)
+    crowd = np.zeros(len(starts), bool)
+    crowd[1:] = full[:-1] & ~opens[1:]
+    crowd[:-1] |= full[1:] & ~opens[1:]
+    either = full & ~crowd & ~counted
+    joined = np.zeros(len(starts), bool)
+    joined[1:] = (named[1:] & named[:-1] & ~first[1:] & (gap[1:] == 0x20)) | (counted[1:] & counted[:-1] & ~first[1:] & ((gap[1:] == 0x20) | (gap[1:] == 0x2D)))
+    joined &= beside
+    lone = first.copy()
+    lone[:-1] &= ~joined[1:]
+    kind = np.where(number | counted, NUMBER, np.where(named & ~lone, NAME, WORD)).astype(np.int8)
+    either |= named & lone
+    heads, starts, ends, bounds = _merge(starts, ends, bounds, joined)
+    kind, either, opens = kind[heads], either[heads], opens[heads]
+    value = span_hash(prefix, starts, ends)
+    words = _fixed_hashes("numbers", list(NUMBERS))
+    order = np.argsort(words)
+    at = np.minimum(np.searchsorted(words[order], value), len(words) - 1)
+    alike = words[order][at] == value
+    value = np.where(alike, _fixed_hashes("digits", [str(n) for n in NUMBERS.values()])[order][at], value)
+    after = np.zeros(len(starts), bool)
+    after[1:] = kind[:-1] == NUMBER
+    kind[after & ~opens & (kind != NUMBER) & np.isin(value, _fixed_hashes("units", UNITS))] = UNIT
+    return kind, value, starts, bounds, either & (kind == WORD)
 
 
 def windows(offsets: np.ndarray, data: np.ndarray, size: int = WINDOW):
@@ -256,12 +285,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     kind_of = lambda df, c: df.schema[c].dataType.simpleString()
     tail = "n bigint, at bigint, key bigint, kinds array<int>, values array<bigint>"
     known = stage(_window_rows(items, f"row bigint, id {kind_of(items, 'id')}, {tail}"), "benchmark-windows")
-    # One byte per slot, 2 ** FILTER_BITS slots whatever the benchmark's size.
-    slot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
-    table = np.zeros(1 << FILTER_BITS, bool)
+    # Sixteen slots a window or more, within the filter's bounds.
+    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * known.count()).bit_length()))
+    slot = F.shiftrightunsigned("key", 64 - bits)
+    table = np.zeros(1 << bits, bool)
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.zeros(1 << FILTER_BITS, bool)
+        marks = np.zeros(1 << bits, bool)
         for b in batches:
             marks[b.column("s").to_numpy(zero_copy_only=False)] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(marks).tobytes()], pa.binary())], ["bits"])
@@ -270,7 +300,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     spec = docs.sparkSession.sparkContext.broadcast(np.packbits(table))
 
     def keep(key: np.ndarray) -> np.ndarray:
-        at = (key >> U64(64 - FILTER_BITS)).astype(np.int64)
+        at = (key >> U64(64 - bits)).astype(np.int64)
         return (spec.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
     widths = tuple(r["w"] for r in known.select(F.size("values").alias("w")).where(F.col("w") < WINDOW).distinct().collect())
     mine = _window_rows(rows, f"row {kind_of(rows, 'row')}, id {kind_of(rows, 'id')}, {tail}", keep, smaller=widths)
