@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from llm_data import documents, frame
 
+from trackframe.llm import hashfilter
 from trackframe.llm.recompress import anchors, remove_repeats, window_starts
 from trackframe.llm.textops import byte_prefix, span_hash, utf8, words
 
@@ -33,6 +34,18 @@ def test_matches_brute_force(spark):
     assert sum(w[-1] for w in want) > 300
 
 
+def test_more_keys_than_a_filter_holds(spark, monkeypatch):
+    monkeypatch.setattr(hashfilter, "MOST_BITS", 1)
+    got = remove_repeats(frame(spark, extra=True)).select("doc_id", "text", "kept", "n_words", "n_removed").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(documents())))
+
+
+def test_filters_grow_with_their_hashes():
+    sizes = [hashfilter.filter_bits(n) for n in (0, 10_000, 1_000_000, 20_000_000)]
+    assert sizes == [16, 18, 24, 28]
+    assert hashfilter.filter_bits(1 << 25) == 28 and hashfilter.filter_bits((1 << 25) + 1) is None
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(3)
     np.seterr(over="ignore")

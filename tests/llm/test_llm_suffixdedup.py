@@ -4,6 +4,7 @@ from collections import Counter
 
 from llm_data import documents, frame
 
+from trackframe.llm import hashfilter
 from trackframe.llm.suffixdedup import SIZE, remove_repeated_bytes
 
 
@@ -35,5 +36,11 @@ def test_matches_brute_force(spark):
     assert sorted(map(str, (tuple(r[:4]) + (bytes(r[4]),) for r in got))) == sorted(map(str, want))
 
 
+def test_more_keys_than_a_filter_holds(spark, monkeypatch):
+    monkeypatch.setattr(hashfilter, "MOST_BITS", 1)
+    got = remove_repeated_bytes(frame(spark, extra=True)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert sorted(map(str, (tuple(r[:4]) + (bytes(r[4]),) for r in got))) == sorted(map(str, brute(documents())))
+
+
 def test_empty_table(spark):
     assert remove_repeated_bytes(frame(spark, [])).count() == 0

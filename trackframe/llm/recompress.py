@@ -15,13 +15,15 @@ compared by 96-bit hashes of their words and the smallest id that holds each win
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .hashfilter import hash_filter, maybe_in
-from .staging import stage
+from .hashfilter import has_key, hash_filter, maybe_in, release, stand_ins, with_keys
+from .staging import stage, unstage
 from .textops import U64, byte_prefix, map_batches, map_slices, mix, prefix_hash, span_hash, utf8, words
 
 WINDOW = 13
@@ -115,7 +117,10 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 def twin_filter(docs: DataFrame):
     """Filter of the ids that several rows share; only their places need to say which text they are of."""
-    return hash_filter(docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("doc").alias("h")), "h")
+    ids = stage(docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("doc").alias("h")), "twins")
+    twins = hash_filter(ids, "h")
+    unstage(ids)
+    return twins
 
 
 def _high(twins, ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
@@ -123,39 +128,56 @@ def _high(twins, ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
     return np.where(maybe_in(twins, ids.view(U64)), tags >> 32, 0)
 
 
-def repeated_windows(docs: DataFrame, twins, window: int = WINDOW) -> DataFrame:
+def repeated_windows(docs: DataFrame, twins, done: ExitStack, window: int = WINDOW) -> DataFrame:
     """``(doc, high, whole, places)`` of the texts with words to remove.
 
     ``docs`` has ``doc`` (id order key), ``tag`` (text hash) and ``text``.
     ``places`` are first words of windows that a smaller ``doc`` holds; ``whole``
     marks a copy of a smaller document's text, whose windows all are such;
-    ``high`` tells texts of one id apart.
+    ``high`` tells texts of one id apart. ``done`` gets what to clear when the result is written.
     """
     copies = stage(docs.groupBy("tag", F.md5(F.col("text").cast("binary")).alias("sum")).agg(F.min("doc").alias("least"), F.max("doc").alias("most")), "texts")
     # The first document of each text stands for all of them. A copy that passes this filter is only judged twice.
     stands = hash_filter(copies.select(F.xxhash64("tag", "least").alias("h")), "h")
     known = docs.select("doc", "tag", "text", F.xxhash64("tag", "doc").alias("h"), F.xxhash64("doc").alias("id"))
+    done.callback(unstage, copies)
+    done.callback(release, stands)
+    if stands is None:
+        known = stage(stand_ins(known, copies), "stand-ins")
+        done.callback(unstage, known)
 
     def first_only(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(maybe_in(stands, _column(batch, "h").view(U64))))
 
-    def find(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        names, bounds = _names(first_only(batch))
+    def find(batch: pa.RecordBatch, owners: bool = False) -> pa.RecordBatch | None:
+        batch = first_only(batch)
+        names, bounds = _names(batch)
         key = anchors(names, bounds, window)
         if not len(key):
             return None
         counts = np.maximum(np.diff(bounds) - window + 1, 0)
         ends = np.cumsum(counts)
         keys = [np.unique(key[a:b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]  # once a text
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"])
-    shared = map_slices(known, "text", find, "key bigint", SLICE).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        found = pa.array(np.concatenate(keys).view(np.int64))
+        if not owners:
+            return pa.RecordBatch.from_arrays([found], ["key"])
+        row = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+        return pa.RecordBatch.from_arrays([batch.column("doc").take(row), batch.column("tag").take(row), found], ["doc", "tag", "key"])
+    shared = map_slices(known, "text", find, "key bigint", SLICE).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = stage(shared, "shared")
     common = hash_filter(shared, "key")
+    done.callback(unstage, shared)
+    done.callback(release, common)
+    if common is None:
+        owned = map_slices(known, "text", lambda b: find(b, owners=True), "doc bigint, tag bigint, key bigint", SLICE)
+        known = stage(with_keys(known, owned, shared), "with-keys")
+        done.callback(unstage, known)
 
     def windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         batch = first_only(batch)
         names, bounds = _names(batch)
         key = anchors(names, bounds, window)
-        hit = np.flatnonzero(maybe_in(common, key))
+        hit = np.flatnonzero(has_key(common, batch, key))
         if not len(hit):
             return None
         at = window_starts(bounds, window)[hit]
@@ -168,7 +190,10 @@ def repeated_windows(docs: DataFrame, twins, window: int = WINDOW) -> DataFrame:
                                           ["h1", "h2", "doc", "place"])
     # Computed twice rather than kept: the candidates are the largest table here, and cheap to find again.
     candidates = map_slices(known, "text", windows, "h1 bigint, h2 int, doc bigint, place bigint", SLICE)
-    least = candidates.groupBy("h1", "h2").agg(F.min("doc").alias("least"))
+    least = candidates.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    # Stored, so that the join deals both sides anew and AQE can split a window that very many documents hold.
+    least = stage(least.select("h1", "h2", "least"), "least")
+    done.callback(unstage, least)
     later = candidates.join(least, ["h1", "h2"]).where("doc > least").select(
         "doc", F.shiftright("place", 32).alias("high"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"))
     parts = later.groupBy("doc", "high").agg(F.collect_list("place").alias("places")).select(
@@ -203,8 +228,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     keyed = docs.select(*read, F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("__doc"), F.xxhash64(text).alias("__tag"))
     plain = keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     twins = twin_filter(plain)
-    found = stage(repeated_windows(plain, twins, window).groupBy("doc", "high").agg(
-        F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places")), "repeats")
+    with ExitStack() as done:
+        found = stage(repeated_windows(plain, twins, done, window).groupBy("doc", "high").agg(
+            F.max("whole").alias("whole"), F.first("places", ignorenulls=True).alias("places")), "repeats")
     found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
     marked = hash_filter(found.select(F.xxhash64("__doc").alias("h")), "h")
     probe = keyed.withColumn("__h", F.xxhash64("__doc"))

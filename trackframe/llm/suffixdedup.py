@@ -21,14 +21,15 @@ place the others by their distance to the next sampled one, compare neighbours.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .hashfilter import hash_filter, maybe_in
-from .staging import stage
+from .hashfilter import has_key, hash_filter, maybe_in, release, stand_ins, with_keys
+from .staging import stage, unstage
 from .textops import U64, byte_prefix, map_batches, map_slices, mix, sliding, powers, span_hash, utf8
 
 SIZE = 200
@@ -206,27 +207,42 @@ def _strings(contexts: DataFrame) -> DataFrame:
     return map_batches(contexts, run, "c bigint, o int, h1 bigint, h2 bigint, n bigint")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(doc, tag, whole, starts, ends)``: bytes to remove of texts given as ``doc`` (id key), ``tag`` (hash), ``text``."""
+def repeated_spans(docs: DataFrame, done: ExitStack) -> DataFrame:
+    """``(doc, tag, whole, starts, ends)``: bytes to remove of texts given as ``doc`` (id key), ``tag`` (hash), ``text``.
+
+    ``done`` gets what to clear when the result is written.
+    """
     copies = stage(docs.groupBy("tag", F.md5(F.col("text").cast("binary")).alias("sum"))
                    .agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")), "texts")
     # One document stands for all copies of a text. A copy that passes this filter is only judged twice.
     stands = hash_filter(copies.select(F.xxhash64("tag", "least").alias("h")), "h")
     known = docs.select("doc", "tag", "text", F.xxhash64("tag", "doc").alias("h"))
     column = lambda b, k: b.column(k).to_numpy(zero_copy_only=False)
+    done.callback(unstage, copies)
+    if stands is None:
+        known = stage(stand_ins(known, copies), "stand-ins")
+        done.callback(unstage, known)
 
-    def grams(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    def grams(batch: pa.RecordBatch, owners: bool = False) -> pa.RecordBatch | None:
         batch = batch.filter(pa.array(maybe_in(stands, column(batch, "h").view(U64))))
         offsets, data = utf8(batch.column("text"))
-        keys = [part[0] for part in sampled(data, offsets)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"]) if keys else None
-    often = map_slices(known, "text", grams, "key bigint", SLICE).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts = [(part[0], part[4]) for part in sampled(data, offsets)]
+        if not parts:
+            return None
+        key, text = (np.concatenate(x) for x in zip(*parts))
+        found = [pa.array(key.view(np.int64))]
+        return pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(text)) for k in ("doc", "tag")] + found, ["doc", "tag", "key"]) \
+            if owners else pa.RecordBatch.from_arrays(found, ["key"])
+    often = stage(map_slices(known, "text", grams, "key bigint", SLICE).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     common = hash_filter(often, "key")
+    if common is None:
+        owned = map_slices(known, "text", lambda b: grams(b, owners=True), "doc bigint, tag bigint, key bigint", SLICE)
+        known = with_keys(known, owned, often)
 
     def occurrences(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         batch = batch.filter(pa.array(maybe_in(stands, column(batch, "h").view(U64))))
         offsets, data = utf8(batch.column("text"))
-        found = [[x[maybe_in(common, part[0])] for x in part] for part in sampled(data, offsets)]
+        found = [[x[has_key(common, batch, part[0])] for x in part] for part in sampled(data, offsets)]
         if not found:
             return None
         key, at, first, last, text = (np.concatenate(x) for x in zip(*found))
@@ -244,10 +260,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             ["doc", "tag", "at", "key", "h1", "h2", "omin", "omax", "left", "gram", "right"])
     seen = stage(map_slices(known, "text", occurrences, "doc bigint, tag bigint, at bigint, key bigint, h1 bigint, h2 bigint, omin int, omax int, "
                             "left binary, gram binary, right binary", SLICE), "sampled")
+    unstage(often)
+    release(common)
+    release(stands)
+    done.callback(unstage, seen)
     # Equal surroundings become one context, counted.
     grouped = seen.groupBy("key", "h1", "h2").agg(
         F.count(F.lit(1)).alias("n"), *(F.first(k).alias(k) for k in ("omin", "omax", "left", "gram", "right")))
     contexts = stage(grouped.withColumn("c", F.monotonically_increasing_id()), "contexts")
+    done.callback(unstage, contexts)
     # Contexts that occur more than once are settled. Only those of grams with another context are ordered.
     single = contexts.where("n = 1").select("key").distinct()
     compared = stage(contexts.join(single, "key", "left_semi"), "compared")
@@ -267,15 +288,19 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     ranked = ranks(strings, WORDS, 2 * rows).groupBy("c").agg(
         F.max(F.when(F.col("side") == "right", F.col("rank"))).alias("r"), F.max(F.when(F.col("side") == "left", F.col("rank"))).alias("l"))
     ordered = stage(compared.select("c", "key", "right", "left").join(ranked, "c"), "ranked")
+    for used in (compared, ordered):
+        done.callback(unstage, used)
     near = neighbours(ordered, ["r", "l"], rows, "by-right").union(neighbours(ordered, ["l", "r"], rows, "by-left"))
     near = near.groupBy("c").agg(F.collect_list(F.struct("lcp", "lcs")).alias("near"))  # at most eight
     nul = (F.instr(F.hex("right"), "00") > 0) | (F.instr(F.hex("left"), "00") > 0)
     settled = contexts.where("n > 1").select("c", F.col("omin").alias("low"), F.col("omax").alias("high"), F.lit(False).alias("open"))
     judged = stage(_spans(compared.where("n = 1").select("c", "omin", "omax", nul.alias("nul")).join(near, "c", "left")).union(settled), "spans")
+    done.callback(unstage, judged)
     # What neighbours leave open: count the strings of all contexts with those grams.
     unsure = judged.where("open")
     keys = compared.join(unsure.select("c").distinct(), "c", "left_semi").select("key").distinct()
     strings_ = stage(_strings(compared.join(keys, "key", "left_semi").select("c", "omin", "omax", "n", "left", "gram", "right")), "open-strings")
+    done.callback(unstage, strings_)
     twice = strings_.groupBy("o", "h1", "h2").agg(F.sum("n").alias("m")).where("m > 1").select("o", "h1", "h2")
     closed = (strings_.join(twice, ["o", "h1", "h2"]).join(unsure.select("c", "low", "high"), "c").where("o between low and high")
               .select("c", F.col("o").alias("low"), F.col("o").alias("high")))
@@ -303,8 +328,10 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     # The text itself travels once, under its own name.
     read = [*cols, *([] if text_col in cols else [text_col])]
     keyed = docs.select(*read, F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("__doc"), F.xxhash64(text).alias("__tag"))
-    found = stage(repeated_spans(keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
-                  .groupBy("doc", "tag").agg(F.max("whole").alias("whole"), F.first("starts", True).alias("starts"), F.first("ends", True).alias("ends")), "repeats")
+    plain = keyed.select(F.col("__doc").alias("doc"), F.col("__tag").alias("tag"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    with ExitStack() as done:
+        found = stage(repeated_spans(plain, done).groupBy("doc", "tag").agg(
+            F.max("whole").alias("whole"), F.first("starts", True).alias("starts"), F.first("ends", True).alias("ends")), "repeats")
     found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
     marked = hash_filter(found.select(F.xxhash64("__doc", "__tag").alias("h")), "h")
     probe = keyed.withColumn("__h", F.xxhash64("__doc", "__tag"))
