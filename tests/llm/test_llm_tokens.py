@@ -196,3 +196,40 @@ def test_ids_as_halves():
         for first in range(len(part) + 1):
             ids, bounds = from_halves(batch.slice(first))
             assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == part[first:]
+
+
+def test_later_rounds_count_only_what_can_be_frequent(monkeypatch):
+    from trackframe.llm import tokenfile
+
+    rng = np.random.default_rng(8)
+    passage = rng.integers(0, 5000, 400)
+    ids = np.concatenate([rng.integers(0, 60000, 100_000), *[passage] * 30]).astype(np.uint32)
+    counted, sort = [], np.sort
+    monkeypatch.setattr(tokenfile.np, "sort", lambda x, *a, **k: (counted.append(len(x)) or sort(x, *a, **k)))
+    symbols, rules, lengths = repair(ids)
+    monkeypatch.undo()
+    assert (expand(symbols, rules, lengths) == ids).all() and lengths.max() > 30
+    assert len(counted) > 5 and sum(counted[1:]) < len(ids)  # a hundred thousand single pairs are counted once
+
+
+def test_pieces_of_equal_hash(whole, monkeypatch):
+    from trackframe.llm import tokens
+
+    # Every hash meets others: pieces are told apart by their bytes, also when they are looked up again.
+    monkeypatch.setattr(tokens, "span_hash", lambda prefix, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    rng = random.Random(9)
+    for keep in (40, 10_000):
+        encoder = Encoder(PATH, keep)
+        for part in [[sentence(rng, 30) for _ in range(3)] for _ in range(4)] * 2:
+            ids, bounds = encoder.encode(*utf8(pa.array(part, pa.large_string())))
+            for i, t in enumerate(part):
+                assert ids[bounds[i]:bounds[i + 1]].tolist() == whole.encode(t, add_special_tokens=False).ids
+
+
+def test_simple_texts_go_together(whole, monkeypatch):
+    calls, plain = [], Encoder._encode
+    monkeypatch.setattr(Encoder, "_encode", lambda self, offsets, data: calls.append(len(offsets) - 1) or plain(self, offsets, data))
+    texts = ["one two", "", "\u65e5\u672c two", "two  three's", "caf\u00e9", "a <|endoftext|> b", "one"]
+    ids, bounds = Encoder(PATH).encode(*utf8(pa.array(texts, pa.large_string())))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert calls == [5]

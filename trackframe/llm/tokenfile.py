@@ -40,36 +40,50 @@ def repair(ids: np.ndarray, most: int = RULES, least: int = LEAST) -> tuple[np.n
     """``(symbols, rules, expansions)``; rule k is nonterminal FIRST + k and stands for its two symbols."""
     x = ids.astype(np.uint32)
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
+    # Whether the pair that begins here can be frequent. One that was not in the round before never will be: its count only falls.
+    live = np.ones(len(x), bool)
     while len(x) > 1:
-        pair = x[:-1].astype(np.uint64) << np.uint64(32) | x[1:]
+        spots = np.flatnonzero(live[:-1])
+        pair = x[spots].astype(np.uint64) << np.uint64(32) | x[spots + 1]
         ordered = np.sort(pair)
-        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else spots
         counts = np.diff(np.concatenate([heads, [len(ordered)]]))
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
-        often = often[np.argsort(-counts[often], kind="stable")][:most]
-        chosen = np.sort(ordered[heads[often]])
-        # A small table rules most pairs out before the search.
+        frequent = ordered[heads[often]]
+        taken = np.zeros(len(often), bool)
+        taken[np.argsort(-counts[often], kind="stable")[:most]] = True
+        # A table by hash finds most of them; pairs that meet another one in their slot are searched.
         slot = lambda p: ((p * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        maybe = np.zeros(1 << 20, bool)
-        maybe[slot(chosen)] = True
-        at = np.flatnonzero(maybe[slot(pair)])
-        where = np.minimum(np.searchsorted(chosen, pair[at]), len(chosen) - 1)
-        good = chosen[where] == pair[at]
-        at, where = at[good], where[good]
+        table = np.full(1 << 20, -1, np.int32)
+        table[slot(frequent)] = np.arange(len(frequent))
+        where = table[slot(pair)]
+        at = np.flatnonzero(where >= 0)
+        pair, where = pair[at], where[at]
+        good = frequent[where] == pair
+        other = np.flatnonzero(~good)
+        where[other] = np.minimum(np.searchsorted(frequent, pair[other]), len(frequent) - 1)
+        good[other] = frequent[where[other]] == pair[other]
+        at, where = spots[at[good]], where[good]
+        live[:] = False
+        live[at] = True
+        at, where = at[taken[where]], where[taken[where]]
         # Overlapping places follow one another: every second one of such a run stays, from its start.
         first = np.concatenate([[True], np.diff(at) != 1])
         begin = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
         even = (np.arange(len(at)) - begin) % 2 == 0
         at, where = at[even], where[even]
-        base = FIRST + len(rules)
+        base, chosen = FIRST + len(rules), frequent[taken]
         left, right = (chosen >> np.uint64(32)).astype(np.uint32), (chosen & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         size = lambda s: np.where(s < FIRST, 1, np.concatenate([lengths, [0]])[np.maximum(s.astype(np.int64) - FIRST, 0)])
         lengths = np.concatenate([lengths, (size(left) + size(right)).astype(np.uint32)])
         rules = np.concatenate([rules, np.stack([left, right], axis=1)])
-        x[at] = (base + where).astype(np.uint32)
-        x = np.delete(x, at + 1)
+        x[at] = (base + np.cumsum(taken) - 1)[where].astype(np.uint32)
+        live[np.maximum(at - 1, 0)] = True
+        kept = np.ones(len(x), bool)
+        kept[at + 1] = False
+        x, live = x[kept], live[kept]
     return x, rules, lengths
 
 

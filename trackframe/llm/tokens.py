@@ -2,8 +2,8 @@
 
 The library's own encoder spends most of its time on words it has seen before.
 Here a slice of texts is cut into the pre-tokenizer's pieces with array
-operations, each distinct piece is looked up in a bounded cache, and only new
-pieces go to the library's BPE model. Texts outside the simple case (letters
+operations, the distinct pieces are looked up together in a bounded cache (by
+their hashes, and compared byte by byte), and only new pieces go to the library's BPE model. Texts outside the simple case (letters
 beyond U+023F, the two Latin-1 spaces, a special token's string) go to the
 library's encoder whole, so ids always equal ``Tokenizer.encode``.
 """
@@ -12,12 +12,11 @@ from __future__ import annotations
 
 import os
 import unicodedata
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
-from .textops import ragged
+from .textops import U64, byte_prefix, ragged, span_hash
 
 # Distinct pieces a process keeps; later ones are looked up anew in each slice.
 CACHE_PIECES = 300_000
@@ -44,7 +43,7 @@ def _byte_letters() -> str:
     return "".join(chr(stand[b]) for b in range(256))
 
 
-_STAND = {b: c for b, c in enumerate(_byte_letters())}
+_STAND = np.array([ord(c) for c in _byte_letters()], np.uint32)
 
 
 def piece_starts(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -100,35 +99,63 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        # Piece k has the bytes raw[cuts[k]:cuts[k + 1]] and the ids flat[starts[k]:starts[k + 1]].
+        self.count = 0
+        self.raw, self.cuts = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.int64)
         self.flat, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
-
-    def _learn(self, new: list[bytes]) -> None:
-        mapped = [p.decode("latin-1").translate(_STAND) for p in new]
+        # Hashes of the pieces in ascending order, and whose they are.
+        self.hashes, self.owner = np.zeros(0, U64), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Drop the pieces beyond those that are kept."""
+        kept = self.owner < self.keep
+        self.hashes, self.owner = self.hashes[kept], self.owner[kept]
+        self.count = min(self.count, self.keep)
+
+    def _find(self, raw: np.ndarray, cuts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each piece (``hashes`` ascend), -1 for unknown ones."""
+        out = np.full(len(hashes), -1, np.int64)
+        if not self.count:
+            return out
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        owner, size = self.owner[place], cuts[1] - cuts[0]
+        hit = np.flatnonzero((self.hashes[place] == hashes) & (self.cuts[owner + 1] - self.cuts[owner] == size))
+        out[hit] = owner[hit]
+        differ = np.flatnonzero(raw[ragged(cuts[0][hit], size[hit])] != self.raw[ragged(self.cuts[owner[hit]], size[hit])])
+        if len(differ):
+            out[hit[np.searchsorted(np.cumsum(size[hit]), differ, "right")]] = -1
+        return out
+
+    def _learn(self, raw: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> None:
+        """Add the pieces of ``sizes`` bytes that ``raw`` strings together; their hashes ascend."""
+        n, ends = len(sizes), np.cumsum(sizes)
+        text = np.insert(_STAND[raw], ends[:-1], 32).tobytes().decode("utf-32-le")
+        first = (ends - sizes + np.arange(n))[::BATCH].tolist()
         counts, ids = [], []
-        for e in self.pieces.encode_batch([" ".join(mapped[i:i + BATCH]) for i in range(0, len(mapped), BATCH)],
-                                          add_special_tokens=False):
+        for e in self.pieces.encode_batch([text[a:b - 1] for a, b in zip(first, [*first[1:], len(text) + 1])], add_special_tokens=False):
             ids.extend(e.ids)
-            words = np.array(e.word_ids, np.int64)
-            counts.append(np.bincount(words, minlength=min(BATCH, len(mapped) - BATCH * len(counts))))
-        at, count = len(self.known), np.concatenate(counts)
-        while len(self.starts) < at + len(new) + 1:
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        first = int(self.starts[at])
-        while len(self.flat) < first + len(ids):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[first:first + len(ids)] = ids
-        self.starts[at + 1:at + 1 + len(new)] = first + np.cumsum(count)
-        for i, p in enumerate(new):
-            self.known[p] = at + i
+            counts.append(np.bincount(e.word_ids, minlength=min(BATCH, n - BATCH * len(counts))))
+        at = self.count
+        for bounds, values, end, new in (("cuts", "raw", ends, raw), ("starts", "flat", np.cumsum(np.concatenate(counts)), np.array(ids, np.uint32))):
+            places, held = self._room(bounds, at + n + 1), int(getattr(self, bounds)[at])
+            places[at + 1:at + 1 + n] = held + end
+            self._room(values, held + len(new))[held:held + len(new)] = new
+        self.count += n
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.owner = np.insert(self.hashes, place, hashes), np.insert(self.owner, place, np.arange(at, at + n))
+
+    def _room(self, name: str, size: int) -> np.ndarray:
+        """The array ``name``, grown to ``size`` entries or more."""
+        held = getattr(self, name)
+        if len(held) < size:
+            setattr(self, name, np.concatenate([held, np.zeros(max(len(held), size - len(held)), held.dtype)]))
+        return getattr(self, name)
 
     def _simple(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-        odd = np.zeros(len(data), bool)
-        odd |= data > 0xC8
         c2 = np.flatnonzero(data == 0xC2)
-        odd[c2] = (data[c2 + 1] == 0x85) | (data[c2 + 1] == 0xA0)
-        found = np.concatenate([[0], np.cumsum(odd)])
-        simple = found[offsets[1:]] == found[offsets[:-1]]
+        simple = np.ones(len(offsets) - 1, bool)
+        for odd in (np.flatnonzero(data > 0xC8), c2[(data[c2 + 1] == 0x85) | (data[c2 + 1] == 0xA0)]):
+            simple &= np.diff(np.searchsorted(odd, offsets)) == 0
         raw = data.tobytes()
         for mark in self.special:
             if mark in raw:
@@ -147,8 +174,10 @@ class Encoder:
             text = data[offsets[i]:offsets[i + 1]].tobytes().decode()
             out[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         good = np.flatnonzero(simple)
-        for i in good:
-            out[i] = self._encode(np.array([0, offsets[i + 1] - offsets[i]]), data[offsets[i]:offsets[i + 1]])[0]
+        size = np.diff(offsets)[good]
+        ids, bounds = self._encode(np.concatenate([[0], np.cumsum(size)]), data[ragged(offsets[good], size)])
+        for i, a, b in zip(good, bounds, bounds[1:]):
+            out[i] = ids[a:b]
         return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
 
     def _encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,18 +188,21 @@ class Encoder:
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data.tobytes())])
         coded = pieces.dictionary_encode()
         _, bounds, raw = coded.dictionary.buffers()
-        cut, raw = np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1].tolist(), raw.to_pybytes()
-        distinct = [raw[a:b] for a, b in zip(cut, cut[1:])]
-        if len(self.known) > self.keep:  # the slice before brought pieces that are not kept
-            for p in list(islice(reversed(self.known), len(self.known) - self.keep)):
-                del self.known[p]
-        get = self.known.get
-        at = [get(p, -1) for p in distinct]
-        new = [p for p, i in zip(distinct, at) if i < 0]
-        if new:
-            self._learn(new)
-            at = [get(p) for p in distinct]
-        index = np.array(at, np.int64)[coded.indices.to_numpy()]
+        raw, cuts = np.frombuffer(raw, np.uint8), np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1]
+        if self.count > self.keep:  # the slice before brought pieces that are not kept
+            self._forget()
+        hashes = span_hash(byte_prefix(raw[:cuts[-1]]), cuts[:-1], cuts[1:])
+        order = np.argsort(hashes)
+        cuts, hashes = np.stack([cuts[:-1][order], cuts[1:][order]]), hashes[order]
+        at = self._find(raw, cuts, hashes)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = np.arange(self.count, self.count + len(new))
+            size = (cuts[1] - cuts[0])[new]
+            self._learn(raw[ragged(cuts[0][new], size)], size, hashes[new])
+        number = np.empty(len(order), np.int64)
+        number[order] = at
+        index = number[coded.indices.to_numpy()]
         first, count = self.starts[index], self.starts[index + 1] - self.starts[index]
         ids = self.flat[ragged(first, count)]
         total = np.concatenate([[0], np.cumsum(count)])
