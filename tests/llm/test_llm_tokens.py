@@ -233,3 +233,21 @@ def test_simple_texts_go_together(whole, monkeypatch):
     ids, bounds = Encoder(PATH).encode(*utf8(pa.array(texts, pa.large_string())))
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
     assert calls == [5]
+
+
+def test_packing_encodes_simple_texts_together(whole, monkeypatch):
+    from trackframe.llm import packing
+
+    calls, plain, held = [], Encoder._encode, []
+    monkeypatch.setattr(Encoder, "_encode", lambda self, offsets, data: calls.append(len(offsets) - 1) or plain(self, offsets, data))
+    monkeypatch.setattr(packing, "map_batches", lambda df, run, schema: held.append(run))
+    texts = ["one two", None, "\u65e5\u672c", "two three", "four"]
+
+    class Docs:
+        schema = {"doc_id": type("Field", (), {"dataType": type("Kind", (), {"simpleString": lambda self: "bigint"})()})()}
+    packing.encoded(Docs(), PATH, pieces=777)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    rows = next(held[0](iter([batch])))
+    ids, bounds = packing.from_halves(rows)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    assert calls == [4]
