@@ -2,9 +2,10 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 from llm_data import documents, frame
 
-from trackframe.llm import hashfilter
+from trackframe.llm import hashfilter, suffixdedup
 from trackframe.llm.suffixdedup import SIZE, remove_repeated_bytes
 
 
@@ -44,3 +45,26 @@ def test_more_keys_than_a_filter_holds(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert remove_repeated_bytes(frame(spark, [])).count() == 0
+
+
+def test_sample_does_not_depend_on_strides(monkeypatch):
+    rng = np.random.default_rng(1)
+    whole = lambda data, offsets: [np.concatenate(x).tolist() for x in zip(*suffixdedup.sampled(data, offsets))]
+    for sizes in ([0, 199, 200, 0, 201, 4000], [5, 3000, 0], [1000] * 6, [0]):
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        data = rng.integers(0, 3, offsets[-1]).astype(np.uint8)
+        monkeypatch.setattr(suffixdedup, "STRIDE", 1 << 15)
+        want = whole(data, offsets)
+        monkeypatch.setattr(suffixdedup, "STRIDE", 300)
+        assert whole(data, offsets) == want
+        starts = [(t, i) for _, _, first, last, t in zip(*want) for i in range(first, last + 1)] if want else []
+        assert starts == [(t, int(offsets[t]) + i) for t, n in enumerate(sizes) for i in range(n - SIZE + 1)]
+
+
+def test_ranks_without_arrays(spark):
+    rows = [(c, side, *w) for c, (side, w) in enumerate([("right", [5, -1, 7, 2]), ("right", [5, -1, 7, 1]), ("left", [5, -1, 7, 2]), ("left", [-9, 0, 0, 0])])]
+    strings = spark.createDataFrame(rows, "c bigint, side string, w0 bigint, w1 bigint, w2 bigint, w3 bigint")
+    out = suffixdedup.ranks(strings, 4, 8)
+    rank = {r["c"]: r["rank"] for r in out.collect()}
+    assert rank[3] < rank[1] < rank[0] == rank[2]
+    assert "collect_list" not in out._jdf.queryExecution().toString()

@@ -30,13 +30,14 @@ from pyspark.sql.window import Window
 
 from .hashfilter import has_key, hash_filter, maybe_in, release, stand_ins, with_keys
 from .staging import stage, unstage
-from .textops import U64, byte_prefix, map_batches, map_slices, mix, sliding, powers, span_hash, utf8
+from .textops import U64, byte_prefix, map_batches, map_slices, mix, powers, runs, sliding, span_hash, utf8
 
 SIZE = 200
 GRAM = 64
 SIDE = SIZE - GRAM  # bytes that matter on each side of a sampled gram
 WORDS = -(-SIDE // 8)
 BLOCK = 1 << 21
+STRIDE = 1 << 15  # grams hashed at once: their arrays stay in a core's cache
 # Text handled at once: several arrays of eight bytes a byte are alive at a time.
 SLICE = 1 << 20
 ROWS = 40_000  # contexts per ordered partition
@@ -45,28 +46,32 @@ ROWS = 40_000  # contexts per ordered partition
 def sampled(data: np.ndarray, offsets: np.ndarray):
     """Yield ``(key, at, first, last)`` arrays: sampled positions, their gram's hash, and the string starts they stand for."""
     width = SIZE - GRAM + 1
-    place_bits, mask = U64(24), U64((1 << 24) - 1)
-    ends = offsets[1:]
+    mask = U64((1 << 24) - 1)
     for begin in range(0, max(1, len(data)), BLOCK):
         part = data[begin:begin + BLOCK + SIZE - 1]
         n = len(part) - SIZE + 1
         if n < 1:
             return
-        prefix = byte_prefix(part)
-        grams = mix((prefix[GRAM:] - prefix[:-GRAM]) * powers(len(prefix))[1][:len(prefix) - GRAM])
-        least = sliding((grams & ~mask) | np.arange(len(grams), dtype=U64), width, np.minimum)
-        starts = np.arange(begin, begin + n)
-        bounds = np.clip(offsets, begin, begin + n)
-        text = np.repeat(np.arange(len(ends)), np.diff(bounds))
-        good = starts + SIZE <= ends[text]
-        starts, text, at = starts[good], text[good], (least[good] & mask).astype(np.int64)
-        if not len(starts):
-            continue
-        new = np.ones(len(starts), bool)
-        new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
+        grams, at = np.empty(len(part) - GRAM + 1, U64), np.empty(n, np.int64)
+        for a in range(0, n, STRIDE):
+            prefix = byte_prefix(part[a:a + STRIDE + SIZE - 1])
+            own = mix((prefix[GRAM:] - prefix[:-GRAM]) * powers(len(prefix))[1][:len(prefix) - GRAM])
+            grams[a:a + len(own)] = own
+            least = sliding((own & ~mask) | np.arange(len(own), dtype=U64), width, np.minimum)
+            at[a:a + len(least)] = (least & mask).astype(np.int64) + a
+        # Starts low[i] to high[i] - 1 are the strings of text i that begin in the block.
+        low, high = (np.clip(x, begin, begin + n) - begin for x in (offsets[:-1], offsets[1:] - SIZE + 1))
+        new = np.zeros(n, bool)
+        new[1:] = at[1:] != at[:-1]
+        new[low[low < high]] = True
         heads = np.flatnonzero(new)
-        tails = np.concatenate([heads[1:], [len(starts)]]) - 1
-        yield grams[at[heads]], at[heads] + begin, starts[heads], starts[tails], text[heads]
+        text = np.searchsorted(offsets, begin + heads, "right") - 1
+        inside = heads < high[text]
+        heads, text = heads[inside], text[inside]
+        if not len(heads):
+            continue
+        tails = np.minimum(np.append(heads[1:], n), high[text]) - 1
+        yield grams[at[heads]], at[heads] + begin, heads + begin, tails + begin, text
 
 
 def number(df: DataFrame, cols: list[str], rows: int, label: str) -> DataFrame:
@@ -91,23 +96,21 @@ def number(df: DataFrame, cols: list[str], rows: int, label: str) -> DataFrame:
 
 
 def ranks(strings: DataFrame, words: int, rows: int) -> DataFrame:
-    """``(c, side, rank)`` of strings given as ``c, side, w`` (arrays of ``words`` order-keeping longs).
+    """``(c, side, rank)`` of strings given as ``c, side`` and their ``words`` order-keeping longs, ``w0``, ``w1`` ...
 
     Equal strings share a rank. Each round sorts and names the distinct triples.
     """
     width = words
     while width > 1:
         triples = -(-width // 3)
-        at = lambda i: f"coalesce(get(w, {i}), {-(1 << 63)}L)"
-        rowed = stage(strings.select("c", "side", F.expr(
-            f"posexplode(transform(sequence(0, {triples - 1}), j -> struct({at('3*j')} as x, {at('3*j+1')} as y, {at('3*j+2')} as z)))")
-            .alias("j", "t")).select("c", "side", "j", "t.x", "t.y", "t.z"), "triples")
+        at = lambda i: f"w{i}" if i < width else f"{-(1 << 63)}L"
+        rowed = stage(strings.selectExpr("c", "side", f"stack({triples}, " + ", ".join(
+            f"{j}, {at(3 * j)}, {at(3 * j + 1)}, {at(3 * j + 2)}" for j in range(triples)) + ") as (j, x, y, z)"), "triples")
         named = number(rowed.select("x", "y", "z").distinct(), ["x", "y", "z"], rows * triples, "names")
-        strings = (rowed.join(named, ["x", "y", "z"]).groupBy("c", "side")
-                   .agg(F.array_sort(F.collect_list(F.struct("j", "rank"))).alias("w"))
-                   .select("c", "side", F.col("w.rank").alias("w")))
+        strings = rowed.join(named, ["x", "y", "z"]).groupBy("c", "side").agg(
+            *(F.max(F.when(F.col("j") == j, F.col("rank"))).alias(f"w{j}") for j in range(triples)))
         width = triples
-    return strings.select("c", "side", F.col("w")[0].alias("rank"))
+    return strings.select("c", "side", F.col("w0").alias("rank"))
 
 
 def _pad(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -171,23 +174,30 @@ def _spans(df: DataFrame) -> DataFrame:
     """Proven and open distance ranges of contexts that occur once, from their neighbours: ``c, low, high, open``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for r in b.to_pylist():
-                lo, hi = r["omin"], r["omax"]
-                near = [(SIDE - m["lcp"], m["lcs"]) for m in (r["near"] or [])]
-                low, high = max([lo, min((a for a, _ in near), default=SIZE)]), min([hi, max((s for _, s in near), default=-1)])
-                if r["nul"]:  # padding and zero bytes sort alike: leave these to the count
-                    low, high, near = lo, hi, []
-                todo = np.zeros(max(0, high - low + 1), bool)
-                proven = todo.copy()
-                for a, s in near:
-                    proven[max(0, a - low):max(0, s - low + 1)] = True
-                for mark, is_open in ((proven, False), (~proven, True)):
-                    edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
-                    out += [(r["c"], low + int(x), low + int(y) - 1, is_open) for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.bool_()))],
-                                             ["c", "low", "high", "open"])
+            c, lo, hi, nul = (b.column(k).to_numpy(zero_copy_only=False) for k in ("c", "omin", "omax", "nul"))
+            met = b.column("near").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            whose, pairs = np.repeat(np.arange(len(c)), met), b.column("near").flatten()
+            first, last = (pairs.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("lcp", "lcs"))
+            first = SIDE - first
+            least, most = np.full(len(c), SIZE), np.full(len(c), -1)
+            np.minimum.at(least, whose, first)
+            np.maximum.at(most, whose, last)
+            # Padding and zero bytes sort alike: texts with these are left to the count.
+            low, high = np.where(nul, lo, np.maximum(lo, least)), np.where(nul, hi, np.minimum(hi, most))
+            size = np.maximum(0, high - low + 1)
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            begin, end = (np.clip(x - low[whose], 0, size[whose]) for x in (first, last + 1))
+            use = (begin < end) & ~nul[whose]
+            covers = np.zeros(bounds[-1] + 1, np.int64)
+            np.add.at(covers, (bounds[whose] + begin)[use], 1)
+            np.add.at(covers, (bounds[whose] + end)[use], -1)
+            proven = np.cumsum(covers[:-1]) > 0
+            for mark, is_open in ((proven, False), (~proven, True)):
+                starts, ends = runs(mark, bounds)
+                row = np.searchsorted(bounds, starts, "right") - 1
+                shift = low[row] - bounds[row]
+                yield pa.RecordBatch.from_arrays([pa.array(c[row]), pa.array((starts + shift).astype(np.int32)), pa.array((ends - 1 + shift).astype(np.int32)),
+                                                  pa.array(np.full(len(row), is_open))], ["c", "low", "high", "open"])
     return map_batches(df, run, "c bigint, low int, high int, open boolean")
 
 
@@ -282,10 +292,9 @@ def repeated_spans(docs: DataFrame, done: ExitStack) -> DataFrame:
                 full = np.zeros((len(bytes_), WORDS * 8), np.uint8)
                 full[:, :SIDE] = bytes_
                 w = (full.view(">u8").astype(U64) ^ U64(1 << 63)).view(np.int64)
-                cuts = pa.array(np.arange(0, w.size + 1, WORDS, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([b.column("c"), pa.array([side] * b.num_rows), pa.ListArray.from_arrays(cuts, pa.array(w.ravel()))],
-                                                 ["c", "side", "w"])
-    strings = map_batches(compared.select("c", "right", "left"), words, "c bigint, side string, w array<bigint>")
+                yield pa.RecordBatch.from_arrays([b.column("c"), pa.array([side] * b.num_rows), *(pa.array(w[:, i].copy()) for i in range(WORDS))],
+                                                 ["c", "side", *(f"w{i}" for i in range(WORDS))])
+    strings = map_batches(compared.select("c", "right", "left"), words, "c bigint, side string, " + ", ".join(f"w{i} bigint" for i in range(WORDS)))
     ranked = ranks(strings, WORDS, 2 * rows).groupBy("c").agg(
         F.max(F.when(F.col("side") == "right", F.col("rank"))).alias("r"), F.max(F.when(F.col("side") == "left", F.col("rank"))).alias("l"))
     ordered = stage(compared.select("c", "key", "right", "left").join(ranked, "c"), "ranked")
