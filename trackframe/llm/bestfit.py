@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .staging import stage
 from .textops import map_batches, ragged, slices, utf8
-from .tokens import _KINDS, NUMBER, SPACE, Encoder
+from .tokens import _KINDS, NUMBER, SPACE, Encoder, distinct
 
 WINDOW = 2048
 END_ID = 0
@@ -79,17 +78,12 @@ class WordEncoder(Encoder):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         cuts = np.concatenate([[0], np.cumsum(sizes)])
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(lower[kind != SPACE].tobytes())]).dictionary_encode()
-        _, bounds, raw = coded.dictionary.buffers()
-        at, raw = np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1].tolist(), raw.to_pybytes()
-        distinct = [raw[a:b] for a, b in zip(at, at[1:])]
-        distinct = [p if p.isascii() else p.decode().lower().encode() for p in distinct]
-        if len(self.known) > self.keep:  # the slice before brought pieces that are not kept
-            for p in list(islice(reversed(self.known), len(self.known) - self.keep)):
-                del self.known[p]
-        new = [p for p in dict.fromkeys(distinct) if p not in self.known]
-        if new:
-            self._learn(new)
-        index = np.array([self.known[p] for p in distinct], np.int64)[coded.indices.to_numpy()]
+        raw, pieces = distinct(coded)
+        if (raw >= 0x80).any():
+            text = raw.tobytes()
+            lowered = [p if p.isascii() else p.decode().lower().encode() for p in (text[a:b] for a, b in zip(pieces.tolist(), pieces[1:].tolist()))]
+            raw, pieces = np.frombuffer(b"".join(lowered), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in lowered])])
+        index = self._numbers(raw, pieces)[coded.indices.to_numpy()]
         first, count = self.starts[index], self.starts[index + 1] - self.starts[index]
         total = np.concatenate([[0], np.cumsum(count)])
         return self.flat[ragged(first, count)], total[np.searchsorted(starts, offsets)]

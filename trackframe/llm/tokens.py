@@ -84,6 +84,13 @@ def piece_starts(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start[:n])
 
 
+def distinct(coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """``(raw, cuts)``: the bytes of the dictionary of large binaries, and where each entry's begin."""
+    _, cuts, raw = coded.dictionary.buffers()
+    cuts = np.frombuffer(cuts, np.int64)[:len(coded.dictionary) + 1]
+    return np.frombuffer(raw, np.uint8)[:cuts[-1]], cuts
+
+
 class Encoder:
     """Ids of whole texts; one per process and vocabulary file (``encoder``)."""
 
@@ -112,6 +119,23 @@ class Encoder:
         self.hashes, self.owner = self.hashes[kept], self.owner[kept]
         self.count = min(self.count, self.keep)
 
+    def _numbers(self, raw: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """The number of each piece ``raw[cuts[i]:cuts[i + 1]]``; unknown ones are learned."""
+        if self.count > self.keep:  # the slice before brought pieces that are not kept
+            self._forget()
+        hashes = span_hash(byte_prefix(raw), cuts[:-1], cuts[1:])
+        order = np.argsort(hashes)
+        cuts, hashes = np.stack([cuts[:-1][order], cuts[1:][order]]), hashes[order]
+        at = self._find(raw, cuts, hashes)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = np.arange(self.count, self.count + len(new))
+            size = (cuts[1] - cuts[0])[new]
+            self._learn(raw[ragged(cuts[0][new], size)], size, hashes[new])
+        out = np.empty(len(order), np.int64)
+        out[order] = at
+        return out
+
     def _find(self, raw: np.ndarray, cuts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """The number of each piece (``hashes`` ascend), -1 for unknown ones."""
         out = np.full(len(hashes), -1, np.int64)
@@ -187,22 +211,7 @@ class Encoder:
         ends = np.concatenate([starts, [len(data)]])
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data.tobytes())])
         coded = pieces.dictionary_encode()
-        _, bounds, raw = coded.dictionary.buffers()
-        raw, cuts = np.frombuffer(raw, np.uint8), np.frombuffer(bounds, np.int64)[:len(coded.dictionary) + 1]
-        if self.count > self.keep:  # the slice before brought pieces that are not kept
-            self._forget()
-        hashes = span_hash(byte_prefix(raw[:cuts[-1]]), cuts[:-1], cuts[1:])
-        order = np.argsort(hashes)
-        cuts, hashes = np.stack([cuts[:-1][order], cuts[1:][order]]), hashes[order]
-        at = self._find(raw, cuts, hashes)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            at[new] = np.arange(self.count, self.count + len(new))
-            size = (cuts[1] - cuts[0])[new]
-            self._learn(raw[ragged(cuts[0][new], size)], size, hashes[new])
-        number = np.empty(len(order), np.int64)
-        number[order] = at
-        index = number[coded.indices.to_numpy()]
+        index = self._numbers(*distinct(coded))[coded.indices.to_numpy()]
         first, count = self.starts[index], self.starts[index + 1] - self.starts[index]
         ids = self.flat[ragged(first, count)]
         total = np.concatenate([[0], np.cumsum(count)])
